@@ -16,6 +16,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def try_cast(x, to: str) -> Column:
+    """CAST that yields NULL instead of raising (ANSI) on bad input."""
+    return _c(x).try_cast(to)
+
+
 # ---------------------------------------------------------------- arithmetic
 
 def safe_ratio(num, den) -> Column:
@@ -169,12 +174,12 @@ def truncate_text(x, n: int = 100) -> Column:
 
 def money_text_to_long(x) -> Column:
     """'12,300' -> 12300; empty / non-numeric -> 0."""
-    return F.coalesce(F.try_cast(F.regexp_replace(F.trim(_c(x)), ",", ""), "bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(try_cast(F.regexp_replace(F.trim(_c(x)), ",", ""), "bigint"), F.lit(0).cast("bigint"))
 
 
 def safe_double(x) -> Column:
     """blank / text / null -> NULL, else the number."""
-    return F.try_cast(F.nullif(F.trim(_c(x).cast("string")), F.lit("")), "double")
+    return try_cast(F.nullif(F.trim(_c(x).cast("string")), F.lit("")), "double")
 
 
 def md5_order(key, seed) -> Column:

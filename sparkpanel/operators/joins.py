@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkpanel.functions.columns import try_cast
+
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
@@ -33,7 +35,7 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
 def normalise_code(c) -> F.Column:
     """Codes arriving as int, float or text -> bigint; unparsable -> NULL (never 0)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_cast(F.try_cast(F.trim(col.cast("string")), "double"), "bigint")
+    return try_cast(try_cast(F.trim(col.cast("string")), "double"), "bigint")
 
 
 def lookup_with_default(fact: DataFrame, dim: DataFrame, key: str, value: str,
