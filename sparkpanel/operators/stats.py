@@ -181,23 +181,20 @@ def quartile_spread(df: DataFrame, col: str, by: list[str] | None = None, approx
 def histogram(df: DataFrame, col: str, n_bins: int = 10, lo=None, hi=None) -> DataFrame:
     """Equal-width histogram with empty bins present.
 
-    Bounds default to the column min/max, computed in the same job as a one-row
-    aggregate joined to every row (a one-row broadcast, bounded by construction).
+    Bounds default to the column min/max, evaluated once as scalar subqueries of
+    the same query (no driver round trip, no join).
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    if lo is None or hi is None:
-        bounds = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    else:
-        bounds = vals.sparkSession.range(1).select(F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"))
-    binned = vals.crossJoin(F.broadcast(bounds)).select(
-        equal_width_bin("x", "lo", "hi", n_bins).alias("bin"))
-    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    spine = bounds.select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(n_bins))).alias("bin"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(n_bins)
+    lo_c = vals.agg(F.min("x")).scalar() if lo is None else F.lit(float(lo))
+    hi_c = vals.agg(F.max("x")).scalar() if hi is None else F.lit(float(hi))
+    counts = vals.select(equal_width_bin("x", lo_c, hi_c, n_bins).alias("bin")).groupBy("bin").agg(
+        F.count(F.lit(1)).alias("n"))
+    spark = vals.sparkSession
+    spine = spark.range(1, n_bins + 1).select(F.col("id").cast("int").alias("bin"))
+    width = (hi_c - lo_c) / F.lit(n_bins)
     return spine.join(counts, "bin", "left").select(
-        "bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_lo"),
-        (F.col("lo") + F.col("bin") * width).alias("bin_hi"),
+        "bin", (lo_c + (F.col("bin") - 1) * width).alias("bin_lo"), (lo_c + F.col("bin") * width).alias("bin_hi"),
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
@@ -229,28 +226,26 @@ def kde_grid(df: DataFrame, col: str, n_grid: int = 64, pre_bins: int = 1024,
              bandwidth: float | None = None) -> DataFrame:
     """Gaussian kernel density on an even grid.
 
-    Rows are first reduced to ``pre_bins`` weighted bin centres (a partial
-    aggregation), so the grid product is pre_bins x n_grid regardless of data
-    size.  Bandwidth defaults to Scott's rule, n^(-1/5) * std.
+    Rows are first reduced to at most ``pre_bins`` weighted bin centres (a partial
+    aggregation); every centre then emits its contribution to the ``n_grid``
+    points (a generator, pre_bins x n_grid rows whatever the data size), summed
+    per grid point.  Bandwidth defaults to Scott's rule, n^(-1/5) * std.
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     st = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"),
                   F.stddev_samp("x").alias("sd"))
-    bw = F.lit(bandwidth) if bandwidth else F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    st = st.withColumn("bw", bw)
-    binned = vals.crossJoin(F.broadcast(st)).select(
-        equal_width_bin("x", "lo", "hi", pre_bins).alias("b"), "lo", "hi").groupBy("b", "lo", "hi").agg(
-        F.count(F.lit(1)).alias("w"))
-    centres = binned.select(
-        (F.col("lo") + (F.col("b") - 0.5) * (F.col("hi") - F.col("lo")) / F.lit(pre_bins)).alias("c"), "w")
-    grid = st.select("lo", "hi", "n", "bw", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))).alias("g")) \
-        .select("g", "n", "bw", (F.col("lo") + F.col("g") * (F.col("hi") - F.col("lo")) / F.lit(n_grid - 1)).alias("gx"))
-    z = (F.col("gx") - F.col("c")) / F.col("bw")
-    dens = grid.crossJoin(F.broadcast(centres)).groupBy("g", "gx", "n", "bw").agg(
-        F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
-    return dens.select("g", F.col("gx").alias("x"),
-                       (F.col("s") / (F.col("n") * F.col("bw") * F.lit((2 * 3.141592653589793) ** 0.5))).alias("density"))
+    lo, hi = st.select("lo").scalar(), st.select("hi").scalar()
+    n = st.select(F.col("n").cast("double")).scalar()
+    bw = F.lit(float(bandwidth)) if bandwidth else st.select(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
+    binned = vals.select(equal_width_bin("x", lo, hi, pre_bins).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("w"))
+    centres = binned.select((lo + (F.col("b") - 0.5) * (hi - lo) / F.lit(pre_bins)).alias("c"), "w")
+    contrib = centres.select("c", "w", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))).alias("g"))
+    gx = lo + F.col("g") * (hi - lo) / F.lit(n_grid - 1)
+    z = (gx - F.col("c")) / bw
+    dens = contrib.groupBy("g").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
+    return dens.select("g", gx.alias("x"),
+                       (F.col("s") / (n * bw * F.lit((2 * 3.141592653589793) ** 0.5))).alias("density"))
 
 
 # ---------------------------------------------------------------- misc

@@ -305,10 +305,9 @@ def group_profile(spark, sf):
         F.median("o_totalprice").alias("median"), F.stddev_samp("o_totalprice").alias("std"),
         F.min("o_totalprice").alias("min"), F.max("o_totalprice").alias("max"),
         stats.skew_sample("o_totalprice").alias("skew"), stats.kurt_sample("o_totalprice").alias("kurt"))
-    base = g.where(F.col("o_orderstatus") == "F").select(F.col("mean").alias("__b"))
-    # one row per group on both sides: the product is at most (#groups) rows
-    out = g.crossJoin(F.broadcast(base)).withColumn("diff_pct", F.try_divide((F.col("mean") - F.col("__b")) * 100, F.col("__b")))
-    return _round_cols(out.drop("__b"), _STAT_FLOATS + ["diff_pct"])
+    base = o.where(F.col("o_orderstatus") == "F").agg(F.avg("o_totalprice")).scalar()
+    out = g.withColumn("diff_pct", F.try_divide((F.col("mean") - base) * 100, base))
+    return _round_cols(out, _STAT_FLOATS + ["diff_pct"])
 
 
 @query("price_summary", f"""
@@ -543,9 +542,7 @@ def best_reliable_category(spark, sf):
         t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
     c = j.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("total"),
                                      F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("rate"))
-    from pyspark.sql import Window
-    w = Window.partitionBy()  # one row per category: tiny, single partition is fine
-    e = c.withColumn("__all", F.sum("total").over(w)).where(F.col("total") >= 0.02 * F.col("__all"))
+    e = c.where(F.col("total") >= 0.02 * j.agg(F.count(F.lit(1))).scalar())
     return e.orderBy(F.desc("rate"), "c_nationkey").limit(1).select("c_nationkey", "total", F.round("rate", R).alias("rate"))
 
 
@@ -558,8 +555,8 @@ def tier_share(spark, sf):
     c = Tables(spark, sf).customer
     tier = F.when(F.col("c_acctbal") >= 5000, "high").when(F.col("c_acctbal") >= 1000, "mid").otherwise("low")
     g = c.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("n"))
-    tot = c.agg(F.count(F.lit(1)).alias("__t"))
-    return g.crossJoin(F.broadcast(tot)).select("tier", "n", F.round(F.col("n") * 100.0 / F.col("__t"), R).alias("share_pct"))
+    tot = c.agg(F.count(F.lit(1))).scalar()
+    return g.select("tier", "n", F.round(F.col("n") * 100.0 / tot, R).alias("share_pct"))
 
 
 @query("unified_metrics", f"""
