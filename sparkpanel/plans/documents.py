@@ -1 +1,200 @@
-"""Queries: documents."""
+"""Page and JSON extraction queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+from sparkpanel.functions.columns import safe_double
+from sparkpanel.operators import documents as D
+from sparkpanel.plans.registry import query
+from sparkpanel.sources.tables import Tables
+
+R = 4
+
+
+def _meta_sql(name: str) -> list[str]:
+    q, nq = "[''\"]", "[^''\"]"  # quote classes, single quote doubled for SQL
+    return [f"nullif(regexp_extract(html, '(?i)<meta[^>]*property={q}{name}{q}[^>]*content={q}({nq}*){q}', 1), '')",
+            f"nullif(regexp_extract(html, '(?i)<meta[^>]*name={q}{name}{q}[^>]*content={q}({nq}*){q}', 1), '')",
+            f"nullif(regexp_extract(html, '(?i)<meta[^>]*content={q}({nq}*){q}[^>]*property={q}{name}{q}', 1), '')"]
+
+
+@query("html_meta", f"""
+select page_id, coalesce(nullif(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), ''),
+                         nullif(trim(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)), '')) as page_title,
+       coalesce({', '.join(_meta_sql('description') + _meta_sql('og:description'))}) as meta_description,
+       coalesce({', '.join(_meta_sql('og:image'))}) as meta_image,
+       lang
+from (select page_id, html, regexp_extract(html, '<html lang="([^"]*)"', 1) as lang from pages)""")
+def html_meta(spark, sf):
+    """H6: title (fallback h1), meta description and image over three attribute orders."""
+    p = Tables(spark, sf).pages
+    h = F.col("html")
+    title = F.coalesce(F.nullif(D.page_title(h), F.lit("")),
+                       F.nullif(F.trim(F.regexp_extract(h, r"(?is)<h1>(.*?)</h1>", 1)), F.lit("")))
+    return p.select("page_id", title.alias("page_title"),
+                    D.meta_content(h, "description", "og:description").alias("meta_description"),
+                    D.meta_content(h, "og:image").alias("meta_image"),
+                    F.regexp_extract(h, r'<html lang="([^"]*)"', 1).alias("lang"))
+
+
+_DECODE_SQL = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+
+
+@query("html_cards", f"""
+with a as (select page_id, regexp_extract_all(html, '(?is)<a\\s+href="([^"]*)"[^>]*>(.*?)</a>', 1) as hrefs,
+                  regexp_extract_all(html, '(?is)<a\\s+href="([^"]*)"[^>]*>(.*?)</a>', 2) as texts from pages),
+u as (select page_id, unnest(generate_series(1, len(hrefs))) as link_no, hrefs, texts from a)
+select page_id, link_no, hrefs[link_no] as href,
+       trim({_DECODE_SQL.format(x="regexp_replace(texts[link_no], '<[^>]+>', '', 'g')")}) as link_text from u""")
+def html_cards(spark, sf):
+    """H7: one page -> n records (anchors with position, target and text)."""
+    return D.links(Tables(spark, sf).pages, "page_id", "html")
+
+
+@query("page_summary", f"""
+with s as (select page_id, regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'),
+                                          '(?is)<style[^>]*>.*?</style>', '', 'g') as h from pages),
+p as (select page_id, list_filter(list_transform(regexp_extract_all(h, '(?is)<p>(.*?)</p>', 1),
+        lambda x: trim({_DECODE_SQL.format(x="regexp_replace(x, '<[^>]+>', '', 'g')")})), lambda x: length(x) > 10) as ps from s)
+select page_id, case when len(ps) = 0 then null when length(ps[1]) > 100 then left(ps[1], 100) || '...' else ps[1] end as summary,
+       ps[2:4] as details from p""")
+def page_summary(spark, sf):
+    """H9: paragraphs > 10 chars: the first as summary, the next three as details."""
+    p = Tables(spark, sf).pages
+    summary, details = D.page_summary(F.col("html"))
+    return p.select("page_id", summary.alias("summary"), details.alias("details"))
+
+
+_NESTED = StructType([
+    StructField("event_type", StringType()),
+    StructField("metrics", StructType([StructField("value", DoubleType()), StructField("k", LongType()),
+                                       StructField("who", StructType([StructField("user_id", LongType())]))])),
+])
+
+
+def _nested_json(e):
+    return F.to_json(F.struct("event_type", F.struct(
+        "value", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.struct("user_id").alias("who")).alias("metrics")))
+
+
+@query("json_flatten", """
+select event_id, event_type as payload_event_type, value as payload_metrics_value,
+       cast(json_extract_string(props, '$.k') as bigint) as payload_metrics_k, user_id as payload_metrics_who_user_id
+from events""")
+def json_flatten(spark, sf):
+    """J1f: nested JSON record -> flat columns named parent_child (recursive, schema-driven)."""
+    e = Tables(spark, sf).events
+    j = e.select("event_id", F.from_json(_nested_json(e), _NESTED).alias("payload"))
+    return D.flatten_struct(j, "payload")
+
+
+@query("json_landing", """
+select cast(day(ts) as int) as page, event_id as item_index,
+       '{"event_type":"' || event_type || '","value":' || cast(value as varchar) || ',"props":' || cast(json(props) as varchar) || '}' as raw_data
+from events""")
+def json_landing(spark, sf):
+    """Raw-JSON landing rows (page, item_index, raw_data); the append sink is in sources.files."""
+    e = Tables(spark, sf).events
+    raw = F.to_json(F.struct("event_type", "value", F.parse_json("props").alias("props")))
+    return e.select(F.dayofmonth("ts").alias("page"), F.col("event_id").alias("item_index"), raw.alias("raw_data"))
+
+
+_TREND_SCHEMA = "struct<results: array<struct<title: string, keywords: array<string>, data: array<struct<period: string, ratio: double>>>>>"
+
+
+@query("json_results_explode", f"""
+with d as (select event_type, strftime(cast(ts as date), '%Y-%m-%d') as period, count(*) as n from events group by 1, 2)
+select event_type as title, period, round(n * 100.0 / max(n) over (partition by event_type), {R}) as ratio from d""")
+def json_results_explode(spark, sf):
+    """Trend JSON (results[].data[]) -> rows with the group title.
+
+    The JSON is built from events (one document per keyword: its daily series),
+    then parsed with an explicit schema and unfolded with two explodes.
+    """
+    e = Tables(spark, sf).events
+    d = e.groupBy("event_type", F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("period")).agg(
+        F.count(F.lit(1)).alias("n"))
+    mx = d.groupBy("event_type").agg(F.max("n").alias("mx"))
+    r = d.join(mx, "event_type").select("event_type", "period", (F.col("n") * 100.0 / F.col("mx")).alias("ratio"))
+    # one JSON document per keyword; its data array is the keyword's daily series (bounded by the calendar)
+    docs = r.groupBy("event_type").agg(F.to_json(F.struct(F.array(F.struct(
+        F.col("event_type").alias("title"), F.array(F.col("event_type")).alias("keywords"),
+        F.collect_list(F.struct("period", "ratio")).alias("data"))).alias("results"))).alias("raw"))
+    parsed = docs.select(F.from_json("raw", _TREND_SCHEMA).alias("j"))
+    res = parsed.select(F.explode("j.results").alias("r"))
+    rows = res.select(F.col("r.title").alias("title"), F.explode("r.data").alias("d"))
+    return rows.select("title", F.col("d.period").alias("period"), F.round("d.ratio", R).alias("ratio"))
+
+
+def _review_json(c):
+    return (F.when(F.col("role") == "user", F.to_json(F.struct(F.concat(F.lit("conv "), F.col("conv_id").cast("string")).alias("title"),
+                                                               F.col("text").alias("content"), F.col("turn").alias("rating"))))
+            .when(F.col("role") == "assistant", F.to_json(F.struct(F.col("text").alias("body"), F.col("turn").alias("score"))))
+            .otherwise(F.to_json(F.struct(F.col("turn").alias("score")))))
+
+
+@query("reviews_from_json", """
+select conv_id, turn, coalesce(case when role = 'user' then 'conv ' || cast(conv_id as varchar) end) as title,
+       text as content, cast(turn as varchar) as rating
+from conversations where role in ('user', 'assistant')""")
+def reviews_from_json(spark, sf):
+    """Records under alternative field names; rows with no title and no content are skipped."""
+    c = Tables(spark, sf).conversations
+    j = c.select("conv_id", "turn", _review_json(c).alias("raw"))
+    title, content, rating = D.tolerant_reviews(F.col("raw"))
+    out = j.select("conv_id", "turn", title.alias("title"), content.alias("content"), rating.alias("rating"))
+    return out.where(F.col("title").isNotNull() | F.col("content").isNotNull())
+
+
+def _card_json():
+    price = F.struct(F.col("p_retailprice").alias("amount"),
+                     F.concat(F.lit("KRW "), F.col("p_retailprice").cast("string")).alias("display_amount"))
+    good = F.to_json(F.struct("p_name", price.alias("price"), F.col("p_size").alias("size"),
+                              (F.col("p_size") > 25).alias("big")))
+    # cards of the largest parts arrive truncated (broken JSON)
+    return F.when(F.col("p_size") >= 49, F.substring(good, 1, 20)).otherwise(good)
+
+
+@query("json_card_fields", """
+select p_partkey, case when p_size >= 49 then null else p_retailprice end as price_amount,
+       case when p_size >= 49 then null else 'KRW ' || cast(p_retailprice as varchar) end as price_display,
+       case when p_size >= 49 then null else cast(p_size as double) end as size_amount,
+       cast(null as varchar) as size_display
+from part""")
+def json_card_fields(spark, sf):
+    """J2f: {amount} -> _amount, {display_amount} -> _display; broken JSON -> NULL fields."""
+    p = Tables(spark, sf).part
+    return p.select("p_partkey", *D.amount_fields(_card_json(), ["price", "size"]))
+
+
+@query("json_key_types", """
+with c as (select p_partkey, case when p_size < 49 then json_object('p_name', p_name,
+             'price', json_object('amount', p_retailprice, 'display_amount', 'KRW ' || cast(p_retailprice as varchar)),
+             'size', p_size, 'big', p_size > 25) end as raw from part),
+k as (select p_partkey, key, json_type(raw, '$.' || key) as jt
+      from c, (values ('p_name'), ('price'), ('size'), ('big')) v(key) where raw is not null)
+select key, arg_min(case when jt in ('BIGINT', 'UBIGINT', 'BOOLEAN') then 'INTEGER' when jt = 'DOUBLE' then 'REAL'
+                         else 'TEXT' end, p_partkey) as sql_type
+from k where jt is not null and jt <> 'NULL' group by key""")
+def json_key_types(spark, sf):
+    """J3f: column type of each card key from its first valid value (bool counts as int)."""
+    p = Tables(spark, sf).part
+    c = p.select("p_partkey", _card_json().alias("raw"))
+    return D.first_value_type(c, "raw", ["p_name", "price", "size", "big"], "p_partkey")
+
+
+@query("json_path_defaults", """
+select event_id, coalesce(try_cast(json_extract_string(props, '$.k') as bigint), -1) as k,
+       coalesce(json_extract_string(props, '$.missing'), 'n/a') as missing,
+       try_cast(nullif(trim(case when event_type = 'error' then ' ' else json_extract_string(props, '$.k') end), '') as double) as k_safe
+from events""")
+def json_path_defaults(spark, sf):
+    """J5f/J6f: JSON path with defaults; blank / text -> NULL double."""
+    e = Tables(spark, sf).events
+    raw_k = F.get_json_object("props", "$.k")
+    return e.select("event_id", F.coalesce(raw_k.try_cast("bigint"), F.lit(-1).cast("bigint")).alias("k"),
+                    F.coalesce(F.get_json_object("props", "$.missing"), F.lit("n/a")).alias("missing"),
+                    safe_double(F.when(F.col("event_type") == "error", F.lit(" ")).otherwise(raw_k)).alias("k_safe"))
