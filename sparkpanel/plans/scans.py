@@ -1 +1,118 @@
-"""Queries: scans."""
+"""Scan / sink queries.
+
+Round-trip queries write an intermediate copy of a supplied table into the
+session's shared checkpoint folder (``spark.checkpoint.dir``) and read it back
+through the operator under test.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkpanel.operators import stats
+from sparkpanel.plans.registry import query
+from sparkpanel.session import scratch_path
+from sparkpanel.sources import files
+from sparkpanel.sources.tables import Tables
+
+R = 4
+
+
+@query("scan_csv_roundtrip", "select r_regionkey, r_name from region")
+def scan_csv_roundtrip(spark, sf):
+    """Region -> CSV (header) -> read back with an explicit schema."""
+    out = scratch_path(spark, "region-csv")
+    files.write_csv(Tables(spark, sf).region, out)
+    return files.read_csv(spark, out, "r_regionkey int, r_name string")
+
+
+@query("multi_file_match_counts", """
+select o_orderpriority as source, count(*) as n_rows, count(*) filter (where regexp_matches(o_orderstatus, '(?i)f')) as n_match
+from orders group by 1""")
+def multi_file_match_counts(spark, sf):
+    """Many CSV files; skip own output and files lacking the column; match count per file.
+
+    orders is written as one CSV folder per priority, plus a file without the
+    status column and a previous result file that must both be skipped.
+    """
+    base = scratch_path(spark, "orders-parts")
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    o.write.mode("overwrite").option("header", True).partitionBy("o_orderpriority").csv(base)
+    Tables(spark, sf).region.coalesce(1).write.option("header", True).csv(f"{base}/no_status_column")
+    spark.range(1).select(F.lit("x").alias("o_orderstatus")).coalesce(1).write.option("header", True).csv(f"{base}/result_out")
+    df = files.read_csv_files_with_column(spark, base, "o_orderstatus", "o_orderkey long, o_orderstatus string",
+                                          skip_names=(), suffix=".csv")
+    df = df.withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), "o_orderpriority=([^/]+)/", 1)) \
+        .where(~F.col("_metadata.file_path").contains("/result_out/"))
+    src = F.replace(F.col("source"), F.lit("%20"), F.lit(" "))
+    return df.groupBy(src.alias("source")).agg(F.count(F.lit(1)).alias("n_rows"),
+                                               F.count_if(F.coalesce(F.col("o_orderstatus"), F.lit("")).rlike("(?i)f")).alias("n_match"))
+
+
+@query("merge_part_files", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
+def merge_part_files(spark, sf):
+    """S3: numbered page files concatenated with one header; missing pages are tolerated.
+
+    supplier is written in one job as page=1..4 folders; the merge asks for pages
+    0..5, so two requested pages do not exist.
+    """
+    base = scratch_path(spark, "supplier-pages")
+    s = Tables(spark, sf).supplier.withColumn("page", (F.col("s_nationkey") / 7).cast("int") + 1)
+    s.write.mode("overwrite").option("header", True).partitionBy("page").csv(base)
+    return files.merge_part_files(spark, base + "/page={page}", range(0, 6),
+                                  "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+
+
+@query("parquet_file_stats")
+def parquet_file_stats(spark, sf):
+    """Parquet footer report (rows-only check; footers are read by tasks)."""
+    return files.parquet_footers(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+
+
+def _preagg(spark, sf):
+    e = Tables(spark, sf).events
+    x = e.select(F.hour("ts").alias("hour"), "event_type", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    return x.groupBy("hour", "event_type").agg(
+        F.round(F.sum("value"), R).alias("value_sum"), F.round(F.sum("k"), R).alias("k_sum"),
+        F.count("value").alias("value_n"), F.round(F.avg("value"), R).alias("value_mean"),
+        F.round(F.avg("k"), R).alias("k_mean"))
+
+
+_PREAGG_SQL = f"""
+select cast(hour(ts) as int) as hour, event_type, round(sum(value), {R}) as value_sum,
+       round(sum(cast(json_extract_string(props, '$.k') as double)), {R}) as k_sum, count(value) as value_n,
+       round(avg(value), {R}) as value_mean, round(avg(cast(json_extract_string(props, '$.k') as double)), {R}) as k_mean
+from events group by 1, 2"""
+
+
+@query("preagg_hour_region", _PREAGG_SQL, headline=True)
+def preagg_hour_region(spark, sf):
+    """Hour x region sum and mean in ONE pass (sum + count kept so means roll up)."""
+    return _preagg(spark, sf)
+
+
+@query("preagg_lookup", f"select * exclude (hour) from ({_PREAGG_SQL}) where hour = 7")
+def preagg_lookup(spark, sf):
+    """S12 + S13: the pre-aggregate saved partitioned by hour, then a parameterised, pruned lookup."""
+    out = scratch_path(spark, "preagg")
+    files.write_parquet(_preagg(spark, sf), out, partition_by=["hour"])
+    return files.lookup_partition(spark, out, "hour", 7).drop("hour")
+
+
+@query("time_bounds", """
+select count(*) as n_rows, cast(6 as bigint) as n_cols, min(ts) as first_ts, max(ts) as last_ts,
+       cast(min(ts) as date) as first_day, cast(max(ts) as date) as last_day from events""")
+def time_bounds(spark, sf):
+    """KPI row from metadata + one aggregate (rows, columns, time bounds)."""
+    e = Tables(spark, sf).events
+    return e.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(e.columns)).cast("bigint").alias("n_cols"),
+                 F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+                 F.to_date(F.min("ts")).alias("first_day"), F.to_date(F.max("ts")).alias("last_day"))
+
+
+@query("value_counts_nulls", """
+select nullif(event_type, 'error') as event_type, count(*) as n from events group by 1""")
+def value_counts_nulls(spark, sf):
+    """A1 with ``keep_nulls=True``: the NULL key is its own group (D1 option)."""
+    e = Tables(spark, sf).events.select(F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"))
+    return stats.value_counts(e, "event_type", keep_nulls=True)
