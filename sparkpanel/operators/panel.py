@@ -153,3 +153,26 @@ def curve_points(scored: DataFrame, score: str, label: str, n_parts: int | None
     return c.select(F.col(score).alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                     F.try_divide(F.col("cum_pos"), tot_p).alias("tpr"), F.try_divide(F.col("cum_neg"), tot_n).alias("fpr"),
                     F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"))
+
+
+def rank_within_groups(df: DataFrame, groups: list[str], order: list[str], n_parts: int | None = None,
+                       name: str = "rank") -> DataFrame:
+    """Exact 1-based rank of every row inside its group under a total ``order``.
+
+    A per-group ``row_number`` window would put a whole group (possibly a third of
+    the table) into one task.  Instead rows are range-partitioned on
+    (groups, order), ranked locally, and shifted by the count of the same group
+    in earlier partitions (a table with one row per partition and group).
+    ``order`` must be a total order (end it with a unique key).
+    """
+    spark = df.sparkSession
+    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n_parts, *groups, *order).withColumn("__pid", F.spark_partition_id())
+    counts = ranged.groupBy("__pid", *groups).agg(F.count(F.lit(1)).alias("__c"))
+    wo = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", *groups, F.coalesce(F.sum("__c").over(wo), F.lit(0)).alias("__off"))
+    wl = Window.partitionBy("__pid", *groups).orderBy(*order)
+    local = ranged.withColumn("__lr", F.row_number().over(wl))
+    # offsets: one row per (partition, group) pair; AQE broadcasts it at run time when small
+    out = local.join(offsets, ["__pid", *groups])
+    return out.withColumn(name, F.col("__lr") + F.col("__off")).drop("__pid", "__lr", "__off")

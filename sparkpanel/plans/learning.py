@@ -1 +1,282 @@
-"""Queries: learning."""
+"""Machine-learning queries.
+
+Classifier stand-in: documents joined to labels (quality = target), features
+derived from the whole text.  A fixed score column (log10 of the document
+length) exercises the metric code against SQL oracles; the tree models
+themselves are checked rows-only (their results depend on Spark ML internals).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkpanel.functions import columns as C
+from sparkpanel.operators import ml, panel
+from sparkpanel.plans.registry import query
+from sparkpanel.sources.tables import Tables
+
+R = 4
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query("one_hot", """
+select o_orderkey, {cols} from orders""".format(cols=", ".join(
+    f"cast(o_orderpriority = '{p}' as int) as pri_{ml._safe_name(p)}" for p in sorted(PRIORITIES, reverse=True)[:-1])))
+def one_hot(spark, sf):
+    """ML1: one-hot with the first category dropped (StringIndexer alphabetDesc + OneHotEncoder dropLast)."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderpriority")
+    out, names = ml.one_hot_drop_first(o, "o_orderpriority", "pri")
+    return out.select("o_orderkey", *names)
+
+
+_LABELLED_SQL = "(select l.doc_id, l.quality from labels l join documents d using (doc_id))"
+
+
+def _labelled(spark, sf):
+    t = Tables(spark, sf)
+    return t.labels.select("doc_id", "quality").join(t.documents.select("doc_id"), "doc_id")
+
+
+@query("stratified_split_counts", f"""
+select quality, split, count(*) as n from (
+  select quality, case when row_number() over (partition by quality order by md5(cast(doc_id as varchar) || '42'), doc_id)
+                            <= ceil(count(*) over (partition by quality) * 0.2) then 'test' else 'train' end as split
+  from {_LABELLED_SQL}) group by 1, 2""")
+def stratified_split_counts(spark, sf):
+    """ML3: exact stratified 80/20 split by md5 order, ranked per class without a per-class window."""
+    s = ml.stratified_split(_labelled(spark, sf), "quality", "doc_id", 0.2, 42)
+    return s.groupBy("quality", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("oversample_counts", f"""
+with r as (select quality, doc_id, row_number() over (partition by quality order by md5(cast(doc_id as varchar) || '42'), doc_id) as rn,
+                  count(*) over (partition by quality) as n from {_LABELLED_SQL}),
+m as (select max(n) as m from (select count(*) as n from {_LABELLED_SQL} group by quality)),
+c as (select quality, doc_id, cast(floor(m / n) + case when rn <= m % n then 1 else 0 end as bigint) as copies from r, m)
+select quality, cast(sum(copies) as bigint) as n_rows, count(*) filter (where copies > 0) as n_distinct from c group by quality""")
+def oversample_counts(spark, sf):
+    """ML4: minority class replicated exactly to the majority size."""
+    o = ml.oversample(_labelled(spark, sf), "quality", "doc_id", 42)
+    return o.groupBy("quality").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("doc_id").alias("n_distinct"))
+
+
+# ------------------------------------------------------------------ features + models
+
+def _features(spark, sf):
+    t = Tables(spark, sf)
+    d = t.documents.select(
+        "doc_id", "lang", F.log10(F.col("n_chars") + 1).alias("log_chars"),
+        F.size(F.split(F.trim("text"), r"\s+")).cast("double").alias("n_words"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("n_digits"),
+        F.try_divide(F.length(F.regexp_replace("text", "[^A-Z]", "")), F.length("text")).alias("upper_share"))
+    j = t.labels.select("doc_id", "quality").join(d, "doc_id")
+    j, lang_cols = ml.one_hot_drop_first(j, "lang", "lang")
+    return j, ["log_chars", "n_words", "n_lines", "n_digits", "upper_share", *lang_cols]
+
+
+def _eval_model(spark, sf, kind, **params):
+    data, cols = _features(spark, sf)
+    s = ml.stratified_split(data, "quality", "doc_id", 0.2, 42)
+    train = ml.oversample(s.where(F.col("split") == "train"), "quality", "doc_id", 42)
+    test = s.where(F.col("split") == "test")
+    model, scored_test, scored_train = ml.fit_score(train, test, cols, "quality", kind, **params)
+    rows = []
+    for name, sc in (("train", scored_train), ("test", scored_test)):
+        m = ml.threshold_metrics(sc, "quality", "score", 0.5).select("accuracy", "precision", "recall", "f1")
+        a = ml.auc(sc, "quality", "score")
+        rows.append(m.withColumn("auc", a.scalar()).withColumn("split", F.lit(name)))
+    out = rows[0].unionByName(rows[1]).withColumn("model", F.lit(kind))
+    return out, model, cols
+
+
+@query("decision_tree_eval")
+def decision_tree_eval(spark, sf):
+    """ML5 + ML8: gini tree, depth 5, min leaf 1; train/test metrics after exact oversampling."""
+    out, _, _ = _eval_model(spark, sf, "tree", impurity="gini", maxDepth=5, minInstancesPerNode=1)
+    return out
+
+
+@query("random_forest_eval")
+def random_forest_eval(spark, sf):
+    """ML6 + ML8: random forest, 100 trees, depth 10."""
+    out, _, _ = _eval_model(spark, sf, "forest", numTrees=100, maxDepth=10)
+    return out
+
+
+@query("gbt_eval")
+def gbt_eval(spark, sf):
+    """ML7 + ML8: gradient boosting, 100 rounds, step 0.1, depth 3."""
+    out, _, _ = _eval_model(spark, sf, "gbt", maxIter=100, stepSize=0.1, maxDepth=3)
+    return out
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    """ML9: top-15 feature importances of the forest, with feature names."""
+    _, model, cols = _eval_model(spark, sf, "forest", numTrees=100, maxDepth=10)
+    return ml.feature_importances(model, cols, spark, 15)
+
+
+# ------------------------------------------------------------------ metric code on a fixed score column
+
+def _scored(spark, sf):
+    t = Tables(spark, sf)
+    d = t.documents.select("doc_id", (F.log10(F.col("n_chars") + 1) / 5).alias("score"))
+    return t.labels.select("doc_id", "quality").join(d, "doc_id")
+
+
+_SCORED_SQL = "(select l.doc_id, l.quality, log10(d.n_chars + 1) / 5 as score from labels l join documents d using (doc_id))"
+
+
+@query("threshold_metrics", f"""
+with c as (select count(*) filter (where quality = 1 and score >= 0.6) as tp, count(*) filter (where quality = 0 and score >= 0.6) as fp,
+                  count(*) filter (where quality = 1 and score < 0.6) as fn, count(*) filter (where quality = 0 and score < 0.6) as tn
+           from {_SCORED_SQL})
+select tp, fp, fn, tn, round((tp + tn) / (tp + tn + fp + fn), {R}) as accuracy,
+       round(coalesce(tp / nullif(tp + fp, 0), 0), {R}) as precision, round(coalesce(tp / nullif(tp + fn, 0), 0), {R}) as recall,
+       round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), {R}) as f1 from c""")
+def threshold_metrics(spark, sf):
+    m = ml.threshold_metrics(_scored(spark, sf), "quality", "score", 0.6)
+    return m.select("tp", "fp", "fn", "tn", *[F.round(c, R).alias(c) for c in ["accuracy", "precision", "recall", "f1"]])
+
+
+@query("auc_rank", f"""
+with g as (select round(score, 2) as s, sum(quality) as pos, sum(1 - quality) as neg from {_SCORED_SQL} group by 1),
+c as (select s, pos, neg, coalesce(sum(neg) over (order by s rows between unbounded preceding and 1 preceding), 0) as below from g)
+select round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), {R}) as auc from c""")
+def auc_rank(spark, sf):
+    """ML8: rank-sum AUC with ties (scores rounded to 2 digits so that ties occur)."""
+    s = _scored(spark, sf).withColumn("score", F.round("score", 2))
+    return ml.auc(s, "quality", "score").select(F.round("auc", R).alias("auc"))
+
+
+@query("confusion", f"""
+select quality as actual, cast(score >= 0.6 as int) as predicted, count(*) as n from {_SCORED_SQL} group by 1, 2""")
+def confusion(spark, sf):
+    """ML9: confusion matrix in long form."""
+    s = _scored(spark, sf)
+    return s.groupBy(F.col("quality").alias("actual"), (F.col("score") >= 0.6).cast("int").alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("fit_diagnosis", f"""
+with s as (select *, case when row_number() over (partition by quality order by md5(cast(doc_id as varchar) || '42'), doc_id)
+                            <= ceil(count(*) over (partition by quality) * 0.2) then 'test' else 'train' end as split from {_SCORED_SQL}),
+m as (select split, (count(*) filter (where (score >= 0.6) = (quality = 1)))::double / count(*) as acc,
+             coalesce(2.0 * count(*) filter (where quality = 1 and score >= 0.6) /
+               nullif(2 * count(*) filter (where quality = 1 and score >= 0.6) + count(*) filter (where quality = 0 and score >= 0.6)
+                      + count(*) filter (where quality = 1 and score < 0.6), 0), 0) as f1 from s group by split),
+w as (select max(acc) filter (where split = 'train') as train_acc, max(acc) filter (where split = 'test') as test_acc,
+             max(f1) filter (where split = 'train') as train_f1, max(f1) filter (where split = 'test') as test_f1 from m)
+select round(train_acc, {R}) as train_acc, round(test_acc, {R}) as test_acc, round(train_f1, {R}) as train_f1, round(test_f1, {R}) as test_f1,
+  case when train_acc < 0.70 and test_acc < 0.70 then 'underfit'
+       when train_acc - test_acc > 0.07 or train_f1 - test_f1 > 0.08 then 'overfit' else 'good' end as diagnosis from w""")
+def fit_diagnosis(spark, sf):
+    """ML11: train vs test metrics of the fixed-score classifier -> under/over-fit class."""
+    s = ml.stratified_split(_scored(spark, sf), "quality", "doc_id", 0.2, 42)
+    m = ml.threshold_metrics(s, "quality", "score", 0.6, by=["split"])
+    w = m.agg(*[F.max(F.when(F.col("split") == sp, F.col(c))).alias(f"{sp}_{n}")
+                for sp in ("train", "test") for c, n in (("accuracy", "acc"), ("f1", "f1"))])
+    return w.select(*[F.round(c, R).alias(c) for c in ["train_acc", "test_acc", "train_f1", "test_f1"]],
+                    ml.fit_diagnosis(F.col("train_acc"), F.col("test_acc"), F.col("train_f1"), F.col("test_f1")).alias("diagnosis"))
+
+
+# ------------------------------------------------------------------ regression side (weather / price)
+
+def _feature_frame(spark, sf):
+    e = Tables(spark, sf).events
+    d = panel.daily(e, "ts", [], [F.avg("value").alias("avg_temp"), F.max("value").alias("max_temp"),
+                                  F.sum(F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(0.0)).alias("rain")])
+    d = d.withColumn("hot_flag", C.flag_at_least("max_temp", 480)).withColumn("rain_flag", (F.col("rain") > 0).cast("int"))
+    d = d.withColumn("__s", F.lit(1))
+    d = panel.rolling(d, ["__s"], "day", ["avg_temp", "rain", "hot_flag"], 30, fns=("sum", "avg"))
+    return d.drop("__s").withColumn("doy_sin", C.cycle_sin("day")).withColumn("doy_cos", C.cycle_cos("day"))
+
+
+@query("feature_frame", f"""
+with d as (select cast(ts as date) as day, avg(value) as avg_temp, max(value) as max_temp,
+                  sum(case when event_type = 'purchase' then value else 0 end) as rain from events group by 1),
+f as (select *, coalesce(cast(max_temp >= 480 as int), 0) as hot_flag, cast(rain > 0 as int) as rain_flag from d)
+select day, round(avg_temp, {R}) as avg_temp, max_temp, round(rain, {R}) as rain, hot_flag, rain_flag,
+  round(sum(avg_temp) over w, {R}) as avg_temp_sum30, round(avg(avg_temp) over w, {R}) as avg_temp_avg30,
+  round(sum(rain) over w, {R}) as rain_sum30, round(avg(rain) over w, {R}) as rain_avg30,
+  cast(sum(hot_flag) over w as bigint) as hot_flag_sum30, round(avg(hot_flag) over w, {R}) as hot_flag_avg30,
+  round(sin(2 * pi() * dayofyear(day) / 365.25), {R}) as doy_sin, round(cos(2 * pi() * dayofyear(day) / 365.25), {R}) as doy_cos
+from f window w as (order by day rows between 29 preceding and current row)""")
+def feature_frame(spark, sf):
+    """ML12: daily features: 0/1 flags, 30-row rolling sums/means, yearly cycle encoding.
+
+    The rolling window runs after the reduction to one row per day (bounded by
+    the calendar), so its single series is small whatever the event volume.
+    """
+    f = _feature_frame(spark, sf)
+    flt = ["avg_temp", "rain", "avg_temp_sum30", "avg_temp_avg30", "rain_sum30", "rain_avg30", "hot_flag_avg30", "doy_sin", "doy_cos"]
+    return f.select("day", *[F.round(c, R).alias(c) if c in flt else F.col(c) for c in
+                             ["avg_temp", "max_temp", "rain", "hot_flag", "rain_flag", "avg_temp_sum30", "avg_temp_avg30",
+                              "rain_sum30", "rain_avg30", "hot_flag_sum30", "hot_flag_avg30", "doy_sin", "doy_cos"]]) \
+        .withColumn("hot_flag_sum30", F.col("hot_flag_sum30").cast("bigint"))
+
+
+@query("forest_per_item")
+def forest_per_item(spark, sf):
+    """ML13: one random forest (300 trees, depth 15) per item on daily price features; <20 rows -> rule mode."""
+    o = Tables(spark, sf).orders
+    d = panel.daily(o, "o_orderdate", ["o_orderpriority"], [F.avg("o_totalprice").alias("price"),
+                                                            F.count(F.lit(1)).cast("double").alias("n_orders")])
+    d = d.withColumn("doy_sin", C.cycle_sin("day")).withColumn("doy_cos", C.cycle_cos("day")) \
+        .withColumn("year", F.year("day").cast("double"))
+    return ml.per_item_forest(d, "o_orderpriority", "day", ["n_orders", "doy_sin", "doy_cos", "year"], "price")
+
+
+@query("mae_mape", f"""
+with p as (select l_extendedprice as y, l_quantity * p_retailprice as yhat,
+                  case when year(l_shipdate) <= 1999 then 'train'
+                       when year(l_shipdate) = 2001 and month(l_shipdate) in (3, 4, 5, 6) then 'test' end as split
+           from lineitem join part on l_partkey = p_partkey)
+select split, count(*) as n, round(avg(abs(y - yhat)), {R}) as mae, round(avg(abs((y - yhat) / nullif(y, 0))) * 100, {R}) as mape,
+       round(1 - sum((y - yhat) * (y - yhat)) / nullif(sum((y - (select avg(y) from p p2 where p2.split = p.split)) * (y - (select avg(y) from p p2 where p2.split = p.split))), 0), {R}) as r2
+from p where split is not null group by split""")
+def mae_mape(spark, sf):
+    """ML14: temporal hold-out (train <= 1999, test Mar-Jun 2001): MAE, MAPE %, R^2 of a price formula."""
+    from sparkpanel.operators.clean import temporal_split
+
+    t = Tables(spark, sf)
+    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    j = t.lineitem.select("l_partkey", "l_extendedprice", "l_quantity", "l_shipdate").join(parts, "l_partkey")
+    p = j.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * F.col("p_retailprice")).alias("yhat"),
+                 temporal_split(F.col("l_shipdate"), 1999, 2001, [3, 4, 5, 6]).alias("split")).where(F.col("split").isNotNull())
+    means = p.groupBy("split").agg(F.avg("y").alias("__m"))
+    q = p.join(means, "split")
+    e = F.col("y") - F.col("yhat")
+    g = q.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
+                               (F.avg(F.abs(F.try_divide(e, F.col("y")))) * 100).alias("mape"),
+                               (1 - F.try_divide(F.sum(e * e), F.sum((F.col("y") - F.col("__m")) ** 2))).alias("r2"))
+    return g.select("split", "n", *[F.round(c, R).alias(c) for c in ["mae", "mape", "r2"]])
+
+
+# Rule-mode coefficients of the scenario scorer (temperature, rain) and the clamp range.
+SCENARIO_RULES = [("normal", 0.0, 0.0), ("heatwave", 4.0, 0.0), ("monsoon", 0.0, 150.0), ("cold_snap", -6.0, 20.0)]
+TEMP_COEF, RAIN_COEF, CLAMP = 0.012, 0.0004, (0.5, 2.0)
+
+
+@query("scenario_rule_score", """
+with s as (select * from (values {vals}) t(scenario, temp_delta, rain))
+select p.p_partkey, s.scenario, round(p.p_retailprice * greatest({lo}, least({hi}, 1 + {tc} * s.temp_delta + {rc} * s.rain)), {R}) as predicted,
+       round(p.p_retailprice * greatest({lo}, least({hi}, 1 + {tc} * s.temp_delta + {rc} * s.rain)) - p.p_retailprice, {R}) as change,
+       round((greatest({lo}, least({hi}, 1 + {tc} * s.temp_delta + {rc} * s.rain)) - 1) * 100, {R}) as change_pct
+from part p, s""".format(vals=", ".join(f"('{n}', {t}, {r})" for n, t, r in SCENARIO_RULES), lo=CLAMP[0], hi=CLAMP[1],
+                         tc=TEMP_COEF, rc=RAIN_COEF, R=R))
+def scenario_rule_score(spark, sf):
+    """ML15 (rule mode): every scenario scored for every item; factor clamped; change and % vs base price.
+
+    Scenarios are a literal array exploded per item (a generator, no join).
+    """
+    p = Tables(spark, sf).part.select("p_partkey", "p_retailprice")
+    arr = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(float(t)).alias("temp_delta"), F.lit(float(r)).alias("rain"))
+                    for n, t, r in SCENARIO_RULES])
+    x = p.select("p_partkey", "p_retailprice", F.explode(arr).alias("s"))
+    factor = C.clamp(1 + TEMP_COEF * F.col("s.temp_delta") + RAIN_COEF * F.col("s.rain"), CLAMP[0], CLAMP[1])
+    pred = F.col("p_retailprice") * factor
+    return x.select("p_partkey", F.col("s.scenario").alias("scenario"), F.round(pred, R).alias("predicted"),
+                    F.round(pred - F.col("p_retailprice"), R).alias("change"), F.round((factor - 1) * 100, R).alias("change_pct"))
