@@ -107,8 +107,8 @@ def equal_width_bin(x, lo, hi, n_bins: int) -> Column:
     """
     x, lo, hi = _c(x), _c(lo), _c(hi)
     raw = F.floor(F.try_divide((x - lo) * F.lit(n_bins), hi - lo)) + 1
-    return F.when(x.isNull(), None).otherwise(
-        F.coalesce(F.least(raw, F.lit(n_bins)), F.lit(1)).cast("int"))
+    # coalesce BEFORE least: least() skips NULLs, which would send lo == hi to the last bin
+    return F.when(x.isNull(), None).otherwise(F.least(F.coalesce(raw, F.lit(1)), F.lit(n_bins)).cast("int"))
 
 
 # ---------------------------------------------------------------- fixed values

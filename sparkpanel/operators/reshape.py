@@ -60,8 +60,9 @@ def pivot_unique(df: DataFrame, index: str, column: str, value: str, values: lis
     holds more than one row.
     """
     cnt = df.groupBy(index, column).agg(F.count(F.lit(1)).alias("__n"), F.first(value).alias("__v"))
-    checked = cnt.select(index, column, "__v",
-                         F.assert_true(F.col("__n") <= 1, F.lit("duplicate entries in pivot")).alias("__ok"))
+    # the value depends on the assertion, so the check cannot be pruned away
+    ok = F.assert_true(F.col("__n") <= 1, F.lit("duplicate entries in pivot"))
+    checked = cnt.select(index, column, F.when(ok.isNull(), F.col("__v")).alias("__v"))
     wide = checked.groupBy(index).pivot(column, values).agg(F.first("__v"))
     return wide.select(index, *[F.col(f"`{v}`").alias(f"{v}{suffix}") for v in values])
 

@@ -5,8 +5,13 @@ are aggregated with Spark's partial (map-side) aggregation, so a hot key is
 pre-combined in every task before the shuffle.  Wide results are produced in
 long form (column, metric, value) and pivoted only at the edge.
 
-Exact percentiles (``percentile``/``median``) keep a value->count map per
-group; ``approx=True`` switches to the bounded-memory ``percentile_approx``.
+Exact quantiles and modes never use Spark's ``percentile`` / ``median`` /
+``mode`` aggregates: those keep every distinct value of a group in ONE
+aggregation buffer (one task), which a group holding a third of the data
+cannot survive.  ``quantiles`` ranks values with a range-partitioned sort
+(``rank_within_groups``) and picks the two neighbouring order statistics;
+``mode_values`` counts values with a partial aggregation.  ``approx=True``
+switches quantiles to the bounded-memory ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -20,10 +25,62 @@ from sparkpanel.functions.columns import (equal_width_bin, kurt_sample, safe_cor
                                           skew_sample)
 
 
-def _pct(col, p, approx: bool = False, accuracy: int = 10000) -> Column:
+def attach(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Join two per-group results on the group keys; with no keys both sides hold one row."""
+    if by:
+        return left.join(right, by)
+    k = "__one"
+    return left.withColumn(k, F.lit(1)).join(right.withColumn(k, F.lit(1)), k).drop(k)
+
+
+def quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str] | None = None,
+              approx: bool = False) -> DataFrame:
+    """Linear-interpolated quantiles (the pandas / ``percentile`` definition) per group.
+
+    Exact path: n per group (partial aggregation), an exact rank of every value
+    inside its group from a range-partitioned sort, then only the rows at ranks
+    floor/ceil((n - 1) p) + 1 survive and are interpolated.  No task ever holds a
+    whole group.  Output: by + one column per name in ``probs``.
+    """
+    from sparkpanel.operators.panel import rank_within_groups
+
+    by = list(by or [])
+    x = F.col(col).cast("double")
+    v = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull())
     if approx:
-        return F.percentile_approx(col, p, accuracy)
-    return F.percentile(col, p)
+        ps = list(probs.values())
+        g = (v.groupBy(*by) if by else v).agg(F.percentile_approx("__x", ps, 10000).alias("__q"))
+        return g.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(probs)])
+    n = v.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = attach(rank_within_groups(v, by, ["__x"], name="__r"), n, by)
+    pos = {name: (F.col("__n") - 1) * F.lit(p) for name, p in probs.items()}
+    lo = {name: F.floor(c) + 1 for name, c in pos.items()}
+    hi = {name: F.ceil(c) + 1 for name, c in pos.items()}
+    keep = None
+    for name in probs:
+        c = (F.col("__r") == lo[name]) | (F.col("__r") == hi[name])
+        keep = c if keep is None else keep | c
+    picked = ranked.where(keep)
+    aggs = []
+    for name in probs:
+        aggs += [F.max(F.when(F.col("__r") == lo[name], F.col("__x"))).alias(f"__lo_{name}"),
+                 F.max(F.when(F.col("__r") == hi[name], F.col("__x"))).alias(f"__hi_{name}"),
+                 F.first(pos[name] - F.floor(pos[name])).alias(f"__f_{name}")]
+    g = (picked.groupBy(*by) if by else picked).agg(*aggs)
+    return g.select(*by, *[(F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")).alias(n)
+                           for n in probs])
+
+
+def mode_values(df: DataFrame, col: str, by: list[str] | None = None, name: str = "mode") -> DataFrame:
+    """Most frequent value per group, smallest value on ties.
+
+    Values are counted with a partial aggregation (one row per distinct value),
+    then ``min_by`` keeps the winner: no buffer ever holds all values of a group.
+    """
+    by = list(by or [])
+    c = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    g = (c.groupBy(*by) if by else c).agg(F.min_by("__v", F.struct(-F.col("__c"), F.col("__v"))).alias(name))
+    return g
 
 
 def drop_null_keys(df: DataFrame, keys) -> DataFrame:
@@ -74,20 +131,17 @@ def null_summary(df: DataFrame, only_positive: bool = True) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
-    """count, mean, std, min, quartiles, max for every column in ONE aggregation."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = _pct(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), approx) if not approx else \
-            F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
-        aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"),
-                             F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                             F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max")).alias(c))
-    row = df.agg(*aggs)
-    long = row.select(F.inline(F.array(*[F.col(c) for c in cols])))
-    return long.select("column_name", "count", "mean", "std", "min",
-                       F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                       F.col("q")[2].alias("p75"), "max")
+    """count, mean, std, min, quartiles, max for every column.
+
+    The columns are unpivoted once, so moments and quartiles of all columns come
+    from one aggregation and one ranked pass keyed by column name.
+    """
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+                                         for c in cols])).alias("s")).select("s.*")
+    m = long.groupBy("column_name").agg(F.count("v").alias("count"), F.avg("v").alias("mean"),
+                                        F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    q = quantiles(long, "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["column_name"], approx=approx)
+    return m.join(q, "column_name", "left").select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def describe_categorical(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -106,7 +160,7 @@ def describe_categorical(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def mode_of(df: DataFrame, col: str) -> DataFrame:
     """Most frequent value; smallest value on ties."""
-    return df.agg(F.mode(F.col(col), True).alias("mode"))
+    return mode_values(df, col)
 
 
 def duplicate_count(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -158,20 +212,23 @@ def ols_pair(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> Data
 
 def column_stats(df: DataFrame, col: str, by: list[str] | None = None, approx: bool = False) -> DataFrame:
     """min, max, mean, median, mode, std, skew, kurtosis."""
+    by = list(by or [])
     x = F.col(col).cast("double")
-    aggs = [F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
-            F.avg(x).alias("mean"), _pct(x, 0.5, approx).alias("median"),
-            F.mode(x, True).alias("mode"), F.stddev_samp(x).alias("std"),
-            skew_sample(x).alias("skew"), kurt_sample(x).alias("kurt")]
-    return (df.groupBy(*by) if by else df).agg(*aggs)
+    aggs = [F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"), skew_sample(x).alias("skew"), kurt_sample(x).alias("kurt")]
+    m = (df.groupBy(*by) if by else df).agg(*aggs)
+    med = quantiles(df, col, {"median": 0.5}, by, approx)
+    mode = mode_values(df.select(*by, x.alias(col)), col, by)
+    out = attach(attach(m, med, by), mode, by)
+    return out.select(*by, "n", "min", "max", "mean", "median", "mode", "std", "skew", "kurt")
 
 
 def quartile_spread(df: DataFrame, col: str, by: list[str] | None = None, approx: bool = False) -> DataFrame:
     """q1, q3, IQR and CV = std/|mean|."""
+    by = list(by or [])
     x = F.col(col).cast("double")
-    g = (df.groupBy(*by) if by else df).agg(
-        _pct(x, 0.25, approx).alias("q1"), _pct(x, 0.75, approx).alias("q3"),
-        F.stddev_samp(x).alias("std"), F.avg(x).alias("mean"))
+    m = (df.groupBy(*by) if by else df).agg(F.stddev_samp(x).alias("std"), F.avg(x).alias("mean"))
+    g = attach(quantiles(df, col, {"q1": 0.25, "q3": 0.75}, by, approx), m, by)
     return g.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn(
         "cv", safe_ratio(F.col("std"), F.abs(F.col("mean"))))
 
@@ -201,8 +258,7 @@ def histogram(df: DataFrame, col: str, n_bins: int = 10, lo=None, hi=None) -> Da
 def box_stats(df: DataFrame, col: str, by: list[str], approx: bool = False) -> DataFrame:
     """Quartiles, fences at 1.5 IQR and whiskers clipped to the data."""
     x = F.col(col).cast("double")
-    q = df.groupBy(*by).agg(_pct(x, 0.25, approx).alias("q1"), _pct(x, 0.5, approx).alias("median"),
-                            _pct(x, 0.75, approx).alias("q3"))
+    q = quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, approx)
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     j = df.select(*by, x.alias("__x")).join(q, by, "inner")
@@ -216,7 +272,7 @@ def box_stats(df: DataFrame, col: str, by: list[str], approx: bool = False) -> D
 def box_outliers(df: DataFrame, col: str, by: list[str], approx: bool = False) -> DataFrame:
     """Rows outside the 1.5 IQR fences of their group."""
     x = F.col(col).cast("double")
-    q = df.groupBy(*by).agg(_pct(x, 0.25, approx).alias("q1"), _pct(x, 0.75, approx).alias("q3"))
+    q = quantiles(df, col, {"q1": 0.25, "q3": 0.75}, by, approx)
     j = df.join(q, by, "inner")
     iqr = F.col("q3") - F.col("q1")
     return j.where((x < F.col("q1") - 1.5 * iqr) | (x > F.col("q3") + 1.5 * iqr)).drop("q1", "q3")

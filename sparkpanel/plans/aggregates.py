@@ -28,11 +28,12 @@ def _seg_col(s: str) -> str:
 # ------------------------------------------------------------------ flagship (A18 + A30 + A27)
 
 def ratio_index_query(spark, sf):
-    """Nation x segment counts, ratio index and median balance in ONE aggregation.
+    """Nation x segment counts, ratio index and median balance.
 
     customer -> nation is a dimension lookup (25 rows, broadcast behind a size
-    check); the counts are a fixed-list pivot written as conditional counts, so
-    there is a single shuffle on n_name with map-side partial aggregation.
+    check); the counts are a fixed-list pivot written as conditional counts (one
+    shuffle on n_name with map-side partial aggregation); the exact median comes
+    from the distributed ranked pass of ``stats.quantiles``.
     """
     t = Tables(spark, sf)
     cust = t.customer.select("c_nationkey", "c_mktsegment", "c_acctbal")
@@ -40,8 +41,8 @@ def ratio_index_query(spark, sf):
     j = dimension_join(cust, nation, "c_nationkey", "inner")
     g = j.groupBy("n_name").agg(
         *[F.count_if(F.col("c_mktsegment") == s).alias(_seg_col(s)) for s in SEGMENTS],
-        F.count(F.lit(1)).alias("total"),
-        F.median("c_acctbal").alias("median_acctbal"))
+        F.count(F.lit(1)).alias("total"))
+    g = g.join(stats.quantiles(j, "c_acctbal", {"median_acctbal": 0.5}, ["n_name"]), "n_name", "left")
     return g.select(
         "n_name", *[_seg_col(s) for s in SEGMENTS], "total",
         F.round(safe_ratio(F.col("building") + F.col("automobile") + F.col("machinery"),
@@ -283,8 +284,10 @@ select c_nationkey, round(median(c_acctbal), {R}) as median_acctbal, round(media
 from customer group by c_nationkey""")
 def group_median(spark, sf):
     c = Tables(spark, sf).customer
-    return c.groupBy("c_nationkey").agg(F.round(F.median("c_acctbal"), R).alias("median_acctbal"),
-                                        F.round(F.median("c_custkey"), R).alias("median_custkey"))
+    a = stats.quantiles(c, "c_acctbal", {"median_acctbal": 0.5}, ["c_nationkey"])
+    b = stats.quantiles(c, "c_custkey", {"median_custkey": 0.5}, ["c_nationkey"])
+    return a.join(b, "c_nationkey").select("c_nationkey", F.round("median_acctbal", R).alias("median_acctbal"),
+                                           F.round("median_custkey", R).alias("median_custkey"))
 
 
 @query("group_profile", f"""
@@ -301,13 +304,14 @@ def group_profile(spark, sf):
     """Group statistics plus the mean difference in % against a base group ('F')."""
     o = Tables(spark, sf).orders
     g = o.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean"),
-        F.median("o_totalprice").alias("median"), F.stddev_samp("o_totalprice").alias("std"),
+        F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean"), F.stddev_samp("o_totalprice").alias("std"),
         F.min("o_totalprice").alias("min"), F.max("o_totalprice").alias("max"),
         stats.skew_sample("o_totalprice").alias("skew"), stats.kurt_sample("o_totalprice").alias("kurt"))
+    g = g.join(stats.quantiles(o, "o_totalprice", {"median": 0.5}, ["o_orderstatus"]), "o_orderstatus")
     base = o.where(F.col("o_orderstatus") == "F").agg(F.avg("o_totalprice")).scalar()
     out = g.withColumn("diff_pct", F.try_divide((F.col("mean") - base) * 100, base))
-    return _round_cols(out, _STAT_FLOATS + ["diff_pct"])
+    return _round_cols(out.select("o_orderstatus", "n", "mean", "median", "std", "min", "max", "skew", "kurt", "diff_pct"),
+                       _STAT_FLOATS + ["diff_pct"])
 
 
 @query("price_summary", f"""
@@ -318,10 +322,13 @@ from part where p_retailprice > 0 group by p_type""")
 def price_summary(spark, sf):
     """Per-keyword price summary; int() truncation toward zero."""
     p = Tables(spark, sf).part.where(F.col("p_retailprice") > 0)
-    return p.groupBy("p_type").agg(
+    g = p.groupBy("p_type").agg(
         F.count(F.lit(1)).alias("n"), F.avg("p_retailprice").cast("bigint").alias("mean_price"),
-        F.median("p_retailprice").cast("bigint").alias("median_price"), F.max("p_retailprice").alias("max_price"),
+        F.max("p_retailprice").alias("max_price"),
         F.min("p_retailprice").alias("min_price"), F.stddev_samp("p_retailprice").cast("bigint").alias("std_price"))
+    med = stats.quantiles(p, "p_retailprice", {"median_price": 0.5}, ["p_type"])
+    return g.join(med, "p_type").select("p_type", "n", "mean_price", F.col("median_price").cast("bigint"),
+                                        "max_price", "min_price", "std_price")
 
 
 _TREND_SQL = """
@@ -346,9 +353,10 @@ from {_TREND_SQL} group by event_type""")
 def trend_stats(spark, sf):
     e = Tables(spark, sf).events
     t = stats.trend_ratio(e, "ts", "event_type", "day")
-    g = t.groupBy("event_type").agg(F.avg("ratio").alias("mean"), F.median("ratio").alias("median"),
+    g = t.groupBy("event_type").agg(F.avg("ratio").alias("mean"),
                                     F.max("ratio").alias("max"), F.min("ratio").alias("min"),
                                     stats.skew_sample("ratio").alias("skew"), F.stddev_samp("ratio").alias("std"))
+    g = g.join(stats.quantiles(t, "ratio", {"median": 0.5}, ["event_type"]), "event_type")
     return _round_cols(g, ["mean", "median", "max", "min", "skew", "std"])
 
 
@@ -412,7 +420,7 @@ def stats_kurt_guarded(c):
 _HIST_SQL = """
 with v as (select l_extendedprice as x from lineitem where l_extendedprice is not null),
 b as (select min(x) as lo, max(x) as hi from v),
-c as (select coalesce(least(floor((x - lo) * 20 / nullif(hi - lo, 0)) + 1, 20), 1)::int as bin, count(*) as n
+c as (select least(coalesce(floor((x - lo) * 20 / nullif(hi - lo, 0)) + 1, 1), 20)::int as bin, count(*) as n
       from v cross join b group by 1)
 select s.bin::int as bin, round(lo + (s.bin - 1) * (hi - lo) / 20, {R}) as bin_lo, round(lo + s.bin * (hi - lo) / 20, {R}) as bin_hi,
        coalesce(c.n, 0) as n
@@ -431,14 +439,16 @@ with q as (select l_returnflag, quantile_cont(l_extendedprice, 0.25) as q1, quan
                   quantile_cont(l_extendedprice, 0.75) as q3 from lineitem group by 1),
 f as (select *, q1 - 1.5 * (q3 - q1) as lo_fence, q3 + 1.5 * (q3 - q1) as hi_fence from q)
 select f.l_returnflag, round(q1, {R}) as q1, round(median, {R}) as median, round(q3, {R}) as q3,
-       round(lo_fence, {R}) as lo_fence, round(hi_fence, {R}) as hi_fence,
+       round(lo_fence, 6) as lo_fence, round(hi_fence, 6) as hi_fence,
        min(case when l_extendedprice >= lo_fence then l_extendedprice end) as whisker_lo,
        max(case when l_extendedprice <= hi_fence then l_extendedprice end) as whisker_hi,
        count(*) filter (where l_extendedprice < lo_fence or l_extendedprice > hi_fence) as n_outliers
 from lineitem l join f using (l_returnflag) group by all""")
 def box_stats(spark, sf):
     b = stats.box_stats(Tables(spark, sf).lineitem, "l_extendedprice", ["l_returnflag"])
-    return _round_cols(b, ["q1", "median", "q3", "lo_fence", "hi_fence"])
+    # fences carry five exact decimals (prices x quarter steps x 1.5): rounded at 6 so no tie can split engines
+    b = b.withColumn("lo_fence", F.round("lo_fence", 6)).withColumn("hi_fence", F.round("hi_fence", 6))
+    return _round_cols(b, ["q1", "median", "q3"])
 
 
 @query("box_outliers", """
@@ -454,7 +464,7 @@ def box_outliers(spark, sf):
 _KDE_SQL = """
 with v as (select o_totalprice as x from orders where o_totalprice is not null),
 s as (select min(x) as lo, max(x) as hi, count(x) as n, stddev_samp(x) * pow(count(x), -0.2) as bw from v),
-b as (select coalesce(least(floor((x - lo) * 1024 / nullif(hi - lo, 0)) + 1, 1024), 1) as b, count(*) as w
+b as (select least(coalesce(floor((x - lo) * 1024 / nullif(hi - lo, 0)) + 1, 1), 1024) as b, count(*) as w
       from v cross join s group by 1),
 c as (select lo + (b - 0.5) * (hi - lo) / 1024 as c, w from b cross join s),
 g as (select g, lo + g * (hi - lo) / 63 as gx, n, bw from s cross join (select unnest(range(0, 64)) as g))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkpanel.operators import joins
+from sparkpanel.operators import joins, stats
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -18,7 +18,8 @@ from nation n left join m on n.n_nationkey = m.c_nationkey""")
 def left_join_medians(spark, sf):
     """Left join of a per-group aggregate onto the result table (unmatched rows keep NULL)."""
     t = Tables(spark, sf)
-    m = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.median("c_acctbal").alias("med"))
+    c = t.customer.withColumnRenamed("c_nationkey", "n_nationkey")
+    m = stats.quantiles(c, "c_acctbal", {"med": 0.5}, ["n_nationkey"])
     return t.nation.select("n_nationkey", "n_name").join(m, "n_nationkey", "left").select(
         "n_nationkey", "n_name", F.round("med", R).alias("median_acctbal"))
 

@@ -186,19 +186,22 @@ select '{c}' as column_name, metric, round(value, {R}) as value from (
          count(distinct {c})::double as n_distinct from customer)
 unpivot (value for metric in (n, nulls, mean, std, min, median, max, skew, n_distinct))""" for c in _PROFILE_COLS))
 def profile_table(spark, sf):
-    """One job, long output (column, metric, value) for every profiled column."""
+    """One job, long output (column, metric, value) for every profiled column.
+
+    All columns are unpivoted once; moments, null and distinct counts come from
+    one grouped aggregation, the medians from one ranked pass keyed by column.
+    """
     c = Tables(spark, sf).customer
+    long = c.select(F.explode(F.array(*[F.struct(F.lit(col).alias("column_name"), F.col(col).cast("double").alias("x"))
+                                        for col in _PROFILE_COLS])).alias("s")).select("s.*")
+    m = long.groupBy("column_name").agg(
+        F.count("x").cast("double").alias("n"), (F.count(F.lit(1)) - F.count("x")).cast("double").alias("nulls"),
+        F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"),
+        skew_sample("x").alias("skew"), F.count_distinct("x").cast("double").alias("n_distinct"))
+    m = m.join(stats.quantiles(long, "x", {"median": 0.5}, ["column_name"]), "column_name", "left")
     metrics = ["n", "nulls", "mean", "std", "min", "median", "max", "skew", "n_distinct"]
-    aggs = []
-    for col in _PROFILE_COLS:
-        x = F.col(col).cast("double")
-        vals = [F.count(x), F.count(F.lit(1)) - F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), F.median(x),
-                F.max(x), skew_sample(x), F.count_distinct(x)]
-        aggs.append(F.array(*[F.struct(F.lit(col).alias("column_name"), F.lit(m).alias("metric"),
-                                       v.cast("double").alias("value")) for m, v in zip(metrics, vals)]).alias(col))
-    row = c.agg(*aggs)
-    long = row.select(F.inline(F.concat(*[F.col(col) for col in _PROFILE_COLS])))
-    return long.select("column_name", "metric", F.round("value", R).alias("value"))
+    out = m.unpivot("column_name", metrics, "metric", "value")
+    return out.select("column_name", "metric", F.round("value", R).alias("value"))
 
 
 _SHAPE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

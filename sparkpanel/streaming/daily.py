@@ -5,8 +5,10 @@ R1  scheduled refresh of a per-item KPI table: a file stream run with
     aggregates into a Parquet table partitioned by batch id (overwriting only
     that partition, so a retried batch is idempotent).  Readers aggregate the
     partials, so no read-modify-write of the table is ever needed.
-R2  daily event counts with a 2-day watermark and tumbling 1-day windows in
-    append mode; rows later than the watermark are dropped by the engine.
+R2  daily event counts with a 2-day watermark and tumbling 1-day windows.
+    Spark guarantees that rows within the watermark delay are aggregated and
+    bounds the state: windows older than the watermark are evicted.  Rows later
+    than the watermark *may* be dropped (Spark gives no guarantee either way).
     Spikes (count > trailing mean + 3 sigma) are flagged in the batch layer.
 
 Checkpoints and sink folders live under the shared ``spark.checkpoint.dir``.
@@ -53,8 +55,8 @@ def windowed_counts(spark: SparkSession, source: str, schema, sink: str, checkpo
     Update mode: every micro-batch emits the new running count of each window it
     touched; ``foreachBatch`` stores them under the batch id (idempotent on retry).
     Append mode would hold back the windows the watermark has not closed yet, so a
-    run that ends (availableNow) would never report the last days.  Rows later
-    than the watermark are dropped by the engine either way.
+    run that ends (availableNow) would never report the last days.  Windows older
+    than the watermark leave the state store, which keeps state bounded.
     """
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
