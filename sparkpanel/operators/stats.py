@@ -243,8 +243,10 @@ def histogram(df: DataFrame, col: str, n_bins: int = 10, lo=None, hi=None) -> Da
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    lo_c = vals.agg(F.min("x")).scalar() if lo is None else F.lit(float(lo))
-    hi_c = vals.agg(F.max("x")).scalar() if hi is None else F.lit(float(hi))
+    # one scalar subquery returning both bounds (Spark evaluates it once and reuses it)
+    b = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo_c = b.getField("lo") if lo is None else F.lit(float(lo))
+    hi_c = b.getField("hi") if hi is None else F.lit(float(hi))
     counts = vals.select(equal_width_bin("x", lo_c, hi_c, n_bins).alias("bin")).groupBy("bin").agg(
         F.count(F.lit(1)).alias("n"))
     spark = vals.sparkSession
@@ -289,11 +291,11 @@ def kde_grid(df: DataFrame, col: str, n_grid: int = 64, pre_bins: int = 1024,
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    st = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"),
-                  F.stddev_samp("x").alias("sd"))
-    lo, hi = st.select("lo").scalar(), st.select("hi").scalar()
-    n = st.select(F.col("n").cast("double")).scalar()
-    bw = F.lit(float(bandwidth)) if bandwidth else st.select(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
+    # one scalar subquery with every statistic the grid needs (evaluated once, reused)
+    st = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").cast("double").alias("n"),
+                           (F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("bw"))).scalar()
+    lo, hi, n = st.getField("lo"), st.getField("hi"), st.getField("n")
+    bw = F.lit(float(bandwidth)) if bandwidth else st.getField("bw")
     binned = vals.select(equal_width_bin("x", lo, hi, pre_bins).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("w"))
     centres = binned.select((lo + (F.col("b") - 0.5) * (hi - lo) / F.lit(pre_bins)).alias("c"), "w")
     contrib = centres.select("c", "w", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))).alias("g"))
