@@ -101,6 +101,15 @@ def fit_score(train: DataFrame, test: DataFrame, feature_cols: list[str], label:
     return model, score(test), score(train)
 
 
+def tree_rules(model, feature_cols: list[str], spark) -> DataFrame:
+    """ML16: the decision rules of a fitted tree as text lines, feature indices replaced by names."""
+    text = model.stages[-1].toDebugString
+    for i in sorted(range(len(feature_cols)), reverse=True):
+        text = text.replace(f"feature {i} ", f"{feature_cols[i]} ")
+    lines = [ln.rstrip() for ln in text.splitlines() if ln.strip()]
+    return spark.createDataFrame([(i, ln) for i, ln in enumerate(lines)], "line_no int, rule string")
+
+
 def feature_importances(model, feature_cols: list[str], spark, k: int = 15) -> DataFrame:
     """ML9: top-k importances with their feature names (a k-row table)."""
     imp = model.stages[-1].featureImportances.toArray().tolist()

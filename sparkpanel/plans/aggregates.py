@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkpanel.functions.columns import safe_ratio
+from sparkpanel.functions.columns import kurt_guarded, safe_corr, safe_ratio, skew_guarded
 from sparkpanel.operators import stats
 from sparkpanel.operators.joins import dimension_join
 from sparkpanel.plans.registry import query
@@ -237,6 +237,29 @@ def pearson_pair(spark, sf):
     return p.select(F.round("r", R).alias("r"), "n")
 
 
+@query("pearson_guarded", f"""
+with d as (select event_type, cast(ts as date) as day, avg(value) as mean_value, count(*) as n,
+                  case when count(*) > 70 then max(value) end as hi from events group by 1, 2)
+select event_type, count(*) filter (where mean_value is not null and hi is not null) as n_pairs,
+  case when count(*) filter (where mean_value is not null and hi is not null) > 5
+       then round({_corr_sql('case when hi is not null then mean_value end', 'hi')}, {R}) end as r,
+  case when count(*) filter (where mean_value is not null and hi is not null) > 5 then 'ok' else 'insufficient' end as status
+from d group by event_type""")
+def pearson_guarded(spark, sf):
+    """P21 + A16: drop rows with a NULL in the pair, require more than 5 rows, else 'insufficient'.
+
+    Daily series per event type; the daily maximum is NULL on quiet days (<= 70 events).
+    """
+    e = Tables(spark, sf).events
+    d = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        F.avg("value").alias("mean_value"), F.when(F.count(F.lit(1)) > 70, F.max("value")).alias("hi"))
+    d = d.na.drop(subset=["mean_value", "hi"])
+    g = d.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_pairs"), safe_corr("mean_value", "hi").alias("r"))
+    ok = F.col("n_pairs") > 5
+    return g.select("event_type", "n_pairs", F.when(ok, F.round("r", R)).alias("r"),
+                    F.when(ok, "ok").otherwise("insufficient").alias("status"))
+
+
 @query("corr_matrix", " union all ".join(
     f"select '{a}' as var_x, '{b}' as var_y, round({_corr_sql(a, b)}, {R}) as r from lineitem"
     for a in _LI_NUM for b in _LI_NUM), headline=True)
@@ -393,7 +416,7 @@ def skew_guarded(spark, sf):
     """A35 per order: many groups have n < 3 or constant values, so both guards fire."""
     li = Tables(spark, sf).lineitem
     return li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"),
-                                        F.round(stats_skew_guarded("l_quantity"), R).alias("skew"))
+                                        F.round(skew_guarded("l_quantity"), R).alias("skew"))
 
 
 @query("kurt_guarded", f"""
@@ -402,17 +425,7 @@ from lineitem group by l_orderkey""")
 def kurt_guarded(spark, sf):
     li = Tables(spark, sf).lineitem
     return li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"),
-                                        F.round(stats_kurt_guarded("l_quantity"), R).alias("kurt"))
-
-
-def stats_skew_guarded(c):
-    from sparkpanel.functions.columns import skew_guarded as sg
-    return sg(c)
-
-
-def stats_kurt_guarded(c):
-    from sparkpanel.functions.columns import kurt_guarded as kg
-    return kg(c)
+                                        F.round(kurt_guarded("l_quantity"), R).alias("kurt"))
 
 
 # ------------------------------------------------------------------ histogram / box / density

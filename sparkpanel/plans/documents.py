@@ -198,3 +198,14 @@ def json_path_defaults(spark, sf):
     return e.select("event_id", F.coalesce(raw_k.try_cast("bigint"), F.lit(-1).cast("bigint")).alias("k"),
                     F.coalesce(F.get_json_object("props", "$.missing"), F.lit("n/a")).alias("missing"),
                     safe_double(F.when(F.col("event_type") == "error", F.lit(" ")).otherwise(raw_k)).alias("k_safe"))
+
+
+@query("link_list_text", """
+with a as (select page_id, regexp_extract_all(html, '(?is)<a\\s+href="([^"]*)"[^>]*>(.*?)</a>', 1) as hrefs from pages)
+select page_id, array_to_string(hrefs, ', ') as links_text, list_sort(list_distinct(hrefs)) as distinct_links from a""")
+def link_list_text(spark, sf):
+    """F9 / A2f: a page's link list as comma text, and as a sorted distinct array."""
+    p = Tables(spark, sf).pages
+    hrefs = F.regexp_extract_all(F.col("html"), F.lit(r'(?is)<a\s+href="([^"]*)"[^>]*>(.*?)</a>'), 1)
+    return p.select("page_id", F.array_join(hrefs, ", ").alias("links_text"),
+                    F.array_sort(F.array_distinct(hrefs)).alias("distinct_links"))

@@ -111,6 +111,13 @@ def gbt_eval(spark, sf):
     return out
 
 
+@query("tree_rules")
+def tree_rules(spark, sf):
+    """ML16: rule text of the fitted decision tree (feature names substituted)."""
+    _, model, cols = _eval_model(spark, sf, "tree", impurity="gini", maxDepth=5, minInstancesPerNode=1)
+    return ml.tree_rules(model, cols, spark)
+
+
 @query("feature_importance")
 def feature_importance(spark, sf):
     """ML9: top-15 feature importances of the forest, with feature names."""

@@ -34,6 +34,20 @@ def crosstab_margins(spark, sf):
                                  safe_names={s: s.lower() for s in SEGMENTS})
 
 
+@query("brand_totals", """
+select segment, n from (
+  unpivot (select {cols} from customer c join nation n on c.c_nationkey = n.n_nationkey)
+  on {names} into name segment value n) order by n desc, segment""".format(
+    cols=", ".join(f"count(*) filter (where c_mktsegment = '{s}') as {s.lower()}" for s in SEGMENTS),
+    names=", ".join(s.lower() for s in SEGMENTS)))
+def brand_totals(spark, sf):
+    """Brand totals read from the grand-total row of the crosstab, unpivoted and sorted."""
+    wide = crosstab_margins(spark, sf)
+    total = wide.where(F.col("n_name") == "Total")
+    long = total.unpivot([], [s.lower() for s in SEGMENTS], "segment", "n")
+    return long.orderBy(F.desc("n"), "segment")
+
+
 @query("crosstab_row_pct", f"""
 select o_orderstatus, o_orderpriority, count(*) as n,
        round(count(*) * 100.0 / sum(count(*)) over (partition by o_orderstatus), {R}) as pct

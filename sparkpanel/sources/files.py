@@ -185,3 +185,45 @@ def write_json_by(df: DataFrame, path: str, key: str) -> None:
 
 register_source("parquet")(lambda spark, path, **o: spark.read.options(**o).parquet(path))
 register_source("json")(lambda spark, path, schema=None, **o: (spark.read.schema(schema) if schema else spark.read).options(**o).json(path))
+
+
+# ---------------------------------------------------------------- zipped CSV
+
+def _unzip_lines(batches):
+    """Each binary row is one .zip archive; emit its CSV members line by line.
+
+    Members are decoded as UTF-8, falling back to CP949 (the Korean code page) when
+    UTF-8 fails.  A zip archive is not splittable, so one archive is one task's input;
+    parsing the lines into columns happens afterwards in Spark (``from_csv``).
+    """
+    import io
+    import zipfile
+
+    for pdf in batches:
+        paths, members, numbers, lines = [], [], [], []
+        for path, content in zip(pdf["path"], pdf["content"]):
+            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                for info in zf.infolist():
+                    if info.is_dir() or not info.filename.lower().endswith(".csv"):
+                        continue
+                    raw = zf.read(info)
+                    try:
+                        text = raw.decode("utf-8-sig")
+                    except UnicodeDecodeError:
+                        text = raw.decode("cp949")
+                    for i, line in enumerate(text.splitlines()):
+                        paths.append(path)
+                        members.append(info.filename)
+                        numbers.append(i)
+                        lines.append(line)
+        yield pd.DataFrame({"path": paths, "member": members, "line_no": numbers, "line": lines})
+
+
+def read_zipped_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
+    """CSV members of zip archives (``binaryFile`` + ``mapInPandas``), parsed with ``from_csv``."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
+    lines = raw.mapInPandas(_unzip_lines, "path string, member string, line_no long, line string")
+    if header:
+        lines = lines.where(F.col("line_no") > 0)
+    parsed = lines.select(F.from_csv("line", schema).alias("r"))
+    return parsed.select("r.*")
