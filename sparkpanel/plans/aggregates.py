@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkpanel.functions.columns import kurt_guarded, safe_corr, safe_ratio, skew_guarded
+from sparkpanel.functions import columns as C
+from sparkpanel.functions.columns import safe_corr, safe_ratio
 from sparkpanel.operators import stats
 from sparkpanel.operators.joins import dimension_join
 from sparkpanel.plans.registry import query
@@ -416,7 +417,7 @@ def skew_guarded(spark, sf):
     """A35 per order: many groups have n < 3 or constant values, so both guards fire."""
     li = Tables(spark, sf).lineitem
     return li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"),
-                                        F.round(skew_guarded("l_quantity"), R).alias("skew"))
+                                        F.round(C.skew_guarded("l_quantity"), R).alias("skew"))
 
 
 @query("kurt_guarded", f"""
@@ -425,7 +426,7 @@ from lineitem group by l_orderkey""")
 def kurt_guarded(spark, sf):
     li = Tables(spark, sf).lineitem
     return li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"),
-                                        F.round(kurt_guarded("l_quantity"), R).alias("kurt"))
+                                        F.round(C.kurt_guarded("l_quantity"), R).alias("kurt"))
 
 
 # ------------------------------------------------------------------ histogram / box / density
