@@ -47,7 +47,7 @@ p as (select s.o_orderpriority, s.day, d.price from s left join d using (o_order
 
 _AVG_PRICE = "avg(o_totalprice)"
 # integer cents: interpolation arithmetic is then identical in every IEEE engine
-_CENTS = "sum(cast(round(o_totalprice * 100) as bigint))"
+_CENTS = "cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint)"
 
 
 def _sparse_panel(spark, sf, cents: bool = False):
