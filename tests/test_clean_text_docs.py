@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkpanel.functions import columns as C
 from sparkpanel.operators import clean, documents, tag, text
 
-BRAND_NAMES = ["버거킹 강남점", "Burger King Seoul", "burger_king 2", "맥도날드", "McDonald's", "KFC 역삼",
+BRAND_NAMES = ["버거킹 강남점", "Burger King Gangnam", "burger_king 2", "맥도날드", "McDonald's", "KFC 역삼",
                "케이에프씨 종로", "롯데리아", "lotteria x", "맘스터치", "mom's touch", None, "김밥천국"]
 
 

@@ -130,3 +130,29 @@ def test_kde_integrates_to_one(spark):
     area = sum(r.density for r in k) * step
     assert 0.8 < area <= 1.01  # the grid covers [min, max] only, tails fall outside
     assert all(not math.isnan(r.density) for r in k)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["g1", "g2", "g3"]), st.integers(-50, 50)), min_size=1, max_size=80))
+def test_distributed_quantiles_match_numpy(spark, rows):
+    import numpy as np
+
+    spark.conf.set("spark.sql.shuffle.partitions", "5")  # several range partitions per group
+    try:
+        df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g string, v double")
+        got = {r.g: (r.q1, r.med, r.q9) for r in
+               stats.quantiles(df, "v", {"q1": 0.1, "med": 0.5, "q9": 0.9}, by=["g"]).collect()}
+        for g in {g for g, _ in rows}:
+            xs = np.array([v for gg, v in rows if gg == g], dtype=float)
+            want = np.percentile(xs, [10, 50, 90])  # linear interpolation, the pandas default
+            assert got[g] == pytest.approx(tuple(want))
+        allq = stats.quantiles(df, "v", {"m": 0.5}).collect()[0].m
+        assert allq == pytest.approx(float(np.percentile([float(v) for _, v in rows], 50)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_mode_values_tie_smallest(spark):
+    df = spark.createDataFrame([("a", 3.0), ("a", 1.0), ("a", 3.0), ("a", 1.0), ("b", 7.0), ("a", None)], "g string, v double")
+    assert {r.g: r.mode for r in stats.mode_values(df, "v", ["g"]).collect()} == {"a": 1.0, "b": 7.0}
+    assert stats.mode_values(df, "v").collect()[0].mode == 1.0
