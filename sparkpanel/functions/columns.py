@@ -140,15 +140,40 @@ def parse_compact_date(text) -> Column:
     return F.when(t.rlike(r"^[0-9]{8}$"), F.to_date(F.try_to_timestamp(t, F.lit("yyyyMMdd"))))
 
 
+_MICROS_PER_DAY = 86_400_000_000
+
+
+def instant_to_utc_ntz(ts) -> Column:
+    """TIMESTAMP (an instant) -> TIMESTAMP_NTZ holding its UTC wall time.
+
+    Built from epoch micro-seconds and the unix date, so the result does not depend
+    on ``spark.sql.session.timeZone`` (a plain cast would).
+    """
+    m = F.unix_micros(_c(ts))
+    d = F.floor(m / F.lit(_MICROS_PER_DAY))
+    rest = m - d * F.lit(_MICROS_PER_DAY)
+    return F.date_from_unix_date(d.cast("int")).cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (rest / F.lit(1_000_000)).cast("decimal(18,6)"))
+
+
+def ntz_as_utc_instant(ts) -> Column:
+    """TIMESTAMP_NTZ wall time read as UTC -> TIMESTAMP (session-zone independent)."""
+    c = _c(ts)
+    day_micros = F.unix_date(F.to_date(c)).cast("bigint") * F.lit(_MICROS_PER_DAY)
+    tod = (F.hour(c).cast("bigint") * 3_600_000_000 + F.minute(c).cast("bigint") * 60_000_000
+           + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint"))
+    return F.timestamp_micros(day_micros + tod)
+
+
 def parse_rfc1123(text) -> Column:
-    """``Mon, 08 Jun 2026 10:00:00 +0900`` -> UTC timestamp; bad text -> NULL.
+    """``Mon, 08 Jun 2026 10:00:00 +0900`` -> UTC wall time (TIMESTAMP_NTZ); bad text -> NULL.
 
     Spark 3+ rejects the day-name letter ``E`` in parse patterns, so the day name
-    is cut off first.
+    is cut off first; the zone offset in the text fixes the instant.
     """
     t = F.trim(_c(text))
     body = F.regexp_replace(t, r"^[A-Za-z]{3},\s*", "")
-    return F.try_to_timestamp(body, F.lit("dd MMM yyyy HH:mm:ss Z"))
+    return instant_to_utc_ntz(F.try_to_timestamp(body, F.lit("dd MMM yyyy HH:mm:ss Z")))
 
 
 # ---------------------------------------------------------------- text

@@ -351,4 +351,4 @@ def parse_rfc_date(spark, sf):
     """D2f: RFC-1123 text (built from event times, +0900) -> UTC timestamp."""
     e = Tables(spark, sf).events
     t = e.select("event_id", F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0900")).alias("txt"))
-    return t.withColumn("parsed", C.parse_rfc1123("txt").cast("timestamp_ntz"))
+    return t.withColumn("parsed", C.parse_rfc1123("txt"))

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkpanel.functions.columns import instant_to_utc_ntz, ntz_as_utc_instant
+
 
 def kpi_partials(batch: DataFrame, ts: str, key: str, value: str) -> DataFrame:
     return batch.groupBy(F.col(key), F.to_date(F.col(ts)).alias("day")).agg(
@@ -61,10 +63,11 @@ def windowed_counts(spark: SparkSession, source: str, schema, sink: str, checkpo
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    s = r.parquet(source).withColumn("__ts", F.col(ts).cast("timestamp"))
+    # watermarks need TIMESTAMP: the wall time is read as UTC (exact, independent of the session zone)
+    s = r.parquet(source).withColumn("__ts", ntz_as_utc_instant(ts))
     agg = (s.withWatermark("__ts", watermark).groupBy(F.window("__ts", window), F.col(key))
            .agg(F.count(F.lit(1)).alias("n")))
-    out = agg.select(key, F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n")
+    out = agg.select(key, instant_to_utc_ntz(F.col("window.start")).alias("window_start"), "n")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
