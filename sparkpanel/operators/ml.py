@@ -56,7 +56,11 @@ def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2
     ranked = rank_within_groups(keyed, [label], ["__h", key], name="__r")
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     j = ranked.join(n, label)
-    test_n = F.ceil(F.col("__n") * F.lit(test_frac))
+    # exact decimal product: in double, 3410 * 0.2 = 682.0000000000001 would round up to 683
+    from decimal import Decimal
+
+    frac = F.lit(Decimal(str(test_frac))).cast("decimal(12,8)")
+    test_n = F.ceil(F.col("__n").cast("decimal(20,0)") * frac)
     return j.withColumn(split_col, F.when(F.col("__r") <= test_n, "test").otherwise("train")).drop("__h", "__r", "__n")
 
 

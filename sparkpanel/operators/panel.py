@@ -5,10 +5,11 @@ with a partial aggregation; windows are then partitioned by series and ordered
 by day, so a window partition holds at most one row per calendar day of one
 series (bounded by the date range, not by the data volume or key skew).
 
-``running_totals`` is the one ordered computation over a whole table (ROC/PR
-curves, rank sums).  It never funnels rows into a single task: rows are range
-partitioned by the order key, each partition is scanned locally, and the small
-table of per-partition totals supplies the offsets.
+``running_totals`` / ``rank_within_groups`` are the ordered computations over
+a whole table (ROC/PR curves, rank sums, exact quantiles, splits).  They never
+funnel rows into a single task: rows are range partitioned by the order key
+(materialised once), each partition is scanned locally, and the small table of
+per-partition totals supplies the offsets.
 """
 
 from __future__ import annotations
@@ -111,6 +112,21 @@ def last_vs_previous(df: DataFrame, series: list[str], order: str, col: str) ->
                     F.try_divide((last - F.col("previous")) * 100.0, F.col("previous")).alias("change_pct"))
 
 
+def _range_partitioned(df: DataFrame, keys: list, n_parts: int) -> DataFrame:
+    """Range-partition ``df`` on ``keys`` ONCE and pin each row's partition id.
+
+    The partition id is consumed twice (per-partition totals and local scans).  Two
+    separate range exchanges would sample their bounds independently and could
+    disagree on a row's partition, so the result is materialised with a reliable
+    ``checkpoint()`` in the shared checkpoint folder (it also cuts the lineage, so a
+    lost executor never forces a re-sample).
+    """
+    from sparkpanel.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(n_parts, *keys).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+
+
 def running_totals(df: DataFrame, order: str, cols: list[str], descending: bool = True,
                    n_parts: int | None = None) -> DataFrame:
     """Cumulative sums of ``cols`` in ``order`` over a whole table, distributed.
@@ -123,7 +139,7 @@ def running_totals(df: DataFrame, order: str, cols: list[str], descending: bool
     spark = df.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = F.desc(order) if descending else F.asc(order)
-    ranged = df.repartitionByRange(n_parts, o).withColumn("__pid", F.spark_partition_id())
+    ranged = _range_partitioned(df, [o], n_parts)
     totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
     wpid = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(wpid), F.lit(0)).alias(f"__o_{c}")
@@ -167,7 +183,7 @@ def rank_within_groups(df: DataFrame, groups: list[str], order: list[str], n_par
     """
     spark = df.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *groups, *order).withColumn("__pid", F.spark_partition_id())
+    ranged = _range_partitioned(df, [*groups, *order], n_parts)
     counts = ranged.groupBy("__pid", *groups).agg(F.count(F.lit(1)).alias("__c"))
     wo = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", *groups, F.coalesce(F.sum("__c").over(wo), F.lit(0)).alias("__off"))

@@ -254,8 +254,10 @@ def pearson_guarded(spark, sf):
     e = Tables(spark, sf).events
     d = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(
         F.avg("value").alias("mean_value"), F.when(F.count(F.lit(1)) > 70, F.max("value")).alias("hi"))
-    d = d.na.drop(subset=["mean_value", "hi"])
-    g = d.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_pairs"), safe_corr("mean_value", "hi").alias("r"))
+    # rows with a NULL in the pair are dropped inside the aggregate (pairwise-complete), so a
+    # key whose rows all drop out still reports 'insufficient' instead of disappearing
+    complete = F.col("mean_value").isNotNull() & F.col("hi").isNotNull()
+    g = d.groupBy("event_type").agg(F.count_if(complete).alias("n_pairs"), safe_corr("mean_value", "hi").alias("r"))
     ok = F.col("n_pairs") > 5
     return g.select("event_type", "n_pairs", F.when(ok, F.round("r", R)).alias("r"),
                     F.when(ok, "ok").otherwise("insufficient").alias("status"))
