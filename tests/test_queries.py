@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
-SLOW = {"decision_tree_eval", "random_forest_eval", "gbt_eval", "feature_importance", "forest_per_item"}
+SLOW = {"decision_tree_eval", "random_forest_eval", "gbt_eval", "feature_importance", "forest_per_item", "tree_rules"}
 ORACLE = entry.oracle_sql()
 QUERIES = entry.queries()
 
