@@ -33,6 +33,20 @@ def pct_change(new, base) -> Column:
     return F.try_divide((_c(new) - _c(base)) * F.lit(100.0), _c(base))
 
 
+def round_half_away(x, digits: int = 0) -> Column:
+    """Round the binary double half away from zero (the C / numpy / DuckDB rule).
+
+    Spark's ``round`` rounds the shortest decimal text of a double, so 212463.48625
+    (stored as 212463.486249999...) becomes .4863; pandas and DuckDB give .4862.
+    Double-only arithmetic (t - fmod(t, 1) instead of ``floor``, which returns a
+    bigint) keeps very large values from overflowing.
+    """
+    m = F.lit(float(10 ** digits))
+    c = _c(x).cast("double")
+    t = F.abs(c) * m + F.lit(0.5)
+    return F.signum(c) * (t - t % F.lit(1.0)) / m
+
+
 def clamp(x, lo, hi) -> Column:
     return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))
 

@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkpanel.functions import columns as C
 from sparkpanel.functions.columns import (equal_width_bin, kurt_sample, safe_corr, safe_ratio,
                                           skew_sample)
 
@@ -124,7 +125,7 @@ def null_summary(df: DataFrame, only_positive: bool = True) -> DataFrame:
                  *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     long = row.unpivot("__n", df.columns, "column_name", "n_null")
     out = long.select("column_name", "n_null",
-                      F.round(safe_ratio(F.col("n_null") * 100.0, F.col("__n")), 4).alias("pct_null"))
+                      C.round_half_away(safe_ratio(F.col("n_null") * 100.0, F.col("__n")), 4).alias("pct_null"))
     if only_positive:
         out = out.where(F.col("n_null") > 0)
     return out.orderBy(F.desc("n_null"), F.asc("column_name"))

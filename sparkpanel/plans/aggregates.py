@@ -46,9 +46,9 @@ def ratio_index_query(spark, sf):
     g = g.join(stats.quantiles(j, "c_acctbal", {"median_acctbal": 0.5}, ["n_name"]), "n_name", "left")
     return g.select(
         "n_name", *[_seg_col(s) for s in SEGMENTS], "total",
-        F.round(safe_ratio(F.col("building") + F.col("automobile") + F.col("machinery"),
+        C.round_half_away(safe_ratio(F.col("building") + F.col("automobile") + F.col("machinery"),
                            F.col("household")), R).alias("ratio_index"),
-        F.round("median_acctbal", R).alias("median_acctbal"))
+        C.round_half_away("median_acctbal", R).alias("median_acctbal"))
 
 
 _RATIO_SQL = """
@@ -95,7 +95,7 @@ from lineitem group by l_returnflag""", headline=True)
 def group_mean(spark, sf):
     li = Tables(spark, sf).lineitem
     return stats.drop_null_keys(li, "l_returnflag").groupBy("l_returnflag").agg(
-        F.round(F.avg("l_extendedprice"), R).alias("mean_price"), F.count(F.lit(1)).alias("n"))
+        C.round_half_away(F.avg("l_extendedprice"), R).alias("mean_price"), F.count(F.lit(1)).alias("n"))
 
 
 @query("topk_group_mean", f"""
@@ -105,7 +105,7 @@ def topk_group_mean(spark, sf):
     o = Tables(spark, sf).orders
     g = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("m"))
     return g.orderBy(F.desc("m"), F.asc("o_custkey")).limit(15).select(
-        "o_custkey", F.round("m", R).alias("mean_price"))
+        "o_custkey", C.round_half_away("m", R).alias("mean_price"))
 
 
 @query("three_key_mean", f"""
@@ -115,7 +115,7 @@ from lineitem group by 1, 2, 3""")
 def three_key_mean(spark, sf):
     li = Tables(spark, sf).lineitem
     return li.groupBy("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year")).agg(
-        F.round(F.avg("l_quantity"), R).alias("mean_qty"))
+        C.round_half_away(F.avg("l_quantity"), R).alias("mean_qty"))
 
 
 @query("daily_counts", """
@@ -141,8 +141,8 @@ from events group by event_type""")
 def station_summary(spark, sf):
     e = Tables(spark, sf).events
     return e.groupBy("event_type").agg(
-        F.round(F.avg("value"), R).alias("mean_value"), F.max("value").alias("max_value"),
-        F.min("value").alias("min_value"), F.round(F.sum("value"), R).alias("sum_value"))
+        C.round_half_away(F.avg("value"), R).alias("mean_value"), F.max("value").alias("max_value"),
+        F.min("value").alias("min_value"), C.round_half_away(F.sum("value"), R).alias("sum_value"))
 
 
 # ------------------------------------------------------------------ profiles
@@ -195,8 +195,8 @@ select '{c}' as column_name, count({c}) as count, round(avg({c}), {R}) as mean,
        round(quantile_cont({c}, 0.75), {R}) as p75, max({c}) as max from lineitem""" for c in _LI_NUM), headline=True)
 def describe_numeric(spark, sf):
     d = stats.describe_numeric(Tables(spark, sf).lineitem, _LI_NUM)
-    return d.select("column_name", "count", *[F.round(c, R).alias(c) for c in ["mean", "std"]], "min",
-                    *[F.round(c, R).alias(c) for c in ["p25", "p50", "p75"]], "max")
+    return d.select("column_name", "count", *[C.round_half_away(c, R).alias(c) for c in ["mean", "std"]], "min",
+                    *[C.round_half_away(c, R).alias(c) for c in ["p25", "p50", "p75"]], "max")
 
 
 @query("describe_categorical", " union all ".join(f"""
@@ -235,7 +235,7 @@ select round({_corr_sql('l_quantity', 'l_extendedprice')}, {R}) as r,
        count(*) filter (where l_quantity is not null and l_extendedprice is not null) as n from lineitem""")
 def pearson_pair(spark, sf):
     p = stats.pearson(Tables(spark, sf).lineitem, "l_quantity", "l_extendedprice")
-    return p.select(F.round("r", R).alias("r"), "n")
+    return p.select(C.round_half_away("r", R).alias("r"), "n")
 
 
 @query("pearson_guarded", f"""
@@ -259,7 +259,7 @@ def pearson_guarded(spark, sf):
     complete = F.col("mean_value").isNotNull() & F.col("hi").isNotNull()
     g = d.groupBy("event_type").agg(F.count_if(complete).alias("n_pairs"), safe_corr("mean_value", "hi").alias("r"))
     ok = F.col("n_pairs") > 5
-    return g.select("event_type", "n_pairs", F.when(ok, F.round("r", R)).alias("r"),
+    return g.select("event_type", "n_pairs", F.when(ok, C.round_half_away("r", R)).alias("r"),
                     F.when(ok, "ok").otherwise("insufficient").alias("status"))
 
 
@@ -268,7 +268,7 @@ def pearson_guarded(spark, sf):
     for a in _LI_NUM for b in _LI_NUM), headline=True)
 def corr_matrix(spark, sf):
     m = stats.corr_matrix(Tables(spark, sf).lineitem, _LI_NUM)
-    return m.select("var_x", "var_y", F.round("r", R).alias("r"))
+    return m.select("var_x", "var_y", C.round_half_away("r", R).alias("r"))
 
 
 @query("ols_pair", f"""
@@ -280,14 +280,14 @@ select round(regr_slope(l_extendedprice, l_quantity), {R}) as slope,
 from lineitem group by l_returnflag""")
 def ols_pair(spark, sf):
     o = stats.ols_pair(Tables(spark, sf).lineitem, "l_quantity", "l_extendedprice", by=["l_returnflag"])
-    return o.select(*[F.round(c, R).alias(c) for c in ["slope", "intercept", "r2", "r"]],
+    return o.select(*[C.round_half_away(c, R).alias(c) for c in ["slope", "intercept", "r2", "r"]],
                     F.col("n").cast("bigint").alias("n"), "l_returnflag")
 
 
 # ------------------------------------------------------------------ one-column statistics
 
 def _round_cols(df, cols):
-    return df.select(*[F.round(c, R).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[C.round_half_away(c, R).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 _STAT_FLOATS = ["mean", "median", "std", "skew", "kurt"]
@@ -312,8 +312,8 @@ def group_median(spark, sf):
     c = Tables(spark, sf).customer
     a = stats.quantiles(c, "c_acctbal", {"median_acctbal": 0.5}, ["c_nationkey"])
     b = stats.quantiles(c, "c_custkey", {"median_custkey": 0.5}, ["c_nationkey"])
-    return a.join(b, "c_nationkey").select("c_nationkey", F.round("median_acctbal", R).alias("median_acctbal"),
-                                           F.round("median_custkey", R).alias("median_custkey"))
+    return a.join(b, "c_nationkey").select("c_nationkey", C.round_half_away("median_acctbal", R).alias("median_acctbal"),
+                                           C.round_half_away("median_custkey", R).alias("median_custkey"))
 
 
 @query("group_profile", f"""
@@ -368,7 +368,7 @@ def trend_ratio(spark, sf):
     e = Tables(spark, sf).events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     t = stats.trend_ratio(e, "ts", "event_type", "day")
     return t.select("event_type", F.col("period").cast("timestamp_ntz").alias("period"), "n",
-                    F.round("ratio", R).alias("ratio"))
+                    C.round_half_away("ratio", R).alias("ratio"))
 
 
 @query("trend_stats", f"""
@@ -396,9 +396,9 @@ def active_day_ratio(spark, sf):
     e = Tables(spark, sf).events
     d = e.groupBy(F.to_date("ts").alias("day")).agg(
         F.sum(F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(0.0)).alias("amount"))
-    return d.agg(F.round(F.sum("amount"), R).alias("total"), F.count_if(F.col("amount") > 0).alias("active_days"),
+    return d.agg(C.round_half_away(F.sum("amount"), R).alias("total"), F.count_if(F.col("amount") > 0).alias("active_days"),
                  F.count(F.lit(1)).alias("n_days"),
-                 F.round(safe_ratio(F.count_if(F.col("amount") > 0) * 100.0, F.count(F.lit(1))), R).alias("active_pct"))
+                 C.round_half_away(safe_ratio(F.count_if(F.col("amount") > 0) * 100.0, F.count(F.lit(1))), R).alias("active_pct"))
 
 
 @query("iqr_cv", f"""
@@ -409,7 +409,7 @@ select l_returnflag, round(quantile_cont(l_extendedprice, 0.25), {R}) as q1,
 from lineitem group by l_returnflag""")
 def iqr_cv(spark, sf):
     q = stats.quartile_spread(Tables(spark, sf).lineitem, "l_extendedprice", by=["l_returnflag"])
-    return q.select("l_returnflag", *[F.round(c, R).alias(c) for c in ["q1", "q3", "iqr", "cv"]])
+    return q.select("l_returnflag", *[C.round_half_away(c, R).alias(c) for c in ["q1", "q3", "iqr", "cv"]])
 
 
 @query("skew_guarded", f"""
@@ -419,7 +419,7 @@ def skew_guarded(spark, sf):
     """A35 per order: many groups have n < 3 or constant values, so both guards fire."""
     li = Tables(spark, sf).lineitem
     return li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"),
-                                        F.round(C.skew_guarded("l_quantity"), R).alias("skew"))
+                                        C.round_half_away(C.skew_guarded("l_quantity"), R).alias("skew"))
 
 
 @query("kurt_guarded", f"""
@@ -428,7 +428,7 @@ from lineitem group by l_orderkey""")
 def kurt_guarded(spark, sf):
     li = Tables(spark, sf).lineitem
     return li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"),
-                                        F.round(C.kurt_guarded("l_quantity"), R).alias("kurt"))
+                                        C.round_half_away(C.kurt_guarded("l_quantity"), R).alias("kurt"))
 
 
 # ------------------------------------------------------------------ histogram / box / density
@@ -447,7 +447,7 @@ from b cross join (select unnest(range(1, 21)) as bin) s left join c on c.bin =
 @query("histogram", _HIST_SQL)
 def histogram(spark, sf):
     h = stats.histogram(Tables(spark, sf).lineitem, "l_extendedprice", 20)
-    return h.select("bin", F.round("bin_lo", R).alias("bin_lo"), F.round("bin_hi", R).alias("bin_hi"), "n")
+    return h.select("bin", C.round_half_away("bin_lo", R).alias("bin_lo"), C.round_half_away("bin_hi", R).alias("bin_hi"), "n")
 
 
 @query("box_stats", f"""
@@ -463,7 +463,7 @@ from lineitem l join f using (l_returnflag) group by all""")
 def box_stats(spark, sf):
     b = stats.box_stats(Tables(spark, sf).lineitem, "l_extendedprice", ["l_returnflag"])
     # fences carry five exact decimals (prices x quarter steps x 1.5): rounded at 6 so no tie can split engines
-    b = b.withColumn("lo_fence", F.round("lo_fence", 6)).withColumn("hi_fence", F.round("hi_fence", 6))
+    b = b.withColumn("lo_fence", C.round_half_away("lo_fence", 6)).withColumn("hi_fence", C.round_half_away("hi_fence", 6))
     return _round_cols(b, ["q1", "median", "q3"])
 
 
@@ -492,7 +492,7 @@ from g cross join c group by g, gx, n, bw"""
 @query("kde_grid", _KDE_SQL)
 def kde_grid(spark, sf):
     k = stats.kde_grid(Tables(spark, sf).orders, "o_totalprice", n_grid=64, pre_bins=1024)
-    return k.select("g", F.round("x", 4).alias("x"), F.round("density", 12).alias("density"))
+    return k.select("g", C.round_half_away("x", 4).alias("x"), C.round_half_away("density", 12).alias("density"))
 
 
 # ------------------------------------------------------------------ misc aggregate reports
@@ -553,7 +553,7 @@ def daily_volume(spark, sf):
     parts = t.part.where(F.col("p_name").contains("widget")).select(F.col("p_partkey").alias("l_partkey"))
     li = t.lineitem.select("l_partkey", "l_shipdate", "l_quantity").join(parts, "l_partkey", "left_semi")
     return li.groupBy(F.to_date("l_shipdate").alias("day")).agg(
-        F.round(F.sum("l_quantity") / 1000, 1).alias("volume_k"))
+        C.round_half_away(F.sum("l_quantity") / 1000, 1).alias("volume_k"))
 
 
 @query("best_reliable_category", f"""
@@ -569,7 +569,7 @@ def best_reliable_category(spark, sf):
     c = j.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("total"),
                                      F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("rate"))
     e = c.where(F.col("total") >= 0.02 * j.agg(F.count(F.lit(1))).scalar())
-    return e.orderBy(F.desc("rate"), "c_nationkey").limit(1).select("c_nationkey", "total", F.round("rate", R).alias("rate"))
+    return e.orderBy(F.desc("rate"), "c_nationkey").limit(1).select("c_nationkey", "total", C.round_half_away("rate", R).alias("rate"))
 
 
 @query("tier_share", f"""
@@ -582,7 +582,7 @@ def tier_share(spark, sf):
     tier = F.when(F.col("c_acctbal") >= 5000, "high").when(F.col("c_acctbal") >= 1000, "mid").otherwise("low")
     g = c.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("n"))
     tot = c.agg(F.count(F.lit(1))).scalar()
-    return g.select("tier", "n", F.round(F.col("n") * 100.0 / tot, R).alias("share_pct"))
+    return g.select("tier", "n", C.round_half_away(F.col("n") * 100.0 / tot, R).alias("share_pct"))
 
 
 @query("unified_metrics", f"""
@@ -595,7 +595,7 @@ def unified_metrics(spark, sf):
     u = (t.events.select(F.lit("events").alias("source"), F.col("value").cast("double").alias("v"))
          .unionByName(t.orders.select(F.lit("orders").alias("source"), F.col("o_totalprice").alias("v")))
          .unionByName(t.documents.select(F.lit("documents").alias("source"), F.col("n_chars").cast("double").alias("v"))))
-    return u.groupBy("source").agg(F.count(F.lit(1)).alias("volume"), F.round(F.avg("v"), R).alias("mean_value"))
+    return u.groupBy("source").agg(F.count(F.lit(1)).alias("volume"), C.round_half_away(F.avg("v"), R).alias("mean_value"))
 
 
 @query("distinct_days", """

@@ -308,8 +308,8 @@ select o_orderkey, round(sin(2 * pi() * dayofyear(o_orderdate) / 365.25), {R}) a
        round(cos(2 * pi() * dayofyear(o_orderdate) / 365.25), {R}) as doy_cos from orders""")
 def cycle_encoding(spark, sf):
     o = Tables(spark, sf).orders
-    return o.select("o_orderkey", F.round(C.cycle_sin("o_orderdate"), R).alias("doy_sin"),
-                    F.round(C.cycle_cos("o_orderdate"), R).alias("doy_cos"))
+    return o.select("o_orderkey", C.round_half_away(C.cycle_sin("o_orderdate"), R).alias("doy_sin"),
+                    C.round_half_away(C.cycle_cos("o_orderdate"), R).alias("doy_cos"))
 
 
 @query("flag_threshold", """

@@ -7,6 +7,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from sparkpanel.functions.columns import safe_double
 from sparkpanel.operators import documents as D
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -126,7 +127,7 @@ def json_results_explode(spark, sf):
     parsed = docs.select(F.from_json("raw", _TREND_SCHEMA).alias("j"))
     res = parsed.select(F.explode("j.results").alias("r"))
     rows = res.select(F.col("r.title").alias("title"), F.explode("r.data").alias("d"))
-    return rows.select("title", F.col("d.period").alias("period"), F.round("d.ratio", R).alias("ratio"))
+    return rows.select("title", F.col("d.period").alias("period"), C.round_half_away("d.ratio", R).alias("ratio"))
 
 
 def _review_json(c):

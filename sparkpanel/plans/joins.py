@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkpanel.operators import joins, stats
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -21,7 +22,7 @@ def left_join_medians(spark, sf):
     c = t.customer.withColumnRenamed("c_nationkey", "n_nationkey")
     m = stats.quantiles(c, "c_acctbal", {"med": 0.5}, ["n_nationkey"])
     return t.nation.select("n_nationkey", "n_name").join(m, "n_nationkey", "left").select(
-        "n_nationkey", "n_name", F.round("med", R).alias("median_acctbal"))
+        "n_nationkey", "n_name", C.round_half_away("med", R).alias("median_acctbal"))
 
 
 @query("code_name_join", """
@@ -61,7 +62,7 @@ def semi_topk_avg(spark, sf):
     """Keep rows whose key is among the k most frequent keys, then aggregate."""
     p = Tables(spark, sf).part
     s = joins.semi_topk(p, "p_brand", 5)
-    return s.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), R).alias("mean_price"), F.count(F.lit(1)).alias("n"))
+    return s.groupBy("p_brand").agg(C.round_half_away(F.avg("p_retailprice"), R).alias("mean_price"), F.count(F.lit(1)).alias("n"))
 
 
 @query("unmatched_regions", """
@@ -105,5 +106,5 @@ def scenario_cross(spark, sf):
                     for n, f, d in SCENARIOS])
     x = p.select("p_partkey", "p_retailprice", "p_size", F.explode(arr).alias("s"))
     return x.select("p_partkey", F.col("s.name").alias("scenario"),
-                    F.round(F.greatest(F.lit(900.0), F.least(F.lit(1100.0), F.col("p_retailprice") * F.col("s.factor"))), R).alias("score"),
+                    C.round_half_away(F.greatest(F.lit(900.0), F.least(F.lit(1100.0), F.col("p_retailprice") * F.col("s.factor"))), R).alias("score"),
                     F.greatest(F.lit(1), F.least(F.lit(50), F.col("p_size") + F.col("s.shift"))).alias("size_adj"))

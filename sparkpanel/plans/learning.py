@@ -145,7 +145,7 @@ select tp, fp, fn, tn, round((tp + tn) / (tp + tn + fp + fn), {R}) as accuracy,
        round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), {R}) as f1 from c""")
 def threshold_metrics(spark, sf):
     m = ml.threshold_metrics(_scored(spark, sf), "quality", "score", 0.6)
-    return m.select("tp", "fp", "fn", "tn", *[F.round(c, R).alias(c) for c in ["accuracy", "precision", "recall", "f1"]])
+    return m.select("tp", "fp", "fn", "tn", *[C.round_half_away(c, R).alias(c) for c in ["accuracy", "precision", "recall", "f1"]])
 
 
 @query("auc_rank", f"""
@@ -154,8 +154,8 @@ c as (select s, pos, neg, coalesce(sum(neg) over (order by s rows between unboun
 select round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), {R}) as auc from c""")
 def auc_rank(spark, sf):
     """ML8: rank-sum AUC with ties (scores rounded to 2 digits so that ties occur)."""
-    s = _scored(spark, sf).withColumn("score", F.round("score", 2))
-    return ml.auc(s, "quality", "score").select(F.round("auc", R).alias("auc"))
+    s = _scored(spark, sf).withColumn("score", C.round_half_away("score", 2))
+    return ml.auc(s, "quality", "score").select(C.round_half_away("auc", R).alias("auc"))
 
 
 @query("confusion", f"""
@@ -185,7 +185,7 @@ def fit_diagnosis(spark, sf):
     m = ml.threshold_metrics(s, "quality", "score", 0.6, by=["split"])
     w = m.agg(*[F.max(F.when(F.col("split") == sp, F.col(c))).alias(f"{sp}_{n}")
                 for sp in ("train", "test") for c, n in (("accuracy", "acc"), ("f1", "f1"))])
-    return w.select(*[F.round(c, R).alias(c) for c in ["train_acc", "test_acc", "train_f1", "test_f1"]],
+    return w.select(*[C.round_half_away(c, R).alias(c) for c in ["train_acc", "test_acc", "train_f1", "test_f1"]],
                     ml.fit_diagnosis(F.col("train_acc"), F.col("test_acc"), F.col("train_f1"), F.col("test_f1")).alias("diagnosis"))
 
 
@@ -219,7 +219,7 @@ def feature_frame(spark, sf):
     """
     f = _feature_frame(spark, sf)
     flt = ["avg_temp", "rain", "avg_temp_sum30", "avg_temp_avg30", "rain_sum30", "rain_avg30", "hot_flag_avg30", "doy_sin", "doy_cos"]
-    return f.select("day", *[F.round(c, R).alias(c) if c in flt else F.col(c) for c in
+    return f.select("day", *[C.round_half_away(c, R).alias(c) if c in flt else F.col(c) for c in
                              ["avg_temp", "max_temp", "rain", "hot_flag", "rain_flag", "avg_temp_sum30", "avg_temp_avg30",
                               "rain_sum30", "rain_avg30", "hot_flag_sum30", "hot_flag_avg30", "doy_sin", "doy_cos"]]) \
         .withColumn("hot_flag_sum30", F.col("hot_flag_sum30").cast("bigint"))
@@ -259,7 +259,7 @@ def mae_mape(spark, sf):
     g = q.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
                                (F.avg(F.abs(F.try_divide(e, F.col("y")))) * 100).alias("mape"),
                                (1 - F.try_divide(F.sum(e * e), F.sum((F.col("y") - F.col("__m")) ** 2))).alias("r2"))
-    return g.select("split", "n", *[F.round(c, R).alias(c) for c in ["mae", "mape", "r2"]])
+    return g.select("split", "n", *[C.round_half_away(c, R).alias(c) for c in ["mae", "mape", "r2"]])
 
 
 # Rule-mode coefficients of the scenario scorer (temperature, rain) and the clamp range.
@@ -285,5 +285,5 @@ def scenario_rule_score(spark, sf):
     x = p.select("p_partkey", "p_retailprice", F.explode(arr).alias("s"))
     factor = C.clamp(1 + TEMP_COEF * F.col("s.temp_delta") + RAIN_COEF * F.col("s.rain"), CLAMP[0], CLAMP[1])
     pred = F.col("p_retailprice") * factor
-    return x.select("p_partkey", F.col("s.scenario").alias("scenario"), F.round(pred, R).alias("predicted"),
-                    F.round(pred - F.col("p_retailprice"), R).alias("change"), F.round((factor - 1) * 100, R).alias("change_pct"))
+    return x.select("p_partkey", F.col("s.scenario").alias("scenario"), C.round_half_away(pred, R).alias("predicted"),
+                    C.round_half_away(pred - F.col("p_retailprice"), R).alias("change"), C.round_half_away((factor - 1) * 100, R).alias("change_pct"))

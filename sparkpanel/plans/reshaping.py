@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.operators import reshape
 from sparkpanel.operators.joins import dimension_join
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -54,7 +55,7 @@ select o_orderstatus, o_orderpriority, count(*) as n,
 from orders group by 1, 2""")
 def crosstab_row_pct(spark, sf):
     r = reshape.row_percent(Tables(spark, sf).orders, "o_orderstatus", "o_orderpriority")
-    return r.select("o_orderstatus", "o_orderpriority", "n", F.round("pct", R).alias("pct"))
+    return r.select("o_orderstatus", "o_orderpriority", "n", C.round_half_away("pct", R).alias("pct"))
 
 
 @query("crosstab_combined", """
@@ -71,7 +72,7 @@ def crosstab_combined(spark, sf):
         F.count(F.lit(1)).alias("total"), F.grouping("o_orderpriority").alias("__g"))
     return g.select(F.when(F.col("__g") == 1, F.lit("ALL")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
                     *[f"n_{s.lower()}" for s in STATUSES], "total",
-                    *[F.round(F.col(f"n_{s.lower()}") * 100.0 / F.col("total"), R).alias(f"pct_{s.lower()}") for s in STATUSES])
+                    *[C.round_half_away(F.col(f"n_{s.lower()}") * 100.0 / F.col("total"), R).alias(f"pct_{s.lower()}") for s in STATUSES])
 
 
 @query("pivot_items", """
@@ -83,7 +84,7 @@ def pivot_items(spark, sf):
     o = Tables(spark, sf).orders
     d = o.groupBy(F.to_date("o_orderdate").alias("day"), "o_orderpriority").agg(F.avg("o_totalprice").alias("price"))
     w = reshape.pivot_unique(d, "day", "o_orderpriority", "price", PRIORITIES)
-    return w.select("day", *[F.round(F.col(f"`{p}`"), R).alias(f"{_safe(p)}_price") for p in PRIORITIES])
+    return w.select("day", *[C.round_half_away(F.col(f"`{p}`"), R).alias(f"{_safe(p)}_price") for p in PRIORITIES])
 
 
 @query("topcat_share", f"""
@@ -96,7 +97,7 @@ def topcat_share(spark, sf):
 
     p = semi_topk(Tables(spark, sf).part, "p_brand", 15)
     r = reshape.row_percent(p, "p_type", "p_brand")
-    return r.select("p_type", "p_brand", "n", F.round("pct", R).alias("share_pct"))
+    return r.select("p_type", "p_brand", "n", C.round_half_away("pct", R).alias("share_pct"))
 
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkpanel.operators import stats
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.session import scratch_path
 from sparkpanel.sources import files
@@ -73,9 +74,9 @@ def _preagg(spark, sf):
     e = Tables(spark, sf).events
     x = e.select(F.hour("ts").alias("hour"), "event_type", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
     return x.groupBy("hour", "event_type").agg(
-        F.round(F.sum("value"), R).alias("value_sum"), F.round(F.sum("k"), R).alias("k_sum"),
-        F.count("value").alias("value_n"), F.round(F.avg("value"), R).alias("value_mean"),
-        F.round(F.avg("k"), R).alias("k_mean"))
+        C.round_half_away(F.sum("value"), R).alias("value_sum"), C.round_half_away(F.sum("k"), R).alias("k_sum"),
+        F.count("value").alias("value_n"), C.round_half_away(F.avg("value"), R).alias("value_mean"),
+        C.round_half_away(F.avg("k"), R).alias("k_mean"))
 
 
 _PREAGG_SQL = f"""

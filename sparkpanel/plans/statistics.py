@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkpanel.functions.columns import kurt_sample, safe_corr, skew_sample
 from sparkpanel.operators import hypothesis as H
 from sparkpanel.operators import stats
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -26,7 +27,7 @@ def welch_t(spark, sf):
     """Welch t of order price, status F vs O (statistic and df)."""
     o = Tables(spark, sf).orders
     w = H.welch_t(o, "o_totalprice", F.col("o_orderstatus"), "F", "O")
-    return w.select("n_a", "n_b", *[F.round(c, R).alias(c) for c in ["mean_a", "mean_b", "t", "dof"]])
+    return w.select("n_a", "n_b", *[C.round_half_away(c, R).alias(c) for c in ["mean_a", "mean_b", "t", "dof"]])
 
 
 @query("welch_t_test")
@@ -62,7 +63,7 @@ select round(sum(pow(abs(observed - expected), 2) / expected), {R}) as chi2, 8 a
 def chi_square(spark, sf):
     """Independence of order status and customer segment (3 x 5, dof 8)."""
     c = H.chi_square(_status_segment(spark, sf), "o_orderstatus", "c_mktsegment", _STATUSES, _SEGMENTS)
-    return c.select(F.round("chi2", R).alias("chi2"), "dof", F.col("n").cast("bigint"))
+    return c.select(C.round_half_away("chi2", R).alias("chi2"), "dof", F.col("n").cast("bigint"))
 
 
 @query("chi_square_yates", f"""
@@ -79,7 +80,7 @@ def chi_square_yates(spark, sf):
     j = _status_segment(spark, sf).select((F.col("o_orderstatus") == "F").alias("is_f"),
                                           (F.col("c_mktsegment") == "BUILDING").alias("is_b"))
     c = H.chi_square(j, "is_f", "is_b", [False, True], [False, True], yates=True)
-    return c.select(F.round("chi2", R).alias("chi2"), "dof", F.col("n").cast("bigint"))
+    return c.select(C.round_half_away("chi2", R).alias("chi2"), "dof", F.col("n").cast("bigint"))
 
 
 @query("chi_square_test")
@@ -132,15 +133,15 @@ def _funnel_steps():
 @query("funnel", _funnel_sql(None), headline=True)
 def funnel(spark, sf):
     f = H.funnel(_sessions(spark, sf), _funnel_steps())
-    return f.select("step", "step_name", "n", F.round("pct_all", R).alias("pct_all"), F.round("pct_prev", R).alias("pct_prev"))
+    return f.select("step", "step_name", "n", C.round_half_away("pct_all", R).alias("pct_all"), C.round_half_away("pct_prev", R).alias("pct_prev"))
 
 
 @query("funnel_by_segment", _funnel_sql("segment"))
 def funnel_by_segment(spark, sf):
     s = _sessions(spark, sf).withColumn("segment", F.when(F.col("n_signup") > 0, "new").otherwise("returning"))
     f = H.funnel(s, _funnel_steps(), by=["segment"])
-    return f.select("segment", "step", "step_name", "n", F.round("pct_all", R).alias("pct_all"),
-                    F.round("pct_prev", R).alias("pct_prev"))
+    return f.select("segment", "step", "step_name", "n", C.round_half_away("pct_all", R).alias("pct_all"),
+                    C.round_half_away("pct_prev", R).alias("pct_prev"))
 
 
 @query("conversion_rate", f"""
@@ -150,7 +151,7 @@ def conversion_rate(spark, sf):
     """Overall conversion as the mean of a 0/1 flag."""
     s = _sessions(spark, sf)
     return s.agg(F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("n_purchase") > 0).alias("purchases"),
-                 F.round(F.avg(F.when(F.col("n_purchase") > 0, 1.0).otherwise(0.0)), R).alias("rate"))
+                 C.round_half_away(F.avg(F.when(F.col("n_purchase") > 0, 1.0).otherwise(0.0)), R).alias("rate"))
 
 
 # ------------------------------------------------------------------ rules / profiles
@@ -172,7 +173,7 @@ def alert_rules(spark, sf):
                                     F.avg("mean").alias("mean"))
     alert = (F.when(F.col("hot_days") >= 3, "heat").when(F.col("total") > 100000, "rain")
              .when(F.col("mean") < 99, "cold").otherwise("normal"))
-    return a.select("event_type", "hot_days", F.round("total", R).alias("total"), F.round("mean", R).alias("mean"),
+    return a.select("event_type", "hot_days", C.round_half_away("total", R).alias("total"), C.round_half_away("mean", R).alias("mean"),
                     alert.alias("alert"), (alert != "normal").alias("is_alert"))
 
 
@@ -201,7 +202,7 @@ def profile_table(spark, sf):
     m = m.join(stats.quantiles(long, "x", {"median": 0.5}, ["column_name"]), "column_name", "left")
     metrics = ["n", "nulls", "mean", "std", "min", "median", "max", "skew", "n_distinct"]
     out = m.unpivot("column_name", metrics, "metric", "value")
-    return out.select("column_name", "metric", F.round("value", R).alias("value"))
+    return out.select("column_name", "metric", C.round_half_away("value", R).alias("value"))
 
 
 _SHAPE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -226,6 +227,6 @@ def shape_class(spark, sf):
     long = li.agg(*aggs).select(F.inline(F.array(*[F.col(c) for c in _SHAPE_COLS])))
     sk, ku = stats.shape_class(F.col("skew"), F.col("kurt"))
     warn = F.coalesce((F.abs("skew") > 1) | (F.col("kurt") > 3), F.lit(False))
-    return long.select("column_name", F.round("skew", R).alias("skew"), F.round("kurt", R).alias("kurt"),
+    return long.select("column_name", C.round_half_away("skew", R).alias("skew"), C.round_half_away("kurt", R).alias("kurt"),
                        sk.alias("skew_class"), ku.alias("kurt_class"), warn.alias("warn"),
                        stats.corr_strength(F.col("r")).alias("r_class"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.session import scratch_path
 from sparkpanel.sources.tables import Tables
@@ -31,7 +32,7 @@ def stream_kpi_refresh(spark, sf):
     table, ckpt = scratch_path(spark, "kpi-table"), scratch_path(spark, "kpi-ckpt")
     daily.refresh_kpi_table(spark, src, schema, table, ckpt)
     k = daily.read_kpi_table(spark, table)
-    return k.select("event_type", "day", "n", F.round("value_sum", R).alias("value_sum"), "value_max")
+    return k.select("event_type", "day", "n", C.round_half_away("value_sum", R).alias("value_sum"), "value_max")
 
 
 @query("stream_daily_counts", """
@@ -55,5 +56,5 @@ def spike_alerts(spark, sf):
     e = Tables(spark, sf).events
     d = e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     s = daily.spike_flags(d, "event_type", "day")
-    return s.select("event_type", "day", "n", F.round("trailing_mean", R).alias("trailing_mean"),
-                    F.round("trailing_std", R).alias("trailing_std"), "is_spike")
+    return s.select("event_type", "day", "n", C.round_half_away("trailing_mean", R).alias("trailing_mean"),
+                    C.round_half_away("trailing_std", R).alias("trailing_std"), "is_spike")

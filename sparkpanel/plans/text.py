@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkpanel.operators import text as X
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -63,11 +64,11 @@ select term, round(sum(x), {R}) as score from x group by term order by sum(x) de
 def tfidf_top30(spark, sf):
     """H4: vocabulary 30, tokens of >= 2 word characters, L2 norm, summed per term."""
     t = X.tfidf_top(Tables(spark, sf).documents, "doc_id", "text", vocab_size=30, top=30, min_token_len=2)
-    return t.select("term", F.round("score", R).alias("score"))
+    return t.select("term", C.round_half_away("score", R).alias("score"))
 
 
 @query("tfidf_v1000", _tfidf_sql(1000, 1))
 def tfidf_v1000(spark, sf):
     """H5: one-character tokens kept, vocabulary 1000, top 30 by summed score."""
     t = X.tfidf_top(Tables(spark, sf).documents, "doc_id", "text", vocab_size=1000, top=30, min_token_len=1)
-    return t.select("term", F.round("score", R).alias("score"))
+    return t.select("term", C.round_half_away("score", R).alias("score"))

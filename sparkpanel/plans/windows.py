@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions.columns import safe_corr
 from sparkpanel.operators import panel
+from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -34,7 +35,7 @@ def rolling30(spark, sf):
     d = _events_daily(spark, sf)
     r = panel.rolling(d, ["event_type"], "day", ["sum_value", "mean_value"], 30)
     r = panel.rolling(r, ["event_type"], "day", ["n"], 30, fns=("sum",))
-    return r.select("event_type", "day", *[F.round(c, R).alias(c) for c in
+    return r.select("event_type", "day", *[C.round_half_away(c, R).alias(c) for c in
                                            ["sum_value_sum30", "sum_value_avg30", "mean_value_sum30", "mean_value_avg30"]],
                     F.col("n_sum30").cast("bigint"))
 
@@ -52,7 +53,7 @@ _CENTS = "cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint)"
 
 def _sparse_panel(spark, sf, cents: bool = False):
     o = Tables(spark, sf).orders
-    agg = (F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")) if cents else F.avg("o_totalprice")).alias("price")
+    agg = (F.sum(C.round_half_away(F.col("o_totalprice") * 100).cast("bigint")) if cents else F.avg("o_totalprice")).alias("price")
     d = panel.daily(o, "o_orderdate", ["o_orderpriority"], [agg])
     return panel.on_spine(d, "day", ["o_orderpriority"])
 
@@ -77,7 +78,7 @@ select o_orderpriority, day, round(price, {R}) as price,
 from p""")
 def ffill_bfill(spark, sf):
     p = panel.ffill_bfill(_sparse_panel(spark, sf), ["o_orderpriority"], "day", "price", "price_filled")
-    return p.select("o_orderpriority", "day", F.round("price", R).alias("price"), F.round("price_filled", R).alias("price_filled"))
+    return p.select("o_orderpriority", "day", C.round_half_away("price", R).alias("price"), C.round_half_away("price_filled", R).alias("price_filled"))
 
 
 @query("interpolate_linear", _SPARSE_SQL.format(price=_CENTS) + f""",
@@ -94,7 +95,7 @@ select o_orderpriority, day, round(price, {R}) as price,
 from k""")
 def interpolate_linear(spark, sf):
     p = panel.interpolate_linear(_sparse_panel(spark, sf, cents=True), ["o_orderpriority"], "day", "price", "price_interp")
-    return p.select("o_orderpriority", "day", F.round("price", R).alias("price"), F.round("price_interp", R).alias("price_interp"))
+    return p.select("o_orderpriority", "day", C.round_half_away("price", R).alias("price"), C.round_half_away("price_interp", R).alias("price_interp"))
 
 
 @query("lag_corr", """
@@ -131,7 +132,7 @@ def lag_corr(spark, sf):
     g = l.groupBy("item").agg(*[safe_corr("price", f"y{k}").alias(f"r{k}") for k in lags])
     long = g.select("item", F.explode(F.array(*[F.struct(F.lit(k).alias("lag_days"), F.col(f"r{k}").alias("r"))
                                                 for k in lags])).alias("s")).select("item", "s.*")
-    return long.select("item", "lag_days", F.round(F.coalesce("r", F.lit(0.0)), 3).alias("r"))
+    return long.select("item", "lag_days", C.round_half_away(F.coalesce("r", F.lit(0.0)), 3).alias("r"))
 
 
 @query("dedup_keep_first", """
@@ -149,7 +150,7 @@ r as (select *, row_number() over (partition by o_orderpriority order by day des
 select o_orderpriority, list(round(total, 2) order by day) as last_values from r where rn <= 7 group by 1""")
 def last7_array(spark, sf):
     o = Tables(spark, sf).orders
-    d = panel.daily(o, "o_orderdate", ["o_orderpriority"], [F.round(F.sum("o_totalprice"), 2).alias("total")])
+    d = panel.daily(o, "o_orderdate", ["o_orderpriority"], [C.round_half_away(F.sum("o_totalprice"), 2).alias("total")])
     return panel.last_n(d, ["o_orderpriority"], "day", "total", 7)
 
 
@@ -163,7 +164,7 @@ def kpi_last_delta(spark, sf):
     o = Tables(spark, sf).orders
     d = panel.daily(o, "o_orderdate", ["o_orderpriority"], [F.sum("o_totalprice").alias("total")])
     k = panel.last_vs_previous(d, ["o_orderpriority"], "day", "total")
-    return k.select("o_orderpriority", "last_day", *[F.round(c, R).alias(c) for c in ["last", "previous", "change", "change_pct"]])
+    return k.select("o_orderpriority", "last_day", *[C.round_half_away(c, R).alias(c) for c in ["last", "previous", "change", "change_pct"]])
 
 
 @query("full_outer_daily", """
@@ -199,7 +200,7 @@ def media_vs_social_daily(spark, sf):
 def _scored(spark, sf):
     """Fixed score column for curve tests: log10 of document length (ties included)."""
     t = Tables(spark, sf)
-    d = t.documents.select("doc_id", F.round(F.log10(F.col("n_chars") + 1), 1).alias("score"))
+    d = t.documents.select("doc_id", C.round_half_away(F.log10(F.col("n_chars") + 1), 1).alias("score"))
     return t.labels.select("doc_id", "quality").join(d, "doc_id")
 
 
@@ -215,7 +216,7 @@ select score as threshold, cast(tp as bigint) as tp, cast(fp as bigint) as fp,
        round(tp / (select sum(pos) from g), {R}) as tpr, round(fp / (select sum(neg) from g), {R}) as fpr from c""")
 def roc_points(spark, sf):
     c = panel.curve_points(_scored(spark, sf), "score", "quality")
-    return c.select("threshold", "tp", "fp", F.round("tpr", R).alias("tpr"), F.round("fpr", R).alias("fpr"))
+    return c.select("threshold", "tp", "fp", C.round_half_away("tpr", R).alias("tpr"), C.round_half_away("fpr", R).alias("fpr"))
 
 
 @query("pr_points", f"""
@@ -226,4 +227,4 @@ select score as threshold, round(tp / nullif(tp + fp, 0), {R}) as precision,
        round(tp / (select sum(pos) from g), {R}) as recall from c""")
 def pr_points(spark, sf):
     c = panel.curve_points(_scored(spark, sf), "score", "quality")
-    return c.select("threshold", F.round("precision", R).alias("precision"), F.round("tpr", R).alias("recall"))
+    return c.select("threshold", C.round_half_away("precision", R).alias("precision"), C.round_half_away("tpr", R).alias("recall"))
