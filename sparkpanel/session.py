@@ -50,12 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared (distributed) folder and is used as is.
     Only when it is unset (local tests) do we create a scratch folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server's setting applies
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getConf().get("spark.checkpoint.dir", None) if sc else None)
     if not path:
         path = tempfile.mkdtemp(prefix="sparkpanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 
