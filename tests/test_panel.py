@@ -93,3 +93,17 @@ def test_top_n_per_group_salted(spark):
     out = clean.top_n_per_group(df, ["g"], [F.desc("v")], 3, salt_buckets=16, salt_key=F.col("v"))
     got = sorted((r.g, r.v) for r in out.collect())
     assert got == sorted([("hot", 499), ("hot", 498), ("hot", 497), ("cold", 4), ("cold", 3), ("cold", 2)])
+
+
+def test_rank_within_groups_large_is_a_permutation(spark):
+    """Many partitions and a hot group (a third of the rows): ranks per group are exactly 1..n."""
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 97).cast("string"))).alias("g"),
+        F.md5(F.col("id").cast("string")).alias("h"), "id")
+    r = panel.rank_within_groups(df, ["g"], ["h", "id"], n_parts=24)
+    chk = r.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("rank").alias("d"),
+                             F.min("rank").alias("lo"), F.max("rank").alias("hi"))
+    bad = chk.where("d <> n or lo <> 1 or hi <> n").count()
+    assert bad == 0
+    hot = chk.where("g = 'hot'").collect()[0]
+    assert hot.n == 20000
