@@ -42,9 +42,8 @@ def multi_file_match_counts(spark, sf):
     Tables(spark, sf).region.coalesce(1).write.option("header", True).csv(f"{base}/no_status_column")
     spark.range(1).select(F.lit("x").alias("o_orderstatus")).coalesce(1).write.option("header", True).csv(f"{base}/result_out")
     df = files.read_csv_files_with_column(spark, base, "o_orderstatus", "o_orderkey long, o_orderstatus string",
-                                          skip_names=(), suffix=".csv")
-    df = df.withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), "o_orderpriority=([^/]+)/", 1)) \
-        .where(~F.col("_metadata.file_path").contains("/result_out/"))
+                                          skip_names=("/result_out/",), suffix=".csv")
+    df = df.withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), "o_orderpriority=([^/]+)/", 1))
     src = F.replace(F.col("source"), F.lit("%20"), F.lit(" "))
     return df.groupBy(src.alias("source")).agg(F.count(F.lit(1)).alias("n_rows"),
                                                F.count_if(F.coalesce(F.col("o_orderstatus"), F.lit("")).rlike("(?i)f")).alias("n_match"))

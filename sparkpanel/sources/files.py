@@ -105,7 +105,8 @@ def read_csv_files_with_column(spark: SparkSession, folder: str, required: str,
     Returns the rows plus ``source_file``; files whose header lacks the column are
     left out (their names are available from ``csv_headers``).
     """
-    files = [p for p in list_files(folder, suffix) if not any(p.endswith(s) for s in skip_names)]
+    # skip_names: path fragments of files to leave out (e.g. the job's own earlier output folder)
+    files = [p for p in list_files(folder, suffix) if not any(s in p for s in skip_names)]
     if not files:
         return spark.createDataFrame([], schema)
     heads = csv_headers(spark, files)

@@ -156,3 +156,9 @@ def test_mode_values_tie_smallest(spark):
     df = spark.createDataFrame([("a", 3.0), ("a", 1.0), ("a", 3.0), ("a", 1.0), ("b", 7.0), ("a", None)], "g string, v double")
     assert {r.g: r.mode for r in stats.mode_values(df, "v", ["g"]).collect()} == {"a": 1.0, "b": 7.0}
     assert stats.mode_values(df, "v").collect()[0].mode == 1.0
+
+
+def test_quantiles_approx_path_close(spark):
+    df = spark.range(10001).select((F.col("id") * 1.0).alias("v"))
+    q = stats.quantiles(df, "v", {"p50": 0.5, "p90": 0.9}, approx=True).collect()[0]
+    assert abs(q.p50 - 5000) <= 10 and abs(q.p90 - 9000) <= 10
