@@ -89,13 +89,13 @@ k as (select *,
   first_value(price ignore nulls) over (partition by o_orderpriority order by day rows between current row and unbounded following) as nv,
   first_value(case when price is not null then rn end ignore nulls) over (partition by o_orderpriority order by day rows between current row and unbounded following) as nr
   from r)
-select o_orderpriority, day, round(price, {R}) as price,
+select o_orderpriority, day, price,
   round(case when pv is null then null when nv is null or nr = pr then pv
              else pv + (nv - pv) * (rn - pr) / (nr - pr) end, {R}) as price_interp
 from k""")
 def interpolate_linear(spark, sf):
     p = panel.interpolate_linear(_sparse_panel(spark, sf, cents=True), ["o_orderpriority"], "day", "price", "price_interp")
-    return p.select("o_orderpriority", "day", C.round_half_away("price", R).alias("price"), C.round_half_away("price_interp", R).alias("price_interp"))
+    return p.select("o_orderpriority", "day", "price", C.round_half_away("price_interp", R).alias("price_interp"))
 
 
 @query("lag_corr", """
