@@ -63,18 +63,25 @@ def tfidf_top(df: DataFrame, doc_id: str, text: str, vocab_size: int = 30, top:
 
     NULL texts are dropped first (they are not documents); documents without a
     vocabulary term keep a zero vector and add nothing.
+
+    Plan: (1) corpus term totals with a partial aggregation (one small row per
+    distinct term per task), (2) the vocabulary = top ``vocab_size`` terms,
+    broadcast (bounded by the parameter), (3) tokens filtered against it BEFORE the
+    document-term shuffle, so that shuffle carries at most ``vocab_size`` terms per
+    document instead of every distinct (document, term) pair.  Tokenising twice
+    costs CPU; the full document-term table would cost a far larger shuffle.
     """
     docs = df.where(F.col(text).isNotNull()).select(doc_id, F.lower(F.col(text)).alias("__t"))
     n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
     # maximal runs of word characters = split on runs of non-word characters (faster than extract_all)
     toks = docs.select(doc_id, F.explode(F.split("__t", NON_WORD_RUN)).alias("term")) \
         .where(F.length("term") >= max(min_token_len, 1))
-    dt = toks.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
-    stats = dt.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-    vocab = stats.orderBy(F.desc("cf"), "term").limit(vocab_size) \
-        .select("term", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
+    cf = toks.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    vocab = cf.orderBy(F.desc("cf"), "term").limit(vocab_size).select("term")
     # the vocabulary holds at most vocab_size rows: broadcast by construction
-    w = dt.join(F.broadcast(vocab), "term").select(doc_id, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    dt = toks.join(F.broadcast(vocab), "term").groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    idf = dt.groupBy("term").agg((F.log((1 + n_docs) / (1 + F.count(F.lit(1)))) + 1).alias("idf"))
+    w = dt.join(F.broadcast(idf), "term").select(doc_id, "term", (F.col("tf") * F.col("idf")).alias("w"))
     # each document has at most vocab_size rows here, so the per-document window is bounded
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
     scored = w.select("term", (F.col("w") / norm).alias("x"))
