@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet input splits: 128 MB keeps task input well inside executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # distributed ranks checkpoint their range-partitioned input; remove those files
+    # once the DataFrame is garbage-collected instead of keeping them forever
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
