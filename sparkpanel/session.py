@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,8 +51,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared (distributed) folder and is used as is.
-    Only when it is unset (local tests) do we create a scratch folder.
+    The setting is read from the session and used as is.  Only a plain ``local``
+    master (tests: driver and tasks are one process) may go without it and gets a
+    scratch folder; on any other master a missing setting is an error, because a
+    folder on the driver's disk would not be visible to the executors.
     """
     try:
         sc = spark.sparkContext
@@ -59,16 +62,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getConf().get("spark.checkpoint.dir", None) if sc else None)
     if not path:
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the driver and all executors")
         path = tempfile.mkdtemp(prefix="sparkpanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None:
+    if sc is not None and not sc._jsc.getCheckpointDir().isPresent():
         sc.setCheckpointDir(path)
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    import uuid
+def _session_folder(spark: SparkSession, base: str) -> str:
+    """One folder per application for written intermediate tables.
+
+    Hadoop removes it when the driver's JVM ends (``deleteOnExit``), so a finished job
+    leaves nothing behind in the shared folder.
+    """
+    sc = spark.sparkContext
+    folder = f"{base}/sparkpanel-{sc.applicationId}"
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        fs.mkdirs(jpath)
+        fs.deleteOnExit(jpath)
+    return folder
 
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh sub-folder of the shared checkpoint folder for a written intermediate table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_session_folder(spark, base)}/{name}-{uuid.uuid4().hex[:12]}"
