@@ -67,3 +67,65 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return d.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_warc")
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    from sparkpanel.llm.warc import round_trip
+
+    d = round_trip(spark, table(spark, sf_dir, "pages"), min_bytes=0)
+    return d.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: the rules of the URL filter query: host, path, verdict
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query("op6_url_filters", """
+with u as (
+  select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+p as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+r(h, q, rule, v) as (values ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+                            ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')),
+m as (
+  select p.*, (select max_by(struct_pack(rule := rule, v := v), length(rule)) from r
+               where (p.host = r.h or ends_with(p.host, '.' || r.h)) and starts_with(p.path, r.q)) as b from p)
+select page_id, host, path, b.rule as rule, coalesce(b.v, 'allow') as verdict from m
+""")
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL under four rules."""
+    from sparkpanel.llm.url_filter import judge_urls
+
+    literal = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    rules = spark.sql(f"select * from values {literal} as t(host, path, verdict)")
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+@query("op7_kd_sharding")
+def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of eight shards of nearly equal bytes."""
+    from sparkpanel.llm.kd_shard import kd_shards
+
+    d = kd_shards(table(spark, sf_dir, "documents"), n_shards=8)
+    return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op8_sentencepiece")
+def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to piece ids and decoded again: digests of both sides."""
+    from sparkpanel.llm.sentencepiece_viterbi import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op9_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    from sparkpanel.llm.ann import search
+
+    d = search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
+    return d.select("query_id", "rank", "vec_id", "score")
