@@ -13,18 +13,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _meta_patterns(name: str) -> list[str]:
-    """The three attribute orders a meta tag may use."""
-    q = "['\"]"
-    return [rf"(?i)<meta[^>]*property={q}{name}{q}[^>]*content={q}([^'\"]*){q}",
-            rf"(?i)<meta[^>]*name={q}{name}{q}[^>]*content={q}([^'\"]*){q}",
-            rf"(?i)<meta[^>]*content={q}([^'\"]*){q}[^>]*property={q}{name}{q}"]
+#: one attribute: name, then an optional value (double-quoted, single-quoted or bare)
+ATTRIBUTE = r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of the first attribute ``name`` in the inside of a tag; null when absent."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 1), F.lower)
+    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 2)
+    value = F.try_element_at(values, F.nullif(F.array_position(names, name), F.lit(0)).cast("int"))
+    return decode_entities(F.regexp_replace(value, "^[\"']|[\"']$", ""))
 
 
 def meta_content(html: Column, *names: str) -> Column:
-    """First non-empty meta content over the names and attribute orders; else NULL."""
-    cands = [F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for n in names for p in _meta_patterns(n)]
-    return F.coalesce(*cands)
+    """Content of the page's meta tags by name: every ``<meta ...>`` is parsed into its
+    attributes, whatever their order and quotes.  For each of ``names`` in turn a tag whose
+    ``property`` is the name counts before one whose ``name`` is; empty contents are skipped."""
+    tags = F.regexp_extract_all(html, F.lit(r"""(?is)<meta\b((?:[^>"']|"[^"]*"|'[^']*')*)>"""), 1)
+    parsed = F.transform(tags, lambda t: F.struct(F.lower(attribute(t, "property")).alias("property"), F.lower(attribute(t, "name")).alias("name"),
+                                                  F.nullif(attribute(t, "content"), F.lit("")).alias("content")))
+
+    def first(metas: Column, name: str, key: str) -> Column:
+        named = F.filter(metas, lambda m: m[key].eqNullSafe(F.lit(name.lower())) & m["content"].isNotNull())
+        return F.try_element_at(named, F.lit(1))["content"]
+
+    def pick(metas: Column) -> Column:
+        return F.coalesce(*[first(metas, n, key) for n in names for key in ("property", "name")])
+
+    return F.transform(F.array(parsed), pick)[0]
 
 
 def page_title(html: Column) -> Column:
@@ -32,8 +48,9 @@ def page_title(html: Column) -> Column:
 
 
 def decode_entities(x: Column) -> Column:
-    """The five XML entities (bs4 decodes them in text)."""
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]:
+    """The common named entities and their numeric forms (``&amp;`` last, so nothing is decoded twice)."""
+    for ent, ch in [("&lt;", "<"), ("&#60;", "<"), ("&gt;", ">"), ("&#62;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"),
+                    ("&apos;", "'"), ("&#x27;", "'"), ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&#38;", "&"), ("&amp;", "&")]:
         x = F.replace(x, F.lit(ent), F.lit(ch))
     return x
 
@@ -43,19 +60,28 @@ def strip_scripts(html: Column) -> Column:
                             r"(?is)<style[^>]*>.*?</style>", "")
 
 
+#: an anchor's attributes and its inside; a paragraph's inside (attributes of the tag are skipped)
+ANCHOR = r"""(?is)<a\s((?:[^>"']|"[^"]*"|'[^']*')*)>(.*?)</a>"""
+PARAGRAPH = r"""(?is)<p(?:\s(?:[^>"']|"[^"]*"|'[^']*')*)?>(.*?)</p>"""
+
+
+def anchors(html: Column) -> Column:
+    """Array of (href, inside) of the anchors that have an href, in any attribute order and quotes."""
+    found = F.arrays_zip(F.regexp_extract_all(html, F.lit(ANCHOR), 1).alias("tag"), F.regexp_extract_all(html, F.lit(ANCHOR), 2).alias("text"))
+    return F.filter(F.transform(found, lambda a: F.struct(attribute(a["tag"], "href").alias("href"), a["text"].alias("text"))),
+                    lambda a: a["href"].isNotNull())
+
+
 def links(df: DataFrame, id_col: str, html: str) -> DataFrame:
     """H7: one page -> one row per anchor (position, href, text)."""
-    pat = r'(?is)<a\s+href="([^"]*)"[^>]*>(.*?)</a>'
-    arr = F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(pat), 1).alias("href"),
-                       F.regexp_extract_all(F.col(html), F.lit(pat), 2).alias("text"))
-    return df.select(id_col, F.posexplode(arr).alias("pos", "a")).select(
+    return df.select(id_col, F.posexplode(anchors(F.col(html))).alias("pos", "a")).select(
         id_col, (F.col("pos") + 1).alias("link_no"), F.col("a.href").alias("href"),
         F.trim(decode_entities(F.regexp_replace("a.text", "<[^>]+>", ""))).alias("link_text"))
 
 
 def paragraphs(html: Column) -> Column:
-    """Text of every <p>...</p> span (tags stripped, entities decoded, trimmed)."""
-    ps = F.regexp_extract_all(strip_scripts(html), F.lit(r"(?is)<p>(.*?)</p>"), 1)
+    """Text of every <p ...>...</p> span (tags stripped, entities decoded, trimmed)."""
+    ps = F.regexp_extract_all(strip_scripts(html), F.lit(PARAGRAPH), 1)
     return F.transform(ps, lambda p: F.trim(decode_entities(F.regexp_replace(p, "<[^>]+>", ""))))
 
 
@@ -119,10 +145,19 @@ def first_value_type(df: DataFrame, raw: str, keys: list[str], order: str) -> Da
     return long.groupBy("key").agg(F.min_by("t", order).alias("sql_type"))
 
 
+#: keys under which a reviews page may hold its list of records
+REVIEW_LISTS = ("commentList", "comments", "reviews", "commentTagList")
+
+
+def review_records(raw: Column, list_keys=REVIEW_LISTS) -> Column:
+    """Array of record JSON texts: the first of ``list_keys`` that holds a list, else the value itself."""
+    lists = [F.from_json(F.get_json_object(raw, f"$.{k}"), "array<string>") for k in list_keys]
+    return F.coalesce(*lists, F.array(raw))
+
+
 def tolerant_reviews(raw: Column):
-    """Title / content / rating under alternative field names."""
-    title = F.coalesce(F.get_json_object(raw, "$.title"), F.get_json_object(raw, "$.subject"))
-    content = F.coalesce(F.get_json_object(raw, "$.content"), F.get_json_object(raw, "$.body"),
-                         F.get_json_object(raw, "$.text"))
-    rating = F.coalesce(F.get_json_object(raw, "$.rating"), F.get_json_object(raw, "$.score"))
-    return title, content, rating
+    """Title / content / rating under alternative field names, stripped; empty texts count as absent."""
+    def first(*names):
+        return F.coalesce(*[F.nullif(F.trim(F.get_json_object(raw, f"$.{n}")), F.lit("")) for n in names])
+
+    return first("title", "subject"), first("content", "body", "text"), first("rating", "score")

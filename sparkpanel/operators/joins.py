@@ -1,9 +1,7 @@
 """Join operators.
 
-Physical join choice is left to Catalyst/AQE.  A broadcast hint is only added
-behind an explicit size check (``broadcast_if_small``); past the bound the join
-stays a shuffle join, which AQE may still turn into a broadcast at run time from
-measured shuffle sizes.
+Physical join choice is left to Catalyst/AQE: a side is broadcast from its measured
+shuffle bytes when it is below ``spark.sql.autoBroadcastJoinThreshold``, never from a row count.
 """
 
 from __future__ import annotations
@@ -13,23 +11,9 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions.columns import try_cast
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded, cheap job); a side
-    above the bound is returned unchanged and joins by shuffle.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact -> dimension lookup (J2/J5): broadcast the dimension when it is small."""
-    return fact.join(broadcast_if_small(dim, max_rows), on, how)
+def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Fact -> dimension lookup (J2/J5); AQE broadcasts the dimension if its bytes are small."""
+    return fact.join(dim, on, how)
 
 
 def normalise_code(c) -> F.Column:

@@ -8,8 +8,8 @@ long form (column, metric, value) and pivoted only at the edge.
 Exact quantiles and modes never use Spark's ``percentile`` / ``median`` /
 ``mode`` aggregates: those keep every distinct value of a group in ONE
 aggregation buffer (one task), which a group holding a third of the data
-cannot survive.  ``quantiles`` ranks values with a range-partitioned sort
-(``rank_within_groups``) and picks the two neighbouring order statistics;
+cannot survive.  ``quantiles`` counts values and narrows them down by value buckets to the
+two neighbouring order statistics;
 ``mode_values`` counts values with a partial aggregation.  ``approx=True``
 switches quantiles to the bounded-memory ``percentile_approx`` sketch.
 """
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkpanel.functions import columns as C
@@ -34,17 +34,30 @@ def attach(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     return left.withColumn(k, F.lit(1)).join(right.withColumn(k, F.lit(1)), k).drop(k)
 
 
+#: monotone value buckets per unit of ln(1 + |x|), and sub-buckets of a bucket
+_COARSE, _FINE = 1024, 4096
+
+
+def _value_bucket(x: Column) -> Column:
+    """A bucket number that never decreases with x and depends on x alone (NaN sorts last)."""
+    big = 10 ** 9
+    inside = F.floor(F.signum(x) * F.log1p(F.abs(x)) * F.lit(float(_COARSE))).cast("long")
+    return (F.when(F.isnan(x), F.lit(big + 1)).when(x == float("inf"), F.lit(big)).when(x == float("-inf"), F.lit(-big))
+            .otherwise(inside).cast("long"))
+
+
 def quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str] | None = None,
               approx: bool = False) -> DataFrame:
     """Linear-interpolated quantiles (the pandas / ``percentile`` definition) per group.
 
-    Exact path: n per group (partial aggregation), an exact rank of every value
-    inside its group from a range-partitioned sort, then only the rows at ranks
-    floor/ceil((n - 1) p) + 1 survive and are interpolated.  No task ever holds a
-    whole group.  Output: by + one column per name in ``probs``.
+    Exact and lazy, without sorting the table.  Rows collapse to one count per (group, value)
+    in the map tasks, so a value that most rows share costs nothing.  Counts are added up per
+    bucket of values (a monotone function of the value), a running sum over the buckets of a
+    group shows which buckets hold a wanted rank, and only the values of those buckets go on:
+    to sub-buckets between the bucket's smallest and largest value, and at last to the values
+    themselves.  A task never holds a group, only its buckets or the values of one sub-bucket.
+    Null keys and values are left out.  Output: by + one column per name in ``probs``.
     """
-    from sparkpanel.operators.panel import rank_within_groups
-
     by = list(by or [])
     x = F.col(col).cast("double")
     v = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull())
@@ -52,22 +65,38 @@ def quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str] |
         ps = list(probs.values())
         g = (v.groupBy(*by) if by else v).agg(F.percentile_approx("__x", ps, 10000).alias("__q"))
         return g.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(probs)])
-    n = v.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = attach(rank_within_groups(v, by, ["__x"], name="__r"), n, by)
-    pos = {name: (F.col("__n") - 1) * F.lit(p) for name, p in probs.items()}
-    lo = {name: F.floor(c) + 1 for name, c in pos.items()}
-    hi = {name: F.ceil(c) + 1 for name, c in pos.items()}
-    keep = None
-    for name in probs:
-        c = (F.col("__r") == lo[name]) | (F.col("__r") == hi[name])
-        keep = c if keep is None else keep | c
-    picked = ranked.where(keep)
+    for c in by:
+        v = v.where(F.col(c).isNotNull())
+
+    def position(p):
+        return (F.col("__n") - 1) * F.lit(float(p))
+
+    wanted = F.array(*[r for p in probs.values() for r in (F.floor(position(p)) + 1, F.ceil(position(p)) + 1)])
+    upto = lambda keys, order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+
+    def holding(buckets: DataFrame, keys: list[str], bucket: str) -> DataFrame:
+        """Buckets in which a wanted rank falls; __base: values of the group before the bucket."""
+        run = buckets.withColumn("__to", F.col("__start") + F.sum("__c").over(upto(keys, bucket)))
+        run = run.withColumn("__base", F.col("__to") - F.col("__c"))
+        return run.where(F.exists(wanted, lambda r: (r > F.col("__base")) & (r <= F.col("__to"))))
+
+    counts = v.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", _value_bucket(F.col("__x")))
+    coarse = counts.groupBy(*by, "__b").agg(F.sum("__c").alias("__c"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+    coarse = coarse.withColumn("__n", F.sum("__c").over(Window.partitionBy(*by))).withColumn("__start", F.lit(0).cast("long"))
+    first = holding(coarse, by, "__b").select(*by, "__b", "__n", "__base", "__lo", "__hi")
+    share = (F.col("__x") - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+    inner = counts.join(first, [*by, "__b"]).withColumn(
+        "__f", F.when(F.col("__hi") > F.col("__lo"), F.least(F.floor(share * _FINE).cast("int"), F.lit(_FINE - 1))).otherwise(F.lit(0)))
+    fine = inner.groupBy(*by, "__b", "__f").agg(F.sum("__c").alias("__c"), F.first("__n").alias("__n"), F.first("__base").alias("__start"))
+    second = holding(fine, [*by, "__b"], "__f").select(*by, "__b", "__f", F.col("__base").alias("__start"))
+    values = inner.join(second, [*by, "__b", "__f"])
+    run = values.withColumn("__to", F.col("__start") + F.sum("__c").over(upto([*by, "__b", "__f"], "__x")))
+    at = lambda r: F.max(F.when((r <= F.col("__to")) & (r > F.col("__to") - F.col("__c")), F.col("__x")))
     aggs = []
-    for name in probs:
-        aggs += [F.max(F.when(F.col("__r") == lo[name], F.col("__x"))).alias(f"__lo_{name}"),
-                 F.max(F.when(F.col("__r") == hi[name], F.col("__x"))).alias(f"__hi_{name}"),
-                 F.first(pos[name] - F.floor(pos[name])).alias(f"__f_{name}")]
-    g = (picked.groupBy(*by) if by else picked).agg(*aggs)
+    for name, p in probs.items():
+        aggs += [at(F.floor(position(p)) + 1).alias(f"__lo_{name}"), at(F.ceil(position(p)) + 1).alias(f"__hi_{name}"),
+                 F.first(position(p) - F.floor(position(p))).alias(f"__f_{name}")]
+    g = (run.groupBy(*by) if by else run).agg(*aggs)
     return g.select(*by, *[(F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")).alias(n)
                            for n in probs])
 
@@ -281,30 +310,27 @@ def box_outliers(df: DataFrame, col: str, by: list[str], approx: bool = False) -
     return j.where((x < F.col("q1") - 1.5 * iqr) | (x > F.col("q3") + 1.5 * iqr)).drop("q1", "q3")
 
 
-def kde_grid(df: DataFrame, col: str, n_grid: int = 64, pre_bins: int = 1024,
-             bandwidth: float | None = None) -> DataFrame:
-    """Gaussian kernel density on an even grid.
+def kde_grid(df: DataFrame, col: str, n_grid: int = 64, bandwidth: float | None = None) -> DataFrame:
+    """Gaussian kernel density on an even grid (A39), over every value.
 
-    Rows are first reduced to at most ``pre_bins`` weighted bin centres (a partial
-    aggregation); every centre then emits its contribution to the ``n_grid``
-    points (a generator, pre_bins x n_grid rows whatever the data size), summed
-    per grid point.  Bandwidth defaults to Scott's rule, n^(-1/5) * std.
+    Equal values collapse to one weighted value (partial aggregation); one more aggregation
+    holds a sum per grid point, so each value is read once and nothing is multiplied out.
+    Bandwidth defaults to Scott's rule, n^(-1/5) * std.
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     # one scalar subquery with every statistic the grid needs (evaluated once, reused)
     st = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").cast("double").alias("n"),
                            (F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("bw"))).scalar()
-    lo, hi, n = st.getField("lo"), st.getField("hi"), st.getField("n")
-    bw = F.lit(float(bandwidth)) if bandwidth else st.getField("bw")
-    binned = vals.select(equal_width_bin("x", lo, hi, pre_bins).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("w"))
-    centres = binned.select((lo + (F.col("b") - 0.5) * (hi - lo) / F.lit(pre_bins)).alias("c"), "w")
-    contrib = centres.select("c", "w", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))).alias("g"))
-    gx = lo + F.col("g") * (hi - lo) / F.lit(n_grid - 1)
-    z = (gx - F.col("c")) / bw
-    dens = contrib.groupBy("g").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
-    return dens.select("g", gx.alias("x"),
-                       (F.col("s") / (n * bw * F.lit((2 * 3.141592653589793) ** 0.5))).alias("density"))
+    weighted = vals.groupBy("x").agg(F.count(F.lit(1)).alias("w")).withColumn("st", st)
+    lo, hi = F.col("st.lo"), F.col("st.hi")
+    bw = F.lit(float(bandwidth)) if bandwidth else F.col("st.bw")
+    at = lambda g: lo + F.lit(g) * (hi - lo) / F.lit(n_grid - 1)
+    z = lambda g: (at(g) - F.col("x")) / bw
+    sums = weighted.agg(F.first("st").alias("st"), *[F.sum(F.col("w") * F.exp(-0.5 * z(g) * z(g))).alias(f"s{g}") for g in range(n_grid)])
+    scale = F.col("st.n") * bw * F.lit((2 * 3.141592653589793) ** 0.5)
+    rows = [F.struct(F.lit(g).alias("g"), at(g).alias("x"), (F.col(f"s{g}") / scale).alias("density")) for g in range(n_grid)]
+    return sums.where(F.col("st.n") > 0).select(F.inline(F.array(*rows)))
 
 
 # ---------------------------------------------------------------- misc

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 # The stop-word list of the keyword-frequency report.
 STOP_WORDS = ["및", "그", "이", "그것", "저", "또는", "의", "를", "을", "은", "는", "가", "에", "로", "으로",
               "과", "와", "에서", "합니다", "있습니다", "하는", "할", "한", "등"]
+# White space as Python's str.split and Unicode regex classes know it (also ideographic and no-break spaces).
+BLANKS = r"\s\x1c-\x1f\x{85}\p{Z}"
 # Characters kept by the frequency report: Hangul syllables, ASCII letters, digits, blanks.
-KEEP_CLASS = r"[^가-힣a-zA-Z0-9\s]"
+KEEP_CLASS = rf"[^가-힣a-zA-Z0-9{BLANKS}]"
 # Token class of the TF-IDF reports: letters, digits, underscore (unicode word characters).
 WORD_RUN = r"[\p{L}\p{N}_]+"
 NON_WORD_RUN = r"[^\p{L}\p{N}_]+"
@@ -33,12 +35,22 @@ def clean_for_frequency(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]+>|" + KEEP_CLASS, "")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan (fewer splits than the session has cores) to all cores.
+
+    A big table already has more splits than that and is returned as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def frequency_tokens(df: DataFrame, text: str, keep: list[str] | None = None, min_len: int = 2,
                      stop_words: list[str] | None = None) -> DataFrame:
     """whitespace tokens of the cleaned text, length >= min_len, stop words removed."""
     keep = keep or []
     stop_words = STOP_WORDS if stop_words is None else stop_words
-    t = df.select(*keep, F.explode(F.split(clean_for_frequency(F.coalesce(F.col(text), F.lit(""))), r"\s+")).alias("token"))
+    cleaned = clean_for_frequency(F.coalesce(F.col(text), F.lit("")))
+    t = spread(df.select(*keep, text)).select(*keep, F.explode(F.split(cleaned, f"[{BLANKS}]+")).alias("token"))
     return t.where((F.length("token") >= min_len) & ~F.col("token").isin(stop_words))
 
 
@@ -71,7 +83,7 @@ def tfidf_top(df: DataFrame, doc_id: str, text: str, vocab_size: int = 30, top:
     document instead of every distinct (document, term) pair.  Tokenising twice
     costs CPU; the full document-term table would cost a far larger shuffle.
     """
-    docs = df.where(F.col(text).isNotNull()).select(doc_id, F.lower(F.col(text)).alias("__t"))
+    docs = spread(df.where(F.col(text).isNotNull()).select(doc_id, text)).select(doc_id, F.lower(F.col(text)).alias("__t"))
     n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
     # maximal runs of word characters = split on runs of non-word characters (faster than extract_all)
     toks = docs.select(doc_id, F.explode(F.split("__t", NON_WORD_RUN)).alias("term")) \

@@ -9,27 +9,42 @@ from sparkpanel.functions.columns import safe_double
 from sparkpanel.operators import documents as D
 from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
+from sparkpanel.session import scratch_path
+from sparkpanel.sources import files
 from sparkpanel.sources.tables import Tables
 
 R = 4
 
 
-def _meta_sql(name: str) -> list[str]:
-    q, nq = "[''\"]", "[^''\"]"  # quote classes, single quote doubled for SQL
-    return [f"nullif(regexp_extract(html, '(?i)<meta[^>]*property={q}{name}{q}[^>]*content={q}({nq}*){q}', 1), '')",
-            f"nullif(regexp_extract(html, '(?i)<meta[^>]*name={q}{name}{q}[^>]*content={q}({nq}*){q}', 1), '')",
-            f"nullif(regexp_extract(html, '(?i)<meta[^>]*content={q}({nq}*){q}[^>]*property={q}{name}{q}', 1), '')"]
+_DECODE_SQL = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+# DuckDB: the inside of a tag, and one attribute's value in it (single quotes doubled for SQL)
+_INSIDE = """(?:[^>"'']|"[^"]*"|''[^'']*'')*"""
+_ATTR = """(?is)(?:^|[\\s"''/]){name}\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)"""
+_ANCHOR = f"(?is)<a\\s({_INSIDE})>(.*?)</a>"
+
+
+def _attr_sql(tag: str, name: str) -> str:
+    value = f"nullif(regexp_extract({tag}, '{_ATTR.format(name=name)}', 1), '')"
+    return _DECODE_SQL.format(x=f"regexp_replace({value}, '^[\"'']|[\"'']$', '', 'g')")
+
+
+def _meta_sql(name: str) -> str:
+    """First non-empty content of a tag with this property, else with this name."""
+    pick = ("list_filter(list_transform(list_filter(metas, lambda m: lower({key}) = '{name}'), "
+            "lambda m: nullif({content}, '')), lambda c: c is not null)[1]")
+    return ", ".join(pick.format(key=_attr_sql("m", k), name=name, content=_attr_sql("m", "content")) for k in ("property", "name"))
 
 
 @query("html_meta", f"""
 select page_id, coalesce(nullif(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), ''),
                          nullif(trim(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)), '')) as page_title,
-       coalesce({', '.join(_meta_sql('description') + _meta_sql('og:description'))}) as meta_description,
-       coalesce({', '.join(_meta_sql('og:image'))}) as meta_image,
+       coalesce({_meta_sql('description')}, {_meta_sql('og:description')}) as meta_description,
+       coalesce({_meta_sql('og:image')}) as meta_image,
        lang
-from (select page_id, html, regexp_extract(html, '<html lang="([^"]*)"', 1) as lang from pages)""")
+from (select page_id, html, regexp_extract(html, '<html lang="([^"]*)"', 1) as lang,
+             regexp_extract_all(html, '(?is)<meta\\b({_INSIDE})>', 1) as metas from pages)""")
 def html_meta(spark, sf):
-    """H6: title (fallback h1), meta description and image over three attribute orders."""
+    """H6: title (fallback h1), meta description and image from parsed meta tags."""
     p = Tables(spark, sf).pages
     h = F.col("html")
     title = F.coalesce(F.nullif(D.page_title(h), F.lit("")),
@@ -40,12 +55,9 @@ def html_meta(spark, sf):
                     F.regexp_extract(h, r'<html lang="([^"]*)"', 1).alias("lang"))
 
 
-_DECODE_SQL = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
-
-
 @query("html_cards", f"""
-with a as (select page_id, regexp_extract_all(html, '(?is)<a\\s+href="([^"]*)"[^>]*>(.*?)</a>', 1) as hrefs,
-                  regexp_extract_all(html, '(?is)<a\\s+href="([^"]*)"[^>]*>(.*?)</a>', 2) as texts from pages),
+with a as (select page_id, list_transform(regexp_extract_all(html, '{_ANCHOR}', 1), lambda t: {_attr_sql('t', 'href')}) as hrefs,
+                  regexp_extract_all(html, '{_ANCHOR}', 2) as texts from pages),
 u as (select page_id, unnest(generate_series(1, len(hrefs))) as link_no, hrefs, texts from a)
 select page_id, link_no, hrefs[link_no] as href,
        trim({_DECODE_SQL.format(x="regexp_replace(texts[link_no], '<[^>]+>', '', 'g')")}) as link_text from u""")
@@ -57,7 +69,7 @@ def html_cards(spark, sf):
 @query("page_summary", f"""
 with s as (select page_id, regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'),
                                           '(?is)<style[^>]*>.*?</style>', '', 'g') as h from pages),
-p as (select page_id, list_filter(list_transform(regexp_extract_all(h, '(?is)<p>(.*?)</p>', 1),
+p as (select page_id, list_filter(list_transform(regexp_extract_all(h, '(?is)<p(?:\\s{_INSIDE})?>(.*?)</p>', 1),
         lambda x: trim({_DECODE_SQL.format(x="regexp_replace(x, '<[^>]+>', '', 'g')")})), lambda x: length(x) > 10) as ps from s)
 select page_id, case when len(ps) = 0 then null when length(ps[1]) > 100 then left(ps[1], 100) || '...' else ps[1] end as summary,
        ps[2:4] as details from p""")
@@ -97,10 +109,14 @@ select cast(day(ts) as int) as page, event_id as item_index,
        '{"event_type":"' || event_type || '","value":' || cast(value as varchar) || ',"props":' || cast(json(props) as varchar) || '}' as raw_data
 from events""")
 def json_landing(spark, sf):
-    """Raw-JSON landing rows (page, item_index, raw_data); the append sink is in sources.files."""
+    """Raw-JSON landing rows (page, item_index, raw_data) appended to the landing table, read back."""
     e = Tables(spark, sf).events
     raw = F.to_json(F.struct("event_type", "value", F.parse_json("props").alias("props")))
-    return e.select(F.dayofmonth("ts").alias("page"), F.col("event_id").alias("item_index"), raw.alias("raw_data"))
+    out = scratch_path(spark, "landing")
+    rows = e.select(F.dayofmonth("ts").alias("page"), F.col("event_id").alias("item_index"), raw.alias("raw_data"))
+    for part in (F.col("page") <= 15, F.col("page") > 15):  # two scrape runs
+        files.append_json_landing(rows.where(part), out)
+    return spark.read.parquet(out).where(F.col("scraped_at").isNotNull()).drop("scraped_at")
 
 
 _TREND_SCHEMA = "struct<results: array<struct<title: string, keywords: array<string>, data: array<struct<period: string, ratio: double>>>>>"
@@ -201,12 +217,13 @@ def json_path_defaults(spark, sf):
                     safe_double(F.when(F.col("event_type") == "error", F.lit(" ")).otherwise(raw_k)).alias("k_safe"))
 
 
-@query("link_list_text", """
-with a as (select page_id, regexp_extract_all(html, '(?is)<a\\s+href="([^"]*)"[^>]*>(.*?)</a>', 1) as hrefs from pages)
+@query("link_list_text", f"""
+with a as (select page_id, list_filter(list_transform(regexp_extract_all(html, '{_ANCHOR}', 1), lambda t: {_attr_sql('t', 'href')}),
+                                       lambda x: x is not null) as hrefs from pages)
 select page_id, array_to_string(hrefs, ', ') as links_text, list_sort(list_distinct(hrefs)) as distinct_links from a""")
 def link_list_text(spark, sf):
     """F9 / A2f: a page's link list as comma text, and as a sorted distinct array."""
     p = Tables(spark, sf).pages
-    hrefs = F.regexp_extract_all(F.col("html"), F.lit(r'(?is)<a\s+href="([^"]*)"[^>]*>(.*?)</a>'), 1)
+    hrefs = F.transform(D.anchors(F.col("html")), lambda a: a["href"])
     return p.select("page_id", F.array_join(hrefs, ", ").alias("links_text"),
                     F.array_sort(F.array_distinct(hrefs)).alias("distinct_links"))

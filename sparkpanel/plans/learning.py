@@ -75,12 +75,18 @@ def _features(spark, sf):
     return j, ["log_chars", "n_words", "n_lines", "n_digits", "upper_share", *lang_cols]
 
 
-def _eval_model(spark, sf, kind, **params):
+def scored_splits(spark, sf, kind, **params):
+    """Fit on the oversampled training side; (scored train, scored test, model, feature columns)."""
     data, cols = _features(spark, sf)
     s = ml.stratified_split(data, "quality", "doc_id", 0.2, 42)
     train = ml.oversample(s.where(F.col("split") == "train"), "quality", "doc_id", 42)
     test = s.where(F.col("split") == "test")
     model, scored_test, scored_train = ml.fit_score(train, test, cols, "quality", kind, **params)
+    return scored_train, scored_test, model, cols
+
+
+def _eval_model(spark, sf, kind, **params):
+    scored_train, scored_test, model, cols = scored_splits(spark, sf, kind, **params)
     rows = []
     for name, sc in (("train", scored_train), ("test", scored_test)):
         m = ml.threshold_metrics(sc, "quality", "score", 0.5).select("accuracy", "precision", "recall", "f1")

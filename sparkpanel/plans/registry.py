@@ -39,5 +39,5 @@ def load_all() -> None:
     from importlib import import_module
 
     for mod in ("scans", "cleaning", "joins", "aggregates", "statistics", "reshaping",
-                "windows", "text", "documents", "learning", "streams"):
+                "windows", "text", "documents", "learning", "streams", "reports"):
         import_module(f"sparkpanel.plans.{mod}")

@@ -43,7 +43,7 @@ def multi_file_match_counts(spark, sf):
     spark.range(1).select(F.lit("x").alias("o_orderstatus")).coalesce(1).write.option("header", True).csv(f"{base}/result_out")
     df = files.read_csv_files_with_column(spark, base, "o_orderstatus", "o_orderkey long, o_orderstatus string",
                                           skip_names=("/result_out/",), suffix=".csv")
-    df = df.withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), "o_orderpriority=([^/]+)/", 1))
+    df = df.withColumn("source", F.regexp_extract("source_path", "o_orderpriority=([^/]+)/", 1))
     src = F.replace(F.col("source"), F.lit("%20"), F.lit(" "))
     return df.groupBy(src.alias("source")).agg(F.count(F.lit(1)).alias("n_rows"),
                                                F.count_if(F.coalesce(F.col("o_orderstatus"), F.lit("")).rlike("(?i)f")).alias("n_match"))
@@ -63,10 +63,36 @@ def merge_part_files(spark, sf):
                                   "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
 
 
-@query("parquet_file_stats")
+@query("parquet_file_stats", "select count(*) as num_rows, cast(11 as bigint) as num_columns from lineitem")
 def parquet_file_stats(spark, sf):
-    """Parquet footer report (rows-only check; footers are read by tasks)."""
-    return files.parquet_footers(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+    """Rows and columns by the Parquet footers (read by tasks), summed over the table's files."""
+    f = files.parquet_footers(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+    return f.agg(F.sum("num_rows").alias("num_rows"), F.max("num_columns").alias("num_columns"))
+
+
+@query("narrowed_types", """
+select n_name, cast(n_nationkey as tinyint) as n_nationkey, cast(n_regionkey as tinyint) as n_regionkey from nation""")
+def narrowed_types(spark, sf):
+    """Whole-number columns narrowed to the smallest type before the Parquet sink, read back."""
+    out = scratch_path(spark, "narrow")
+    files.write_parquet(Tables(spark, sf).nation.select("n_name", "n_nationkey", "n_regionkey"), out, narrow=True)
+    return spark.read.parquet(out)
+
+
+@query("typed_insert", """
+select p_partkey, p_name, case when p_size >= 40 then null else p_size end as p_size, p_retailprice from part
+union all select p_partkey + 1000000, p_name, null, null from part where p_size < 10""")
+def typed_insert(spark, sf):
+    """Records of text fields appended to a typed table in two inserts; unparsable sizes become NULL."""
+    out = scratch_path(spark, "products")
+    p = Tables(spark, sf).part
+    size = F.when(F.col("p_size") >= 40, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
+    rows = p.select(F.col("p_partkey").cast("string"), "p_name", size.alias("p_size"), F.col("p_retailprice").cast("string"))
+    schema = "p_partkey long, p_name string, p_size int, p_retailprice double"
+    files.typed_append(rows, out, schema)
+    more = p.where("p_size < 10").select((F.col("p_partkey") + 1000000).cast("string").alias("p_partkey"), "p_name")
+    files.typed_append(more, out, schema)
+    return spark.read.parquet(out)
 
 
 def _preagg(spark, sf):

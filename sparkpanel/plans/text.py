@@ -18,7 +18,7 @@ def _tokens_sql(src: str, keep: str = "") -> str:
     sel = f"{keep}, " if keep else ""
     return f"""(select {sel}token from (
   select {sel}unnest(regexp_split_to_array(regexp_replace(regexp_replace(coalesce(text, ''), '<[^>]+>', '', 'g'),
-                                                           '[^가-힣a-zA-Z0-9\\s]', '', 'g'), '\\s+')) as token from {src})
+                                                           '[^가-힣a-zA-Z0-9{X.BLANKS}]', '', 'g'), '[{X.BLANKS}]+')) as token from {src})
   where length(token) >= 2 and token not in ({_STOP_SQL}))"""
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # ---------------------------------------------------------------- registry
 
@@ -62,14 +62,19 @@ def _resolve(path: str):
     """(pyarrow filesystem, path inside it) for local paths and scheme://authority/... URIs."""
     from pyarrow import fs
 
-    if "://" not in path or path.startswith("file://"):
-        return fs.LocalFileSystem(), path.removeprefix("file://")
+    if "://" not in path or path.startswith("file:"):
+        return fs.LocalFileSystem(), path.removeprefix("file://").removeprefix("file:")
     scheme, rest = path.split("://", 1)
     authority, _, inner = rest.partition("/")
     filesystem, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
     return filesystem, (f"{authority}/{inner}" if scheme in ("s3", "gs", "abfs") else "/" + inner)
 
 
+def _plain(path: str) -> str:
+    """A local path without its ``file:`` scheme, for comparing the two spellings."""
+    return path.removeprefix("file://").removeprefix("file:")
+
+
 def list_files(path: str, suffix: str = "") -> list[str]:
     """File listing (metadata only) through pyarrow's filesystem layer (local, HDFS, object stores)."""
     from pyarrow import fs
@@ -81,56 +86,104 @@ def list_files(path: str, suffix: str = "") -> list[str]:
                   and not i.base_name.startswith(("_", ".")))
 
 
-def _first_lines(batches):
+def _first_record(stream) -> list[str]:
+    """Field names of a CSV stream's first record, however long it is (quoted names may hold commas and breaks)."""
+    import csv
+    import io
+
+    text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="")
+    return next(csv.reader(text), [])
+
+
+def _headers(batches):
     for pdf in batches:
         out = []
         for p in pdf["path"]:
             filesystem, root = _resolve(p)
             with filesystem.open_input_stream(root) as f:
-                head = f.read(65536).decode("utf-8", errors="replace")
-            out.append(head.splitlines()[0].lstrip("﻿") if head else "")
+                out.append(_first_record(f))
         yield pd.DataFrame({"path": pdf["path"], "header": out})
 
 
 def csv_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First line of every file, read by tasks (one file per task slot)."""
+    """(path, header array<string>) of every file, read by tasks."""
     df = spark.createDataFrame([(p,) for p in paths], "path string")
-    return df.repartition(max(1, min(len(paths), 256))).mapInPandas(_first_lines, "path string, header string")
+    return df.repartition(max(1, min(len(paths), 256))).mapInPandas(_headers, "path string, header array<string>")
 
 
-def read_csv_files_with_column(spark: SparkSession, folder: str, required: str, schema, skip_names=(),
+def read_csv_files_with_column(spark: SparkSession, folder: str, required: str, schema: StructType | str, skip_names=(),
                                suffix: str = ".csv") -> DataFrame:
     """Every CSV under ``folder`` that has column ``required``, skipping own outputs.
 
-    Returns the rows plus ``source_file``; files whose header lacks the column are
-    left out (their names are available from ``csv_headers``).
+    Columns are taken by NAME: files are grouped by their header, each group is read in its
+    own column order, and the groups are united by name; a column of ``schema`` that a file
+    lacks is null.  Adds ``source_file`` and ``source_path``.  No matching file: an empty
+    frame with the same columns.
     """
     # skip_names: path fragments of files to leave out (e.g. the job's own earlier output folder)
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = {f.name: f.dataType for f in wanted.fields}
     files = [p for p in list_files(folder, suffix) if not any(s in p for s in skip_names)]
-    if not files:
-        return spark.createDataFrame([], schema)
-    heads = csv_headers(spark, files)
-    ok = [r["path"] for r in heads.where(F.array_contains(F.split("header", ","), F.lit(required))).collect()]
-    df = read_csv(spark, ok, schema) if ok else spark.createDataFrame([], schema)
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    groups: dict[tuple, list[str]] = {}
+    if files:
+        for r in csv_headers(spark, files).where(F.array_contains("header", required)).collect():
+            groups.setdefault(tuple(r["header"]), []).append(r["path"])
+    empty = StructType(wanted.fields + [StructField("source_file", StringType()), StructField("source_path", StringType())])
+    out = spark.createDataFrame([], empty)
+    for header, paths in sorted(groups.items()):
+        own = StructType()
+        for i, name in enumerate(header):
+            first = name in kinds and name not in header[:i]
+            own = own.add(name if first else f"__{i}", kinds[name] if first else StringType())
+        part = read_csv(spark, sorted(paths), own, multiLine=True)
+        part = part.select(*[(F.col(f"`{c}`") if c in header else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()],
+                           F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("source_path"))
+        out = out.unionByName(part)
+    return out
 
 
 def merge_part_files(spark: SparkSession, template: str, pages: range, schema) -> DataFrame:
-    """S3: header-once concat of numbered page files; missing pages are tolerated."""
-    existing = set(list_files(template.rsplit("/", 2)[0]))
-    paths = []
-    for i in pages:
-        p = template.format(page=i)
-        paths.extend(f for f in existing if f.startswith(p.rstrip("/") + "/") or f == p)
-    return read_csv(spark, sorted(paths), schema) if paths else spark.createDataFrame([], schema)
+    """S3: header-once concat of numbered page files; missing pages are tolerated.
+
+    Only the folder that holds the pages (the template up to its last ``/`` before the page
+    number) is listed, once.
+    """
+    existing = list_files(template[:template.index("{")].rsplit("/", 1)[0])
+    wanted = [_plain(template.format(page=i)).rstrip("/") for i in pages]
+    paths = [f for f in existing if any(_plain(f) == p or _plain(f).startswith(p + "/") for p in wanted)]
+    return read_csv(spark, paths, schema) if paths else spark.createDataFrame([], schema)
 
 
 # ---------------------------------------------------------------- Parquet
 
+def narrow_types(df: DataFrame) -> DataFrame:
+    """Every whole-number column cast to the smallest type that holds its values (one aggregation)."""
+    whole = [f.name for f in df.schema.fields if f.dataType.typeName() in ("short", "integer", "long")]
+    if not whole:
+        return df
+    row = df.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in whole]).first()
+
+    def fit(lo, hi, own):
+        for name, bits in (("tinyint", 7), ("smallint", 15), ("int", 31)):
+            if lo is not None and -(1 << bits) <= lo and hi < 1 << bits:
+                return name
+        return own
+
+    kinds = {c: fit(row[c]["lo"], row[c]["hi"], df.schema[c].dataType.simpleString()) for c in whole}
+    return df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+
+
+def typed_append(df: DataFrame, path: str, schema: StructType | str) -> None:
+    """Append records of text fields to a typed table; a value that does not parse becomes NULL."""
+    kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in kinds.fields]).write.mode("append").parquet(path)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                  compression: str = "snappy") -> None:
-    """Parquet sink (snappy), optionally partitioned for later pruning."""
-    w = df.write.mode(mode).option("compression", compression)
+                  compression: str = "snappy", narrow: bool = False) -> None:
+    """Parquet sink (snappy), optionally partitioned for later pruning and with narrowed types."""
+    w = (narrow_types(df) if narrow else df).write.mode(mode).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -156,7 +209,11 @@ def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
 
     The file list is metadata; footers are read by tasks (``mapInPandas``).
     """
-    files = list_files(path, ".parquet") if not path.endswith(".parquet") else [path]
+    from pyarrow import fs
+
+    filesystem, root = _resolve(path)
+    folder = filesystem.get_file_info(root).type == fs.FileType.Directory  # Spark names its folders x.parquet too
+    files = list_files(path, ".parquet") if folder else [path]
     df = spark.createDataFrame([(p,) for p in files], "path string")
     return df.repartition(max(1, min(len(files), 256))).mapInPandas(
         _footers, "path string, num_rows long, num_columns long, num_row_groups long, format_version string, size_bytes long")
@@ -164,7 +221,7 @@ def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
 
 def lookup_partition(spark: SparkSession, path: str, column: str, value) -> DataFrame:
     """Parameterised read ``... WHERE column = :v`` of a partitioned table (partition pruning)."""
-    return spark.sql(f"select * from parquet.`{path}` where {column} = :v", args={"v": value})
+    return spark.read.parquet(path).where(F.col(f"`{column}`") == F.lit(value))
 
 
 # ---------------------------------------------------------------- JSON
@@ -190,41 +247,53 @@ register_source("json")(lambda spark, path, schema=None, **o: (spark.read.schema
 
 # ---------------------------------------------------------------- zipped CSV
 
-def _unzip_lines(batches):
-    """Each binary row is one .zip archive; emit its CSV members line by line.
+def _unzip_records(batches):
+    """Each binary row is one .zip archive; emit the records of its CSV members in blocks.
 
-    Members are decoded as UTF-8, falling back to CP949 (the Korean code page) when
-    UTF-8 fails.  A zip archive is not splittable, so one archive is one task's input;
-    parsing the lines into columns happens afterwards in Spark (``from_csv``).
+    Members are decoded as UTF-8 and read again as CP949 (the Korean code page) if that
+    fails.  Records are parsed as CSV, so a quoted field may hold line breaks.  A zip archive
+    is not splittable, so one archive is one task's input; members are streamed.
     """
+    import csv
     import io
     import zipfile
 
+    def encoding_of(zf, info):
+        try:
+            with io.TextIOWrapper(zf.open(info), encoding="utf-8-sig") as f:
+                while f.read(1 << 20):
+                    pass
+            return "utf-8-sig"
+        except UnicodeDecodeError:
+            return "cp949"
+
     for pdf in batches:
-        paths, members, numbers, lines = [], [], [], []
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 for info in zf.infolist():
                     if info.is_dir() or not info.filename.lower().endswith(".csv"):
                         continue
-                    raw = zf.read(info)
-                    try:
-                        text = raw.decode("utf-8-sig")
-                    except UnicodeDecodeError:
-                        text = raw.decode("cp949")
-                    for i, line in enumerate(text.splitlines()):
-                        paths.append(path)
-                        members.append(info.filename)
-                        numbers.append(i)
-                        lines.append(line)
-        yield pd.DataFrame({"path": paths, "member": members, "line_no": numbers, "line": lines})
-
-
-def read_zipped_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    """CSV members of zip archives (``binaryFile`` + ``mapInPandas``), parsed with ``from_csv``."""
+                    with io.TextIOWrapper(zf.open(info), encoding=encoding_of(zf, info), newline="") as f:
+                        rows = []
+                        for i, fields in enumerate(csv.reader(f)):
+                            rows.append((path, info.filename, i, fields))
+                            if len(rows) >= 5000:
+                                yield pd.DataFrame(rows, columns=["path", "member", "record_no", "fields"])
+                                rows = []
+                        if rows:
+                            yield pd.DataFrame(rows, columns=["path", "member", "record_no", "fields"])
+
+
+def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
+    """CSV members of zip archives (``binaryFile`` + ``mapInPandas``), columns by position.
+
+    Empty and unparsable fields are NULL; blank records are skipped.
+    """
+    kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    lines = raw.mapInPandas(_unzip_lines, "path string, member string, line_no long, line string")
+    records = raw.mapInPandas(_unzip_records, "path string, member string, record_no long, fields array<string>")
+    records = records.where(F.size("fields") > 0)
     if header:
-        lines = lines.where(F.col("line_no") > 0)
-    parsed = lines.select(F.from_csv("line", schema).alias("r"))
-    return parsed.select("r.*")
+        records = records.where(F.col("record_no") > 0)
+    return records.select(*[F.nullif(F.get("fields", F.lit(i)), F.lit("")).try_cast(f.dataType).alias(f.name)
+                            for i, f in enumerate(kinds.fields)])

@@ -128,3 +128,33 @@ def test_nested_flatten(spark):
     df = spark.createDataFrame([(1, {"a": 1, "b": {"c": "x"}})], "id int, p struct<a:int, b:struct<c:string>>")
     out = documents.flatten_struct(df, "p")
     assert out.columns == ["id", "p_a", "p_b_c"]
+
+
+def test_meta_links_and_paragraphs_in_any_attribute_form(spark):
+    from pyspark.sql import functions as F
+
+    from sparkpanel.operators import documents as D
+
+    html = ("<META content='first &amp; last' name=Description><meta name='og:image' content=\"\"><meta content=i.png property='og:image'/>"
+            "<p class=\"x>y\">long enough paragraph</p><pre>not a p</pre><p>short</p>"
+            "<a class=b href='/one'>One</a><a name=x>no link</a><a href=/two id=q>T&nbsp;wo</a>")
+    df = spark.createDataFrame([(1, html), (2, None)], "page_id int, html string")
+    r = df.where("page_id = 1").select(D.meta_content(F.col("html"), "description").alias("d"), D.meta_content(F.col("html"), "og:image").alias("i"),
+                                       D.paragraphs(F.col("html")).alias("p")).first()
+    assert (r.d, r.i, r.p) == ("first & last", "i.png", ["long enough paragraph", "short"])
+    assert [(x.link_no, x.href, x.link_text) for x in D.links(df, "page_id", "html").orderBy("link_no").collect()] == [(1, "/one", "One"), (2, "/two", "T\u00a0wo")]
+
+
+def test_reviews_from_alternative_lists_and_unicode_blanks(spark):
+    from pyspark.sql import functions as F
+
+    from sparkpanel.operators import documents as D
+    from sparkpanel.operators import text as X
+
+    raw = ['{"commentList": [{"title": " a "}, {"title": "", "content": " "}]}', '{"comments": [{"body": "b"}]}', '{"subject": "c"}']
+    df = spark.createDataFrame([(x,) for x in raw], "raw string").select(F.explode(D.review_records(F.col("raw"))).alias("raw"))
+    title, content, _ = D.tolerant_reviews(F.col("raw"))
+    got = df.select(title.alias("t"), content.alias("c")).where("t is not null or c is not null").collect()
+    assert sorted((r.t or "", r.c or "") for r in got) == [("", "b"), ("a", ""), ("c", "")]
+    words = X.frequency_tokens(spark.createDataFrame([("가나　다라 마바",)], "t string"), "t").collect()
+    assert [r.token for r in words] == ["가나", "다라", "마바"]

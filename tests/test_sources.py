@@ -69,3 +69,36 @@ def test_roles_by_name_and_registry(spark):
     assert clean.roles_by_name(df, {"code": ["code"], "hour": ["hour"], "pop": ["pop"]}) == {
         "code": "admin_code", "hour": "hour_band", "pop": "pop_total"}
     assert {"csv", "parquet", "json"} <= set(files.SOURCE_READERS)
+
+
+def test_multi_file_read_takes_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n2,y\n")
+    (tmp_path / "b.csv").write_text('"name","note, long","id"\n"z\nz",q,3\n')
+    (tmp_path / "c.csv").write_text("other\n9\n")
+    (tmp_path / "d.csv").write_text(",".join(f"c{i:06d}" for i in range(12_000)) + ",id\n" + "0," * 12_000 + "4\n")
+    (tmp_path / "own_result.csv").write_text("id,name\n100,x\n")
+    df = files.read_csv_files_with_column(spark, str(tmp_path), "id", "id long, name string", skip_names=("own_result",))
+    got = sorted((r.id, r.name, r.source_file) for r in df.collect())
+    assert got == [(1, "x", "a.csv"), (2, "y", "a.csv"), (3, "z\nz", "b.csv"), (4, None, "d.csv")]
+    none = files.read_csv_files_with_column(spark, str(tmp_path), "absent", "id long")
+    assert none.columns == ["id", "source_file", "source_path"] and none.count() == 0
+
+
+def test_zipped_csv_keeps_quoted_line_breaks(spark, tmp_path):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("q.csv", 'code,name\n1,"two\nlines, one field"\n\nx,plain\n')
+    (tmp_path / "q.zip").write_bytes(buf.getvalue())
+    got = files.read_zipped_csv(spark, str(tmp_path), "code int, name string").collect()
+    assert sorted((str(r.code), r.name) for r in got) == [("1", "two\nlines, one field"), ("None", "plain")]
+
+
+def test_footers_of_a_folder_named_parquet_and_narrowed_types(spark, tmp_path):
+    df = spark.createDataFrame([(1, 300, 70_000, 1 << 40, 1.5), (-2, 5, 1, 0, 2.5)], "a long, b long, c long, d long, e double")
+    out = str(tmp_path / "t.parquet")
+    files.write_parquet(df, out, narrow=True)
+    back = spark.read.parquet(out)
+    assert [t for _, t in back.dtypes] == ["tinyint", "smallint", "int", "bigint", "double"]
+    assert files.parquet_footers(spark, out).agg(F.sum("num_rows")).first()[0] == 2
+    files.typed_append(spark.createDataFrame([("7", "x"), ("n/a", None)], "n string, s string"), str(tmp_path / "ins"), "n int, s string, extra double")
+    assert sorted((str(r.n), r.extra) for r in spark.read.parquet(str(tmp_path / "ins")).collect()) == [("7", None), ("None", None)]

@@ -125,7 +125,7 @@ def test_zero_denominator(spark):
 
 def test_kde_integrates_to_one(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 2, 3, 3, 3, 4, 4, 5, 9]], "x double")
-    k = sorted(stats.kde_grid(df, "x", n_grid=400, pre_bins=256).collect(), key=lambda r: r.g)
+    k = sorted(stats.kde_grid(df, "x", n_grid=400).collect(), key=lambda r: r.g)
     step = k[1].x - k[0].x
     area = sum(r.density for r in k) * step
     assert 0.8 < area <= 1.01  # the grid covers [min, max] only, tails fall outside
@@ -162,3 +162,35 @@ def test_quantiles_approx_path_close(spark):
     df = spark.range(10001).select((F.col("id") * 1.0).alias("v"))
     q = stats.quantiles(df, "v", {"p50": 0.5, "p90": 0.9}, approx=True).collect()[0]
     assert abs(q.p50 - 5000) <= 10 and abs(q.p90 - 9000) <= 10
+
+
+def test_quantiles_survive_ties_extremes_and_groups(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    cols = {"hot": np.where(rng.random(3000) < 0.9, 7.25, rng.random(3000)), "wide": rng.standard_normal(3000) * 10.0 ** rng.integers(-9, 9, 3000),
+            "near": 100 + rng.random(3000) * 1e-6, "neg": -rng.integers(0, 5, 3000).astype(float)}
+    for name, v in cols.items():
+        df = spark.createDataFrame([(i % 3, float(x)) for i, x in enumerate(v)] + [(None, 1.0), (1, None)], "g int, x double")
+        got = {r.g: r for r in stats.quantiles(df, "x", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.999, "e": 1.0}, ["g"]).collect()}
+        assert set(got) == {0, 1, 2}
+        for g in got:
+            want = np.quantile(v[np.arange(3000) % 3 == g], [0, 0.25, 0.5, 0.999, 1])
+            assert np.allclose([got[g][c] for c in "abcde"], want, rtol=1e-12, atol=0), (name, g)
+    assert stats.quantiles(df.where("false"), "x", {"m": 0.5}).first()["m"] is None
+
+
+def test_quantiles_are_lazy_and_do_not_checkpoint(spark):
+    df = spark.range(10).select(F.assert_true(F.lit(False), F.lit("built eagerly")).isNull().cast("double").alias("x"))
+    stats.quantiles(df, "x", {"m": 0.5})
+
+
+def test_kde_is_the_sum_over_every_value(spark):
+    import numpy as np
+
+    v = np.array([1.0, 1.0, 2.0, 5.5, 9.0, 9.5])
+    got = stats.kde_grid(spark.createDataFrame([(float(x),) for x in v], "x double"), "x", n_grid=7).orderBy("g").collect()
+    bw = v.std(ddof=1) * len(v) ** -0.2
+    grid = np.linspace(1, 9.5, 7)
+    want = np.exp(-0.5 * ((grid[:, None] - v[None, :]) / bw) ** 2).sum(axis=1) / (len(v) * bw * np.sqrt(2 * np.pi))
+    assert np.allclose([r.density for r in got], want, rtol=1e-12)

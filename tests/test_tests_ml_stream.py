@@ -33,10 +33,10 @@ def test_welch_t(spark):
 def test_chi_square_yates_2x2(spark):
     rows = [("x", "p")] * 10 + [("x", "q")] * 20 + [("y", "p")] * 20 + [("y", "q")] * 10
     df = spark.createDataFrame(rows, "r string, c string")
-    r = H.chi_square(df, "r", "c", ["x", "y"], ["p", "q"], yates=True, with_p=True).collect()[0]
+    r = H.chi_square(df, "r", "c", yates=True, with_p=True).collect()[0]
     assert r.chi2 == pytest.approx(5.4) and r.dof == 1
     assert r.p_value == pytest.approx(math.erfc(math.sqrt(5.4 / 2)))
-    r2 = H.chi_square(df, "r", "c", ["x", "y"], ["p", "q"], yates=False).collect()[0]
+    r2 = H.chi_square(df, "r", "c", yates=False).collect()[0]
     assert r2.chi2 == pytest.approx(20 / 3)
 
 
@@ -109,3 +109,25 @@ def test_stream_late_rows_within_watermark_are_counted(spark, tmp_path):
     # Jan 9 arrives a batch late but within the 2-day threshold: Spark guarantees it is aggregated;
     # the Jan 10 window is updated across two batches and the reader keeps its latest count
     assert got == {"2024-01-10": 2, "2024-01-09": 1}
+
+
+def test_p_values_at_small_and_huge_degrees_of_freedom():
+    import math
+
+    assert abs(H.t_two_sided_p(1.0, 1) - 0.5) < 1e-12
+    assert abs(H.t_two_sided_p(math.sqrt(2), 2) - (1 - math.sqrt(2) / 2)) < 1e-12
+    assert abs(H.t_two_sided_p(0.01, 1e12) - 0.992021287) < 1e-8
+    assert abs(H.t_two_sided_p(1.959963985, 1e9) - 0.05) < 1e-8
+    assert abs(H.t_two_sided_p(0.0, 5) - 1.0) < 1e-12 and H.t_two_sided_p(60.0, 40) < 1e-30
+    assert abs(H.chi2_sf(3.841458821, 1) - 0.05) < 1e-9 and abs(H.chi2_sf(2.0, 2) - math.exp(-1)) < 1e-12
+    assert abs(H.chi2_sf(11.344866730, 3) - 0.01) < 1e-9 and H.chi2_sf(0.0, 4) == 1.0
+
+
+def test_chi_square_uses_every_category_and_zero_cells(spark):
+    rows = [("a", "p")] * 3 + [("b", "q")] * 4 + [("c", "p")] * 2 + [("c", "q")] + [(None, "p"), ("a", None)]
+    df = spark.createDataFrame(rows, "r string, c string")
+    cells = {(x.r, x.c): x.observed for x in H.contingency(df, "r", "c").collect()}
+    assert cells == {("a", "p"): 3, ("a", "q"): 0, ("b", "p"): 0, ("b", "q"): 4, ("c", "p"): 2, ("c", "q"): 1}
+    got = H.chi_square(df, "r", "c").first()
+    want = sum((o - e) ** 2 / e for o, e in [(3, 1.5), (0, 1.5), (0, 2), (4, 2), (2, 1.5), (1, 1.5)])
+    assert got.dof == 2 and got.n == 10 and abs(got.chi2 - want) < 1e-12
