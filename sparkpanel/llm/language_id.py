@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_N = 4
-MAX_WORDS = 100_000
+MAX_WORDS = 50_000
 MAX_GRAMS = 20_000
 MAX_LANGS = 500
 UNKNOWN = "und"
@@ -36,7 +36,7 @@ _FLUSH = 200_000
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters (Unicode L*)."""
     out = _RUN.findall(text.lower())
-    if all(map(str.isalpha, set(out))):
+    if not out or "".join(out).isalpha():
         return out
     return [p for w in out for p in "".join(c if c.isalpha() else " " for c in w).split()]
 
@@ -49,17 +49,15 @@ def grams_of(word: str, n: int) -> list[str]:
 
 def _count_words(batches):
     def flush(counts):
-        keys = list(counts)
-        return pd.DataFrame({"lang": [k[0] for k in keys], "word": [k[1] for k in keys], "n": list(counts.values())})
+        return pd.DataFrame([(lang, w, n) for lang, c in counts.items() for w, n in c.items()], columns=["lang", "word", "n"])
 
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = {}
     for pdf in batches:
         for lang, text in zip(pdf["lang"], pdf["text"]):
-            for w, n in Counter(words_of(text)).items():
-                counts[lang, w] += n
-            if len(counts) > _FLUSH:
+            counts.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, counts.values())) > _FLUSH:
                 yield flush(counts)
-                counts = Counter()
+                counts = {}
     if counts:
         yield flush(counts)
 
@@ -92,62 +90,54 @@ def train(train_docs: DataFrame, text: str = "text", lang: str = "lang", max_wor
         tokens = table.withColumnRenamed("word", "token") if n == 0 else grams(n)
         totals = {r["lang"]: r["t"] for r in tokens.groupBy("lang").agg(F.sum("n").alias("t")).collect() if r["lang"] in langs}
         per = tokens.where(F.col("lang").isin(langs)).groupBy("token", "lang").agg(F.sum("n").alias("n"))
-        top = per.groupBy("token").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by")) \
-            .orderBy(F.desc("all"), "token").limit(max_words if n == 0 else max_grams)
-        picked = top.collect()
-        index = {lg: j for j, lg in enumerate(langs)}
-        freq = np.zeros((len(picked), len(langs)))
-        for i, r in enumerate(picked):
-            for lg, c in r["by"]:
-                if lg in index:
-                    freq[i, index[lg]] = c
+        wide = per.groupBy("token").pivot("lang", langs).agg(F.first("n"))
+        wide = wide.select("token", *[F.coalesce(F.col(f"`{lg}`"), F.lit(0)).alias(f"c{j}") for j, lg in enumerate(langs)])
+        every = sum((F.col(f"c{j}") for j in range(1, len(langs))), F.col("c0"))
+        picked = wide.orderBy(F.desc(every), "token").limit(max_words if n == 0 else max_grams).toPandas()
+        freq = picked[[f"c{j}" for j in range(len(langs))]].to_numpy(dtype=float)
         total = np.array([totals.get(lg, 0) for lg in langs], dtype=float)
         logp = np.log((freq + 0.5) / (total + 0.5 * (len(picked) + 1)))
-        model["levels"][n] = ([r["token"] for r in picked], logp.astype(np.float32))
+        model["levels"][n] = (picked["token"].tolist(), logp.astype(np.float32))
     return model
 
 
 class Scorer:
-    """The model inside a task: dictionaries from token to row of log frequencies."""
+    """The model inside a task: per level a dictionary from token to its row of log frequencies."""
 
-    def __init__(self, model: dict, cache: int = 200_000):
+    def __init__(self, model: dict):
         self.langs = model["langs"]
-        self.tables = {n: ({t: i for i, t in enumerate(tokens)}, logp.astype(np.float64))
-                       for n, (tokens, logp) in model["levels"].items()}
-        self.unseen: dict[str, np.ndarray | None] = {}
-        self.cache = cache
-
-    def _backoff(self, word: str):
-        got = self.unseen.get(word, self)
-        if got is self:
-            got = None
-            for n in range(MAX_N, 0, -1):
-                index, logp = self.tables[n]
-                hits = [index[g] for g in grams_of(word, n) if g in index]
-                if hits:
-                    got = logp[hits].mean(axis=0)
-                    break
-            if len(self.unseen) >= self.cache:
-                self.unseen.clear()
-            self.unseen[word] = got
-        return got
+        self.index: dict[int, dict[str, int]] = {}
+        parts, at = [], 0
+        for n, (tokens, logp) in model["levels"].items():
+            self.index[n] = {t: at + i for i, t in enumerate(tokens)}
+            parts.append(logp)
+            at += len(tokens)
+        self.logp = np.concatenate(parts).astype(np.float64) if parts else np.zeros((0, 0))
+
+    def _grams(self, word: str) -> list[int]:
+        """Rows of the known n-grams of the longest length that has any."""
+        for n in range(MAX_N, 0, -1):
+            known = self.index[n]
+            hits = [known[g] for g in grams_of(word, n) if g in known]
+            if hits:
+                return hits
+        return []
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text else []
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        index, logp = self.tables[0]
-        total = np.zeros(len(self.langs))
+        known = self.index[0].get
         rows, weights = [], []
         for w, n in Counter(words).items():
-            i = index.get(w)
+            i = known(w)
             if i is not None:
                 rows.append(i)
                 weights.append(n)
-            elif (v := self._backoff(w)) is not None:
-                total += n * v
-        if rows:
-            total += np.asarray(weights, dtype=np.float64) @ logp[rows]
+            elif hits := self._grams(w):
+                rows += hits
+                weights += [n / len(hits)] * len(hits)
+        total = np.asarray(weights, dtype=np.float64) @ self.logp[rows] if rows else np.zeros(len(self.langs))
         e = np.exp(total - total.max())
         best = int(e.argmax())  # ties: the first language in sorted order
         return self.langs[best], float(e[best] / e.sum())
