@@ -6,10 +6,10 @@ by day, so a window partition holds at most one row per calendar day of one
 series (bounded by the date range, not by the data volume or key skew).
 
 ``running_totals`` / ``rank_within_groups`` are the ordered computations over
-a whole table (ROC/PR curves, rank sums, exact quantiles, splits).  They never
-funnel rows into a single task: rows are range partitioned by the order key
-(materialised once), each partition is scanned locally, and the small table of
-per-partition totals supplies the offsets.
+a whole table (ROC/PR curves, rank sums, splits).  They never funnel rows into a
+single task and run nothing while the plan is built: rows fall into buckets that
+are a monotone function of the order key, each bucket is scanned locally, and
+the table of bucket totals supplies the offsets.
 """
 
 from __future__ import annotations
@@ -17,6 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkpanel.functions.columns import value_bucket
+
+#: parts of a coarse value bucket; the bucket of nulls (they sort first)
+FINE, LOWEST = 4096, -(10 ** 15)
+
 
 def daily(df: DataFrame, ts: str, series: list[str], aggs: list[Column], day: str = "day") -> DataFrame:
     """Reduce raw rows to one row per (series, day)."""
@@ -112,50 +117,61 @@ def last_vs_previous(df: DataFrame, series: list[str], order: str, col: str) ->
                     F.try_divide((last - F.col("previous")) * 100.0, F.col("previous")).alias("change_pct"))
 
 
-def _range_partitioned(df: DataFrame, keys: list, n_parts: int) -> DataFrame:
-    """Range-partition ``df`` on ``keys`` ONCE and pin each row's partition id.
+def _coarse(df: DataFrame, column: str) -> Column:
+    """A bucket of ``column`` that never runs against its order and depends on the value alone.
 
-    The partition id is consumed twice (per-partition totals and local scans).  Two
-    separate range exchanges would sample their bounds independently and could
-    disagree on a row's partition, so the result is materialised with a reliable
-    ``checkpoint()`` in the shared checkpoint folder (it also cuts the lineage, so a
-    lost executor never forces a re-sample).
+    Texts: their first four characters (65,536 buckets of an md5 key); numbers, dates and
+    times: ``value_bucket``.
     """
-    from sparkpanel.session import ensure_checkpoint_dir
+    kind = df.schema[column].dataType.typeName()
+    if kind == "string":
+        return F.coalesce(F.substring(column, 1, 4), F.lit(""))
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.coalesce(F.unix_date(F.to_date(column)).cast("long"), F.lit(LOWEST))
+    return F.coalesce(value_bucket(F.col(column).cast("double")), F.lit(LOWEST))
+
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.repartitionByRange(n_parts, *keys).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+def _attach(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+    """Join per-key totals back to the rows they were made from; null keys match."""
+    other = totals.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+    return rows.join(other, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
 
 
-def running_totals(df: DataFrame, order: str, cols: list[str], descending: bool = True,
-                   n_parts: int | None = None) -> DataFrame:
-    """Cumulative sums of ``cols`` in ``order`` over a whole table, distributed.
+def _bucketed(df: DataFrame, groups: list[str], column: str) -> DataFrame:
+    """``df`` plus __b (coarse bucket of ``column``) and __f (one of FINE equal parts between the
+    smallest and the largest value of the coarse bucket; 0 for texts and dates).
 
-    1. range-partition by the order key (Spark samples the key for the bounds; equal
-       keys land in one partition), 2. total each partition (one row per partition),
-    3. prefix-sum those totals (tiny), 4. local running sums + the partition offset.
+    Both only depend on values, so nothing has to be pinned by a checkpoint.
+    """
+    d = df.withColumn("__b", _coarse(df, column))
+    if df.schema[column].dataType.typeName() in ("string", "date", "timestamp", "timestamp_ntz"):
+        return d.withColumn("__f", F.lit(0))
+    x = F.col(column).cast("double")
+    ends = d.groupBy(*groups, "__b").agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
+    part = F.floor((x - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * FINE).cast("int")
+    fine = F.coalesce(F.when(F.col("__hi") > F.col("__lo"), F.least(part, F.lit(FINE - 1))), F.lit(0))
+    return _attach(d, ends, [*groups, "__b"]).select(*d.columns, fine.alias("__f"))
+
+
+def running_totals(df: DataFrame, order: str, cols: list[str], descending: bool = True) -> DataFrame:
+    """Cumulative sums of ``cols`` in ``order`` over a whole table, distributed and lazy.
+
+    Sums per value bucket, a running sum over the buckets (their number is bounded, not the
+    rows'), and a local running sum inside each bucket plus the bucket's offset.  Rows with
+    equal ``order`` values get sums in no fixed order: group by it first.
     Output adds ``cum_<col>`` for every col.
     """
-    spark = df.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = F.desc(order) if descending else F.asc(order)
-    ranged = _range_partitioned(df, [o], n_parts)
-    totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    wpid = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(wpid), F.lit(0)).alias(f"__o_{c}")
-                                       for c in cols])
-    wl = Window.partitionBy("__pid").orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged
-    for c in cols:
-        local = local.withColumn(f"__l_{c}", F.sum(c).over(wl))
-    # offsets has one row per partition: bounded by n_parts, broadcast by construction
-    j = local.join(F.broadcast(offsets), "__pid")
-    for c in cols:
-        j = j.withColumn(f"cum_{c}", F.col(f"__l_{c}") + F.col(f"__o_{c}"))
-    return j.drop("__pid", *[f"__l_{c}" for c in cols], *[f"__o_{c}" for c in cols])
+    b = _bucketed(df, [], order)
+    way = F.desc if descending else F.asc
+    totals = b.groupBy("__b", "__f").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
+    before = Window.orderBy(way("__b"), way("__f")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__b", "__f", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols])
+    local = Window.partitionBy("__b", "__f").orderBy(way(order)).rowsBetween(Window.unboundedPreceding, 0)
+    j = b.select("*", *[F.sum(c).over(local).alias(f"__l_{c}") for c in cols]).join(offsets, ["__b", "__f"])
+    return j.select(*df.columns, *[(F.col(f"__l_{c}") + F.col(f"__o_{c}")).alias(f"cum_{c}") for c in cols])
 
 
-def curve_points(scored: DataFrame, score: str, label: str, n_parts: int | None = None) -> DataFrame:
+def curve_points(scored: DataFrame, score: str, label: str) -> DataFrame:
     """ROC / PR points: one point per distinct score, thresholds descending (W9/ML10).
 
     Rows are grouped by score first (partial aggregation), so the ordered step
@@ -165,30 +181,25 @@ def curve_points(scored: DataFrame, score: str, label: str, n_parts: int | None
                                   F.sum((1 - F.col(label)).cast("bigint")).alias("neg"))
     tot_p = scored.agg(F.sum(F.col(label).cast("bigint"))).scalar()
     tot_n = scored.agg(F.sum((1 - F.col(label)).cast("bigint"))).scalar()
-    c = running_totals(g, score, ["pos", "neg"], descending=True, n_parts=n_parts)
+    c = running_totals(g, score, ["pos", "neg"], descending=True)
     return c.select(F.col(score).alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                     F.try_divide(F.col("cum_pos"), tot_p).alias("tpr"), F.try_divide(F.col("cum_neg"), tot_n).alias("fpr"),
                     F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"))
 
 
-def rank_within_groups(df: DataFrame, groups: list[str], order: list[str], n_parts: int | None = None,
-                       name: str = "rank") -> DataFrame:
-    """Exact 1-based rank of every row inside its group under a total ``order``.
+def rank_within_groups(df: DataFrame, groups: list[str], order: list[str], name: str = "rank") -> DataFrame:
+    """Exact 1-based rank of every row inside its group under a total ``order``, lazy.
 
-    A per-group ``row_number`` window would put a whole group (possibly a third of
-    the table) into one task.  Instead rows are range-partitioned on
-    (groups, order), ranked locally, and shifted by the count of the same group
-    in earlier partitions (a table with one row per partition and group).
-    ``order`` must be a total order (end it with a unique key).
+    A per-group ``row_number`` window would put a whole group (possibly a third of the
+    table) into one task.  Instead each group is cut into buckets of the first order column,
+    rows are numbered inside a bucket, and shifted by the size of the group's earlier
+    buckets (one row per group and bucket).  ``order`` must be a total order (end it with a
+    unique key).  Nulls form a group of their own and sort first.
     """
-    spark = df.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _range_partitioned(df, [*groups, *order], n_parts)
-    counts = ranged.groupBy("__pid", *groups).agg(F.count(F.lit(1)).alias("__c"))
-    wo = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", *groups, F.coalesce(F.sum("__c").over(wo), F.lit(0)).alias("__off"))
-    wl = Window.partitionBy("__pid", *groups).orderBy(*order)
-    local = ranged.withColumn("__lr", F.row_number().over(wl))
-    # offsets: one row per (partition, group) pair; AQE broadcasts it at run time when small
-    out = local.join(offsets, ["__pid", *groups])
-    return out.withColumn(name, F.col("__lr") + F.col("__off")).drop("__pid", "__lr", "__off")
+    b = _bucketed(df, groups, order[0])
+    keys = [*groups, "__b", "__f"]
+    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*groups).orderBy("__b", "__f").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
+    local = b.withColumn("__lr", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return _attach(local, offsets, keys).select(*df.columns, (F.col("__lr") + F.col("__off")).alias(name))

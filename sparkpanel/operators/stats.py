@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions import columns as C
 from sparkpanel.functions.columns import (equal_width_bin, kurt_sample, safe_corr, safe_ratio,
-                                          skew_sample)
+                                          skew_sample, value_bucket)
 
 
 def attach(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
@@ -34,16 +34,8 @@ def attach(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     return left.withColumn(k, F.lit(1)).join(right.withColumn(k, F.lit(1)), k).drop(k)
 
 
-#: monotone value buckets per unit of ln(1 + |x|), and sub-buckets of a bucket
-_COARSE, _FINE = 1024, 4096
-
-
-def _value_bucket(x: Column) -> Column:
-    """A bucket number that never decreases with x and depends on x alone (NaN sorts last)."""
-    big = 10 ** 9
-    inside = F.floor(F.signum(x) * F.log1p(F.abs(x)) * F.lit(float(_COARSE))).cast("long")
-    return (F.when(F.isnan(x), F.lit(big + 1)).when(x == float("inf"), F.lit(big)).when(x == float("-inf"), F.lit(-big))
-            .otherwise(inside).cast("long"))
+#: sub-buckets of a value bucket
+_FINE = 4096
 
 
 def quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str] | None = None,
@@ -80,7 +72,7 @@ def quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str] |
         run = run.withColumn("__base", F.col("__to") - F.col("__c"))
         return run.where(F.exists(wanted, lambda r: (r > F.col("__base")) & (r <= F.col("__to"))))
 
-    counts = v.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", _value_bucket(F.col("__x")))
+    counts = v.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", value_bucket(F.col("__x")))
     coarse = counts.groupBy(*by, "__b").agg(F.sum("__c").alias("__c"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
     coarse = coarse.withColumn("__n", F.sum("__c").over(Window.partitionBy(*by))).withColumn("__start", F.lit(0).cast("long"))
     first = holding(coarse, by, "__b").select(*by, "__b", "__n", "__base", "__lo", "__hi")

@@ -49,7 +49,7 @@ def test_keep_first_total_order(spark):
 def test_rank_within_groups_matches_brute_force(spark, rows):
     rows = [(g, v, i) for i, (g, v) in enumerate(rows)]
     df = spark.createDataFrame(rows, "g string, v int, id int")
-    got = {r.id: r["rank"] for r in panel.rank_within_groups(df, ["g"], ["v", "id"], n_parts=4).collect()}
+    got = {r.id: r["rank"] for r in panel.rank_within_groups(df, ["g"], ["v", "id"]).collect()}
     p = pd.DataFrame(rows, columns=["g", "v", "id"]).sort_values(["g", "v", "id"])
     p["rank"] = p.groupby("g").cumcount() + 1
     assert got == dict(zip(p["id"], p["rank"]))
@@ -59,7 +59,7 @@ def test_running_totals_match_cumsum(spark):
     random.seed(1)
     rows = [(float(random.randint(0, 30)), random.randint(0, 3)) for _ in range(200)]
     g = spark.createDataFrame(rows, "s double, w int").groupBy("s").agg(F.sum("w").alias("w"))
-    got = {r.s: r.cum_w for r in panel.running_totals(g, "s", ["w"], descending=True, n_parts=5).collect()}
+    got = {r.s: r.cum_w for r in panel.running_totals(g, "s", ["w"], descending=True).collect()}
     p = pd.DataFrame(rows, columns=["s", "w"]).groupby("s")["w"].sum().sort_index(ascending=False).cumsum()
     assert got == p.to_dict()
 
@@ -100,10 +100,20 @@ def test_rank_within_groups_large_is_a_permutation(spark):
     df = spark.range(60000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 97).cast("string"))).alias("g"),
         F.md5(F.col("id").cast("string")).alias("h"), "id")
-    r = panel.rank_within_groups(df, ["g"], ["h", "id"], n_parts=24)
+    r = panel.rank_within_groups(df, ["g"], ["h", "id"])
     chk = r.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("rank").alias("d"),
                              F.min("rank").alias("lo"), F.max("rank").alias("hi"))
     bad = chk.where("d <> n or lo <> 1 or hi <> n").count()
     assert bad == 0
     hot = chk.where("g = 'hot'").collect()[0]
     assert hot.n == 20000
+
+
+def test_ranks_and_totals_keep_nulls_and_build_lazily(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 2.0, 2), (None, 1.0, 3), (None, None, 4), ("a", float("nan"), 5)], "g string, v double, id int")
+    got = {r.id: r["rank"] for r in panel.rank_within_groups(df, ["g"], ["v", "id"]).collect()}
+    assert got == {1: 1, 2: 2, 5: 3, 4: 1, 3: 2}
+    assert {r.id: r.cum_id for r in panel.running_totals(df.where("g = 'a'"), "v", ["id"], descending=False).collect()} == {1: 1, 2: 3, 5: 8}
+    boom = spark.range(3).select(F.assert_true(F.lit(False)).isNull().cast("double").alias("v"), "id")
+    panel.running_totals(boom, "v", ["id"])
+    panel.rank_within_groups(boom, [], ["v", "id"])
