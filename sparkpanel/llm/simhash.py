@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkpanel.llm.common import HOT_SHARE, cut, join_weighted, materialise
+from sparkpanel.llm.common import cut, join_weighted, materialise
 
 MAX_BUCKET = 16
 _SEED = 42
@@ -81,7 +81,7 @@ def _variants(prints: DataFrame) -> DataFrame:
     return prints.select(F.explode(F.array(*of(0), *of(1))).alias("key"), "fp")
 
 
-def links(prints: DataFrame, n_prints: int, max_bits: int = 2, max_bucket: int = MAX_BUCKET) -> DataFrame:
+def links(prints: DataFrame, max_bits: int = 2, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """(a, b): links that connect exactly the distinct fingerprints ``fp`` within ``max_bits``
     (0 to 2) of each other; ``prints`` is a written table with one row per fingerprint.
 
@@ -92,20 +92,19 @@ def links(prints: DataFrame, n_prints: int, max_bits: int = 2, max_bucket: int =
     """
     if max_bits != 2:
         raise ValueError("two segments with one wildcard cover a distance of two bits")
-    buckets = materialise(_variants(prints).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "buckets")
-    large = buckets.where(F.col("c") > max_bucket)
-    # buckets so large that their rows would pile up in one task: fewer than HOT_SHARE, left out before the shuffle
-    piled = large.where(F.col("c") > n_prints * 64 // HOT_SHARE).select("key")
-    member = _variants(prints).join(F.broadcast(piled), "key", "left_anti") \
-        .join(buckets.where(F.col("c") <= max_bucket).select("key"), "key")
-    member = materialise(member, "members")
+    # one shuffle of the variants, whatever their number: a key holds at most 1/64 of the rows,
+    # because every fingerprint has 64 different keys
+    sized = _variants(prints).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    buckets = materialise(sized.where("c > 1"), "buckets")
+    member = buckets.where(F.col("c") <= max_bucket).select("key", "fp")
     other = member.withColumnRenamed("fp", "other")
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits
     pairs = member.join(other, "key").where((F.col("fp") < F.col("other")) & close) \
         .select(F.col("fp").alias("a"), F.col("other").alias("b"))
-    if large.isEmpty():
+    dense = buckets.where(F.col("c") > max_bucket).select("fp").distinct()
+    if dense.isEmpty():
         return pairs.distinct()
-    dense = materialise(join_weighted(_variants(prints), large, "key", "c", n_prints * 64).select("fp").distinct(), "dense")
+    dense = materialise(dense, "dense")
     flips = [F.col("fp").bitwiseXOR(F.lit(_signed(1 << p))) for p in range(64)]
     ball = dense.select(F.explode(F.array(F.col("fp"), *flips)).alias("value"), "fp")
     centre = ball.groupBy("value").agg(F.count(F.lit(1)).alias("c"), F.min("fp").alias("a")).where("c > 1").drop("c")
@@ -165,7 +164,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", sh
     rows = materialise(with_fingerprint(d, text, shingle).select(doc, F.xxhash64(text).alias("text_hash"), "fp"), "prints")
     n_rows = rows.count()
     prints = materialise(rows.groupBy("fp").agg(F.min(doc).alias("first"), F.count(F.lit(1)).alias("n")), "distinct")
-    roots = cut(components(links(prints.select("fp"), prints.count(), max_bits)))
+    roots = cut(components(links(prints.select("fp"), max_bits)))
     grouped = prints.join(roots, prints["fp"] == roots["node"], "left") \
         .select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     grouped = materialise(grouped, "grouped")

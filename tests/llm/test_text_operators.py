@@ -186,7 +186,7 @@ def test_links_give_the_components_of_all_pairs(spark, max_bucket):
                 x ^= 1 << rng.randrange(64)
             prints.add(x - 2**64 if x >= 2**63 else x)
     df = spark.createDataFrame([(p,) for p in prints], "fp long")
-    got = components(links(df, len(prints), max_bucket=max_bucket)).collect()
+    got = components(links(df, max_bucket=max_bucket)).collect()
     groups = defaultdict(set)
     for r in got:
         groups[r["root"]] |= {r["node"], r["root"]}
