@@ -53,17 +53,18 @@ def repeat_words(words: Column) -> Column:
             | ((k < F.size(s) - 1) & (s[F.least(k + 1, F.size(s) - 1)]["h"] == p["h"]))), lambda p: p["i"])))
 
     def marked_by_lookup(h: Column, repeated: Column) -> Column:
-        flagged = F.transform(h, lambda x, i: F.when(F.array_contains(repeated, x), i))
-        return F.filter(flagged, lambda i: i.isNotNull())
+        return F.array_compact(F.transform(h, lambda x, i: F.when(F.array_contains(repeated, x), i)))
 
     def of_hashes(h: Column) -> Column:
-        repeated = let(F.sort_array(h), lambda s: F.array_distinct(
-            F.filter(s, lambda x, k: (k > 0) & (s[F.greatest(k - 1, F.lit(0))] == x))))
+        # a sorted array beside itself moved by one: equal neighbours are repeated hashes
+        repeated = let(F.sort_array(h), lambda s: F.array_distinct(F.array_compact(
+            F.zip_with(s, F.slice(s, 2, F.size(s)), lambda x, y: F.when(x == y, x)))))
         return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(repeated, lambda r: _covered(
             F.when(F.size(r) <= FEW, marked_by_lookup(h, r)).otherwise(marked_by_sort(h)))))
 
-    hashes = let(words, lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - 3),
-                                              lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2])))
+    # every word is hashed once; a window's hash is made of its three words' hashes
+    hashes = let(F.transform(words, lambda x: F.xxhash64(x)), lambda h: F.slice(F.transform(
+        h, lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))), 1, F.size(h) - 2))
     return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(hashes, of_hashes))
 
 
@@ -90,7 +91,7 @@ def line_table(docs: DataFrame, text: str, host: str, doc: str) -> DataFrame:
     the line's words (all its occurrences in the document)."""
     tidy = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[ \\t\\x0B\\f\\r]+", " ")
     lines = F.filter(F.transform(F.split(tidy, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    pairs = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("w")))
+    pairs = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w")))
     return docs.select(F.col(doc).alias("doc"), F.coalesce(F.col(host), F.lit("")).alias("host"),
                        F.xxhash64(F.col(text)).alias("text_hash"), F.explode(pairs).alias("p")) \
         .select("doc", "host", "text_hash", "p.line", "p.w")
