@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions.columns import md5_order
 from sparkpanel.operators.panel import rank_within_groups, running_totals
+from sparkpanel.session import scratch_path
 
 
 def _safe_name(v: str) -> str:
@@ -133,7 +134,10 @@ def per_item_forest(df: DataFrame, item: str, key: str, feature_cols: list[str],
     from pyspark.ml.evaluation import RegressionEvaluator
 
     spark = df.sparkSession
-    data = df.dropna(subset=[target, *feature_cols])
+    # the features are computed once: every fit reads its item from the written table
+    path = scratch_path(spark, "per-item")
+    df.dropna(subset=[target, *feature_cols]).write.partitionBy(item).parquet(path)
+    data = spark.read.schema(df.schema).parquet(path)
     sizes = {r[item]: r["n"] for r in data.groupBy(item).agg(F.count(F.lit(1)).alias("n")).collect()}
     def fit_one(it):
         if sizes[it] < min_rows:

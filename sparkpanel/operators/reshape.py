@@ -1,7 +1,7 @@
 """Crosstabs, pivots, unpivots and set operations.
 
-Pivots always take an explicit value list: no extra distinct job, and a stable
-output schema.  Margins come from ``cube``/``rollup`` with ``grouping_id`` so
+Pivots take an explicit value list (no extra distinct job, a stable output schema) and
+fail on a value outside it; ``crosstab_wide`` can also derive its columns.  Margins come from ``cube``/``rollup`` with ``grouping_id`` so
 that a margin is never confused with a real NULL key.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOTAL = "__total__"
@@ -27,15 +27,30 @@ def crosstab_long(df: DataFrame, row: str, col: str) -> DataFrame:
                                   F.grouping(row).cast("boolean").alias("is_col_total"))
 
 
-def crosstab_wide(df: DataFrame, row: str, col: str, values: list[str], total_label: str = "Total",
+def listed(col: str, values: list) -> Column:
+    """The column, failing the query on a value outside ``values``: a fixed column list never drops rows silently."""
+    c = F.col(col)
+    known = F.assert_true(c.isNull() | c.isin(values), F.concat(F.lit(f"category of {col} without a column: "), c.cast("string")))
+    return F.when(known.isNull(), c)
+
+
+def categories(df: DataFrame, col: str) -> list:
+    """The values that occur, sorted (one small job: the schema depends on them)."""
+    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+
+
+def crosstab_wide(df: DataFrame, row: str, col: str, values: list[str] | None = None, total_label: str = "Total",
                   safe_names: dict | None = None) -> DataFrame:
     """Crosstab with margins, one column per value (``pd.crosstab(margins=True)``, A18).
 
     The grand-total row carries ``total_label`` in the row column.  Output columns
-    are ``row, <value>..., total`` with zero fill.
+    are ``row, <value>..., total`` with zero fill.  Without ``values`` every category that
+    occurs gets a column; with them, another category fails the query.
     """
     safe_names = safe_names or {}
     src = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+    values = categories(src, col) if values is None else values
+    src = src.select(row, listed(col, values).alias(col))
     aggs = [F.count_if(F.col(col) == F.lit(v)).alias(safe_names.get(v, v)) for v in values]
     g = src.rollup(row).agg(*aggs, F.count(F.lit(1)).alias("total"),
                             F.grouping(row).alias("__g"))
@@ -59,7 +74,7 @@ def pivot_unique(df: DataFrame, index: str, column: str, value: str, values: lis
     runs inside the same job: ``assert_true`` fails the query when any cell
     holds more than one row.
     """
-    cnt = df.groupBy(index, column).agg(F.count(F.lit(1)).alias("__n"), F.first(value).alias("__v"))
+    cnt = df.withColumn(column, listed(column, values)).groupBy(index, column).agg(F.count(F.lit(1)).alias("__n"), F.first(value).alias("__v"))
     # the value depends on the assertion, so the check cannot be pruned away
     ok = F.assert_true(F.col("__n") <= 1, F.lit("duplicate entries in pivot"))
     checked = cnt.select(index, column, F.when(ok.isNull(), F.col("__v")).alias("__v"))

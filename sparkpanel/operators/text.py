@@ -35,13 +35,15 @@ def clean_for_frequency(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]+>|" + KEEP_CLASS, "")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan (fewer splits than the session has cores) to all cores.
+def spread(df: DataFrame, bytes_per_core: int = 32 << 20) -> DataFrame:
+    """Deal the rows of a small scan to all cores (one small file is one task otherwise).
 
-    A big table already has more splits than that and is returned as it is: no shuffle.
+    Decided by the scan's size: a table of more than ``bytes_per_core`` per core has splits
+    enough and is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * bytes_per_core else df
 
 
 def frequency_tokens(df: DataFrame, text: str, keep: list[str] | None = None, min_len: int = 2,

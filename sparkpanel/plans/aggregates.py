@@ -13,6 +13,7 @@ from sparkpanel.functions import columns as C
 from sparkpanel.functions.columns import safe_corr, safe_ratio
 from sparkpanel.operators import stats
 from sparkpanel.operators.joins import dimension_join
+from sparkpanel.operators.reshape import listed
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
 
@@ -37,7 +38,7 @@ def ratio_index_query(spark, sf):
     from ``stats.quantiles``.
     """
     t = Tables(spark, sf)
-    cust = t.customer.select("c_nationkey", "c_mktsegment", "c_acctbal")
+    cust = t.customer.select("c_nationkey", listed("c_mktsegment", SEGMENTS).alias("c_mktsegment"), "c_acctbal")
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     j = dimension_join(cust, nation, "c_nationkey", "inner")
     g = j.groupBy("n_name").agg(

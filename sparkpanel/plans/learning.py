@@ -293,3 +293,33 @@ def scenario_rule_score(spark, sf):
     pred = F.col("p_retailprice") * factor
     return x.select("p_partkey", F.col("s.scenario").alias("scenario"), C.round_half_away(pred, R).alias("predicted"),
                     C.round_half_away(pred - F.col("p_retailprice"), R).alias("change"), C.round_half_away((factor - 1) * 100, R).alias("change_pct"))
+
+
+# Scenarios of the model mode (change of the daily order count) and the clamp around the last price.
+MODEL_SCENARIOS = [("quiet", -2.0), ("normal", 0.0), ("busy", 3.0)]
+
+
+@query("scenario_model_score", """
+with d as (select o_orderpriority as item, cast(o_orderdate as date) as day, avg(o_totalprice) as price, count(*)::double as n from orders group by 1, 2),
+f as (select item, regr_slope(price, n) as b, regr_intercept(price, n) as a, arg_max(price, day) as last_price, arg_max(n, day) as last_n from d group by 1),
+s as (select * from (values {vals}) t(scenario, delta)),
+p as (select item, scenario, last_price, greatest({lo} * last_price, least({hi} * last_price, coalesce(a + b * (last_n + delta), last_price))) as predicted from f, s)
+select item, scenario, round(last_price, {R}) as last_price, round(predicted, {R}) as predicted, round(predicted - last_price, {R}) as change,
+       round((predicted - last_price) * 100 / nullif(last_price, 0), {R}) as change_pct from p""".format(
+    vals=", ".join(f"('{n}', {d})" for n, d in MODEL_SCENARIOS), lo=CLAMP[0], hi=CLAMP[1], R=R))
+def scenario_model_score(spark, sf):
+    """ML15 (model mode): one least-squares model per item, all fitted by one aggregation; every scenario
+    scored from the item's last day; clamped around the last price; items without a slope keep it."""
+    o = Tables(spark, sf).orders
+    d = panel.daily(o, "o_orderdate", ["o_orderpriority"], [F.avg("o_totalprice").alias("price"), F.count(F.lit(1)).cast("double").alias("n")])
+    f = d.groupBy(F.col("o_orderpriority").alias("item")).agg(
+        F.regr_slope("price", "n").alias("b"), F.regr_intercept("price", "n").alias("a"),
+        F.max_by("price", "day").alias("last_price"), F.max_by("n", "day").alias("last_n"))
+    scenarios = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(x).alias("delta")) for n, x in MODEL_SCENARIOS])
+    x = f.select("*", F.inline(scenarios))
+    last = F.col("last_price")
+    predicted = F.coalesce(F.col("a") + F.col("b") * (F.col("last_n") + F.col("delta")), last)
+    x = x.withColumn("p", F.greatest(CLAMP[0] * last, F.least(CLAMP[1] * last, predicted)))
+    return x.select("item", "scenario", C.round_half_away("last_price", R).alias("last_price"), C.round_half_away("p", R).alias("predicted"),
+                    C.round_half_away(F.col("p") - last, R).alias("change"),
+                    C.round_half_away(F.try_divide((F.col("p") - last) * 100, last), R).alias("change_pct"))

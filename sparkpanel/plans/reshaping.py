@@ -67,6 +67,7 @@ from orders group by rollup (o_orderpriority)""".format(
 def crosstab_combined(spark, sf):
     """Counts, total, row percents and an 'ALL' row from rollup (no union)."""
     o = Tables(spark, sf).orders
+    o = o.select("o_orderpriority", reshape.listed("o_orderstatus", STATUSES).alias("o_orderstatus"))
     g = o.rollup("o_orderpriority").agg(
         *[F.count_if(F.col("o_orderstatus") == s).alias(f"n_{s.lower()}") for s in STATUSES],
         F.count(F.lit(1)).alias("total"), F.grouping("o_orderpriority").alias("__g"))

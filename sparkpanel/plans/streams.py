@@ -1,6 +1,5 @@
-"""Streaming queries: each runs a Structured Streaming job over
-files landed from the supplied events table and returns the sink as a DataFrame
-(stream = batch is the oracle)."""
+"""Streaming queries: each runs a Structured Streaming job over the
+supplied events table and returns the sink as a DataFrame (stream = batch is the oracle)."""
 
 from __future__ import annotations
 
@@ -15,12 +14,12 @@ from sparkpanel.streaming import daily
 R = 4
 
 
-def _land_events(spark, sf, n_files: int = 4) -> tuple[str, object]:
-    """Write events into a landing folder as several files (the stream's input)."""
-    e = Tables(spark, sf).events
-    path = scratch_path(spark, "landing-events")
-    e.repartition(n_files, "event_id").write.mode("overwrite").parquet(path)
-    return path, e.schema
+def _events_source(spark, sf) -> tuple[str, object]:
+    """The given events table as the stream's own source: nothing is copied.
+
+    A file source takes a folder or a pattern, so the table's name is given as a pattern.
+    """
+    return f"{sf.rstrip('/')}/event[s].parquet", Tables(spark, sf).events.schema
 
 
 @query("stream_kpi_refresh", f"""
@@ -28,7 +27,7 @@ select event_type, cast(ts as date) as day, count(*) as n, round(sum(value), {R}
 from events group by 1, 2""")
 def stream_kpi_refresh(spark, sf):
     """availableNow file stream + foreachBatch partial aggregates -> KPI table."""
-    src, schema = _land_events(spark, sf)
+    src, schema = _events_source(spark, sf)
     table, ckpt = scratch_path(spark, "kpi-table"), scratch_path(spark, "kpi-ckpt")
     daily.refresh_kpi_table(spark, src, schema, table, ckpt)
     k = daily.read_kpi_table(spark, table)
@@ -39,7 +38,7 @@ def stream_kpi_refresh(spark, sf):
 select event_type, date_trunc('day', ts) as window_start, count(*) as n from events group by 1, 2""")
 def stream_daily_counts(spark, sf):
     """R2: 2-day watermark, tumbling 1-day windows (update mode + foreachBatch); equals the batch counts."""
-    src, schema = _land_events(spark, sf)
+    src, schema = _events_source(spark, sf)
     sink, ckpt = scratch_path(spark, "daily-sink"), scratch_path(spark, "daily-ckpt")
     daily.windowed_counts(spark, src, schema, sink, ckpt)
     return daily.read_windowed_counts(spark, sink).select("event_type", "window_start", "n")
