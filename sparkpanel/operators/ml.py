@@ -12,7 +12,7 @@ import re
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions.columns import md5_order
 from sparkpanel.operators.panel import rank_within_groups, running_totals
+from sparkpanel.operators.reshape import categories
 from sparkpanel.session import scratch_path
 
 
@@ -32,19 +33,13 @@ def _safe_name(v: str) -> str:
 def one_hot_drop_first(df: DataFrame, col: str, prefix: str | None = None) -> tuple[DataFrame, list[str]]:
     """``get_dummies(drop_first=True)``: one 0/1 column per category but the alphabetically first.
 
-    StringIndexer with ``alphabetDesc`` puts the first category last, and
-    OneHotEncoder's ``dropLast`` removes it.
+    The categories are one distinct job (the schema depends on them); the columns are plain
+    comparisons.  Null: all zeros.
     """
     prefix = prefix or col
-    idx = StringIndexer(inputCol=col, outputCol=f"__{col}_idx", stringOrderType="alphabetDesc", handleInvalid="keep")
-    model = idx.fit(df)
-    labels = model.labelsArray[0]
-    enc = OneHotEncoder(inputCols=[f"__{col}_idx"], outputCols=[f"__{col}_vec"], dropLast=True, handleInvalid="keep")
-    out = enc.fit(model.transform(df)).transform(model.transform(df))
-    arr = vector_to_array(F.col(f"__{col}_vec"))
-    kept = labels[:-1]  # vector slots follow the descending order; the last (= first) label is dropped
+    kept = categories(df, col)[:0:-1]  # descending, without the first
     names = [f"{prefix}_{_safe_name(v)}" for v in kept]
-    out = out.select(*df.columns, *[arr[i].cast("int").alias(n) for i, n in enumerate(names)])
+    out = df.select("*", *[F.col(col).eqNullSafe(F.lit(v)).cast("int").alias(n) for v, n in zip(kept, names)])
     return out, names
 
 

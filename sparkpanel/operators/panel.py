@@ -105,16 +105,16 @@ def last_n(df: DataFrame, series: list[str], order: str, col: str, n: int = 7, o
 
 
 def last_vs_previous(df: DataFrame, series: list[str], order: str, col: str) -> DataFrame:
-    """Last value, previous value, change and % change per series."""
-    g = df.groupBy(*series).agg(F.max_by(F.struct(order, col), F.col(order)).alias("__last"),
-                                F.max(order).alias("__maxd"))
-    prev = df.join(g.select(*series, "__maxd"), series).where(F.col(order) < F.col("__maxd")) \
-        .groupBy(*series).agg(F.max_by(F.col(col), F.col(order)).alias("previous"))
-    j = g.join(prev, series, "left")
-    last = F.col(f"__last.{col}")
-    return j.select(*series, F.col(f"__last.{order}").alias(f"last_{order}"), last.alias("last"), "previous",
-                    (last - F.col("previous")).alias("change"),
-                    F.try_divide((last - F.col("previous")) * 100.0, F.col("previous")).alias("change_pct"))
+    """Last value, previous value, change and % change per series.
+
+    Rows are reduced to one per (series, order) first, so the window holds one row per day.
+    """
+    d = df.groupBy(*series, order).agg(F.max(col).alias(col))
+    d = d.withColumn("previous", F.lag(col).over(Window.partitionBy(*series).orderBy(order)))
+    g = d.groupBy(*series).agg(F.max_by(F.struct(order, col, "previous"), order).alias("__last"))
+    last, previous = F.col(f"__last.{col}"), F.col("__last.previous")
+    return g.select(*series, F.col(f"__last.{order}").alias(f"last_{order}"), last.alias("last"), previous.alias("previous"),
+                    (last - previous).alias("change"), F.try_divide((last - previous) * 100.0, previous).alias("change_pct"))
 
 
 def _coarse(df: DataFrame, column: str) -> Column:

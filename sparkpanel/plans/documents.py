@@ -166,6 +166,25 @@ def reviews_from_json(spark, sf):
     return out.where(F.col("title").isNotNull() | F.col("content").isNotNull())
 
 
+@query("reviews_from_pages", """
+select conv_id, turn, case when role = 'user' then 'conv ' || cast(conv_id as varchar) end as title, text as content, cast(turn as varchar) as rating
+from conversations where role in ('user', 'assistant') and trim(text) <> ''""")
+def reviews_from_pages(spark, sf):
+    """Review pages that hold their records under different list keys, each page with an empty record to skip."""
+    c = Tables(spark, sf).conversations.where(F.col("role").isin("user", "assistant"))
+    user = F.col("role") == "user"
+    record = F.struct(F.when(user, F.concat(F.lit("conv "), F.col("conv_id").cast("string"))).alias("title"),
+                      F.when(user, F.concat(F.lit(" "), F.col("text"))).alias("content"), F.when(~user, F.col("text")).alias("body"),
+                      F.col("turn").alias("score"))
+    empty = F.struct(F.lit("").alias("title"), F.lit("  ").alias("content"), F.lit(None).cast("string").alias("body"), F.lit(0).alias("score"))
+    records = F.array(record, empty)
+    page = F.when(F.col("conv_id") % 2 == 0, F.to_json(F.struct(records.alias("commentList")))).otherwise(F.to_json(F.struct(records.alias("comments"))))
+    rows = c.select("conv_id", "turn", F.explode(D.review_records(page)).alias("raw"))
+    title, content, rating = D.tolerant_reviews(F.col("raw"))
+    out = rows.select("conv_id", "turn", title.alias("title"), content.alias("content"), rating.alias("rating"))
+    return out.where(F.col("title").isNotNull() | F.col("content").isNotNull())
+
+
 def _card_json():
     price = F.struct(F.col("p_retailprice").alias("amount"),
                      F.concat(F.lit("KRW "), F.col("p_retailprice").cast("string")).alias("display_amount"))
