@@ -45,6 +45,8 @@ def line_positions(docs: DataFrame, text: str, doc: str) -> DataFrame:
         F.size(F.split(x["s"], f"{BLANK}+")).alias("w"), (F.size(a) - i).alias("left"))))
     rows = docs.select(F.col(doc).alias("doc"), F.xxhash64(F.col(text)).alias("text_hash"), F.explode(found).alias("x")) \
         .select("doc", "text_hash", "x.*")
+    # written before the range shuffle, which reads its input twice (once to sample the bounds)
+    rows = materialise(rows, "lines")
     # one range shuffle serves all that follows: copies of a row, the running words and the numbering
     in_doc = Window.partitionBy("doc", "text_hash").orderBy("ln").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.repartitionByRange("doc", "text_hash").dropDuplicates(["doc", "text_hash", "ln"]) \
