@@ -4,8 +4,9 @@ usage: python tools/plan_report.py [sf_dir] > docs/PLANS.md
 
 For each query: number of shuffles (Exchange, reused ones counted apart), join
 strategies, aggregate operators, windows, Python evaluation nodes, and the
-filters / columns pushed into each Parquet scan.  Queries whose builder writes
-files or trains models are listed without a plan.
+filters / columns pushed into each Parquet scan.  Plans are the final ones: the shuffles
+run, and joins are what AQE made of them.  Queries whose builder writes files or trains
+models are listed without a plan.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from sparkpanel.plans import registry  # noqa: E402
 from sparkpanel.session import get_session  # noqa: E402
 
 SIDE_EFFECTS = {"decision_tree_eval", "random_forest_eval", "gbt_eval", "feature_importance", "forest_per_item",
                 "tree_rules", "stream_kpi_refresh", "stream_daily_counts", "multi_file_match_counts",
-                "merge_part_files", "scan_csv_roundtrip", "preagg_lookup"}
+                "merge_part_files", "scan_csv_roundtrip", "preagg_lookup", "narrowed_types", "typed_insert",
+                "json_landing", "model_confusion_sums", "importance_sum"}
 OPS = ["SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
        "HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "TakeOrderedAndProject",
        "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "Generate", "Expand"]
@@ -49,16 +51,19 @@ def summarize(plan: str) -> dict:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session(shuffle_partitions=8)
-    qs = entry.queries()
+    registry.load_all()
+    qs = registry.QUERIES
     print("# Physical plans (generated by tools/plan_report.py)\n")
-    print(f"Scale folder: `{sf}`; plans are AQE initial plans (runtime may turn shuffle joins into broadcasts).\n")
+    print(f"Scale folder: `{sf}`; final plans.\n")
     print("| query | shuffles (reused) | operators | Parquet scans (columns read, pushed filters) |")
     print("| --- | --- | --- | --- |")
     for name in sorted(qs):
         if name in SIDE_EFFECTS:
             print(f"| {name} | – | writes files or fits models while building; see module docstring | – |")
             continue
-        plan = qs[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        execution = qs[name](spark, sf)._jdf.queryExecution()
+        execution.toRdd()  # runs the shuffles, which fixes the final plan
+        plan = execution.executedPlan().toString().split("== Initial Plan ==")[0]
         s = summarize(plan)
         ops = ", ".join(f"{k} x{v}" for k, v in s.items() if k not in ("exchanges", "reused", "scans"))
         scans = "<br>".join(dict.fromkeys(s["scans"]))
