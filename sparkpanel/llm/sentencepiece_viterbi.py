@@ -6,9 +6,10 @@ SentencePiece's unigram search.  (For a file whose own algorithm is BPE the scor
 merge ranks, and merging pair by pair may end elsewhere: this operator searches the best
 sum under the file's scores and does not imitate the merges.)
 
-Texts are cut into words where no piece can cross: at the boundary before a ``▁`` that
-follows anything else (checked against the vocabulary when the model is loaded; a
-vocabulary with pieces across it is searched as whole texts).  The distinct words of a batch are
+Texts are cut into words where no piece can cross, as the vocabulary itself shows: two
+neighbouring characters stay together only if some piece holds characters that chain them
+up, and a word begins before a ``▁`` that follows anything else (a vocabulary with pieces
+across that boundary is searched as whole texts).  The distinct words of a batch are
 grouped by length and advance together: at every end position and for every piece length,
 64-bit hashes of all words' substrings probe the sorted hashes of the pieces of that
 length, hits are confirmed by their characters, and vectorised maxima store the best score
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: ids of distinct words kept by a worker, words searched in one block
-_CACHE, _BLOCK = 300_000, 20_000
+_CACHE, _BLOCK = 500_000, 20_000
 #: score of a character without a piece, below the lowest piece by this much
 _UNKNOWN_GAP = 10.0
 
@@ -61,8 +62,7 @@ class Model:
         self.has_bytes = bool((self.byte_ids >= 0).all())
         normal = [i for ids in by_length.values() for i in ids]
         self.unknown_score = float(scores[normal].min()) - _UNKNOWN_GAP
-        # words end before a space mark that follows another character
-        self.word = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if not any(re.search(f"[^{SPACE}]{SPACE}", self.pieces[i]) for i in normal) else None
+        self.word = self._word_pattern({p[k:k + 2] for p in (self.pieces[i] for i in normal) for k in range(len(p) - 1)})
         self.tables = {}
         for length, ids in by_length.items():
             ids = np.array(ids, dtype=np.int64)
@@ -74,6 +74,29 @@ class Model:
             self.tables[length] = (hashes[order], ids[order], scores[ids[order]], chars[order])
 
 
+    @staticmethod
+    def _word_pattern(pairs: set[str]) -> re.Pattern | None:
+        """Space marks and a run of characters that pieces can join; ``pairs``: neighbours inside pieces."""
+        if any(a != SPACE and b == SPACE for a, b in pairs):
+            return None
+        root: dict[str, str] = {}
+
+        def find(c: str) -> str:
+            while root.setdefault(c, c) != c:
+                c = root[c]
+            return c
+
+        for a, b in pairs:
+            if SPACE not in (a, b):
+                root[find(a)] = find(b)
+        groups: dict[str, list[str]] = {}
+        for c in list(root):
+            groups.setdefault(find(c), []).append(c)
+        classes = ["[" + "".join(map(re.escape, sorted(g))) + "]+" for g in sorted(groups.values(), key=len, reverse=True)]
+        alone = "[^" + re.escape(SPACE) + "".join(map(re.escape, sorted(root))) + "]+"
+        return re.compile(f"{SPACE}*(?:{'|'.join([*classes, alone])})|{SPACE}+")
+
+
 def _extend(h: np.ndarray, column: np.ndarray) -> np.ndarray:
     """64-bit hashes of substrings that grow by one code point each."""
     h = (h ^ column.astype(np.uint64)) * _BASE
@@ -87,8 +110,9 @@ def hash_rows(chars: np.ndarray) -> np.ndarray:
     return h
 
 
-def segment(model: Model, chars: np.ndarray) -> list[np.ndarray]:
-    """Ids of equal-length words (rows of code points); -1 - k marks character k without a piece.
+def segment(model: Model, chars: np.ndarray) -> tuple[np.ndarray, int]:
+    """Ids of equal-length words (rows of code points), right-aligned, and the filler of unused places;
+    -1 - k marks character k without a piece.
 
     All words step through the start positions together.  Earlier starts come first, so an
     equal sum never replaces a longer last piece.
@@ -132,7 +156,7 @@ def segment(model: Model, chars: np.ndarray) -> list[np.ndarray]:
             break
         out[live, slot] = piece[at[live], live]
         at[live] -= back[at[live], live]
-    return [row[row != none] for row in out]
+    return out, none
 
 
 class Encoder:
@@ -158,13 +182,17 @@ class Encoder:
             for i in range(0, len(group), block):
                 some = group[i:i + block]
                 chars = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(some), length)
-                for w, ids in zip(some, segment(self.model, chars)):
-                    self.cache[w] = self._with_bytes(w, ids).astype("<i4").tobytes()
+                ids, none = segment(self.model, chars)
+                used = ids != none
+                marked = (used & (ids < 0)).any(axis=1)
+                flat = ids[used].astype("<i4").tobytes()
+                ends = (4 * np.cumsum(used.sum(axis=1))).tolist()
+                self.cache.update(zip(some, [flat[a:b] for a, b in zip([0, *ends], ends)]))
+                for k in np.flatnonzero(marked).tolist():
+                    self.cache[some[k]] = self._with_bytes(some[k], ids[k][used[k]]).astype("<i4").tobytes()
 
     def _with_bytes(self, word: str, ids: np.ndarray) -> np.ndarray:
         """Marks of uncovered characters replaced by the byte pieces of the character."""
-        if (ids >= 0).all():
-            return ids
         out: list[int] = []
         for x in ids.tolist():
             if x >= 0:
