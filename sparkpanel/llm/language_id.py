@@ -5,28 +5,34 @@ Model: log frequency per language of known words, and of character n-grams of le
 sum over its words; a word that the model knows is looked up, any other word falls back
 to its longest n-grams of which at least one is known (their mean log frequency).
 
-Training counts words over ALL training rows: Arrow tasks pre-aggregate (language, word)
-counts, Spark adds them up, and n-gram counts come from the summed word table.  What is
-bounded is the model itself, as documented parameters: at most ``max_words`` words and
-``max_grams`` n-grams per length (the most frequent, ties by text) for at most
-``MAX_LANGS`` languages, so the model that each task receives has a fixed maximal size.
+Nothing counted is left out: every (language, token) count of ALL training rows is kept in
+one written table.  A log frequency is the language's value for an absent token, which is
+the same for all tokens of a length, plus ``log(2 n + 1)`` for a token counted ``n`` times,
+so a token's row names only the languages that have it.  The ``HOT_WORDS`` most frequent
+words are summed up inside the tasks that cut the texts; the other words are looked up by
+joins, each distinct unknown word falls back to n-grams once, and both kinds add up alike.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkpanel.llm.common import join_weighted, materialise
+
 MAX_N = 4
-MAX_WORDS = 50_000
-MAX_GRAMS = 20_000
-MAX_LANGS = 500
+#: words that travel to the tasks with their counts, and how many numbers these may be (fewer words for
+#: very many languages); both decide where a word is added up, not whether
+HOT_WORDS = 150_000
+HOT_NUMBERS = 2_000_000
+#: stands for "no level" where a word has no known n-gram: such a word adds nothing
+NOWHERE = MAX_N + 1
 UNKNOWN = "und"
 #: letters-digits runs without decimal digits and underscores; refined by isalpha() per distinct word
 _RUN = re.compile(r"[^\W\d_]+")
@@ -41,10 +47,20 @@ def words_of(text: str) -> list[str]:
     return [p for w in out for p in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
-def grams_of(word: str, n: int) -> list[str]:
-    """n-grams of the word between boundary marks; single letters for n = 1."""
-    s = word if n == 1 else f"\x02{word}\x03"
-    return [s[i:i + n] for i in range(len(s) - n + 1)]
+def _name(word: Column) -> Column:
+    """The word as a key: itself, or a digest that no word equals when it is long."""
+    return F.when(F.length(word) <= 32, word).otherwise(F.concat(F.lit("\x01"), F.md5(word.cast("binary"))))
+
+
+def _keys(word: Column, levels) -> Column:
+    """Keys of the word's tokens: the level's digit and the token.  Level 0 is the whole word,
+    level n its n-grams between boundary marks (single letters without marks)."""
+    def grams(n: int) -> Column:
+        s = word if n == 1 else F.concat(F.lit("\x02"), word, F.lit("\x03"))
+        parts = F.transform(F.sequence(F.lit(1), F.length(s) - (n - 1)), lambda i: F.concat(F.lit(str(n)), F.substr(s, i, F.lit(n))))
+        return F.when(F.length(s) >= n, parts).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[grams(n) if n else F.array(F.concat(F.lit("0"), _name(word))) for n in levels])
 
 
 def _count_words(batches):
@@ -62,85 +78,113 @@ def _count_words(batches):
         yield flush(counts)
 
 
-def train(train_docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = MAX_WORDS,
-          max_grams: int = MAX_GRAMS) -> dict:
+def train(train_docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     """Count words and n-grams per language over all rows with text and language.
 
-    Returns the bounded model as arrays: languages (sorted), sorted tokens and their log
-    frequencies (one row per token, one column per language), per token length class.
+    Returns the sorted languages, the written table of all tokens (``key``, ``hits`` with one
+    count per language that has the token, ``total``) and per level and language the log
+    frequency of an absent token.
     """
-    from sparkpanel.llm.common import materialise
-
     rows = train_docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     table = materialise(rows.mapInPandas(_count_words, "lang string, word string, n long")
                         .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langwords")
-    langs = sorted(r["lang"] for r in table.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
-    model: dict = {"langs": langs, "levels": {}}
+    langs = sorted(r["lang"] for r in table.select("lang").distinct().collect())
+    model: dict = {"langs": langs}
     if not langs:
         return model
-    marked = F.concat(F.lit("\x02"), "word", F.lit("\x03"))
-
-    def grams(n: int) -> DataFrame:
-        s = F.col("word") if n == 1 else marked
-        positions = F.sequence(F.lit(1), F.length(s) - (n - 1))
-        parts = F.when(F.length(s) >= n, F.transform(positions, lambda i: F.substr(s, i, F.lit(n))))
-        return table.select("lang", F.explode(parts).alias("token"), "n")
-
-    for n in [0, *range(MAX_N, 0, -1)]:  # level 0: whole words
-        tokens = table.withColumnRenamed("word", "token") if n == 0 else grams(n)
-        totals = {r["lang"]: r["t"] for r in tokens.groupBy("lang").agg(F.sum("n").alias("t")).collect() if r["lang"] in langs}
-        per = tokens.where(F.col("lang").isin(langs)).groupBy("token", "lang").agg(F.sum("n").alias("n"))
-        wide = per.groupBy("token").pivot("lang", langs).agg(F.first("n"))
-        wide = wide.select("token", *[F.coalesce(F.col(f"`{lg}`"), F.lit(0)).alias(f"c{j}") for j, lg in enumerate(langs)])
-        every = sum((F.col(f"c{j}") for j in range(1, len(langs))), F.col("c0"))
-        picked = wide.orderBy(F.desc(every), "token").limit(max_words if n == 0 else max_grams).toPandas()
-        freq = picked[[f"c{j}" for j in range(len(langs))]].to_numpy(dtype=float)
-        total = np.array([totals.get(lg, 0) for lg in langs], dtype=float)
-        logp = np.log((freq + 0.5) / (total + 0.5 * (len(picked) + 1)))
-        model["levels"][n] = (picked["token"].tolist(), logp.astype(np.float32))
+    numbers = train_docs.sparkSession.createDataFrame([(lg, j) for j, lg in enumerate(langs)], "lang string, l int")
+    tokens = table.join(F.broadcast(numbers), "lang").select("l", F.explode(_keys(F.col("word"), range(MAX_N + 1))).alias("key"), "n")
+    model["tokens"] = materialise(tokens.groupBy("key", "l").agg(F.sum("n").alias("n")).groupBy("key")
+                                  .agg(F.collect_list(F.struct("l", "n")).alias("hits"), F.sum("n").alias("total")), "langtokens")
+    level = F.left("key", F.lit(1)).cast("int").alias("level")
+    sums = model["tokens"].select(level, F.inline("hits")).groupBy("level", "l").agg(F.sum("n").alias("n")).collect()
+    sizes = {r["level"]: r["count"] for r in model["tokens"].groupBy(level).count().collect()}
+    totals = np.zeros((NOWHERE, len(langs)))
+    for r in sums:
+        totals[r["level"], r["l"]] = r["n"]
+    size = np.array([[sizes.get(n, 0)] for n in range(NOWHERE)])
+    model["absent"] = np.vstack([np.log(0.5 / (totals + 0.5 * (size + 1))), np.zeros(len(langs))])
     return model
 
 
-class Scorer:
-    """The model inside a task: per level a dictionary from token to its row of log frequencies."""
-
-    def __init__(self, model: dict):
-        self.langs = model["langs"]
-        self.index: dict[int, dict[str, int]] = {}
-        parts, at = [], 0
-        for n, (tokens, logp) in model["levels"].items():
-            self.index[n] = {t: at + i for i, t in enumerate(tokens)}
-            parts.append(logp)
-            at += len(tokens)
-        self.logp = np.concatenate(parts).astype(np.float64) if parts else np.zeros((0, 0))
-
-    def _grams(self, word: str) -> list[int]:
-        """Rows of the known n-grams of the longest length that has any."""
-        for n in range(MAX_N, 0, -1):
-            known = self.index[n]
-            hits = [known[g] for g in grams_of(word, n) if g in known]
-            if hits:
-                return hits
-        return []
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text) if text else []
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        known = self.index[0].get
-        rows, weights = [], []
-        for w, n in Counter(words).items():
-            i = known(w)
-            if i is not None:
-                rows.append(i)
-                weights.append(n)
-            elif hits := self._grams(w):
-                rows += hits
-                weights += [n / len(hits)] * len(hits)
-        total = np.asarray(weights, dtype=np.float64) @ self.logp[rows] if rows else np.zeros(len(self.langs))
-        e = np.exp(total - total.max())
-        best = int(e.argmax())  # ties: the first language in sorted order
-        return self.langs[best], float(e[best] / e.sum())
+def _hot_words(model: dict) -> tuple[dict[str, int], np.ndarray]:
+    """Rows of the most frequent words, and per row the gain of each language over an absent word."""
+    n_words = max(1, min(HOT_WORDS, HOT_NUMBERS // len(model["langs"])))
+    top = model["tokens"].where(F.col("key").startswith("0") & ~F.col("key").startswith("0\x01")) \
+        .orderBy(F.desc("total"), "key").limit(n_words).select(F.substring("key", 2, 32).alias("word"), "hits.l", "hits.n").toArrow().combine_chunks()
+    ls, ns = top["l"].combine_chunks(), top["n"].combine_chunks()
+    gain = np.zeros((len(top), len(model["langs"])))
+    gain[np.repeat(np.arange(len(top)), ls.value_lengths().to_numpy()), ls.flatten().to_numpy()] = np.log1p(2.0 * ns.flatten().to_numpy())
+    return {w: i for i, w in enumerate(top["word"].to_pylist())}, gain
+
+
+def _cut_words(docs: DataFrame, model: dict) -> DataFrame:
+    """Per row of ``docs`` (rid, key, text): ``sums`` with the number of all words and the
+    hot words' gain per language (empty for no words at all), and the other words with their counts."""
+    handle = docs.sparkSession.sparkContext.broadcast(_hot_words(model))
+
+    def run(batches):
+        index, gain = handle.value
+        for pdf in batches:
+            out = []
+            for text in pdf["text"]:
+                counts = Counter(words_of(text)) if text else {}
+                rows, weights, words, ns = [], [], [], []
+                for w, n in counts.items():
+                    i = index.get(w)
+                    if i is None:
+                        words.append(w)
+                        ns.append(n)
+                    else:
+                        rows.append(i)
+                        weights.append(n)
+                sums = [float(sum(counts.values())), *(np.asarray(weights, dtype=float) @ gain[rows])] if counts else []
+                out.append((sums, words, ns))
+            yield pd.concat([pdf[["rid", "key"]], pd.DataFrame(out, columns=["sums", "words", "ns"], index=pdf.index)], axis=1)
+
+    return docs.mapInPandas(run, "rid long, key string, sums array<double>, words array<string>, ns array<long>")
+
+
+_GAINS = "transform(hits, h -> struct(h.l as l, log1p(2D * h.n) as v))"
+
+
+def _back_off(unknown: DataFrame, tokens: DataFrame, levels) -> DataFrame:
+    """Unknown words (name, word, uses) that have known n-grams at one of ``levels``: the longest
+    such level and per language the mean gain of the known n-grams."""
+    grams = materialise(unknown.select("name", F.explode(_keys(F.col("word"), levels)).alias("key")), "langgrams")
+    needed = materialise(grams.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).join(tokens, "key").select("key", "rows", "hits"), "langneeded")
+    hits = join_weighted(grams, needed, "key", "rows", grams.count())
+    found = hits.select("name", F.left("key", F.lit(1)).cast("int").alias("level"),
+                        F.inline(F.expr(f"array_append({_GAINS}, struct(-1 as l, 1D as v))")))
+    found = found.groupBy("name", "level", "l").agg(F.sum("v").alias("v")).groupBy("name", "level") \
+        .agg(F.collect_list(F.struct("l", "v")).alias("e"), F.max(F.when(F.col("l") == -1, F.col("v"))).alias("k"))
+    best = found.groupBy("name").agg(F.max("level").alias("level"), F.max_by(F.struct("e", "k"), "level").alias("b"))
+    gains = F.expr("transform(filter(b.e, x -> x.l >= 0), x -> struct(x.l as l, x.v / b.k as v))").alias("gains")
+    return materialise(best.join(unknown.select("name", "uses"), "name").select("name", "uses", "level", gains), "langbackoff")
+
+
+def _rare_sums(cut: DataFrame, model: dict) -> DataFrame:
+    """Per rid the gains ``v`` of its rare words by language ``l``; the number of its words that only
+    level n > 0 or no level has stands at ``l`` = -n."""
+    rare = cut.select("rid", F.inline(F.arrays_zip("words", "ns")))
+    vocabulary = rare.groupBy("words").agg(F.count(F.lit(1)).alias("uses")).select(_name(F.col("words")).alias("name"), F.col("words").alias("word"), "uses")
+    tokens = model["tokens"]
+    whole = tokens.where(F.col("key").startswith("0")).select(F.substring("key", 2, 1 << 30).alias("name"), "hits")
+    seen = materialise(vocabulary.join(whole, "name", "left"), "langseen")
+    found = seen.where("hits is not null").select("name", "uses", F.lit(0).alias("level"), F.expr(_GAINS).alias("gains"))
+    unknown = seen.where("hits is null").select("name", "word", "uses")
+    for levels in ([MAX_N], range(MAX_N - 1, 0, -1)):  # nearly all words end at the first step
+        if unknown.isEmpty():
+            break
+        step = _back_off(unknown, tokens, levels)
+        found = found.unionByName(step)
+        unknown = unknown.join(step.select("name"), "name", "left_anti")
+    found = found.unionByName(unknown.select("name", "uses", F.lit(NOWHERE).alias("level"), F.expr("filter(array(struct(0 as l, 0D as v)), x -> false)").alias("gains")))
+    n_rows = seen.agg(F.sum("uses")).first()[0] or 0
+    used = join_weighted(rare.select("rid", _name(F.col("words")).alias("name"), F.col("ns").alias("n")), found, "name", "uses", n_rows)
+    each = used.select("rid", F.inline(F.expr(
+        "concat(transform(gains, g -> struct(g.l as l, n * g.v as v)), filter(array(struct(-level as l, double(n) as v)), x -> x.l < 0))")))
+    return each.groupBy("rid", "l").agg(F.sum("v").alias("v")).groupBy("rid").agg(F.collect_list(F.struct("l", "v")).alias("s"))
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
@@ -148,18 +192,43 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     likelihood, 0 to 1).  ``und`` with score 0 for a null text, a text without letters,
     or a model without languages; a text none of whose n-grams is known gets the first
     language and score 1 / number of languages.  All other columns pass through."""
-    handle = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang_pred string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(handle.value)
-        for s in batches:
-            yield pd.DataFrame([scorer.predict(t) for t in s], columns=["lang_pred", "score"])
-
+    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    if not model["langs"]:
+        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    key = F.coalesce(F.md5(F.col(text).cast("binary")), F.lit(""))
+    cut = materialise(_cut_words(docs.select(F.monotonically_increasing_id().alias("rid"), key.alias("key"), F.col(text).alias("text")), model), "langcut")
+    absent = model["absent"]
+
+    @F.pandas_udf("best int, score double")
+    def choose(sums: pd.Series, ls: pd.Series, vs: pd.Series) -> pd.DataFrame:
+        out = []
+        for hot, at, more in zip(sums, ls, vs):
+            if not len(hot):
+                out.append((-1, 0.0))
+                continue
+            found = np.zeros(len(absent))
+            total = np.array(hot[1:])
+            if at is not None:
+                at, more = np.asarray(at), np.asarray(more)
+                total[at[at >= 0]] += more[at >= 0]
+                found[-at[at < 0]] = more[at < 0]
+            found[0] = hot[0] - found.sum()
+            total = total + found @ absent
+            e = np.exp(total - total.max())
+            best = int(e.argmax())  # ties: the first language in sorted order
+            out.append((best, float(e[best] / e.sum())))
+        return pd.DataFrame(out, columns=["best", "score"])
+
+    scored = cut.select("rid", "key", "sums").join(_rare_sums(cut, model), "rid", "left") \
+        .select("rid", "key", choose("sums", "s.l", "s.v").alias("p"))
+    # equal texts have one result; the smallest rid stands for them
+    per_text = materialise(scored.groupBy("key").agg(F.min(F.struct("rid", "p.best", "p.score")).alias("p"), F.count(F.lit(1)).alias("copies"))
+                           .select("key", "copies", "p.best", "p.score"), "langscores")
     # the row travels as one struct, so its column names cannot clash with the helper's
-    scored = docs.select(F.struct("*").alias("row"), run(F.col(text)).alias("p"))
-    return scored.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("lang_pred", "score")],
-                         "p.lang_pred", "p.score")
+    rows = docs.select(key.alias("key"), F.struct(*[F.col(c) for c in columns]).alias("row"))
+    names = F.from_json(F.lit(json.dumps(model["langs"])), "array<string>")
+    return join_weighted(rows, per_text, "key", "copies", per_text.agg(F.sum("copies")).first()[0] or 0) \
+        .select(*[F.col("row").getField(c).alias(c) for c in columns], F.coalesce(F.get(names, F.col("best")), F.lit(UNKNOWN)).alias("lang_pred"), "score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -286,3 +286,36 @@ def test_language_id_backs_off_and_knows_no_letters(spark):
     assert got[3] == got[4] == got[6] == ("und", 0.0) and got[5] == ("de", 0.5)
     assert predict(frame(spark, EDGE), train(frame(spark, []))).select("lang_pred").distinct().collect()[0][0] == "und"
     assert predict(frame(spark, []), model).count() == 0
+
+
+def test_language_id_keeps_every_counted_token(spark):
+    """60,000 words of a large language leave the words of a rarer one in place, also a word whose
+    n-grams are those of the large one; languages beyond the five-hundredth are known."""
+    from sparkpanel.llm.language_id import predict, train
+
+    name = lambda i, alphabet: "".join(alphabet[i >> 4 * k & 15] for k in range(4))
+    large, rare = "abcdefghijklmnop", "qrstuvwxyzäöüéèà"
+    rows = [(i, " ".join(name(j, large) for j in range(i * 1000, i * 1000 + 1000)), "en", "s", 1) for i in range(60)] * 2
+    rows += [(100, " ".join(name(j, rare) for j in range(10_000)) + " abcdmnop", "xx", "s", 1)]
+    model = train(frame(spark, rows))
+    texts = [(1, "abcdmnop", "x", "s", 1), (2, name(9_999, rare), "x", "s", 1), (3, name(59_999, large), "x", "s", 1)]
+    got = {r["doc_id"]: r["lang_pred"] for r in predict(frame(spark, texts), model).collect()}
+    assert got == {1: "xx", 2: "xx", 3: "en"}
+
+    many = [(i, name(i, "bcdfghjklmnpqrst"), f"l{i:03}", "s", 1) for i in range(510)]
+    got = predict(frame(spark, many), train(frame(spark, many))).collect()
+    assert len(got) == 510 and all(r["lang"] == r["lang_pred"] for r in got)
+
+
+def test_language_id_equals_plain_dictionaries_with_few_hot_words(spark, monkeypatch):
+    from sparkpanel.llm import language_id
+    from tests.llm.test_pipeline import brute_language, fixture_rows
+
+    rows = fixture_rows()
+    want = brute_language(rows)
+    for hot in (3, 50_000):
+        monkeypatch.setattr(language_id, "HOT_WORDS", hot)
+        got = language_id.identify(frame(spark, rows)).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r["lang_pred"] == want[r["doc_id"]][0] and abs(r["score"] - want[r["doc_id"]][1]) < 1e-9
