@@ -20,8 +20,10 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those whose language is not clear."""
-    kept = language_id.identify(docs).where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    """Rejects documents without letters, near ties, and those of whose words their language knows too few:
+    gibberish and languages that were not learned."""
+    kept = language_id.identify(docs, clear=True).where(
+        (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE) & F.col("lang_clear"))
     return kept.select(*docs.columns)
 
 

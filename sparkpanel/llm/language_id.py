@@ -31,6 +31,8 @@ MAX_N = 4
 #: very many languages); both decide where a word is added up, not whether
 HOT_WORDS = 150_000
 HOT_NUMBERS = 2_000_000
+#: a text is clear when its language has this part of the share of words that it has of the middle training text
+CLEAR_PART = 0.5
 #: stands for "no level" where a word has no known n-gram: such a word adds nothing
 NOWHERE = MAX_N + 1
 UNKNOWN = "und"
@@ -52,15 +54,20 @@ def _name(word: Column) -> Column:
     return F.when(F.length(word) <= 32, word).otherwise(F.concat(F.lit("\x01"), F.md5(word.cast("binary"))))
 
 
-def _keys(word: Column, levels) -> Column:
-    """Keys of the word's tokens: the level's digit and the token.  Level 0 is the whole word,
-    level n its n-grams between boundary marks (single letters without marks)."""
-    def grams(n: int) -> Column:
-        s = word if n == 1 else F.concat(F.lit("\x02"), word, F.lit("\x03"))
-        parts = F.transform(F.sequence(F.lit(1), F.length(s) - (n - 1)), lambda i: F.concat(F.lit(str(n)), F.substr(s, i, F.lit(n))))
-        return F.when(F.length(s) >= n, parts).otherwise(F.array().cast("array<string>"))
+def _tokens(words: DataFrame, levels) -> DataFrame:
+    """One row per token of the column ``word``, as ``key``: the level's digit and the token.  Level 0 is
+    the whole word, level n its n-grams between boundary marks (single letters without marks)."""
+    at = words.withColumn("__s", F.concat(F.lit("\x02"), "word", F.lit("\x03"))).withColumn("__i", F.explode(F.sequence(F.lit(1), F.length("__s"))))
+    left = F.length("__s") - F.col("__i")  # letters and marks after this one
 
-    return F.concat(*[grams(n) if n else F.array(F.concat(F.lit("0"), _name(word))) for n in levels])
+    def key(n: int) -> Column:
+        if n == 0:
+            return F.when(F.col("__i") == 1, F.concat(F.lit("0"), _name(F.col("word"))))
+        there = (F.col("__i") > 1) & (left > 0) if n == 1 else left >= n - 1
+        return F.when(there, F.concat(F.lit(str(n)), F.substr("__s", "__i", F.lit(n))))
+
+    # the positions are exploded first: both steps run as generated code, a lambda over them does not
+    return at.withColumn("key", F.explode(F.array(*[key(n) for n in levels]))).where("key is not null").drop("__s", "__i", "word")
 
 
 def _count_words(batches):
@@ -93,7 +100,7 @@ def train(train_docs: DataFrame, text: str = "text", lang: str = "lang") -> dict
     if not langs:
         return model
     numbers = train_docs.sparkSession.createDataFrame([(lg, j) for j, lg in enumerate(langs)], "lang string, l int")
-    tokens = table.join(F.broadcast(numbers), "lang").select("l", F.explode(_keys(F.col("word"), range(MAX_N + 1))).alias("key"), "n")
+    tokens = _tokens(table.join(F.broadcast(numbers), "lang").select("l", "word", "n"), range(NOWHERE))
     model["tokens"] = materialise(tokens.groupBy("key", "l").agg(F.sum("n").alias("n")).groupBy("key")
                                   .agg(F.collect_list(F.struct("l", "n")).alias("hits"), F.sum("n").alias("total")), "langtokens")
     level = F.left("key", F.lit(1)).cast("int").alias("level")
@@ -119,15 +126,18 @@ def _hot_words(model: dict) -> tuple[dict[str, int], np.ndarray]:
 
 
 def _cut_words(docs: DataFrame, model: dict) -> DataFrame:
-    """Per row of ``docs`` (rid, key, text): ``sums`` with the number of all words and the
-    hot words' gain per language (empty for no words at all), and the other words with their counts."""
+    """Per row of ``docs`` (rid, key, text, trained): ``own``, the number of the language it was trained
+    with or -1; ``sums`` with the number of all words, the hot words' gain per language and how many of
+    them the language knows from other texts (empty for no words at all); the other words with their counts."""
     handle = docs.sparkSession.sparkContext.broadcast(_hot_words(model))
+    numbers = {lg: j for j, lg in enumerate(model["langs"])}
 
     def run(batches):
         index, gain = handle.value
         for pdf in batches:
             out = []
-            for text in pdf["text"]:
+            for text, trained in zip(pdf["text"], pdf["trained"]):
+                own = numbers.get(trained, -1)
                 counts = Counter(words_of(text)) if text else {}
                 rows, weights, words, ns = [], [], [], []
                 for w, n in counts.items():
@@ -138,11 +148,17 @@ def _cut_words(docs: DataFrame, model: dict) -> DataFrame:
                     else:
                         rows.append(i)
                         weights.append(n)
-                sums = [float(sum(counts.values())), *(np.asarray(weights, dtype=float) @ gain[rows])] if counts else []
-                out.append((sums, words, ns))
-            yield pd.concat([pdf[["rid", "key"]], pd.DataFrame(out, columns=["sums", "words", "ns"], index=pdf.index)], axis=1)
+                sums = []
+                if counts:
+                    weight, gains = np.asarray(weights, dtype=float), gain[rows]
+                    known = gains > 0
+                    if own >= 0:
+                        known[:, own] = gains[:, own] > np.log1p(2 * weight) + 1e-9
+                    sums = [float(sum(counts.values())), *(weight @ gains), *(weight @ known)]
+                out.append((own, sums, words, ns))
+            yield pd.concat([pdf[["rid", "key"]], pd.DataFrame(out, columns=["own", "sums", "words", "ns"], index=pdf.index)], axis=1)
 
-    return docs.mapInPandas(run, "rid long, key string, sums array<double>, words array<string>, ns array<long>")
+    return docs.mapInPandas(run, "rid long, key string, own int, sums array<double>, words array<string>, ns array<long>")
 
 
 _GAINS = "transform(hits, h -> struct(h.l as l, log1p(2D * h.n) as v))"
@@ -151,7 +167,7 @@ _GAINS = "transform(hits, h -> struct(h.l as l, log1p(2D * h.n) as v))"
 def _back_off(unknown: DataFrame, tokens: DataFrame, levels) -> DataFrame:
     """Unknown words (name, word, uses) that have known n-grams at one of ``levels``: the longest
     such level and per language the mean gain of the known n-grams."""
-    grams = materialise(unknown.select("name", F.explode(_keys(F.col("word"), levels)).alias("key")), "langgrams")
+    grams = materialise(_tokens(unknown.select("name", "word"), levels), "langgrams")
     needed = materialise(grams.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).join(tokens, "key").select("key", "rows", "hits"), "langneeded")
     hits = join_weighted(grams, needed, "key", "rows", grams.count())
     found = hits.select("name", F.left("key", F.lit(1)).cast("int").alias("level"),
@@ -164,9 +180,10 @@ def _back_off(unknown: DataFrame, tokens: DataFrame, levels) -> DataFrame:
 
 
 def _rare_sums(cut: DataFrame, model: dict) -> DataFrame:
-    """Per rid the gains ``v`` of its rare words by language ``l``; the number of its words that only
+    """Per rid the gains ``v`` of its rare words by language ``l`` and the number ``k`` of them that the
+    language knows from other texts; the number of its words that only
     level n > 0 or no level has stands at ``l`` = -n."""
-    rare = cut.select("rid", F.inline(F.arrays_zip("words", "ns")))
+    rare = cut.select("rid", "own", F.inline(F.arrays_zip("words", "ns")))
     vocabulary = rare.groupBy("words").agg(F.count(F.lit(1)).alias("uses")).select(_name(F.col("words")).alias("name"), F.col("words").alias("word"), "uses")
     tokens = model["tokens"]
     whole = tokens.where(F.col("key").startswith("0")).select(F.substring("key", 2, 1 << 30).alias("name"), "hits")
@@ -181,54 +198,76 @@ def _rare_sums(cut: DataFrame, model: dict) -> DataFrame:
         unknown = unknown.join(step.select("name"), "name", "left_anti")
     found = found.unionByName(unknown.select("name", "uses", F.lit(NOWHERE).alias("level"), F.expr("filter(array(struct(0 as l, 0D as v)), x -> false)").alias("gains")))
     n_rows = seen.agg(F.sum("uses")).first()[0] or 0
-    used = join_weighted(rare.select("rid", _name(F.col("words")).alias("name"), F.col("ns").alias("n")), found, "name", "uses", n_rows)
+    used = join_weighted(rare.select("rid", "own", _name(F.col("words")).alias("name"), F.col("ns").alias("n")), found, "name", "uses", n_rows)
     each = used.select("rid", F.inline(F.expr(
-        "concat(transform(gains, g -> struct(g.l as l, n * g.v as v)), filter(array(struct(-level as l, double(n) as v)), x -> x.l < 0))")))
-    return each.groupBy("rid", "l").agg(F.sum("v").alias("v")).groupBy("rid").agg(F.collect_list(F.struct("l", "v")).alias("s"))
+        "concat(transform(gains, g -> struct(g.l as l, n * g.v as v, "
+        "if(level = 0 and (g.l <> own or g.v > log1p(2D * n) + 1e-9D), double(n), 0D) as k)), "
+        "filter(array(struct(-level as l, double(n) as v, 0D as k)), x -> x.l < 0))")))
+    return each.groupBy("rid", "l").agg(F.sum("v").alias("v"), F.sum("k").alias("k")).groupBy("rid").agg(F.collect_list(F.struct("l", "v", "k")).alias("s"))
 
 
-def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: dict, text: str = "text", trained: Column | None = None) -> DataFrame:
     """``docs`` plus ``lang_pred`` and ``score`` (the chosen language's share of the
     likelihood, 0 to 1).  ``und`` with score 0 for a null text, a text without letters,
     or a model without languages; a text none of whose n-grams is known gets the first
-    language and score 1 / number of languages.  All other columns pass through."""
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    language and score 1 / number of languages.  All other columns pass through.
+
+    With ``trained`` (the language a row was trained with, null for other rows) also ``lang_known``, the
+    share of the text's words that the chosen language knows from other texts, and ``lang_clear``: that
+    share is above 0 and at least CLEAR_PART of its median over the language's training texts.  The score
+    goes to 1 with the length of any text, this share does not depend on the length.  A word of a training
+    text is known from others when the language counts it more often than the text does (copies of
+    the text are others).
+    """
+    added = ["lang_pred", "score"] + ["lang_known", "lang_clear"] * (trained is not None)
+    columns = [c for c in docs.columns if c not in added]
     if not model["langs"]:
-        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    key = F.coalesce(F.md5(F.col(text).cast("binary")), F.lit(""))
-    cut = materialise(_cut_words(docs.select(F.monotonically_increasing_id().alias("rid"), key.alias("key"), F.col(text).alias("text")), model), "langcut")
+        none = {"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "lang_known": F.lit(0.0), "lang_clear": F.lit(False)}
+        return docs.select(*columns, *[none[c].alias(c) for c in added])
+    own = F.lit(None).cast("string") if trained is None else trained
+    key = F.concat_ws("|", F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("")), own)
+    cut = materialise(_cut_words(docs.select(F.monotonically_increasing_id().alias("rid"), key.alias("key"), F.col(text).alias("text"),
+                                             own.alias("trained")), model), "langcut")
     absent = model["absent"]
 
-    @F.pandas_udf("best int, score double")
-    def choose(sums: pd.Series, ls: pd.Series, vs: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("best int, score double, known double")
+    def choose(sums: pd.Series, ls: pd.Series, vs: pd.Series, ks: pd.Series) -> pd.DataFrame:
         out = []
-        for hot, at, more in zip(sums, ls, vs):
+        for hot, at, more, known in zip(sums, ls, vs, ks):
             if not len(hot):
-                out.append((-1, 0.0))
+                out.append((-1, 0.0, 0.0))
                 continue
             found = np.zeros(len(absent))
-            total = np.array(hot[1:])
+            total, words = np.array(hot[1:]).reshape(2, -1)
             if at is not None:
                 at, more = np.asarray(at), np.asarray(more)
                 total[at[at >= 0]] += more[at >= 0]
+                words[at[at >= 0]] += np.asarray(known)[at >= 0]
                 found[-at[at < 0]] = more[at < 0]
             found[0] = hot[0] - found.sum()
             total = total + found @ absent
             e = np.exp(total - total.max())
             best = int(e.argmax())  # ties: the first language in sorted order
-            out.append((best, float(e[best] / e.sum())))
-        return pd.DataFrame(out, columns=["best", "score"])
+            out.append((best, float(e[best] / e.sum()), float(words[best] / hot[0])))
+        return pd.DataFrame(out, columns=["best", "score", "known"])
 
-    scored = cut.select("rid", "key", "sums").join(_rare_sums(cut, model), "rid", "left") \
-        .select("rid", "key", choose("sums", "s.l", "s.v").alias("p"))
+    scored = cut.select("rid", "key", "own", "sums").join(_rare_sums(cut, model), "rid", "left") \
+        .select("rid", "key", "own", choose("sums", "s.l", "s.v", "s.k").alias("p"))
     # equal texts have one result; the smallest rid stands for them
-    per_text = materialise(scored.groupBy("key").agg(F.min(F.struct("rid", "p.best", "p.score")).alias("p"), F.count(F.lit(1)).alias("copies"))
-                           .select("key", "copies", "p.best", "p.score"), "langscores")
+    per_text = materialise(scored.groupBy("key").agg(F.min(F.struct("rid", "own", "p.*")).alias("p"), F.count(F.lit(1)).alias("copies"))
+                           .select("key", "copies", "p.own", "p.best", "p.score", "p.known"), "langscores")
+    n_rows = per_text.agg(F.sum("copies")).first()[0] or 0
+    if trained is not None:
+        middle = per_text.where("best = own").groupBy("best").agg(F.percentile_approx("known", 0.5).alias("middle"))
+        per_text = per_text.join(F.broadcast(middle), "best", "left") \
+            .withColumn("clear", (F.col("known") > 0) & (F.col("known") >= CLEAR_PART * F.coalesce("middle", F.lit(0.0))))
     # the row travels as one struct, so its column names cannot clash with the helper's
     rows = docs.select(key.alias("key"), F.struct(*[F.col(c) for c in columns]).alias("row"))
     names = F.from_json(F.lit(json.dumps(model["langs"])), "array<string>")
-    return join_weighted(rows, per_text, "key", "copies", per_text.agg(F.sum("copies")).first()[0] or 0) \
-        .select(*[F.col("row").getField(c).alias(c) for c in columns], F.coalesce(F.get(names, F.col("best")), F.lit(UNKNOWN)).alias("lang_pred"), "score")
+    values = {"lang_pred": F.coalesce(F.get(names, F.col("best")), F.lit(UNKNOWN)), "score": F.col("score"),
+              "lang_known": F.col("known"), "lang_clear": F.col("clear")}
+    return join_weighted(rows, per_text, "key", "copies", n_rows) \
+        .select(*[F.col("row").getField(c).alias(c) for c in columns], *[values[c].alias(c) for c in added])
 
 
 def held_out(id_col: str = "doc_id"):
@@ -236,8 +275,8 @@ def held_out(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, clear: bool = False) -> DataFrame:
     """Train on the rows that are not held out (null ids are not trained on either) and
-    label every row of ``docs``."""
+    label every row of ``docs``; ``clear`` adds ``lang_known`` and ``lang_clear``."""
     model = train(docs.where(~held_out()))
-    return predict(docs, model)
+    return predict(docs, model, trained=F.when(~held_out() & F.col("text").isNotNull(), F.col("lang")) if clear else None)

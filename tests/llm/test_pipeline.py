@@ -197,3 +197,26 @@ def test_queries_cover_their_whole_table(spark, name):
     assert {r[key] for r in rows} == {r[0] for r in spark.read.parquet(f"{sf}/{source}.parquet").select(key).collect()}
     if name == "op8_sentencepiece":
         assert all(r["exact"] for r in rows)
+
+
+def test_language_stage_rejects_gibberish_and_unseen_languages(spark):
+    """Long texts that score 1 for some language: only the share of known words tells them apart."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    rows = [(i, t, lg, s, n) for i, t, lg, s, n in fixture_rows() if i < 60]
+    clean = {r[0] for r in rows}
+    noise = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    polish = "wszyscy ludzie rodz\u0105 si\u0119 wolni i r\u00f3wni pod wzgl\u0119dem swej godno\u015bci i swych praw s\u0105 oni obdarzeni rozumem i sumieniem"
+    for i in range(1000, 1006):  # without a label
+        rows.append((i, noise(100), None, "src0", None))
+    rows += [(1006, polish, None, "src0", None), (1007, polish + " " + polish, None, "src0", None)]
+    trained = [i for i in range(2000, 2020) if zlib.crc32(str(i).encode()) % 4 != 2][:3]
+    rows += [(i, noise(100), "en", "src0", None) for i in trained]  # labelled and trained on
+    docs = spark.createDataFrame([(i, t, lg, s, len(t)) for i, t, lg, s, _ in rows], DOCS)
+    got = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, "").select("doc_id").collect()}
+    assert got == clean
+
+    one = docs.where("lang = 'en' or lang is null").where("doc_id < 2000")  # a single language: every score is 1
+    got = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, one, "").select("doc_id").collect()}
+    assert got == {r[0] for r in rows if r[0] < 60 and r[2] == "en"}
