@@ -87,11 +87,15 @@ def links(prints: DataFrame, max_bits: int = 2, max_bucket: int = MAX_BUCKET) ->
 
     Pairs from small buckets are verified links; members of large buckets are linked
     through shared values of their radius-one balls (see the module text), which gives the
-    same components.  The ball way holds for two bits; with one or zero bits the variants
-    of the whole fingerprint are the ball itself, so the same join serves.
+    same components.  The ball way holds for two bits; with one bit the ball is joined with
+    the fingerprints themselves, and with none distinct fingerprints have no links.
     """
-    if max_bits != 2:
-        raise ValueError("two segments with one wildcard cover a distance of two bits")
+    if max_bits not in (0, 1, 2):
+        raise ValueError("two segments with one wildcard are used for distances of 0 to 2 bits")
+    if max_bits < 2:
+        near = [F.col("fp").bitwiseXOR(F.lit(_signed(1 << p))) for p in range(64 * max_bits)]
+        ball = prints.select(F.col("fp").alias("a"), F.explode(F.array(*near).cast("array<bigint>")).alias("fp"))
+        return ball.join(prints.select("fp"), "fp").where("a < fp").select("a", F.col("fp").alias("b"))
     # one shuffle of the variants, whatever their number: a key holds at most 1/64 of the rows,
     # because every fingerprint has 64 different keys
     sized = _variants(prints).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key")))

@@ -319,3 +319,13 @@ def test_language_id_equals_plain_dictionaries_with_few_hot_words(spark, monkeyp
         assert len(got) == len(rows)
         for r in got:
             assert r["lang_pred"] == want[r["doc_id"]][0] and abs(r["score"] - want[r["doc_id"]][1]) < 1e-9
+
+
+def test_simhash_links_of_fewer_bits(spark):
+    from sparkpanel.llm.simhash import links
+
+    fps = [0, 1, 3, 1 << 62, -1 << 63, (-1 << 63) + 1, 7 << 20]
+    prints = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for bits in (0, 1):
+        want = {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
+        assert {tuple(r) for r in links(prints, bits).collect()} == want
