@@ -129,3 +129,39 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
     return d.select("query_id", "rank", "vec_id", "score")
+
+
+@query("op11_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 2048 tokens."""
+    from sparkpanel.llm.token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+@query("op12_lexical_search", r"""
+with d as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+q as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+total as (select count(*) filter (where len(w) > 0) as n_docs, sum(len(w))::bigint as n_terms from d),
+size as (select r, doc_id, len(w) as n from d),
+found as (select r, unnest(w) as term from d),
+tf as (select r, term, count(*) as tf from found where term in (select term from q) group by r, term),
+df as (select term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint as w from tf, total group by term),
+scored as (
+  select q.item_id, tf.r, sum(df.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * (50 + (50 * size.n * n_docs) // n_terms))))::bigint as score
+  from q join tf using (term) join df using (term) join size on size.r = tf.r, total group by q.item_id, tf.r),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank, doc_id, score
+  from scored join size using (r) where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 50
+""")
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    from sparkpanel.llm.lexical_search import rank
+
+    return rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
