@@ -165,3 +165,11 @@ def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkpanel.llm.lexical_search import rank
 
     return rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query("op13_prefix_trie")
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    from sparkpanel.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
