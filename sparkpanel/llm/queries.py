@@ -167,7 +167,36 @@ def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
 
 
-@query("op13_prefix_trie")
+@query("op13_prefix_trie", """
+with recursive t as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as p,
+         coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (
+  select c, count(*) as n, list_reduce(list_transform(range(1, length(c::varchar) + 1), lambda i: ascii(substr(c::varchar, i, 1))::bigint),
+           lambda crc, x: list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))), 4294967295) as crc
+  from t group by c),
+head as (select c, n, xor(crc, 4294967295) % 6 as h from own),
+lent as (select a.c, a.n, a.h, least(a.h, coalesce(b.n, 0)) as k from head a left join own b on b.c = a.c - a.c % 100),
+built as (
+  select l.c, t.p as d, t.role, t.text from lent l join t on t.c = l.c - l.c % 100 and t.p <= l.k
+  union all select l.c, t.p - l.h + l.k, t.role, t.text from lent l join t on t.c = l.c and t.p > l.h),
+path as (
+  select c, 0::bigint as d, 0::bigint as node, null::bigint as up, 0 as chars from own
+  union all
+  select b.c, b.d, min(b.c) over (partition by b.d, path.node, b.role, b.text) * 100000 + b.d, path.node, length(b.text)
+  from path join built b on b.c = path.c and b.d = path.d + 1),
+node as (select node, any_value(d) as d, any_value(up) as up, min(c) as first, count(*) as n, any_value(chars) as chars from path group by node),
+child as (select up as node, count(*) as n_children from node where up is not null group by up),
+full_node as (select node.*, coalesce(n_children, 0) as n_children from node left join child using (node)),
+below as (
+  select a.node, sum(case when f.n_children = 0 then 1 else 0 end) as n_leaves, sum((f.n - 1) * f.chars) as saved
+  from full_node f join path a on a.c = f.first and a.d <= f.d group by a.node),
+last as (select c, max(d) as d from path group by c),
+ends as (select node, sha256(string_agg(c::varchar, ',' order by c)) as ends from last join path using (c, d) group by node)
+select f.first as conv_id, f.d as depth, u.first as parent_conv_id, f.n as n_convs, f.n_children, b.n_leaves::bigint as n_leaves,
+       b.saved::bigint as saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
+from full_node f join below b using (node) left join ends e using (node) left join node u on u.node = f.up
+""")
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations."""
     from sparkpanel.llm.prefix_trie import prefix_trie
