@@ -35,18 +35,21 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def with_rank(df: DataFrame, groups: list[str], spread: list[str], order: list[str], n_rows: int,
+def with_rank(df: DataFrame, groups: list[str], spread: str, order: list[str], n_rows: int,
               name: str = "rank", rows_per_bucket: int = 50_000) -> DataFrame:
     """0-based gapless number of every row inside its group, without gathering a group.
 
-    Rows of a group are dealt to buckets by a hash of ``spread``; the bucket sizes
-    (one row per group and bucket) give each bucket its offset and a window numbers
-    the rows inside one bucket.  ``n_rows`` sets the number of buckets, so a bucket
-    holds about ``rows_per_bucket`` rows even when one group holds the whole table.
-    ``df`` must be stable (a written table): it is read twice.
+    Rows of a group are dealt to buckets by a hash of ``spread``, a column that differs
+    between any two rows (a stored row number), so equal rows spread as well; the bucket
+    sizes (one row per group and bucket) give each bucket its offset and a window numbers the
+    rows inside one bucket.  A group gets as many buckets as it needs for ``rows_per_bucket``
+    rows in each; ``n_rows`` (of the table) lowers that on small tables, so that they too are
+    many tasks.  The groups must be few: their sizes are broadcast.  ``df`` must be stable (a
+    written table): it is read twice.
     """
-    n_buckets = max(1, -(-n_rows // rows_per_bucket))
-    b = df.withColumn("__b", F.pmod(F.xxhash64(*spread), F.lit(n_buckets)))
+    per_bucket = max(500, min(rows_per_bucket, n_rows // 256))
+    size = df.groupBy(*groups).agg(F.ceil(F.count(F.lit(1)) / per_bucket).cast("long").alias("__n"))
+    b = df.join(F.broadcast(size), groups).withColumn("__b", F.pmod(F.xxhash64(spread), F.col("__n"))).drop("__n")
     sizes = b.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*groups, "__b", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__o"))

@@ -11,11 +11,13 @@ share is crossed; that bin becomes the next range until it holds a single value.
 boundary between values lies within ``TOLERANCE`` of the share, the cut is there and rows
 with equal coordinates stay together; otherwise the rows of the crossing value are split
 by the hash of their text (so equal texts stay together where that is possible), and a
-text that is itself too heavy is split by a hash of its row id.
+text that is itself too heavy is split by a number that every row has of its own, so rows
+that are equal in all columns can be told apart and no share of them fills a shard.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,13 +30,11 @@ TOLERANCE = 0.005
 MAX_SHARDS = 100_000
 
 
-def _bytes_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Small driver-made table as SQL literals (one row per open node)."""
+def _small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Driver-made table of one row per open node (at most MAX_SHARDS), from one literal."""
     names = [c.split()[0] for c in schema.split(",")]
-    kinds = [c.split()[1] for c in schema.split(",")]
-    values = ", ".join("(" + ", ".join(f"cast({v!r} as {k})" if not isinstance(v, float) else f"cast('{v!r}' as {k})"
-                                       for v, k in zip(r, kinds)) + ")" for r in rows)
-    return spark.sql(f"select * from values {values} as t({', '.join(names)})")
+    literal = json.dumps([dict(zip(names, r)) for r in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(literal), f"array<struct<{schema.replace(' ', ':')}>>")))
 
 
 def _crossings(part: DataFrame, open_nodes: list[dict], coordinate: Column) -> list[dict]:
@@ -47,14 +47,14 @@ def _crossings(part: DataFrame, open_nodes: list[dict], coordinate: Column) -> l
     spark = part.sparkSession
     done = []
     while open_nodes:
-        state = F.broadcast(_bytes_table(spark, [(n["node"], float(n["lo"]), float(n["hi"])) for n in open_nodes],
+        state = F.broadcast(_small_table(spark, [(n["node"], float(n["lo"]), float(n["hi"])) for n in open_nodes],
                                          "node int,lo double,hi double"))
         inside = part.join(state, "node").withColumn("x", coordinate).where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
         bins = inside.withColumn("bin", F.when(F.col("hi") > F.col("lo"), F.least(F.lit(BINS - 1), F.floor(
             (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS))).otherwise(F.lit(0)).cast("int")) \
             .groupBy("node", "bin").agg(F.sum("size").alias("w"), F.min("x").alias("x0"), F.max("x").alias("x1"))
         upto = bins.withColumn("upto", F.sum("w").over(Window.partitionBy("node").orderBy("bin")))
-        want = F.broadcast(_bytes_table(spark, [(n["node"], int(n["want"] - n["before"])) for n in open_nodes],
+        want = F.broadcast(_small_table(spark, [(n["node"], int(n["want"] - n["before"])) for n in open_nodes],
                                         "node int,want bigint"))
         hit = upto.join(want, "node").where(F.col("upto") >= F.col("want")).groupBy("node").agg(
             F.min_by(F.struct("upto", "w", "x0", "x1"), "bin").alias("h")).select("node", "h.*").collect()
@@ -77,8 +77,8 @@ def _spread(df: DataFrame, dims: list[str]) -> dict[int, dict]:
 
 
 def assign(points: DataFrame, dims: list[str], n_shards: int) -> DataFrame:
-    """``points`` (a written table with size, text_hash, row_hash and the double columns
-    ``dims``) plus ``shard``, 0 to n_shards - 1, of nearly equal bytes.
+    """``points`` (a written table with size, text_hash, row_hash, which differs between any two
+    rows, and the double columns ``dims``) plus ``shard``, 0 to n_shards - 1, of nearly equal bytes.
 
     A node that stands for q shards is split so that one side holds floor(q / 2) / q of its
     bytes; dimensions are compared by their width relative to the whole table's.
@@ -97,7 +97,7 @@ def assign(points: DataFrame, dims: list[str], n_shards: int) -> DataFrame:
     while any(q > 1 for q in quota.values()):
         spread = _spread(now.where(F.col("node").isin([n for n, q in quota.items() if q > 1])), dims)
         for n in [n for n, q in quota.items() if q > 1 and n not in spread]:
-            quota[n] = 1  # no row fell there: rows that equal each other cannot be told apart
+            quota[n] = 1  # no row fell there: fewer rows than shards, or a row as heavy as several
         tasks = []
         for node, s in spread.items():
             width = {c: (s[c][1] - s[c][0]) / ((whole[c][1] - whole[c][0]) or 1.0) for c in dims}
@@ -107,7 +107,8 @@ def assign(points: DataFrame, dims: list[str], n_shards: int) -> DataFrame:
                           "want": max(1, s["total"] * (q // 2) // q), "total": s["total"]})
         if not tasks:
             break
-        chosen = F.broadcast(_bytes_table(spark, [(t["node"], dims.index(t["dim"])) for t in tasks], "node int,dim int"))
+        dim_of = {t["node"]: dims.index(t["dim"]) for t in tasks}
+        chosen = F.broadcast(_small_table(spark, list(dim_of.items()), "node int,dim int"))
         x = F.element_at(F.array(*dims), F.col("dim") + 1)
         part = now.join(chosen, "node").withColumn("coord", x)
         slack = {t["node"]: max(1, int(t["total"] * TOLERANCE)) for t in tasks}
@@ -129,15 +130,16 @@ def assign(points: DataFrame, dims: list[str], n_shards: int) -> DataFrame:
             level += 1
             if not undecided or level == 3:
                 break
-            keep = F.broadcast(_bytes_table(spark, [(u["node"], float(u["at"])) for u in undecided], "node int,only double"))
+            keep = F.broadcast(_small_table(spark, [(u["node"], float(u["at"])) for u in undecided], "node int,only double"))
             frame = frame.join(keep, "node").where(coordinate == F.col("only")).drop("only")
             left = undecided
-        rows = [(n, dims.index(next(t["dim"] for t in tasks if t["node"] == n)), *map(float, c), n + quota[n] // 2) for n, c in cuts.items()]
-        table = F.broadcast(_bytes_table(spark, rows, "node int,dim int,c0 double,c1 double,c2 double,right int"))
+        rows = [(n, dim_of[n], *map(float, c), n + quota[n] // 2) for n, c in cuts.items()]
+        table = F.broadcast(_small_table(spark, rows, "node int,dim int,c0 double,c1 double,c2 double,right int"))
         x = F.element_at(F.array(*dims), F.col("dim") + 1)
         stays = (x < F.col("c0")) | ((x == F.col("c0")) & ((text_x < F.col("c1")) | ((text_x == F.col("c1")) & (row_x <= F.col("c2")))))
         now = now.join(table, "node", "left").withColumn(
             "node", F.when(F.col("right").isNull() | stays, F.col("node")).otherwise(F.col("right"))).drop("dim", "c0", "c1", "c2", "right")
+        now = materialise(now, "level")  # the next level starts from a table, not from all joins before it
         for n in list(cuts):
             q = quota[n]
             quota[n], quota[n + q // 2] = q // 2, q - q // 2
@@ -150,20 +152,25 @@ def kd_shards(docs: DataFrame, text: str = "text", doc: str = "doc_id", categori
 
     Give either ``target_bytes`` (the number of shards follows) or ``n_shards``.  Dimensions:
     each category column (a hash of its value in 0 to 1; null counts as a value) and the
-    logarithm of the size.  Size is the text's UTF-8 bytes plus 1 (null text: 1).  Slots
-    number the rows of a shard without gaps.  Repeated rows count each.  Empty table: empty.
+    logarithm of the size.  Size is the text's UTF-8 bytes plus 1 (null text: 1), whatever its
+    length: a text heavier than a shard's share is in one shard all the same.  Slots number
+    the rows of a shard without gaps, in no particular order.  Repeated rows count each and
+    are dealt to as many shards as their bytes need; equal texts share a shard where a cut
+    allows it.  Ties at a cut are decided by the text's hash, then by the row's own number.
+    Other columns, whatever their names, are not read.  Empty table: empty.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     dims = [f"d{i}" for i in range(len(categories))] + ["log_size"]
     size = (F.octet_length(t) + 1).cast("long")
     unit = [(F.pmod(F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("\x00"))), F.lit(1 << 20)) / float(1 << 20)).alias(f"d{i}")
             for i, c in enumerate(categories)]
+    # the table is written, so a row's own number stays what it is
     points = materialise(docs.select(F.col(doc).alias("doc"), size.alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"), *unit,
                                      F.log2(size.cast("double")).alias("log_size"), F.xxhash64(t).alias("text_hash"),
-                                     F.xxhash64(F.lit("row"), F.col(doc), t).alias("row_hash")), "points")
+                                     F.xxhash64(F.lit("row"), F.monotonically_increasing_id()).alias("row_hash")), "points")
     whole = points.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     if n_shards is None:
         n_shards = max(1, -(-whole["bytes"] // target_bytes))
-    placed = materialise(assign(points, dims, n_shards).select("doc", "size", "text_crc32", "shard", "text_hash"), "placed")
-    ranked = with_rank(placed, ["shard"], ["doc", "text_hash"], ["doc", "text_hash"], whole["n"], "slot")
+    placed = materialise(assign(points, dims, n_shards).select("doc", "size", "text_crc32", "shard", "row_hash"), "placed")
+    ranked = with_rank(placed, ["shard"], "row_hash", ["doc", "row_hash"], whole["n"], "slot")
     return ranked.select(F.col("doc").alias(doc), "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))

@@ -40,7 +40,8 @@ class TokenIds:
 
     If the file is a plain byte-level BPE whose ids follow the merge order, texts of a plain
     Latin alphabet are encoded by ``tiktoken`` from the very vocabulary of the file (several
-    times faster, same ids: the tests compare); all other texts by ``tokenizers`` itself.
+    times faster, same ids: the tests compare); all other texts, and those that hold an added
+    token of the file (one id, the library's default), by ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -48,7 +49,7 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
+        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.fast = self._byte_level(path)
 
     @staticmethod
@@ -77,7 +78,7 @@ class TokenIds:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if self.fast is not None and _PLAIN.fullmatch(text):
+        if self.fast is not None and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
         return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
@@ -87,7 +88,8 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text", d
     """Pieces of all documents: doc, piece, start, length, ids_crc32 and, on request, ids.
 
     A document is its ids and ``end_id``; null text is empty.  Longer ones are cut from the
-    end into full pieces of ``capacity``, so the first piece may be shorter.
+    end into full pieces of ``capacity``, so the first piece may be shorter.  Texts are read
+    whole.  Other columns, whatever their names, are not read.
     """
     schema = f"{doc} {docs.schema[doc].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" \
         + (", ids array<int>" if keep_ids else "")
@@ -253,8 +255,9 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
     return {x: np.array(rows, dtype=np.int64) for x, rows in by.items()}
 
 
-def pack(pieces: DataFrame, doc: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (a written table with doc, piece, start and length) plus sequence_id and offset.
+def pack(pieces: DataFrame, row: str, capacity: int = CAPACITY) -> DataFrame:
+    """``pieces`` (a written table with length and ``row``, a number of its own for every row) plus
+    sequence_id and offset, without ``row``.
 
     Pieces longer than ``capacity`` or shorter than 1 are refused.  Equal lengths are
     interchangeable; repeated rows each get a place.  Empty table: empty result.
@@ -265,7 +268,7 @@ def pack(pieces: DataFrame, doc: str = "doc_id", capacity: int = CAPACITY) -> Da
         raise ValueError(f"piece lengths must be 1 to {capacity}: {counts}")
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = slots(plan(counts, capacity))
-    numbered = with_rank(pieces, ["length"], [doc, "piece", "start"], [doc, "piece", "start"], sum(counts.values()), "__n")
+    numbered = with_rank(pieces, ["length"], row, [row], sum(counts.values()), "__n")
     handle = pieces.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("sequence_id long, offset long")
@@ -280,10 +283,18 @@ def pack(pieces: DataFrame, doc: str = "doc_id", capacity: int = CAPACITY) -> Da
             offset[rows] = t[i, 2]
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    return numbered.withColumn("__p", place("length", "__n")).select(*pieces.columns, "__p.sequence_id", "__p.offset")
+    return numbered.withColumn("__p", place("length", "__n")).select(
+        *[c for c in pieces.columns if c != row], "__p.sequence_id", "__p.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, text: str = "text", doc: str = "doc_id",
                    capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack whole documents; tokens are computed once (a written table)."""
-    return pack(materialise(tokenise(docs, tokenizer, end_id, text, doc, capacity, keep_ids), "pieces"), doc, capacity)
+    """Tokenise, cut and pack whole documents; tokens are computed once (a written table).
+
+    One row per piece: doc, piece, start, length, ids_crc32 (and ids), sequence_id, offset.
+    Null and empty texts are one piece that holds ``end_id`` alone.  Repeated rows, null ids
+    and ties are pieces like any other, each with its own place.  Very long texts are many
+    pieces.  Other columns, whatever their names, are not read.  Empty table: empty result.
+    """
+    pieces = tokenise(docs, tokenizer, end_id, text, doc, capacity, keep_ids).withColumn("__row", F.monotonically_increasing_id())
+    return pack(materialise(pieces, "pieces"), "__row", capacity)

@@ -97,10 +97,12 @@ def brute_url(url, rules):
     return host, path, best[2], best[3]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_url_filter_matches_brute_force(spark, monkeypatch, small):
+@pytest.mark.parametrize("small,prefix", [(True, 8), (False, 8), (True, 1), (False, 1)])
+def test_url_filter_matches_brute_force(spark, monkeypatch, small, prefix):
+    """With one digit in the key most expressions meet some rule: the full digests must throw them out."""
     from sparkpanel.llm import url_filter
 
+    monkeypatch.setattr(url_filter, "PREFIX", prefix)
     if not small:
         monkeypatch.setattr(url_filter, "MAX_BROADCAST_ROWS", 0)
     rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("a.b", "", "block"), ("a.b", "/x/y", "allow"), ("b", "/x/", "block")]
@@ -117,6 +119,17 @@ def test_url_filter_matches_brute_force(spark, monkeypatch, small):
     assert url_filter.judge_urls(spark.createDataFrame([], PAGES), r).count() == 0
 
 
+def test_url_filter_long_urls_and_clashing_names(spark):
+    from sparkpanel.llm.url_filter import judge_urls
+
+    rules = spark.createDataFrame([("b", "/x/", "block")], "host string, path string, verdict string")
+    long = "http://" + "a." * 2000 + "b/x/" + "y" * 100_000
+    rows = spark.createDataFrame([(1, long, "h", "r", "v", "k"), (2, None, "h", "r", "v", "k")],
+                                 "page_id long, url string, host string, rule string, verdict string, key string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in judge_urls(rows, rules).collect()}
+    assert got == {1: ("b/x/", "block"), 2: (None, "allow")}
+
+
 # ------------------------------------------------------------------ sharding
 
 def test_kd_shards_have_near_equal_bytes_and_gapless_slots(spark):
@@ -156,11 +169,86 @@ def test_kd_shards_keep_light_copies_together_and_follow_target_bytes(spark):
     for r in got:
         where[r["text_crc32"]].add(r["shard"])
     assert sum(len(s) > 1 for s in where.values()) <= 3
-    same = spark.createDataFrame([(1, "same", "en", "s")] * 40, df.schema)
-    assert kd_shards(same, n_shards=4).count() == 40
     assert kd_shards(df.limit(0), n_shards=4).count() == 0
 
 
+@pytest.mark.parametrize("copies,others,size", [(500, 1000, 900), (500, 1000, 100), (40, 0, 30), (3, 200, 40)])
+def test_kd_shards_keep_their_law_on_repeated_rows(spark, copies, others, size):
+    """Rows that are equal in every column are dealt to as many shards as their bytes need."""
+    from sparkpanel.llm.kd_shard import kd_shards
+
+    rng = random.Random(copies)
+    rows = [(7, "r" * size, "en", "s", "x", "x")] * copies
+    rows += [(100 + i, "".join(rng.choice("ab") for _ in range(99)), rng.choice(["en", "de"]), "s", "x", "x") for i in range(others)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, shard string, size string")
+    got = kd_shards(df, n_shards=8).collect()
+    sizes, slots = defaultdict(int), defaultdict(list)
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean, most = sum(sizes.values()) / 8, max(r["size"] for r in got)
+    assert len(got) == len(rows) and set(sizes) == set(range(8))
+    assert max(sizes.values()) <= 1.06 * mean + most and min(sizes.values()) >= 0.94 * mean - most
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def brute_kd(points, n_dims, n_shards, tolerance=0.005):
+    """The k-d rule on lists: widest dimension, weighted median, whole values where a cut near the share
+    allows it, else by text, else by row."""
+    def width(rows, d):
+        return max(p["x"][d] for p in rows) - min(p["x"][d] for p in rows)
+
+    whole = [width(points, d) or 1.0 for d in range(n_dims)]
+
+    def left_side(rows, keys, want, slack):
+        """Rows that stay left: whole values of the first key, the crossing value by the next one."""
+        taken = 0
+        for value in sorted({keys[0](p) for p in rows}):
+            group = [p for p in rows if keys[0](p) == value]
+            size = sum(p["size"] for p in group)
+            if taken + size >= want:
+                under = [p for p in rows if keys[0](p) < value]
+                if abs(want - taken - size) <= slack:
+                    return under + group
+                if abs(want - taken) <= slack and taken > 0:
+                    return under
+                return under + group if len(keys) == 1 else under + left_side(group, keys[1:], want - taken, slack)
+            taken += size
+
+    def split(rows, first, shards):
+        if shards == 1 or not rows:
+            for p in rows:
+                p["shard"] = first
+            return
+        dim = max(range(n_dims), key=lambda d: (width(rows, d) / whole[d], -d))
+        total = sum(p["size"] for p in rows)
+        want = max(1, total * (shards // 2) // shards)
+        left = left_side(rows, [lambda p: p["x"][dim], lambda p: p["text"], lambda p: p["row"]], want, max(1, int(total * tolerance)))
+        ids = {p["row"] for p in left}
+        split(left, first, shards // 2)
+        split([p for p in rows if p["row"] not in ids], first + shards // 2, shards - shards // 2)
+
+    split(points, 0, n_shards)
+    return {p["row"]: p["shard"] for p in points}
+
+
+@pytest.mark.parametrize("seed,n_shards", [(1, 2), (2, 8), (3, 5), (4, 7)])
+def test_kd_tree_equals_brute_force(spark, seed, n_shards):
+    from sparkpanel.llm.common import materialise
+    from sparkpanel.llm.kd_shard import assign
+
+    rng = random.Random(seed)
+    points = []
+    for i in range(400):
+        text = rng.randrange(60) if i % 3 else 0  # a third of the rows shares one text
+        points.append({"row": (i * 2654435761) % 2 ** 40 - 2 ** 39 << 20, "text": (text * 40503 % 997 - 500) << 50, "size": 50 + text,
+                       "x": (rng.choice([0.0, 0.25, 1.0]) if text else 0.25, rng.randrange(6) / 8.0, math.log2(50 + text))})
+    df = spark.createDataFrame([(p["size"], p["text"], p["row"], *p["x"]) for p in points],
+                               "size long, text_hash long, row_hash long, d0 double, d1 double, log_size double")
+    got = {r["row_hash"]: r["shard"] for r in assign(materialise(df, "points"), ["d0", "d1", "log_size"], n_shards).collect()}
+    assert got == brute_kd(points, 3, n_shards)
+
+
 # ------------------------------------------------------------------ SentencePiece
 
 def brute_viterbi(model, word):

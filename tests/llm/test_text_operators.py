@@ -82,6 +82,29 @@ def test_line_frequency_rejects_depleted_documents_only(spark):
     assert not any(r["kept"] for r in got if r["doc_id"] in (1000, 400, 2))
 
 
+def test_the_limit_acts_on_small_hosts_and_grows_slowly_on_large_ones(spark):
+    """Boilerplate on a host of 30 texts, and beside it a host with a third of a percent of boilerplate."""
+    from sparkpanel.llm.quality_lines import judge
+
+    rng = random.Random(3)
+    own = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    menu, footer = own(60), own(60)
+    rows = [(i, f"{menu}\n{own(20)}" if i < 8 else own(80), "en", "small", 1) for i in range(30)]
+    # 6,000 texts: 1 % is 60, the square root 77, and 70 texts hold the footer; 5 more texts hold another line
+    rows += [(1000 + i, f"{footer}\n{own(55)}" if i < 70 else (f"{menu}\n{own(20)}" if i < 75 else own(52)), "en", "hot", 1) for i in range(6000)]
+    rows += [(9000 + i, "x" * 300_000 + f" {own(60)}", "en", "long", 1) for i in range(2)]
+    got = {r["doc_id"]: r for r in judge(docs_with_clashes(spark, rows)).collect()}
+    assert [i for i in range(30) if not got[i]["kept"]] == list(range(8))
+    assert [i for i in range(1000, 7000) if not got[i]["kept"]] == list(range(1000, 1070))
+    assert got[9000]["kept"] and got[9001]["kept"]
+
+
+def docs_with_clashes(spark, rows):
+    """Documents with extra columns that carry names the operators use themselves."""
+    extra = "kept string, base_failed string, line string, host string, doc string, key string, w string, text_hash string, n_words string"
+    return spark.createDataFrame([(*r, *["x"] * 9) for r in rows], f"{DOCS}, {extra}")
+
+
 # ------------------------------------------------------------------ line dedup
 
 def brute_dedup(docs, min_words):
@@ -218,7 +241,6 @@ def test_pieces_are_the_tokenizers_ids_and_sequences_are_gapless(spark):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     rng = random.Random(5)
     texts = [" ".join(rng.choice(["Das", "thé", "x²", "日本", "<|endoftext|>", "\n", "don't", "a_b"]) for _ in range(rng.randint(0, 900))) for _ in range(60)]
     rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(900 + k, t, None, None, None) for k, (_, t, *_x) in enumerate(EDGE)]
