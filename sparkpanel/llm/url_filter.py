@@ -4,8 +4,8 @@ Native DataFrame functions only.  A rule is (host, path, verdict): it fits its h
 subdomains when the URL's path starts with the rule's path.  Every URL is expanded into
 its host suffixes times its path prefixes (of the lengths that occur among the rules, so
 no prefix that could match is left out).  Expressions meet the rules by an equi-join on
-the first 32 bits of a SHA-256 digest; the full digests confirm the match; the longest
-rule wins.
+the first 32 bits of a SHA-256 digest; what meets is then confirmed by the full digests,
+which throws out expressions that share a prefix only; the longest rule wins.
 
 The rule table is broadcast when its rows and bytes are measured to be small; beyond that
 the rules are replicated under ``SALTS`` salts and joined by shuffle, so an expression that
@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: hexadecimal digits of a digest in the join key
+PREFIX = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 50_000, 4 << 20
 SALTS = 32
@@ -37,7 +39,7 @@ def _digest(host: Column, path: Column) -> Column:
 
 
 def _prefix(digest: Column) -> Column:
-    return F.substr(digest, F.lit(1), F.lit(8))
+    return F.substr(digest, F.lit(1), F.lit(PREFIX))
 
 
 def prepare_rules(rules: DataFrame) -> DataFrame:
@@ -60,8 +62,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", key: str =
     """(key, host, path, rule, verdict), one row per row of ``pages``.
 
     Longest rule first (host and path together), ties to the longer host.  A URL without a
-    fitting rule, and a null URL, get a null rule and the ``default`` verdict.  Repeated rows
-    stay.  No rules: every URL gets the default.  Empty table: empty result.
+    fitting rule, and a null or empty URL, get a null rule and the ``default`` verdict.  Repeated
+    rows and null keys stay.  Very long URLs are expanded whole: host suffixes times the
+    lengths of the rules' paths.  No rules: every URL gets the default.  Other columns,
+    whatever their names, are not read.  Empty table: empty result.
     """
     rules = prepare_rules(rules)
     size = rules.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("rule") + 120), F.lit(0)).alias("bytes"),
@@ -79,18 +83,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", key: str =
     listed = pages.select(F.col(key).alias("key"), host.alias("host"), path.alias("path")) \
         .select("key", "host", "path", F.explode(F.concat(F.array(F.lit("")), expressions)).alias("found"))
     listed = listed.withColumn("found_prefix", _prefix(F.col("found")))
-    match = (F.col("found_prefix") == F.col("prefix")) & (F.col("found") == F.col("digest"))
+    # first the short prefixes meet, then the full digests confirm what met
+    meets = F.col("found_prefix") == F.col("prefix")
     if small:
-        matched = listed.join(F.broadcast(rules), match, "left")
+        met = listed.join(F.broadcast(rules), meets, "left")
     else:
         salted = rules.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("rule_salt"))
         # the key alone would keep the copies of a row together: the salt also takes the expression
         spread = listed.withColumn("salt", F.pmod(F.xxhash64("key", "found"), F.lit(SALTS)).cast("int"))
-        matched = spread.join(salted, match & (F.col("salt") == F.col("rule_salt")), "left")
+        met = spread.join(salted, meets & (F.col("salt") == F.col("rule_salt")), "left")
+    confirmed = F.col("found") == F.col("digest")
+    matched = met.select("key", "host", "path", "found", *[F.when(confirmed, F.col(c)).alias(c) for c in ("rule", "rule_verdict", "rule_length", "host_length")])
     order = F.struct("rule_length", "host_length")
     best = matched.groupBy("key", "host", "path").agg(
         F.max_by(F.struct("rule", "rule_verdict"), F.when(F.col("rule").isNotNull(), order)).alias("best"),
-        F.count_if(F.col("found") == "").alias("copies"))
+        F.count_if(F.col("found") == "").alias("copies"))  # the placeholder has an empty prefix: it meets nothing
     rows = best.select("*", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).drop("col")
     return rows.select(F.col("key").alias(key), "host", "path", F.col("best.rule").alias("rule"),
                        F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"))
