@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkpanel.llm.common import join_weighted, materialise
+from sparkpanel.operators.stats import quantiles
 
 MAX_N = 4
 #: words that travel to the tasks with their counts, and how many numbers these may be (fewer words for
@@ -258,7 +259,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", trained: Column |
                            .select("key", "copies", "p.own", "p.best", "p.score", "p.known"), "langscores")
     n_rows = per_text.agg(F.sum("copies")).first()[0] or 0
     if trained is not None:
-        middle = per_text.where("best = own").groupBy("best").agg(F.percentile_approx("known", 0.5).alias("middle"))
+        middle = quantiles(per_text.where("best = own"), "known", {"middle": 0.5}, by=["best"])  # exact: the same in every run
         per_text = per_text.join(F.broadcast(middle), "best", "left") \
             .withColumn("clear", (F.col("known") > 0) & (F.col("known") >= CLEAR_PART * F.coalesce("middle", F.lit(0.0))))
     # the row travels as one struct, so its column names cannot clash with the helper's

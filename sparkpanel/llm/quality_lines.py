@@ -7,7 +7,9 @@ removed; a document that loses more than ``max_removed`` of its words is deplete
 rejected, as is one that fails the base rule.
 
 Limit of a host: a line is above it when it occurs in more than ``min_docs`` documents and
-in more than ``share`` of the host's documents.
+in more than ``share`` of the host's documents or more than their square root, whichever
+is less.  So the limit acts on hosts of a few dozen documents and grows slowly on large
+ones: 5 documents up to 500, 100 at 10,000, 2,000 at four million.
 
 Counting runs per (host, line): duplicates collapse in the map tasks, then (host, line,
 text) rows spread over all tasks before they are counted.  Frequent lines meet the
@@ -98,24 +100,25 @@ def line_table(docs: DataFrame, text: str, host: str, doc: str) -> DataFrame:
 
 
 def frequent_lines(lines: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """(host, line, n_docs, n_rows): lines in more than ``min_docs`` distinct documents and more
-    than ``share`` of the host's distinct documents."""
+    """(host, line, n_docs, n_rows): lines in more than ``min_docs`` distinct documents and more than
+    ``share`` or the square root of the host's distinct documents, whichever is less."""
     per_text = lines.groupBy("host", "line", "text_hash").agg(F.count(F.lit(1)).alias("r"))
     per_line = per_text.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("r").alias("n_rows")) \
         .where(F.col("n_docs") > min_docs)
     hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    return per_line.join(hosts, "host").where(F.col("n_docs") > F.col("host_docs") * share).drop("host_docs")
+    return per_line.join(hosts, "host").where(F.col("n_docs") > F.least(F.col("host_docs") * share, F.sqrt("host_docs"))).drop("host_docs")
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source", doc: str = "doc_id", min_docs: int = 20,
+def judge(docs: DataFrame, text: str = "text", host: str = "source", doc: str = "doc_id", min_docs: int = 5,
           share: float = 0.01, max_removed: float = 0.5, with_text_hash: bool = False) -> DataFrame:
     """Base counts plus ``n_removed_words`` (words in lines above the limit) and ``kept``, one
     row per row of ``docs`` with the columns ``doc`` and the counts.
 
-    Null text: no words, so the base rule fails.  Null host: a host of its own.  Rows with
-    the same ``doc`` and text are the same document and get the same verdict; rows that
-    share only ``doc`` are told apart by their text (``with_text_hash`` adds its xxhash64).
-    Empty table: empty result.
+    Null and empty text: no words, so the base rule fails.  Null host: a host of its own.
+    Rows with the same ``doc`` and text are the same document and get the same verdict; rows
+    that share only ``doc`` are told apart by their text (``with_text_hash`` adds its
+    xxhash64).  Very long texts are read whole, line by line.  A line on the limit stays.
+    Other columns, whatever their names, are not read.  Empty table: empty result.
     """
     d = docs.select(F.col(doc), F.col(text), F.col(host))
     lines = materialise(line_table(d, text, host, doc).withColumn("key", F.xxhash64("host", "line")), "lines")

@@ -82,7 +82,7 @@ def brute_quality(rows):
     kept = []
     for r in rows:
         n, _, _, _, rep = brute_base(r[1])
-        gone = sum(len(x.split(" ")) for x in norm(r[1]) if x and len(lines[r[3], x]) > max(20, 0.01 * len(hosts[r[3]])))
+        gone = sum(len(x.split(" ")) for x in norm(r[1]) if x and len(lines[r[3], x]) > max(5, min(0.01 * len(hosts[r[3]]), math.sqrt(len(hosts[r[3]])))))
         if n >= 50 and 100 * rep <= 50 * n and gone <= 0.5 * n:
             kept.append(r)
     return kept
@@ -146,7 +146,7 @@ def test_entry_registers_one_query_per_operator_and_the_pipeline():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and "op6_url_filters" in entry.oracle_sql()
 
