@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: the inside of a tag: quoted parts may hold anything (possessive, so long or broken tags are read once)
+INSIDE = r"""[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+"""
 #: one attribute: name, then an optional value (double-quoted, single-quoted or bare)
 ATTRIBUTE = r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of the first attribute ``name`` in the inside of a tag; null when absent."""
-    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 1), F.lower)
-    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 2)
-    value = F.try_element_at(values, F.nullif(F.array_position(names, name), F.lit(0)).cast("int"))
+    found = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 0)
+    mine = F.filter(found, lambda a: F.lower(F.substring_index(a, "=", 1)).rlike(rf"^{name}\s*$"))
+    value = F.regexp_extract(F.try_element_at(mine, F.lit(1)), ATTRIBUTE, 2)
     return decode_entities(F.regexp_replace(value, "^[\"']|[\"']$", ""))
 
 
@@ -29,7 +31,7 @@ def meta_content(html: Column, *names: str) -> Column:
     """Content of the page's meta tags by name: every ``<meta ...>`` is parsed into its
     attributes, whatever their order and quotes.  For each of ``names`` in turn a tag whose
     ``property`` is the name counts before one whose ``name`` is; empty contents are skipped."""
-    tags = F.regexp_extract_all(html, F.lit(r"""(?is)<meta\b((?:[^>"']|"[^"]*"|'[^']*')*)>"""), 1)
+    tags = F.regexp_extract_all(html, F.lit(rf"(?is)<meta\b({INSIDE})>"), 1)
     parsed = F.transform(tags, lambda t: F.struct(F.lower(attribute(t, "property")).alias("property"), F.lower(attribute(t, "name")).alias("name"),
                                                   F.nullif(attribute(t, "content"), F.lit("")).alias("content")))
 
@@ -44,7 +46,18 @@ def meta_content(html: Column, *names: str) -> Column:
 
 
 def page_title(html: Column) -> Column:
-    return F.trim(F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1))
+    """Inside of the first ``<title>``, whatever attributes it has."""
+    return F.trim(F.regexp_extract(html, rf"(?is)<title(?:\s{INSIDE})?>(.*?)</title>", 1))
+
+
+def first_heading(html: Column) -> Column:
+    """Inside of the first ``<h1>``, whatever attributes it has."""
+    return F.trim(F.regexp_extract(html, rf"(?is)<h1(?:\s{INSIDE})?>(.*?)</h1>", 1))
+
+
+def page_language(html: Column) -> Column:
+    """The ``lang`` of the ``<html>`` tag in any attribute order and quotes; null when absent."""
+    return attribute(F.regexp_extract(html, rf"(?is)<html\b({INSIDE})>", 1), "lang")
 
 
 def decode_entities(x: Column) -> Column:
@@ -61,15 +74,15 @@ def strip_scripts(html: Column) -> Column:
 
 
 #: an anchor's attributes and its inside; a paragraph's inside (attributes of the tag are skipped)
-ANCHOR = r"""(?is)<a\s((?:[^>"']|"[^"]*"|'[^']*')*)>(.*?)</a>"""
-PARAGRAPH = r"""(?is)<p(?:\s(?:[^>"']|"[^"]*"|'[^']*')*)?>(.*?)</p>"""
+ANCHOR = rf"(?is)<a\s({INSIDE})>(.*?)</a>"
+PARAGRAPH = rf"(?is)<p(?:\s{INSIDE})?>(.*?)</p>"
 
 
 def anchors(html: Column) -> Column:
     """Array of (href, inside) of the anchors that have an href, in any attribute order and quotes."""
-    found = F.arrays_zip(F.regexp_extract_all(html, F.lit(ANCHOR), 1).alias("tag"), F.regexp_extract_all(html, F.lit(ANCHOR), 2).alias("text"))
-    return F.filter(F.transform(found, lambda a: F.struct(attribute(a["tag"], "href").alias("href"), a["text"].alias("text"))),
-                    lambda a: a["href"].isNotNull())
+    found = F.regexp_extract_all(html, F.lit(ANCHOR), 0)  # one pass over the page; the parts are cut from the short pieces
+    return F.filter(F.transform(found, lambda a: F.struct(attribute(F.regexp_extract(a, ANCHOR, 1), "href").alias("href"),
+                                                          F.regexp_extract(a, ANCHOR, 2).alias("text"))), lambda a: a["href"].isNotNull())
 
 
 def links(df: DataFrame, id_col: str, html: str) -> DataFrame:

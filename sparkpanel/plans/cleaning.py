@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions import columns as C
 from sparkpanel.functions.columns import try_cast
-from sparkpanel.operators import clean, tag
+from sparkpanel.operators import clean, documents, tag
 from sparkpanel.operators.joins import dimension_join
 from sparkpanel.plans.registry import query
 from sparkpanel.sources.tables import Tables
@@ -264,7 +264,8 @@ def fallback_rank(spark, sf):
 
 @query("url_parts", """
 with p as (select page_id, url, regexp_extract(url, '^(https?://[^/?#]+)', 1) as host,
-                  regexp_extract(html, '<a href="([^"]*)"', 1) as link from pages)
+                  coalesce(regexp_replace(regexp_extract(regexp_extract(html, '(?is)<a\\s[^>]*?\\bhref\\s*=[^>]*>'),
+                                                         '(?is)\\shref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1), '^["'']|["'']$', '', 'g'), '') as link from pages)
 select page_id, string_split(url, '/')[-1] as tail, host,
        case when starts_with(link, 'http://') or starts_with(link, 'https://') then link
             when starts_with(link, '/') then host || link else host || '/' || link end as first_link
@@ -272,7 +273,7 @@ from p""")
 def url_parts(spark, sf):
     p = Tables(spark, sf).pages
     host = clean.url_host(F.col("url"))
-    link = F.regexp_extract("html", r'<a href="([^"]*)"', 1)
+    link = F.coalesce(F.get(documents.anchors(F.col("html")), F.lit(0))["href"], F.lit(""))
     return p.select("page_id", clean.url_tail(F.col("url")).alias("tail"), host.alias("host"),
                     clean.absolute_url(link, host).alias("first_link"))
 

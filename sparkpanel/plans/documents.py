@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from sparkpanel.functions.columns import safe_double
+from sparkpanel.operators import cards
 from sparkpanel.operators import documents as D
 from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
@@ -36,23 +37,22 @@ def _meta_sql(name: str) -> str:
 
 
 @query("html_meta", f"""
-select page_id, coalesce(nullif(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), ''),
-                         nullif(trim(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)), '')) as page_title,
+select page_id, coalesce(nullif(trim(regexp_extract(html, '(?is)<title(?:\\s{_INSIDE})?>(.*?)</title>', 1)), ''),
+                         nullif(trim(regexp_extract(html, '(?is)<h1(?:\\s{_INSIDE})?>(.*?)</h1>', 1)), '')) as page_title,
        coalesce({_meta_sql('description')}, {_meta_sql('og:description')}) as meta_description,
        coalesce({_meta_sql('og:image')}) as meta_image,
        lang
-from (select page_id, html, regexp_extract(html, '<html lang="([^"]*)"', 1) as lang,
+from (select page_id, html, {_attr_sql(f"regexp_extract(html, '(?is)<html\\b({_INSIDE})>', 1)", 'lang')} as lang,
              regexp_extract_all(html, '(?is)<meta\\b({_INSIDE})>', 1) as metas from pages)""")
 def html_meta(spark, sf):
     """H6: title (fallback h1), meta description and image from parsed meta tags."""
     p = Tables(spark, sf).pages
     h = F.col("html")
-    title = F.coalesce(F.nullif(D.page_title(h), F.lit("")),
-                       F.nullif(F.trim(F.regexp_extract(h, r"(?is)<h1>(.*?)</h1>", 1)), F.lit("")))
+    title = F.coalesce(F.nullif(D.page_title(h), F.lit("")), F.nullif(D.first_heading(h), F.lit("")))
     return p.select("page_id", title.alias("page_title"),
                     D.meta_content(h, "description", "og:description").alias("meta_description"),
                     D.meta_content(h, "og:image").alias("meta_image"),
-                    F.regexp_extract(h, r'<html lang="([^"]*)"', 1).alias("lang"))
+                    D.page_language(h).alias("lang"))
 
 
 @query("html_cards", f"""
@@ -66,6 +66,62 @@ def html_cards(spark, sf):
     return D.links(Tables(spark, sf).pages, "page_id", "html")
 
 
+@query("page_records", f"""
+with s as (select page_id, regexp_extract_all(html, '(?is)<li>(.*?)</li>', 1) as items from pages),
+i as (select page_id, unnest(generate_series(1, len(items))) as record_no, items from s)
+select page_id, record_no::int as record_no, {_attr_sql("regexp_extract(items[record_no], '(?is)<a\\s(" + _INSIDE + ")>', 1)", 'href')} as href,
+       nullif(trim({_DECODE_SQL.format(x="regexp_replace(items[record_no], '<[^>]+>', '', 'g')")}), '') as label from i""")
+def page_records(spark, sf):
+    """H7: the entries of every page's navigation list, one record each."""
+    return cards.page_records(Tables(spark, sf).pages, "page_id", "html", "nav li",
+                              [cards.Field("href", ("a@href",)), cards.Field("label", ("a",))])
+
+
+@query("page_articles", r"""
+with a as (select page_id, regexp_extract(html, '(?s)<article>(.*)</article>', 1) as inside from pages)
+select page_id, 1 as record_no,
+       trim(regexp_replace(replace(regexp_extract(inside, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&'), '\s+', ' ', 'g')) as headline,
+       trim(regexp_replace(replace(replace(regexp_extract(inside, '(?s)<b>(.*?)(?:<p>|</p>|$)', 1), '<br>', ''), '&amp;', '&'), '\s+', ' ', 'g')) as lead
+from a""")
+def page_articles(spark, sf):
+    """H7: headline and lead of every article; the lead's ``<b>`` is never closed, the next paragraph ends it."""
+    return cards.page_records(Tables(spark, sf).pages, "page_id", "html", "article",
+                              [cards.Field("headline", ("h1",)), cards.Field("lead", ("p b",))])
+
+
+def listing_pages(spark, sf):
+    """Listing pages rendered from ``part``: 20 product blocks a page, with missing fields, three attribute
+    forms, entities and unclosed list items."""
+    p = Tables(spark, sf).part
+    k = F.col("p_partkey")
+    name = F.concat("p_name", F.lit(" &amp; "), "p_brand")
+    ident = F.when(k % 5 == 0, F.format_string("id=pid_%d", k)).otherwise(F.format_string('data-product-id="%d"', k))
+    price = F.format_string('<span class="price">$ <b>%s</b></span>', F.col("p_retailprice").cast("string"))
+    stars = F.when(k % 3 == 0, F.format_string("<a class='stars' title='%d/50'>*</a>", "p_size")).otherwise("")
+    block = F.format_string(
+        "<div class='item product' %s><div itemprop=\"sku\" content='P-%d'></div><a href=\"/pr/%d\" title=\"%s\" class=product-link><img src=/i/%d.png></a>"
+        '<ul><li class=brand>%s<li class="type">%s</ul><div class=buy>%s</div>%s</div>', ident, k, k, name, k, F.col("p_brand"), F.col("p_type"), price, stars)
+    g = p.select(k, F.floor(k / 20).alias("page_no"), block.alias("block")).groupBy("page_no").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "block"))), lambda b: b["block"]), "\n").alias("blocks"))
+    return g.select("page_no", F.concat(F.lit("<!doctype html><html><body><!-- <div class=product> --><span class=price>0</span>"), "blocks",
+                                        F.lit("</body></html>")).alias("html"))
+
+
+@query("product_cards", """
+select p_partkey // 20 as page_no, row_number() over (partition by p_partkey // 20 order by p_partkey)::int as record_no,
+       p_partkey as product_id, 'P-' || p_partkey as sku, p_name || ' & ' || p_brand as title, p_type as type, p_retailprice as price,
+       case when p_partkey % 3 = 0 then p_size end as rating, '/pr/' || p_partkey as url, '/i/' || p_partkey || '.png' as image_url
+from part""")
+def product_cards(spark, sf):
+    """H7: product records of listing pages: id with a fallback, sku, title, price, rating, link and image."""
+    fields = [cards.Field("product_id", ("@data-product-id", "@id")), cards.Field("sku", ("div[itemprop=sku]@content",)),
+              cards.Field("title", ("a.product-link@title",)), cards.Field("type", ("li.type",)), cards.Field("price", ("div.buy span.price b",)),
+              cards.Field("rating", ("a.stars@title",)), cards.Field("url", ("a.product-link@href",)), cards.Field("image_url", ("img@src",))]
+    d = cards.page_records(listing_pages(spark, sf), "page_no", "html", "div.product", fields)
+    return d.select("page_no", "record_no", F.regexp_replace("product_id", "^pid_", "").cast("bigint").alias("product_id"), "sku", "title", "type",
+                    safe_double(F.col("price")).alias("price"), F.substring_index("rating", "/", 1).cast("int").alias("rating"), "url", "image_url")
+
+
 @query("page_summary", f"""
 with s as (select page_id, regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'),
                                           '(?is)<style[^>]*>.*?</style>', '', 'g') as h from pages),
