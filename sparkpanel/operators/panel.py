@@ -8,8 +8,9 @@ series (bounded by the date range, not by the data volume or key skew).
 ``running_totals`` / ``rank_within_groups`` are the ordered computations over
 a whole table (ROC/PR curves, rank sums, splits).  They never funnel rows into a
 single task and run nothing while the plan is built: rows fall into buckets that
-are a monotone function of the order key, each bucket is scanned locally, and
-the table of bucket totals supplies the offsets.
+are a monotone function of the order key, each bucket is scanned locally, and the
+totals of buckets, of blocks of buckets and of blocks of blocks supply the offsets
+(a prefix scan of three levels, each partitioned by the one above it).
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from sparkpanel.functions.columns import value_bucket
 
-#: parts of a coarse value bucket; the bucket of nulls (they sort first)
-FINE, LOWEST = 4096, -(10 ** 15)
+#: parts of a coarse value bucket; the bucket of nulls (they sort first); coarse buckets in a block
+FINE, LOWEST, BLOCK = 4096, -(10 ** 15), 1024
+#: texts of one coarse bucket are told apart after what they share, looked for in so many leading bytes
+SHARED = 256
 
 
 def daily(df: DataFrame, ts: str, series: list[str], aggs: list[Column], day: str = "day") -> DataFrame:
@@ -117,18 +120,32 @@ def last_vs_previous(df: DataFrame, series: list[str], order: str, col: str) ->
                     (last - previous).alias("change"), F.try_divide((last - previous) * 100.0, previous).alias("change_pct"))
 
 
-def _coarse(df: DataFrame, column: str) -> Column:
-    """A bucket of ``column`` that never runs against its order and depends on the value alone.
-
-    Texts: their first four characters (65,536 buckets of an md5 key); numbers, dates and
-    times: ``value_bucket``.
-    """
-    kind = df.schema[column].dataType.typeName()
+def _number(df: DataFrame, column: str) -> Column | None:
+    """A double that never runs against the order of ``column``; None for texts."""
+    kind, c = df.schema[column].dataType.typeName(), F.col(column)
     if kind == "string":
-        return F.coalesce(F.substring(column, 1, 4), F.lit(""))
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        return F.coalesce(F.unix_date(F.to_date(column)).cast("long"), F.lit(LOWEST))
-    return F.coalesce(value_bucket(F.col(column).cast("double")), F.lit(LOWEST))
+        return None
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(c) / 1e6
+    if kind == "timestamp_ntz":  # from its parts: the session's time zone has no say
+        return F.unix_date(F.to_date(c)) * 86400.0 + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + F.extract(F.lit("SECOND"), c).cast("double")
+    return c.cast("double")
+
+
+def _shared_bytes(lo: Column, hi: Column) -> Column:
+    """Length of the common start of two texts in bytes, at most SHARED."""
+    a, b = F.encode(lo, "UTF-8"), F.encode(hi, "UTF-8")
+    most = F.least(F.octet_length(lo), F.octet_length(hi), F.lit(SHARED))
+    same = F.filter(F.sequence(F.lit(1), most), lambda i: F.substr(a, F.lit(1), i) == F.substr(b, F.lit(1), i))
+    return F.when(most > 0, F.size(same)).otherwise(0)
+
+
+def _six_bytes(text: Column, skip: Column) -> Column:
+    """The six bytes after ``skip`` bytes as a number (exact in a double); missing bytes count as zero."""
+    part = F.hex(F.substr(F.encode(text, "UTF-8"), skip + 1, F.lit(6)))
+    return F.conv(F.rpad(part, 12, "0"), 16, 10).cast("double")
 
 
 def _attach(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
@@ -138,37 +155,67 @@ def _attach(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _bucketed(df: DataFrame, groups: list[str], column: str) -> DataFrame:
-    """``df`` plus __b (coarse bucket of ``column``) and __f (one of FINE equal parts between the
-    smallest and the largest value of the coarse bucket; 0 for texts and dates).
-
-    Both only depend on values, so nothing has to be pinned by a checkpoint.
+    """``df`` plus __s, __b and __f: block, coarse bucket and one of FINE equal parts between the
+    smallest and the largest value of the coarse bucket.
+
+    Numbers, dates and times: ``value_bucket``, BLOCK of them to a block (fewer than 1,500
+    blocks over all doubles).  Texts: the first four characters, a block being the first two;
+    parts are cut by the six bytes after what all texts of the bucket share, so keys with a
+    common start spread as well.  All three only depend on values, so nothing has to be
+    pinned by a checkpoint.  Rows with equal values share a bucket.
     """
-    d = df.withColumn("__b", _coarse(df, column))
-    if df.schema[column].dataType.typeName() in ("string", "date", "timestamp", "timestamp_ntz"):
-        return d.withColumn("__f", F.lit(0))
-    x = F.col(column).cast("double")
-    ends = d.groupBy(*groups, "__b").agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
+    x = _number(df, column)
+    if x is None:
+        d = df.withColumn("__b", F.coalesce(F.substring(column, 1, 4), F.lit("")))
+        ends = d.groupBy(*groups, "__b").agg(F.min(column).alias("__l"), F.max(column).alias("__h"))
+        ends = ends.withColumn("__p", F.coalesce(_shared_bytes(F.col("__l"), F.col("__h")), F.lit(0)))
+        ends = ends.select(*groups, "__b", "__p", _six_bytes(F.col("__l"), F.col("__p")).alias("__lo"), _six_bytes(F.col("__h"), F.col("__p")).alias("__hi"))
+        x, block = _six_bytes(F.col(column), F.col("__p")), F.substring("__b", 1, 2)
+    else:
+        d = df.withColumn("__b", F.coalesce(value_bucket(x), F.lit(LOWEST)))
+        ends = d.groupBy(*groups, "__b").agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
+        block = F.floor(F.col("__b") / BLOCK)
     part = F.floor((x - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * FINE).cast("int")
     fine = F.coalesce(F.when(F.col("__hi") > F.col("__lo"), F.least(part, F.lit(FINE - 1))), F.lit(0))
-    return _attach(d, ends, [*groups, "__b"]).select(*d.columns, fine.alias("__f"))
+    return _attach(d, ends, [*groups, "__b"]).select(*d.columns, block.alias("__s"), fine.alias("__f"))
+
+
+def _offsets(totals: DataFrame, groups: list[str], values: list[str], descending: bool) -> DataFrame:
+    """Per bucket (groups, __b, __f) the sums of ``values`` over all buckets before it, as __o_<value>.
+
+    Three levels: parts inside a coarse bucket, coarse buckets inside a block, blocks.  Only the
+    last one, a row per block, runs over a whole group.
+    """
+    way = F.desc if descending else F.asc
+
+    def level(df: DataFrame, inside: list[str], order: str, name: str) -> DataFrame:
+        w = Window.partitionBy(*groups, *inside).orderBy(way(order)).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"__{name}_{v}") for v in values])
+
+    sums = [F.sum(v).alias(v) for v in values]
+    middle = totals.groupBy(*groups, "__s", "__b").agg(*sums)
+    top = level(middle.groupBy(*groups, "__s").agg(*sums), [], "__s", "top").drop(*values)
+    middle = _attach(level(middle, ["__s"], "__b", "mid").drop(*values), top, [*groups, "__s"])
+    middle = middle.select(*groups, "__b", *[(F.col(f"__mid_{v}") + F.col(f"__top_{v}")).alias(f"__up_{v}") for v in values])
+    low = level(totals, ["__b"], "__f", "low")
+    return _attach(low, middle, [*groups, "__b"]).select(
+        *groups, "__b", "__f", *[(F.col(f"__low_{v}") + F.col(f"__up_{v}")).alias(f"__o_{v}") for v in values])
 
 
 def running_totals(df: DataFrame, order: str, cols: list[str], descending: bool = True) -> DataFrame:
     """Cumulative sums of ``cols`` in ``order`` over a whole table, distributed and lazy.
 
-    Sums per value bucket, a running sum over the buckets (their number is bounded, not the
-    rows'), and a local running sum inside each bucket plus the bucket's offset.  Rows with
-    equal ``order`` values get sums in no fixed order: group by it first.
-    Output adds ``cum_<col>`` for every col.
+    Sums per value bucket, a prefix scan over the buckets, and a local running sum inside each
+    bucket plus the bucket's offset.  Rows with equal ``order`` values get sums in no fixed
+    order: group by it first.  Output adds ``cum_<col>`` for every col.
     """
     b = _bucketed(df, [], order)
     way = F.desc if descending else F.asc
-    totals = b.groupBy("__b", "__f").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    before = Window.orderBy(way("__b"), way("__f")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__b", "__f", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols])
+    totals = b.groupBy("__s", "__b", "__f").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
+    offsets = _offsets(totals, [], [f"__t_{c}" for c in cols], descending)
     local = Window.partitionBy("__b", "__f").orderBy(way(order)).rowsBetween(Window.unboundedPreceding, 0)
-    j = b.select("*", *[F.sum(c).over(local).alias(f"__l_{c}") for c in cols]).join(offsets, ["__b", "__f"])
-    return j.select(*df.columns, *[(F.col(f"__l_{c}") + F.col(f"__o_{c}")).alias(f"cum_{c}") for c in cols])
+    j = _attach(b.select("*", *[F.sum(c).over(local).alias(f"__l_{c}") for c in cols]), offsets, ["__b", "__f"])
+    return j.select(*df.columns, *[(F.col(f"__l_{c}") + F.col(f"__o___t_{c}")).alias(f"cum_{c}") for c in cols])
 
 
 def curve_points(scored: DataFrame, score: str, label: str) -> DataFrame:
@@ -194,12 +241,12 @@ def rank_within_groups(df: DataFrame, groups: list[str], order: list[str], name:
     table) into one task.  Instead each group is cut into buckets of the first order column,
     rows are numbered inside a bucket, and shifted by the size of the group's earlier
     buckets (one row per group and bucket).  ``order`` must be a total order (end it with a
-    unique key).  Nulls form a group of their own and sort first.
+    unique key).  Nulls form a group of their own and sort first.  Rows with equal values in
+    the first order column share a bucket: put a column with many values, a hash say, first.
     """
     b = _bucketed(df, groups, order[0])
     keys = [*groups, "__b", "__f"]
-    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(*groups).orderBy("__b", "__f").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
+    counts = b.groupBy(*groups, "__s", "__b", "__f").agg(F.count(F.lit(1)).alias("__c"))
+    offsets = _offsets(counts, groups, ["__c"], descending=False)
     local = b.withColumn("__lr", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return _attach(local, offsets, keys).select(*df.columns, (F.col("__lr") + F.col("__off")).alias(name))
+    return _attach(local, offsets, keys).select(*df.columns, (F.col("__lr") + F.col("__o___c")).alias(name))

@@ -117,3 +117,51 @@ def test_ranks_and_totals_keep_nulls_and_build_lazily(spark):
     boom = spark.range(3).select(F.assert_true(F.lit(False)).isNull().cast("double").alias("v"), "id")
     panel.running_totals(boom, "v", ["id"])
     panel.rank_within_groups(boom, [], ["v", "id"])
+
+
+def _shares(df, column, groups=()):
+    """Rows of the largest bucket, and buckets of the largest window of each level, as shares of the rows."""
+    b = panel._bucketed(df, list(groups), column).cache()
+    n = b.count()
+    buckets = b.groupBy("__s", "__b", "__f").count()
+    return (buckets.agg(F.max("count")).first()[0] / n, buckets.groupBy("__s", "__b").count().agg(F.max("count")).first()[0] / n,
+            buckets.select("__s").distinct().count())
+
+
+def test_buckets_spread_prices_times_and_texts_with_a_common_start(spark):
+    ids = spark.range(60000)
+    prices = ids.select((F.pmod(F.xxhash64("id"), F.lit(9_000_000)) / 100 + 900).alias("v")).distinct()
+    names = ids.select(F.format_string("customer-%06d", "id").alias("v"))
+    stamps = ids.select(F.expr("timestamp_ntz '2024-03-31 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("v"))
+    long = ids.select(F.concat(F.repeat(F.lit("\u00e9"), 60), F.col("id").cast("string")).alias("v"))
+    for df in (prices, names, stamps, long):
+        rows, window, top = _shares(df, "v")
+        assert rows <= 1 / 16 and window <= 1 / 8 and top <= 1500, (rows, window, top)
+
+
+def test_prefix_scan_over_many_buckets_matches_pandas(spark):
+    rng = random.Random(3)
+    values = [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(3000)] + [0.0, float("inf"), float("-inf")]
+    rows = [(v, i % 7) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "v double, w int")
+    for down in (True, False):
+        got = {r.v: r.cum_w for r in panel.running_totals(df, "v", ["w"], descending=down).collect()}
+        want, total = {}, 0
+        for v, w in sorted(rows, reverse=down):
+            total += w
+            want[v] = total
+        assert got == want
+
+
+def test_ranks_of_texts_dates_and_times(spark):
+    rng = random.Random(8)
+    texts = ["", "a", "ab", "abcd", "abcde", "abcd\u00e9", "abcd\U0001f642", "\u00e9", *(f"abcd{'x' * 300}{i}" for i in range(50)),
+             *("".join(rng.choice("ab\u00e9z0") for _ in range(rng.randint(0, 9))) for _ in range(400))]
+    rows = [(t if i % 50 else None, f"2024-{1 + i % 12:02d}-{1 + i % 28:02d} {i % 24:02d}:{i % 60:02d}:{(i * 7) % 60:02d}.{i % 1000:03d}", i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "t string, s string, id int").withColumn("ntz", F.to_timestamp_ntz("s")) \
+        .withColumn("ts", F.to_timestamp("s")).withColumn("d", F.to_date("s"))
+    order = {"t": lambda r: (r[0] is not None, (r[0] or "").encode(), r[2]), "ntz": lambda r: (r[1], r[2]), "ts": lambda r: (r[1], r[2]),
+             "d": lambda r: (r[1][:10], r[2])}
+    for column, key in order.items():
+        got = {r.id: r["rank"] for r in panel.rank_within_groups(df, [], [column, "id"]).collect()}
+        assert got == {r[2]: i + 1 for i, r in enumerate(sorted(rows, key=key))}, column
