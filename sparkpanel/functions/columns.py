@@ -106,22 +106,6 @@ def kurt_guarded(x) -> Column:
     return F.coalesce(kurt_sample(x), F.lit(0.0))
 
 
-def kurt_guarded_whole(x) -> Column:
-    """``kurt_guarded`` of whole numbers: central moments from exact integer power sums, one division at the end.
-
-    n^2 m2 = n S2 - S1^2 and n^4 m4 = n^3 S4 - 4 n^2 S1 S3 + 6 n S1^2 S2 - 3 S1^4 are whole numbers.
-    """
-    v = (F.col(x) if isinstance(x, str) else x).cast("decimal(10,0)").cast("long")
-    n = F.count(v).cast("decimal(38,0)")
-    s1, s2, s3, s4 = (F.sum(v).cast("decimal(38,0)"), F.sum(v * v).cast("decimal(38,0)"),
-                      F.sum(v * v * v).cast("decimal(38,0)"), F.sum(v * v * v * v).cast("decimal(38,0)"))
-    m2 = (n * s2 - s1 * s1).cast("double")
-    m4 = (n * n * n * s4 - 4 * n * n * s1 * s3 + 6 * n * s1 * s1 * s2 - 3 * s1 * s1 * s1 * s1).cast("double")
-    k = n.cast("double")
-    g2 = F.try_divide(m4, m2 * m2) - 3
-    return F.when((k < 4) | (m2 == 0), F.lit(0.0)).otherwise(F.try_divide((k - 1) * ((k + 1) * g2 + 6), (k - 2) * (k - 3)))
-
-
 def cv(x) -> Column:
     """Coefficient of variation: sample std / |mean|."""
     return F.try_divide(F.stddev_samp(_c(x)), F.abs(F.avg(_c(x))))

@@ -63,11 +63,24 @@ def merge_part_files(spark, sf):
                                   "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
 
 
-@query("parquet_file_stats", "select count(*) as num_rows, cast(11 as bigint) as num_columns from lineitem")
+@query("parquet_file_stats")
 def parquet_file_stats(spark, sf):
-    """Rows and columns by the Parquet footers (read by tasks), summed over the table's files."""
+    """Rows, columns, row groups, format version and size of every file of a table, by its footer (read by tasks)."""
     f = files.parquet_footers(spark, f"{sf.rstrip('/')}/lineitem.parquet")
-    return f.agg(F.sum("num_rows").alias("num_rows"), F.max("num_columns").alias("num_columns"))
+    return f.withColumn("path", F.substring_index("path", "/", -1))
+
+
+@query("parquet_rows_by_file", """
+select l_returnflag, count(*) as num_rows, cast(3 as bigint) as num_columns, true as sizes_known from lineitem group by 1""")
+def parquet_rows_by_file(spark, sf):
+    """The footers of a table written in folders by key, added up per folder."""
+    out = scratch_path(spark, "by-flag")
+    t = Tables(spark, sf).lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    t.write.partitionBy("l_returnflag").parquet(out)
+    f = files.parquet_footers(spark, out)
+    flag = F.regexp_extract("path", "/l_returnflag=([^/]*)/", 1)
+    return f.groupBy(flag.alias("l_returnflag")).agg(F.sum("num_rows").alias("num_rows"), F.max("num_columns").alias("num_columns"),
+                                                     ((F.min("size_bytes") > 0) & (F.min("num_row_groups") > 0)).alias("sizes_known"))
 
 
 @query("narrowed_types", """
