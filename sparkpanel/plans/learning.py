@@ -2,17 +2,22 @@
 
 Classifier stand-in: documents joined to labels (quality = target), features
 derived from the whole text.  A fixed score column (log10 of the document
-length) exercises the metric code against SQL oracles; the tree models
-themselves are checked rows-only (their results depend on Spark ML internals).
+length) exercises the metric code against SQL oracles; the large tree models
+are checked rows-only (their results depend on Spark ML internals), a small
+one leaf by leaf against a tree grown in SQL, and their scores against the
+expressions compiled from their nodes.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from sparkpanel.functions import columns as C
-from sparkpanel.operators import ml, panel
+from sparkpanel.operators import ml, panel, rules
 from sparkpanel.plans.registry import query
+from sparkpanel.session import scratch_path
 from sparkpanel.sources.tables import Tables
 
 R = 4
@@ -23,7 +28,7 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 select o_orderkey, {cols} from orders""".format(cols=", ".join(
     f"cast(o_orderpriority = '{p}' as int) as pri_{ml._safe_name(p)}" for p in sorted(PRIORITIES, reverse=True)[:-1])))
 def one_hot(spark, sf):
-    """ML1: one-hot with the first category dropped (StringIndexer alphabetDesc + OneHotEncoder dropLast)."""
+    """ML1: one-hot with the first category dropped (plain comparisons, one column per category)."""
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderpriority")
     out, names = ml.one_hot_drop_first(o, "o_orderpriority", "pri")
     return out.select("o_orderkey", *names)
@@ -75,62 +80,178 @@ def _features(spark, sf):
     return j, ["log_chars", "n_words", "n_lines", "n_digits", "upper_share", *lang_cols]
 
 
-def scored_splits(spark, sf, kind, **params):
-    """Fit on the oversampled training side; (scored train, scored test, model, feature columns)."""
-    data, cols = _features(spark, sf)
-    s = ml.stratified_split(data, "quality", "doc_id", 0.2, 42)
-    train = ml.oversample(s.where(F.col("split") == "train"), "quality", "doc_id", 42)
-    test = s.where(F.col("split") == "test")
-    model, scored_test, scored_train = ml.fit_score(train, test, cols, "quality", kind, **params)
-    return scored_train, scored_test, model, cols
+#: per application and folder: the written training table; per model: its written scores (tables in the shared folder)
+_TRAINING: dict[tuple, tuple] = {}
+_MODELS: dict[tuple, tuple] = {}
+
+TREE = {"impurity": "gini", "maxDepth": 5, "minInstancesPerNode": 1}
+FOREST = {"numTrees": 100, "maxDepth": 10}
+GBT = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3}
+
+
+def _application(spark, sf) -> tuple:
+    """The run and the files that a memo holds for."""
+    t = Tables(spark, sf)
+    return spark.sparkContext.applicationId, *sorted([*t.documents.inputFiles(), *t.labels.inputFiles()])
+
+
+def training_table(spark, sf):
+    """(train, test, feature columns): features, split and oversampled copies, computed and written once per run."""
+    key = _application(spark, sf)
+    if key not in _TRAINING:
+        data, cols = _features(spark, sf)
+        path = scratch_path(spark, "features")
+        ml.stratified_split(data, "quality", "doc_id", 0.2, 42).write.partitionBy("split").parquet(path)
+        split = spark.read.parquet(path)
+        copies = scratch_path(spark, "train")
+        ml.oversample(split.where(F.col("split") == "train"), "quality", "doc_id", 42).write.parquet(copies)
+        _TRAINING[key] = (spark.read.parquet(copies), split.where(F.col("split") == "test"), cols)
+    return _TRAINING[key]
+
+
+def fitted(spark, sf, kind, **params):
+    """(scores, model, feature columns): fitted once per run on the training table; scores of both sides, written,
+    with the columns split, doc_id, quality, score and the features."""
+    key = (*_application(spark, sf), kind, *sorted(params.items()))
+    if key not in _MODELS:
+        train, test, cols = training_table(spark, sf)
+        model, scored_test, scored_train = ml.fit_score(train, test, cols, "quality", kind, **params)
+        path = scratch_path(spark, "scores")
+        keep = ["split", "doc_id", "quality", "score", *cols]
+        scored_train.select(*keep).unionByName(scored_test.select(*keep)).write.parquet(path)
+        _MODELS[key] = (spark.read.parquet(path), model, cols)
+    return _MODELS[key]
 
 
 def _eval_model(spark, sf, kind, **params):
-    scored_train, scored_test, model, cols = scored_splits(spark, sf, kind, **params)
-    rows = []
-    for name, sc in (("train", scored_train), ("test", scored_test)):
-        m = ml.threshold_metrics(sc, "quality", "score", 0.5).select("accuracy", "precision", "recall", "f1")
-        a = ml.auc(sc, "quality", "score")
-        rows.append(m.withColumn("auc", a.scalar()).withColumn("split", F.lit(name)))
-    out = rows[0].unionByName(rows[1]).withColumn("model", F.lit(kind))
-    return out, model, cols
+    scores, _, _ = fitted(spark, sf, kind, **params)
+    m = ml.threshold_metrics(scores, "quality", "score", 0.5, by=["split"]).select("split", "accuracy", "precision", "recall", "f1")
+    a = [ml.auc(scores.where(F.col("split") == s), "quality", "score").withColumn("split", F.lit(s)) for s in ("train", "test")]
+    return m.join(a[0].unionByName(a[1]), "split").select("accuracy", "precision", "recall", "f1", "auc", "split", F.lit(kind).alias("model"))
 
 
 @query("decision_tree_eval")
 def decision_tree_eval(spark, sf):
     """ML5 + ML8: gini tree, depth 5, min leaf 1; train/test metrics after exact oversampling."""
-    out, _, _ = _eval_model(spark, sf, "tree", impurity="gini", maxDepth=5, minInstancesPerNode=1)
-    return out
+    return _eval_model(spark, sf, "tree", **TREE)
 
 
 @query("random_forest_eval")
 def random_forest_eval(spark, sf):
     """ML6 + ML8: random forest, 100 trees, depth 10."""
-    out, _, _ = _eval_model(spark, sf, "forest", numTrees=100, maxDepth=10)
-    return out
+    return _eval_model(spark, sf, "forest", **FOREST)
 
 
 @query("gbt_eval")
 def gbt_eval(spark, sf):
     """ML7 + ML8: gradient boosting, 100 rounds, step 0.1, depth 3."""
-    out, _, _ = _eval_model(spark, sf, "gbt", maxIter=100, stepSize=0.1, maxDepth=3)
-    return out
+    return _eval_model(spark, sf, "gbt", **GBT)
 
 
 @query("tree_rules")
 def tree_rules(spark, sf):
     """ML16: rule text of the fitted decision tree (feature names substituted)."""
-    _, model, cols = _eval_model(spark, sf, "tree", impurity="gini", maxDepth=5, minInstancesPerNode=1)
+    _, model, cols = fitted(spark, sf, "tree", **TREE)
     return ml.tree_rules(model, cols, spark)
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
     """ML9: top-15 feature importances of the forest, with feature names."""
-    _, model, cols = _eval_model(spark, sf, "forest", numTrees=100, maxDepth=10)
+    _, model, cols = fitted(spark, sf, "forest", **FOREST)
     return ml.feature_importances(model, cols, spark, 15)
 
 
+# the training side has as many rows of each class as the larger class
+_SPLIT_SIZES_SQL = """(
+with d as (select quality, count(*) as n from labels join documents using (doc_id) where quality is not null group by 1),
+t as (select quality, n, ceil(n::decimal(20,0) * 0.2)::bigint as test_n from d)
+select 'train' as split, count(*) * max(n - test_n) as n_rows from t union all select 'test', sum(test_n) from t)"""
+
+
+@query("rule_scores", f"""
+select model, split, n_rows::bigint as n_rows, 0::bigint as n_differ from {_SPLIT_SIZES_SQL}, (values ('tree'), ('gbt')) m(model)""")
+def rule_scores(spark, sf):
+    """ML16: the fitted tree and the boosted trees compiled to one expression each; rows whose score differs from
+    the model's own (none)."""
+    out = []
+    for kind, params in (("tree", TREE), ("gbt", GBT)):
+        scores, model, cols = fitted(spark, sf, kind, **params)
+        own = rules.score_column(rules.tree_nodes(model, spark), cols, kind)
+        out.append(scores.select("split", (~(F.abs(own - F.col("score")) < 1e-9)).alias("differs")).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if("differs").alias("n_differ")).select(F.lit(kind).alias("model"), "split", "n_rows", "n_differ"))
+    return out[0].unionByName(out[1])
+
+
+# a tree of depth two over yes/no features, grown in SQL: the split with the largest gain, children of the same class merged
+_FLAGS = ["is_en", "is_long", "has_digit", "has_break"]
+_SMALL_TREE_SQL = """
+with d as (select quality as y, [coalesce((lang = 'en')::int, 0), coalesce((n_chars >= 1000)::int, 0),
+                  coalesce(regexp_matches(text, '[0-9]')::int, 0), coalesce(contains(text, chr(10))::int, 0)] as f
+           from labels join documents using (doc_id) where quality is not null),
+c as (select f, count(*) as n, sum(y) as p from d group by f),
+u as (select f, n, p, i, f[i + 1] as v from c, range(4) t(i)),
+g1 as (select i, coalesce(sum(n) filter (v = 0), 0) as n0, coalesce(sum(p) filter (v = 0), 0) as p0,
+              coalesce(sum(n) filter (v = 1), 0) as n1, coalesce(sum(p) filter (v = 1), 0) as p1 from u group by i),
+s1 as (select *, gini(p0 + p1, n0 + n1) - (n0 * gini(p0, n0) + n1 * gini(p1, n1)) / (n0 + n1) as gain from g1 where n0 > 0 and n1 > 0),
+b1 as (select * from s1 where gain > 0 order by gain desc, i limit 1),
+g2 as (select u.f[b1.i + 1] as side, u.i, coalesce(sum(u.n) filter (v = 0), 0) as n0, coalesce(sum(u.p) filter (v = 0), 0) as p0,
+              coalesce(sum(u.n) filter (v = 1), 0) as n1, coalesce(sum(u.p) filter (v = 1), 0) as p1 from u, b1 group by 1, 2),
+s2 as (select *, gini(p0 + p1, n0 + n1) - (n0 * gini(p0, n0) + n1 * gini(p1, n1)) / (n0 + n1) as gain from g2 where n0 > 0 and n1 > 0),
+b2 as (select * from s2 where gain > 0 and (2 * p0 > n0) <> (2 * p1 > n1)
+         and not exists (select 1 from s2 better where better.side = s2.side and (better.gain > s2.gain or (better.gain = s2.gain and better.i < s2.i))))
+"""
+
+
+def _with_gini(sql: str) -> str:
+    """DuckDB has no gini(p, n): written out."""
+    return re.sub(r"gini\(([^,()]+), ([^()]+)\)", r"(1 - ((\1) / (\2)) ** 2 - (1 - (\1) / (\2)) ** 2)", sql)
+
+
+def _small_tree(spark, sf):
+    t = Tables(spark, sf)
+    d = t.documents.select("doc_id", (F.col("lang") == "en").alias("is_en"), (F.col("n_chars") >= 1000).alias("is_long"),
+                           F.rlike("text", F.lit("[0-9]")).alias("has_digit"), F.contains("text", F.lit("\n")).alias("has_break"))
+    d = d.select("doc_id", *[F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) for c in _FLAGS])
+    data = t.labels.select("doc_id", "quality").where("quality is not null").join(d, "doc_id")
+    model, _, _ = ml.fit_score(data, data, _FLAGS, "quality", "tree", impurity="gini", maxDepth=2, minInstancesPerNode=1)
+    return rules.tree_nodes(model, spark)
+
+
+_NAME_SQL = "(['is_en', 'is_long', 'has_digit', 'has_break'])[{i} + 1]"
+
+
+@query("small_tree_leaves", _with_gini(_SMALL_TREE_SQL) + f"""
+, l as (
+  select {_NAME_SQL.format(i='b1.i')} || case when b2.side = 0 then ' <= 0.5' else ' > 0.5' end || ' and ' || {_NAME_SQL.format(i='b2.i')} || ' <= 0.5' as rule,
+         b2.n0 as n, b2.p0 as p from b1, b2
+  union all select {_NAME_SQL.format(i='b1.i')} || case when b2.side = 0 then ' <= 0.5' else ' > 0.5' end || ' and ' || {_NAME_SQL.format(i='b2.i')} || ' > 0.5',
+         b2.n1, b2.p1 from b1, b2
+  union all select {_NAME_SQL.format(i='b1.i')} || ' <= 0.5', n0, p0 from b1 where not exists (select 1 from b2 where side = 0)
+              and not ((2 * p0 > n0) = (2 * p1 > n1) and not exists (select 1 from b2))
+  union all select {_NAME_SQL.format(i='b1.i')} || ' > 0.5', n1, p1 from b1 where not exists (select 1 from b2 where side = 1)
+              and not ((2 * p0 > n0) = (2 * p1 > n1) and not exists (select 1 from b2))
+  union all select '', sum(n), sum(p) from c having not exists (select 1 from b1)
+              or (not exists (select 1 from b2) and (select (2 * p0 > n0) = (2 * p1 > n1) from b1)))
+select rule, n::bigint as n_rows, round(p / n, {R}) as share, (2 * p > n)::int::double as prediction from l""")
+def small_tree_leaves(spark, sf):
+    """ML5 / ML16: a tree over four yes/no features, whose every leaf SQL can work out."""
+    d = rules.leaves(_small_tree(spark, sf), _FLAGS, spark)
+    return d.select("rule", "n_rows", C.round_half_away("share", R).alias("share"), "prediction")
+
+
+@query("small_tree_importance", _with_gini(_SMALL_TREE_SQL) + f"""
+, parts as (
+  select b1.i, (b1.n0 + b1.n1) * b1.gain as w from b1 where exists (select 1 from b2) or (2 * p0 > n0) <> (2 * p1 > n1)
+  union all select i, (n0 + n1) * gain from b2),
+w as (select n.name, coalesce(sum(parts.w), 0) as w from (select i, {_NAME_SQL.format(i='i')} as name from range(4) t(i)) n left join parts using (i) group by 1)
+select name as feature, round(coalesce(w / nullif((select sum(w) from w), 0), 0), {R}) as importance from w""")
+def small_tree_importance(spark, sf):
+    """ML9: importances of that tree."""
+    d = rules.importances(_small_tree(spark, sf), _FLAGS, spark)
+    return d.select("feature", C.round_half_away("importance", R).alias("importance"))
+
+
 # ------------------------------------------------------------------ metric code on a fixed score column
 
 def _scored(spark, sf):

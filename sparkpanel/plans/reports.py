@@ -176,35 +176,3 @@ def full_profile_query(spark, sf):
     p = full_profile(Tables(spark, sf).customer.select(*_NUM, *_TXT))
     text = F.col("metric") == "top"
     return p.select("column_name", "metric", F.when(~text, F.col("value")).cast("double").alias("value"), F.when(text, F.col("value")).alias("text_value"))
-
-
-# ------------------------------------------------------------------ model checks (ML5-ML9)
-
-@query("model_confusion_sums", """
-with d as (select quality, count(*) as n from labels join documents using (doc_id) where quality is not null group by 1),
-t as (select quality, n, ceil(n::decimal(20,0) * 0.2)::bigint as test_n from d)
-select 'train' as split, max(n - test_n) filter (where true) as n_pos, max(n - test_n) as n_neg from t
-union all select 'test', max(test_n) filter (where quality = 1), max(test_n) filter (where quality = 0) from t""")
-def model_confusion_sums(spark, sf):
-    """ML5/ML8: class totals of the fitted tree's confusion sums (the training side is oversampled to the majority)."""
-    from sparkpanel.plans.learning import scored_splits
-
-    from sparkpanel.operators import ml
-
-    train, test = scored_splits(spark, sf, "tree", impurity="gini", maxDepth=5, minInstancesPerNode=1)[:2]
-    rows = [ml.threshold_metrics(s, "quality", "score", 0.5).select(F.lit(name).alias("split"), (F.col("tp") + F.col("fn")).alias("n_pos"),
-                                                                    (F.col("fp") + F.col("tn")).alias("n_neg")) for name, s in (("train", train), ("test", test))]
-    return rows[0].unionByName(rows[1])
-
-
-@query("importance_sum", "select 1.0::double as total, true as none_negative")
-def importance_sum(spark, sf):
-    """ML9: the forest's importances are shares: none is negative and they add up to one."""
-    from sparkpanel.operators import ml
-    from sparkpanel.plans.learning import scored_splits
-
-    *_, model, cols = scored_splits(spark, sf, "forest", numTrees=20, maxDepth=5)
-    imp = ml.feature_importances(model, cols, spark, len(cols))
-    return imp.agg(C.round_half_away(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("none_negative"))
-
-

@@ -23,7 +23,7 @@ from sparkpanel.session import get_session  # noqa: E402
 SIDE_EFFECTS = {"decision_tree_eval", "random_forest_eval", "gbt_eval", "feature_importance", "forest_per_item",
                 "tree_rules", "stream_kpi_refresh", "stream_daily_counts", "multi_file_match_counts",
                 "merge_part_files", "scan_csv_roundtrip", "preagg_lookup", "narrowed_types", "typed_insert",
-                "json_landing", "model_confusion_sums", "importance_sum"}
+                "json_landing", "rule_scores", "small_tree_leaves", "small_tree_importance"}
 OPS = ["SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
        "HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "TakeOrderedAndProject",
        "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "Generate", "Expand"]
