@@ -94,16 +94,16 @@ def leaves(trees: list[list[dict]], names: list[str], spark: SparkSession) -> Da
     return spark.createDataFrame(rows, "tree_no int, leaf_no int, rule string, n_rows long, share double, prediction double")
 
 
-def importances(trees: list[list[dict]], names: list[str], spark: SparkSession) -> DataFrame:
-    """(feature, importance): gain times rows of the nodes that split on the feature, as a share of all, mean over
-    the trees; features that no node uses have 0."""
+def importances(trees: list[list[dict]], names: list[str], spark: SparkSession, kind: str = "tree") -> DataFrame:
+    """(feature, importance): gain times rows of the nodes that split on the feature, as a share of all; a forest
+    takes the mean share over its trees.  Features that no node uses have 0."""
     total = dict.fromkeys(names, 0.0)
     for tree in trees:
         own = dict.fromkeys(names, 0.0)
         for node in tree:
             if node["left"] >= 0:
                 own[names[node["feature"]]] += node["gain"] * node["n"]
-        whole = sum(own.values())
+        whole = sum(own.values()) if kind != "gbt" else 1.0
         for f, g in own.items():
             total[f] += g / whole if whole else 0.0
     whole = sum(total.values())

@@ -32,7 +32,7 @@ def test_compiled_scores_are_the_models(spark, kind, params):
     gone = model.transform(nulls.withColumn("y", F.col("y").cast("double"))).select(ml.vector_to_array("probability")[1]).first()[0]
     assert abs(nulls.select(own).first()[0] - gone) < 1e-9
     want = model.stages[-1].featureImportances.toArray().tolist()
-    got = {r.feature: r.importance for r in rules.importances(trees, NAMES, spark).collect()}
+    got = {r.feature: r.importance for r in rules.importances(trees, NAMES, spark, kind).collect()}
     assert [got[n] for n in NAMES] == pytest.approx(want, abs=1e-9)
     # a changed split shows
     if trees[0][0]["left"] >= 0:
