@@ -8,10 +8,13 @@ schemas.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparkpanel.session import scratch_path
 
 #: the inside of a tag: quoted parts may hold anything (possessive, so long or broken tags are read once)
 INSIDE = r"""[^<>"']*+(?:(?:"[^"]*+"|'[^']*+')[^<>"']*+)*+"""
@@ -127,6 +130,55 @@ def flatten_struct(df: DataFrame, col: str, sep: str = "_", prefix: str | None =
     return df.select(*[c for c in df.columns if c != col], *out)
 
 
+def open_leaves(df: DataFrame, key: str, raw: str) -> DataFrame:
+    """J1f / J3f for JSON of any shape: (key, path, type, value), one row per leaf of every document.
+
+    ``variant_explode`` opens one level of all documents at a time; levels are written, so each
+    is parsed once, and the loop ends with the deepest document.  Paths read ``$.a.b[0]`` or
+    ``$['odd name']``; types are the variant's (``BIGINT``, ``STRING``, ``VOID`` for null, ...),
+    empty objects and lists are leaves of type ``OBJECT<>`` and ``ARRAY<>``.  Null and malformed
+    documents have no rows; repeated rows are opened each; a repeated key inside one object makes the document malformed.
+    """
+    spark = df.sparkSession
+    level = df.select(F.col(key).alias("__key"), F.lit("$").alias("path"), F.try_parse_json(raw).alias("v")).where(F.col("v").isNotNull())
+    text, opens = F.col("v").cast("string"), F.col("type").rlike("^(OBJECT|ARRAY)<") & ~F.col("type").isin("OBJECT<>", "ARRAY<>")
+    shape = F.schema_of_variant("v")
+    kind = F.when(shape.startswith("ARRAY<") & (text == "[]"), F.lit("ARRAY<>")).otherwise(shape)
+    found = None
+    while True:
+        path = scratch_path(spark, "json-level")
+        level.withColumn("type", kind).write.parquet(path)
+        level = spark.read.parquet(path)
+        leaves = level.where(~opens).select("__key", "path", "type", F.when(F.col("type") != "VOID", text).alias("value"))
+        found = leaves if found is None else found.unionByName(leaves)
+        inner = level.where(opens)
+        if inner.isEmpty():
+            return found.withColumnRenamed("__key", key)
+        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos"), F.lit("]"))) \
+            .when(F.col("key").rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(F.lit("."), "key")).otherwise(F.concat(F.lit("['"), "key", F.lit("']")))
+        level = inner.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())) \
+            .select("__key", F.concat("path", step).alias("path"), F.col("value").alias("v"))
+
+
+def open_columns(df: DataFrame, raw: str, prefix: str = "", sep: str = "_") -> DataFrame:
+    """J1f / U4: JSON objects of any shape as columns, ``a_b`` for the value at ``a.b``; ``raw`` is replaced.
+
+    One aggregation (``schema_of_variant_agg``) finds the union of all shapes; documents without a
+    field have null there, a field that is an object here and a scalar there stays a variant.
+    Documents that are no objects are rejected.
+    """
+    parsed = df.withColumn("__v", F.try_parse_json(raw))
+    found = parsed.agg(F.schema_of_variant_agg("__v").alias("s")).first()["s"]
+    if found == "VOID":
+        return df.drop(raw)
+    if not found.startswith("OBJECT<"):
+        raise ValueError(f"documents are not all objects: {found}")
+    ddl = re.sub(r"\bVOID\b", "STRING", found.replace("OBJECT<>", "STRING").replace("OBJECT<", "STRUCT<"))
+    # the alias of the column is the first step of every path, so it is dropped by flatten_struct's prefix
+    wide = parsed.drop(raw).withColumn("__v", F.try_variant_get("__v", "$", ddl))
+    return flatten_struct(wide, "__v", sep, prefix)
+
+
 def amount_fields(raw: Column, keys: list[str]) -> list[Column]:
     """J2f: ``{"price": {"amount": x, "display_amount": "..."}}`` -> price_amount, price_display.
 

@@ -149,6 +149,46 @@ def _nested_json(e):
         F.struct("user_id").alias("who")).alias("metrics")))
 
 
+def _open_json():
+    """Documents of four shapes: nested objects, lists of objects, scalars and broken text, by event type."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    purchase = F.to_json(F.struct(F.struct("value", F.array(F.col("event_type"), F.lit("x")).alias("tags")).alias("sale"), F.struct("user_id").alias("who")))
+    click = F.to_json(F.struct(F.array(F.struct(k.alias("at")), F.struct((k + 1).alias("at"))).alias("steps"), F.lit(True).alias("odd name")))
+    return F.when(F.col("event_type") == "purchase", purchase).when(F.col("event_type") == "click", click) \
+        .when(F.col("event_type") == "error", F.lit("{broken")).otherwise(F.col("props"))
+
+
+@query("json_open_flatten", """
+with e as (select event_id, event_type, user_id, value, cast(json_extract_string(props, '$.k') as bigint) as k from events)
+select event_id, '$.sale.value' as path, 'DECIMAL' as type, printf('%.2f', value) as value from e where event_type = 'purchase' and value is not null
+union all select event_id, '$.sale.tags[0]', 'STRING', event_type from e where event_type = 'purchase'
+union all select event_id, '$.sale.tags[1]', 'STRING', 'x' from e where event_type = 'purchase'
+union all select event_id, '$.who.user_id', 'BIGINT', user_id::varchar from e where event_type = 'purchase' and user_id is not null
+union all select event_id, '$.steps[0].at', 'BIGINT', k::varchar from e where event_type = 'click'
+union all select event_id, '$.steps[1].at', 'BIGINT', (k + 1)::varchar from e where event_type = 'click'
+union all select event_id, '$[''odd name'']', 'BOOLEAN', 'true' from e where event_type = 'click'
+union all select event_id, '$.k', 'BIGINT', k::varchar from e where event_type in ('view', 'signup')""")
+def json_open_flatten(spark, sf):
+    """J1f / J3f: every leaf of JSON documents of unknown shape: path, type and value."""
+    d = D.open_leaves(Tables(spark, sf).events.withColumn("raw", _open_json()), "event_id", "raw")
+    # a number's text and precision depend on its digits; the comparison takes the family and two digits
+    dec = F.col("type").startswith("DECIMAL") | (F.col("type") == "DOUBLE") | (F.col("path") == "$.sale.value")
+    return d.select("event_id", "path", F.when(dec, "DECIMAL").otherwise(F.col("type")).alias("type"),
+                    F.when(dec, F.format_string("%.2f", F.col("value").cast("double"))).otherwise(F.col("value")).alias("value"))
+
+
+@query("json_open_columns", """
+select event_id, case when event_type in ('view', 'signup') then cast(json_extract_string(props, '$.k') as bigint) end as k,
+       case when event_type = 'purchase' then value end as sale_value, case when event_type = 'purchase' then user_id end as who_user_id,
+       case when event_type = 'click' then [cast(json_extract_string(props, '$.k') as bigint), cast(json_extract_string(props, '$.k') as bigint) + 1] end as steps
+from events""")
+def json_open_columns(spark, sf):
+    """J1f / U4: the same documents as columns; fields that a document lacks are null."""
+    d = D.open_columns(Tables(spark, sf).events.select("event_id", _open_json().alias("raw")), "raw")
+    return d.select("event_id", "k", F.col("sale_value").cast("double").alias("sale_value"), "who_user_id",
+                    F.transform("steps", lambda s: s["at"]).alias("steps"))
+
+
 @query("json_flatten", """
 select event_id, event_type as payload_event_type, value as payload_metrics_value,
        cast(json_extract_string(props, '$.k') as bigint) as payload_metrics_k, user_id as payload_metrics_who_user_id
