@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkpanel.operators import stats
+from sparkpanel.operators import preagg, stats
 from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.session import scratch_path
@@ -130,6 +130,31 @@ def preagg_hour_region(spark, sf):
     return _preagg(spark, sf)
 
 
+@query("preagg_sketches", f"""
+select event_type, count(value) as n, round(avg(value), {R}) as mean, count(distinct user_id) as exact_distinct,
+       round(quantile_cont(value, 0.5), {R}) as exact_p50, round(quantile_cont(value, 0.95), {R}) as exact_p95,
+       true as p50_kept, true as p95_kept, true as distinct_kept, true as direct_kept from events group by 1""")
+def preagg_sketches(spark, sf):
+    """Quantile and distinct sketches stored per hour and event type, merged across the hours: the
+    exact values, and whether the estimates keep their bounds, merged and made directly."""
+    out, probs = scratch_path(spark, "sketches"), {"p50": 0.5, "p95": 0.95}
+    e = Tables(spark, sf).events.select(F.hour("ts").alias("hour"), "event_type", "value", "user_id")
+    files.write_parquet(preagg.sketched_cells(e, ["hour", "event_type"], "value", "user_id"), out, partition_by=["hour"])
+    merged = preagg.estimates(preagg.roll_up(spark.read.parquet(out), ["event_type"]), probs)
+    direct = preagg.estimates(preagg.sketched_cells(e, ["event_type"], "value", "user_id"), {"d50": 0.5, "d95": 0.95}) \
+        .select("event_type", "d50", "d95", F.col("n_distinct").alias("d_distinct"))
+    both = merged.join(direct, "event_type")
+    exact = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact_distinct"))
+    q = stats.quantiles(e, "value", {f"exact_{n}": p for n, p in probs.items()}, by=["event_type"])
+    ranks = preagg.rank_of(e, ["event_type"], "value", both, ["p50", "p95", "d50", "d95"])
+    d = both.join(exact, "event_type").join(q, "event_type").join(ranks, "event_type")
+    near = lambda c: F.abs(F.col(c) - F.col("exact_distinct")) <= F.col("exact_distinct") * preagg.DISTINCT_ERROR
+    return d.select("event_type", "n", C.round_half_away("mean", R).alias("mean"), "exact_distinct",
+                    *[C.round_half_away(c, R).alias(c) for c in ("exact_p50", "exact_p95")],
+                    preagg.keeps_rank("p50", 0.5).alias("p50_kept"), preagg.keeps_rank("p95", 0.95).alias("p95_kept"), near("n_distinct").alias("distinct_kept"),
+                    (preagg.keeps_rank("d50", 0.5) & preagg.keeps_rank("d95", 0.95) & near("d_distinct")).alias("direct_kept"))
+
+
 @query("preagg_lookup", f"select * exclude (hour) from ({_PREAGG_SQL}) where hour = 7")
 def preagg_lookup(spark, sf):
     """S12 + S13: the pre-aggregate saved partitioned by hour, then a parameterised, pruned lookup."""
