@@ -13,7 +13,7 @@ from sparkpanel.operators import preagg, stats
 from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.session import scratch_path
-from sparkpanel.sources import files
+from sparkpanel.sources import files, formats
 from sparkpanel.sources.tables import Tables
 
 R = 4
@@ -83,6 +83,45 @@ def parquet_rows_by_file(spark, sf):
                                                      ((F.min("size_bytes") > 0) & (F.min("num_row_groups") > 0)).alias("sizes_known"))
 
 
+@query("zipped_csv", """
+select s_suppkey, s_name, s_nationkey, case when s_nationkey = 3 then null else s_acctbal end as s_acctbal from supplier""")
+def zipped_csv(spark, sf):
+    """Suppliers written to zip archives of several CSV members each, and read back member by member."""
+    out = scratch_path(spark, "archives")
+    s = Tables(spark, sf).supplier.select("s_suppkey", "s_name", "s_nationkey", F.when(F.col("s_nationkey") != 3, F.col("s_acctbal")).alias("s_acctbal"))
+    files.write_zipped_csv(s.repartition(3, "s_suppkey"), out, rows_per_member=40)
+    return files.read_zipped_csv(spark, out, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+
+
+@query("code_sheet_join", """
+select p_type as type, count(*) as n, round(sum(l_quantity), 4) as quantity from lineitem join part on l_partkey = p_partkey
+where p_size <= 25 group by 1 union all select null, count(*), round(sum(l_quantity), 4) from lineitem left join part on l_partkey = p_partkey and p_size <= 25
+where p_partkey is null having count(*) > 0""")
+def code_sheet_join(spark, sf):
+    """A code mapping landed in workbooks, read by the registered data source and joined to the facts."""
+    out, t = scratch_path(spark, "sheets"), Tables(spark, sf)
+    codes = t.part.where("p_size <= 25").select(F.col("p_type").alias("Type"), F.col("p_partkey").alias("Code"))
+    formats.write_code_sheets(codes.repartition(3, "Code"), out)
+    mapping = files.read_source(spark, "code_sheet", out, schema="code long, type string")
+    j = t.lineitem.select("l_partkey", "l_quantity").join(mapping, F.col("l_partkey") == F.col("code"), "left")
+    return j.groupBy("type").agg(F.count(F.lit(1)).alias("n"), C.round_half_away(F.sum("l_quantity"), 4).alias("quantity"))
+
+
+@query("feature_names", """
+select s_suppkey as code, s_name as name, [s_nationkey, s_suppkey % 90] as point from supplier""")
+def feature_names(spark, sf):
+    """Suppliers as features of JSON documents, read back by byte ranges of 4 kB."""
+    out = scratch_path(spark, "collections")
+    s = Tables(spark, sf).supplier
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col("s_name").alias("name"), F.col("s_suppkey").alias("code")).alias("properties"),
+                                 F.struct(F.lit("Point").alias("type"), F.array("s_nationkey", (F.col("s_suppkey") % 90).cast("int")).alias("coordinates")).alias("geometry")))
+    docs = s.select(F.floor(F.col("s_suppkey") / 200).alias("doc"), feature.alias("f")).groupBy("doc").agg(F.array_join(F.collect_list("f"), ",").alias("fs"))
+    docs.select("doc", F.concat(F.lit('{"type":"FeatureCollection","features":['), "fs", F.lit("]}"))).write.partitionBy("doc").text(out)
+    f = formats.feature_collection(spark, out, range_bytes=4096, suffix=".txt")
+    parsed = F.from_json("feature", "struct<properties: struct<name: string, code: long>, geometry: struct<coordinates: array<int>>>")
+    return f.select(parsed.alias("f")).select("f.properties.code", "f.properties.name", F.col("f.geometry.coordinates").alias("point"))
+
+
 @query("narrowed_types", """
 select n_name, cast(n_nationkey as tinyint) as n_nationkey, cast(n_regionkey as tinyint) as n_regionkey from nation""")
 def narrowed_types(spark, sf):

@@ -247,20 +247,43 @@ register_source("json")(lambda spark, path, schema=None, **o: (spark.read.schema
 
 # ---------------------------------------------------------------- zipped CSV
 
-def _unzip_records(batches):
-    """Each binary row is one .zip archive; emit the records of its CSV members in blocks.
+#: most tasks that the members of all archives are dealt to
+MEMBER_TASKS = 2000
+
+
+def _open_archive(path: str):
+    """(stream, archive): the central directory is read by seeks, members only when they are opened."""
+    import zipfile
+
+    filesystem, inside = _resolve(path)
+    stream = filesystem.open_input_file(inside)
+    return stream, zipfile.ZipFile(stream)
+
+
+def _members(batches):
+    """One row per CSV member of the archives: path, member, its place in the directory and its unpacked bytes."""
+    for pdf in batches:
+        rows = []
+        for path in pdf["path"]:
+            stream, archive = _open_archive(path)
+            with stream, archive:
+                rows += [(path, info.filename, i, info.file_size) for i, info in enumerate(archive.infolist())
+                         if not info.is_dir() and info.filename.lower().endswith(".csv")]
+        yield pd.DataFrame(rows, columns=["path", "member", "place", "size_bytes"])
+
+
+def _member_records(batches):
+    """The records of each member, unpacked as a stream in blocks.
 
     Members are decoded as UTF-8 and read again as CP949 (the Korean code page) if that
-    fails.  Records are parsed as CSV, so a quoted field may hold line breaks.  A zip archive
-    is not splittable, so one archive is one task's input; members are streamed.
+    fails.  Records are parsed as CSV, so a quoted field may hold line breaks.
     """
     import csv
     import io
-    import zipfile
 
-    def encoding_of(zf, info):
+    def encoding_of(archive, info):
         try:
-            with io.TextIOWrapper(zf.open(info), encoding="utf-8-sig") as f:
+            with io.TextIOWrapper(archive.open(info), encoding="utf-8-sig") as f:
                 while f.read(1 << 20):
                     pass
             return "utf-8-sig"
@@ -268,32 +291,105 @@ def _unzip_records(batches):
             return "cp949"
 
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for info in zf.infolist():
-                    if info.is_dir() or not info.filename.lower().endswith(".csv"):
-                        continue
-                    with io.TextIOWrapper(zf.open(info), encoding=encoding_of(zf, info), newline="") as f:
-                        rows = []
-                        for i, fields in enumerate(csv.reader(f)):
-                            rows.append((path, info.filename, i, fields))
-                            if len(rows) >= 5000:
-                                yield pd.DataFrame(rows, columns=["path", "member", "record_no", "fields"])
-                                rows = []
-                        if rows:
+        for path, place in zip(pdf["path"], pdf["place"]):
+            stream, archive = _open_archive(path)
+            with stream, archive:
+                info = archive.infolist()[place]
+                with io.TextIOWrapper(archive.open(info), encoding=encoding_of(archive, info), newline="") as f:
+                    rows = []
+                    for i, fields in enumerate(csv.reader(f)):
+                        rows.append((path, info.filename, i, fields))
+                        if len(rows) >= 5000:
                             yield pd.DataFrame(rows, columns=["path", "member", "record_no", "fields"])
+                            rows = []
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["path", "member", "record_no", "fields"])
+
+
+def zip_members(spark: SparkSession, path: str) -> DataFrame:
+    """(path, member, place, size_bytes) of every CSV member of the archive at ``path`` or of all in that folder."""
+    from pyarrow import fs
+
+    filesystem, inside = _resolve(path)
+    archives = [path] if filesystem.get_file_info(inside).type == fs.FileType.File else list_files(path, ".zip")
+    df = spark.createDataFrame([(p,) for p in archives], "path string")
+    return df.repartition(max(1, min(len(archives), 256))).mapInPandas(_members, "path string, member string, place int, size_bytes long")
 
 
 def read_zipped_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
-    """CSV members of zip archives (``binaryFile`` + ``mapInPandas``), columns by position.
+    """CSV members of zip archives, columns by position.
 
-    Empty and unparsable fields are NULL; blank records are skipped.
+    The unit of work is a member, not an archive: tasks read the central directories by seeks,
+    the list of members is dealt out, and each is unpacked as a stream, so neither an archive
+    nor a member is ever held whole.  Empty and unparsable fields are NULL; blank records are
+    skipped.
     """
+    from sparkpanel.session import scratch_path
+
     kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    records = raw.mapInPandas(_unzip_records, "path string, member string, record_no long, fields array<string>")
+    listed = scratch_path(spark, "members")
+    zip_members(spark, path).write.parquet(listed)
+    members = spark.read.schema("path string, member string, place int, size_bytes long").parquet(listed)
+    n = max(1, min(members.count(), MEMBER_TASKS))
+    # one member to a task: numbers are hashed apart, so big archives do not keep their members together
+    dealt = members.repartition(n)
+    records = dealt.mapInPandas(_member_records, "path string, member string, record_no long, fields array<string>")
     records = records.where(F.size("fields") > 0)
     if header:
         records = records.where(F.col("record_no") > 0)
     return records.select(*[F.nullif(F.get("fields", F.lit(i)), F.lit("")).try_cast(f.dataType).alias(f.name)
                             for i, f in enumerate(kinds.fields)])
+
+
+def write_zipped_csv(df: DataFrame, path: str, rows_per_member: int = 5000, encoding: str = "utf-8") -> DataFrame:
+    """S4 sink: one archive per partition of ``df`` in the shared folder ``path``, of CSV members of ``rows_per_member``
+    records with a header each.  Returns the written manifest (path, member, n_rows).
+
+    A task writes under a name of its own and moves the finished archive into place, so a
+    repeated attempt leaves one whole archive.  Null fields are empty.
+    """
+    names = df.columns
+
+    def pack(batches):
+        import csv
+        import io
+        import uuid
+        import zipfile
+
+        from pyspark import TaskContext
+
+        filesystem, folder = _resolve(path)
+        filesystem.create_dir(folder, recursive=True)
+        name = f"part-{TaskContext.get().partitionId():05d}"
+        draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        manifest, held = [], []
+
+        def flush(archive):
+            out = io.StringIO()
+            csv.writer(out).writerows([names, *held])
+            member = f"{name}-{len(manifest):03d}.csv"
+            archive.writestr(member, out.getvalue().encode(encoding))
+            manifest.append((f"{path.rstrip('/')}/{name}.zip", member, len(held)))
+            held.clear()
+
+        with filesystem.open_output_stream(draft) as stream:
+            with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
+                for pdf in batches:
+                    for row in pdf.itertuples(index=False, name=None):
+                        held.append(row)
+                        if len(held) == rows_per_member:
+                            flush(archive)
+                if held:
+                    flush(archive)
+        if manifest:
+            filesystem.move(draft, f"{folder}/{name}.zip")
+        else:
+            filesystem.delete_file(draft)
+        yield pd.DataFrame(manifest, columns=["path", "member", "n_rows"])
+
+    text = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in names])
+    text.mapInPandas(pack, "path string, member string, n_rows long").write.parquet(f"{path.rstrip('/')}/_manifest")
+    return df.sparkSession.read.schema("path string, member string, n_rows long").parquet(f"{path.rstrip('/')}/_manifest")
+
+
+register_source("zipped_csv")(read_zipped_csv)
