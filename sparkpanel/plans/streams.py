@@ -9,7 +9,7 @@ from sparkpanel.functions import columns as C
 from sparkpanel.plans.registry import query
 from sparkpanel.session import scratch_path
 from sparkpanel.sources.tables import Tables
-from sparkpanel.streaming import daily
+from sparkpanel.streaming import daily, spikes
 
 R = 4
 
@@ -57,3 +57,19 @@ def spike_alerts(spark, sf):
     s = daily.spike_flags(d, "event_type", "day")
     return s.select("event_type", "day", "n", C.round_half_away("trailing_mean", R).alias("trailing_mean"),
                     C.round_half_away("trailing_std", R).alias("trailing_std"), "is_spike")
+
+
+@query("stream_spikes", f"""
+with d as (select event_type, cast(ts as date) as day, count(*) as n from events group by 1, 2),
+w as (select *, avg(n) over t as m, stddev_samp(n) over t as sd from d
+      window t as (partition by event_type order by day rows between 7 preceding and 1 preceding))
+select event_type, day, n, round(m, {R}) as trailing_mean, round(sd, {R}) as trailing_std,
+       coalesce(n > m + 3 * sd, false) as is_spike from w""")
+def stream_spikes(spark, sf):
+    """R2: spikes flagged inside the stream by a stateful operator per event type; equals the batch layer."""
+    src, schema = _events_source(spark, sf)
+    sink = scratch_path(spark, "spike-sink")
+    spikes.run_spikes(spark, src, schema, sink, scratch_path(spark, "spike-ckpt"))
+    return spikes.read_spikes(spark, sink).select(
+        F.col("key").alias("event_type"), "day", "n", C.round_half_away("trailing_mean", R).alias("trailing_mean"),
+        C.round_half_away("trailing_std", R).alias("trailing_std"), "is_spike")
