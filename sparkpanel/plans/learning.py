@@ -15,7 +15,7 @@ import re
 from pyspark.sql import functions as F
 
 from sparkpanel.functions import columns as C
-from sparkpanel.operators import ml, panel, rules
+from sparkpanel.operators import linear, ml, panel, rules
 from sparkpanel.plans.registry import query
 from sparkpanel.session import scratch_path
 from sparkpanel.sources.tables import Tables
@@ -444,3 +444,39 @@ def scenario_model_score(spark, sf):
     return x.select("item", "scenario", C.round_half_away("last_price", R).alias("last_price"), C.round_half_away("p", R).alias("predicted"),
                     C.round_half_away(F.col("p") - last, R).alias("change"),
                     C.round_half_away(F.try_divide((F.col("p") - last) * 100, last), R).alias("change_pct"))
+
+
+# Scenarios of the all-feature mode (changes of the daily order count and of the yearly cycle).
+LINEAR_SCENARIOS = [("quiet", -2.0, 0.0), ("normal", 0.0, 0.0), ("summer", 1.0, 0.5)]
+
+
+@query("scenario_linear_score", """
+with o as (select case when o_custkey % 50 = 0 then 'few ' || (o_custkey % 7) else o_orderpriority end as item, o_orderdate::date as day, o_totalprice from orders),
+d as (select item, day, avg(o_totalprice) as price, count(*)::double as n, sin(2 * pi() * dayofyear(day) / 365.25) as s from o group by 1, 2),
+m as (select item, count(*) as rows, avg(price) as y, avg(n) as a1, avg(s) as a2, var_pop(n) as v1, var_pop(s) as v2, covar_pop(n, s) as c12,
+             covar_pop(n, price) as c1, covar_pop(s, price) as c2, arg_max(price, day) as last_price, arg_max(n, day) as last_n, arg_max(s, day) as last_s from d group by 1),
+f as (select *, rows >= 40 and v1 > 0 and v2 > 0 as ok, (c1 * v2 - c2 * c12) / nullif(v1 * v2 - c12 * c12, 0) as b1,
+             (c2 * v1 - c1 * c12) / nullif(v1 * v2 - c12 * c12, 0) as b2 from m),
+p as (select item, scenario, case when ok then 'model' else 'rule' end as mode, last_price,
+             case when ok then greatest({lo} * last_price, least({hi} * last_price, y + b1 * (last_n + dn - a1) + b2 * (last_s + ds - a2)))
+                  else last_price * greatest({lo}, least({hi}, 1 + {tc} * dn)) end as predicted
+      from f, (values {vals}) t(scenario, dn, ds))
+select item, scenario, mode, round(last_price, {R}) as last_price, round(predicted, {R}) as predicted,
+       round((predicted - last_price) * 100 / nullif(last_price, 0), {R}) as change_pct from p""".format(
+    vals=", ".join(f"('{n}', {a}, {b})" for n, a, b in LINEAR_SCENARIOS), lo=CLAMP[0], hi=CLAMP[1], tc=TEMP_COEF, R=R))
+def scenario_linear_score(spark, sf):
+    """ML15 (model mode, all features): one model per item by normal equations from one aggregation; items with few
+    days or features that do not determine a model are scored by the rule."""
+    o = Tables(spark, sf).orders
+    item = F.when(F.col("o_custkey") % 50 == 0, F.concat(F.lit("few "), (F.col("o_custkey") % 7).cast("string"))).otherwise(F.col("o_orderpriority"))
+    d = panel.daily(o.withColumn("item", item), "o_orderdate", ["item"], [F.avg("o_totalprice").alias("price"), F.count(F.lit(1)).cast("double").alias("n")])
+    d = d.withColumn("s", C.cycle_sin("day"))
+    last = d.groupBy("item").agg(F.max_by(F.struct("price", "n", "s"), "day").alias("last"))
+    x = linear.fit_items(d, ["item"], ["n", "s"], "price", min_rows=40).join(last, "item")
+    x = x.select("*", F.inline(F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(a).alias("dn"), F.lit(b).alias("ds")) for n, a, b in LINEAR_SCENARIOS])))
+    price = F.col("last.price")
+    by_model = C.clamp(linear.predicted([F.col("last.n") + F.col("dn"), F.col("last.s") + F.col("ds")]), CLAMP[0] * price, CLAMP[1] * price)
+    by_rule = price * C.clamp(1 + TEMP_COEF * F.col("dn"), CLAMP[0], CLAMP[1])
+    x = x.withColumn("p", F.when(F.col("mode") == "model", by_model).otherwise(by_rule))
+    return x.select("item", "scenario", "mode", C.round_half_away(price, R).alias("last_price"), C.round_half_away("p", R).alias("predicted"),
+                    C.round_half_away(F.try_divide((F.col("p") - price) * 100, price), R).alias("change_pct"))
