@@ -8,23 +8,33 @@ width of its error, so each candidate has a lower and an upper bound of its dist
 Candidates whose lower bound does not exceed the k-th smallest upper bound are reranked
 by the exact distance on the original vectors in double precision.
 
-All vectors are indexed.  The search is blocked: blocks of codes times blocks of queries,
-one task per pair of blocks; only block numbers are replicated, never pairs of vectors.
+All vectors are indexed, and the index never moves: the queries come to it in blocks of
+``QUERIES`` vectors (a broadcast of bounded size), each task walks its part of the written
+index and keeps the k + 1 best entries per query, and only those are shuffled.  The lower
+bounds of ``ROWS`` codes for all queries of a block are one matrix product: the signs are
+unpacked once per batch, the scalars and their error terms ride along as extra columns.
+Original vectors are touched only where a lower bound does not exceed the query's threshold,
+which falls as better entries are found.
+
 Equal vectors are one entry with its k + 1 smallest ids (no more can be among the k
 nearest), so a vector that a third of the rows share costs one row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - makes pa.compute available
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkpanel.llm.common import materialise
 
-#: vectors per block of codes, vectors per block of queries
-CODES, QUERIES = 8192, 4096
+#: queries in one block; codes in one matrix product; pairs reranked at once
+QUERIES, ROWS, PAIRS = 8192, 1024, 50_000
 #: width of the error bound in standard deviations of the estimate
 EPSILON = 4.0
 SEED = 7
@@ -90,7 +100,7 @@ def codes_of(matrix: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[
 
 
 def index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 10):
-    """The written index (entry, dim, v, ids, code, norm, dot, block) of all usable rows, and the centres."""
+    """The written index (dim, v, ids, code, norm, dot) of all usable rows, and the centres per dimension."""
     entries = materialise(distinct_vectors(usable(vectors, key, vector), k), "entries")
     middle = entries.sparkSession.sparkContext.broadcast(centres(entries))
 
@@ -103,41 +113,89 @@ def index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
             if out:
                 yield pd.concat(out)
 
-    coded = entries.mapInPandas(encode, "entry long, dim int, v array<double>, ids array<long>, code binary, norm double, dot double")
-    sizes = {r["dim"]: -(-r["count"] // CODES) for r in entries.groupBy("dim").count().collect()}
-    blocks = F.lit(1)
-    for dim, n in sizes.items():
-        blocks = F.when(F.col("dim") == dim, F.lit(n)).otherwise(blocks)
-    return materialise(coded.withColumn("block", F.pmod(F.xxhash64("entry"), blocks).cast("int")), "index"), middle, sizes
-
-
-def scan_block(codes: pd.DataFrame, queries: pd.DataFrame, k: int, centre: np.ndarray) -> pd.DataFrame:
-    """The k nearest entries of the block for every query: bounds from the codes, then exact distances."""
-    dim = len(centre)
-    turn = rotation(dim)
-    data, wanted = np.array(codes["v"].tolist()), np.array(queries["v"].tolist())
-    signs = np.unpackbits(np.array([np.frombuffer(b, np.uint8) for b in codes["code"]]), axis=1, count=dim).astype(np.float32) * 2 - 1
-    norm, dot = codes["norm"].to_numpy(), codes["dot"].to_numpy()
-    moved = (wanted - centre) @ turn
-    length = np.linalg.norm(moved, axis=1)
-    # <direction, query> is estimated by <code, query> / dot; the error shrinks with dot and dimension
-    safe = np.where(dot > 0, dot, 1.0)
-    spread = EPSILON * np.sqrt(np.maximum(0.0, 1 - dot ** 2)) / safe / np.sqrt(max(1, dim - 1))
-    out = []
-    for i in range(len(wanted)):
-        inner = signs @ (moved[i] / np.sqrt(dim)).astype(np.float32) / safe
-        squared = norm ** 2 + length[i] ** 2 - 2 * norm * inner
-        width = 2 * norm * length[i] * spread + 1e-4 * (norm ** 2 + length[i] ** 2)
-        low = squared - width
-        limit = np.partition(squared + width, k - 1)[k - 1] if len(norm) > k else np.inf
-        near = np.flatnonzero(low <= limit)
-        exact = np.sqrt(((data[near] - wanted[i]) ** 2).sum(axis=1))
-        # ties at the k-th distance all stay: ids decide later
-        cut = np.partition(exact, k - 1)[k - 1] if len(exact) > k else np.inf
-        keep = np.flatnonzero(exact <= cut)
-        out.append(pd.DataFrame({"query": queries["entry"].iloc[i], "entry": codes["entry"].to_numpy()[near[keep]], "score": exact[keep],
-                                 "ids": codes["ids"].to_numpy()[near[keep]]}))
-    return pd.concat(out) if out else pd.DataFrame(columns=["query", "entry", "score", "ids"])
+    coded = entries.drop("entry").mapInPandas(encode, "dim int, v array<double>, ids array<long>, code binary, norm double, dot double")
+    return materialise(coded, "index"), middle
+
+
+class Nearest:
+    """The ``most`` best entries of every query of a block, by (distance, smallest id)."""
+
+    def __init__(self, wanted: np.ndarray, centre: np.ndarray, most: int):
+        self.wanted, self.most, self.dim = wanted, most, len(centre)
+        self.centre = centre
+        moved = (wanted - centre) @ rotation(self.dim)
+        length = np.linalg.norm(moved, axis=1)
+        one = np.ones(len(wanted))
+        # one column per query: the lower bound of the squared distance is the product of a code's row with it
+        self.right = np.stack([*(-moved.T / np.sqrt(self.dim)), -length, one, (1 - 1e-4) * length ** 2]).astype(np.float32)
+        self.limit = np.full(len(wanted), np.inf)
+        self.query, self.score, self.first = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        self.ids: pa.Array | None = None
+
+    def _left(self, code: pa.Array, norm: np.ndarray, dot: np.ndarray) -> np.ndarray:
+        """Rows (scaled signs, error term, squared norm, 1) of a batch of codes."""
+        width = -(-self.dim // 8)
+        bits = np.frombuffer(b"".join(code.to_pylist()), np.uint8).reshape(-1, width)
+        signs = np.unpackbits(bits, axis=1, count=self.dim).astype(np.float32) * 2 - 1
+        safe = np.where(dot > 0, dot, 1.0)
+        # <direction, query> is estimated by <code, query> / dot; the error shrinks with dot and dimension
+        error = EPSILON * np.sqrt(np.maximum(0.0, 1 - dot ** 2)) / safe / np.sqrt(max(1, self.dim - 1))
+        extra = np.stack([2 * norm * error, (1 - 1e-4) * norm ** 2, np.ones(len(norm))], axis=1)
+        return np.hstack([signs * (2 * norm / safe)[:, None], extra]).astype(np.float32)
+
+    def _start(self, data: np.ndarray) -> None:
+        """Thresholds from the first vectors: the k-th smallest distance to them, widened by the product's rounding."""
+        size = (data ** 2).sum(axis=1)[:, None] + (self.wanted ** 2).sum(axis=1)[None, :]
+        squared = size - 2 * data @ self.wanted.T
+        self.limit = np.partition(squared + 1e-9 * size, self.most - 1, axis=0)[self.most - 1]
+
+    def see(self, batch: pa.RecordBatch) -> None:
+        """Take in a batch of the index (v, ids, code, norm, dot)."""
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            data = part.column("v").flatten().to_numpy().reshape(part.num_rows, self.dim)
+            if self.ids is None and len(data) >= self.most:
+                self._start(data)
+            left = self._left(part.column("code"), part.column("norm").to_numpy(), part.column("dot").to_numpy())
+            row, query = np.nonzero(left @ self.right <= self.limit.astype(np.float32) * np.float32(1 + 1e-5))
+            first = part.column("ids").flatten().to_numpy()[np.r_[0, np.cumsum(pa.compute.list_value_length(part.column("ids")).to_numpy())[:-1]]]
+            found = []
+            for i in range(0, len(row), PAIRS):
+                r, q = row[i:i + PAIRS], query[i:i + PAIRS]
+                exact = np.sqrt(((data[r] - self.wanted[q]) ** 2).sum(axis=1))
+                keep = exact ** 2 <= self.limit[q] * (1 + 1e-12)
+                found.append((r[keep], q[keep], exact[keep]))
+            if found:
+                r, q, score = (np.concatenate(x) for x in zip(*found))
+                self._merge(q, score, first[r], part.column("ids").take(pa.array(r, pa.int64())))
+
+    def _merge(self, query: np.ndarray, score: np.ndarray, first: np.ndarray, ids: pa.Array) -> None:
+        query, score, first = (np.concatenate(x) for x in ((self.query, query), (self.score, score), (self.first, first)))
+        ids = ids if self.ids is None else pa.concat_arrays([self.ids, ids])
+        order = np.lexsort((first, score, query))
+        starts = np.searchsorted(query[order], query[order])
+        rank = np.arange(len(order)) - starts
+        keep = order[rank < self.most]
+        last = order[rank == self.most - 1]
+        self.limit[query[last]] = np.minimum(self.limit[query[last]], score[last] ** 2)
+        self.query, self.score, self.first = query[keep], score[keep], first[keep]
+        self.ids = ids.take(pa.array(keep, pa.int64()))
+
+
+def scan_block(coded: DataFrame, numbers: np.ndarray, wanted: np.ndarray, centre: np.ndarray, most: int) -> DataFrame:
+    """(query, score, ids): per task of ``coded`` (one dimension of the index) the ``most`` best entries of every query."""
+    handle = coded.sparkSession.sparkContext.broadcast((numbers, wanted, centre))
+
+    def run(batches):
+        names, vectors, middle = handle.value
+        nearest = Nearest(vectors, middle, most)
+        for batch in batches:
+            nearest.see(batch)
+        if nearest.ids is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(names[nearest.query], pa.int64()), pa.array(nearest.score),
+                                              nearest.ids.cast(pa.list_(pa.int64()))], ["query", "score", "ids"])
+
+    return coded.select("v", "ids", "code", "norm", "dot").mapInArrow(run, "query long, score double, ids array<long>")
 
 
 def search(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10) -> DataFrame:
@@ -147,38 +205,32 @@ def search(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "emb
     Euclidean distance in double precision, ties to the smaller id.  Vectors of another
     dimension are no candidates.  Null, zero and non-finite vectors take no part.  Repeated
     rows (equal id and vector) count once; an id with several vectors is several candidates,
-    and none of them is its own.  Fewer than k candidates: all.  Empty table: empty result.
+    and none of them is its own.  Fewer than k candidates: all.  Other columns, whatever their
+    names, are not read.  Empty table: empty result.
     """
-    entries, middle, sizes = index(vectors, key, vector, k)
+    spark = vectors.sparkSession
+    coded, middle = index(vectors, key, vector, k)
     queries = materialise(usable(vectors, key, vector).where(is_query(F.col("id"))).select("dim", F.col("v"), "id").distinct(), "queries")
     # one search per distinct query vector, for k + 1 entries: a query's own row may be one of them
     asked = queries.select("dim", F.transform("v", lambda x: x + F.lit(0.0)).alias("v")).distinct() \
-        .withColumn("entry", F.monotonically_increasing_id())
+        .withColumn("query", F.monotonically_increasing_id())
     asked = materialise(asked, "asked")
-    n_asked = max(1, -(-asked.count() // QUERIES))
-    blocks = F.lit(1)
-    for dim, n in sizes.items():
-        blocks = F.when(F.col("dim") == dim, F.lit(n)).otherwise(blocks)
-    by_query = asked.withColumn("part", F.pmod(F.xxhash64("entry"), F.lit(n_asked)).cast("int")) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    by_code = entries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
-
-    def scan(codes: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        if not len(codes) or not len(wanted):
-            return pd.DataFrame({"query": pd.Series(dtype="int64"), "entry": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64"), "ids": pd.Series(dtype="object")})
-        return scan_block(codes, wanted, k + 1, middle.value[int(codes["dim"].iloc[0])])
-
-    keys = ["dim", "block", "part"]
-    found = by_code.select(*keys, "entry", "v", "ids", "code", "norm", "dot").groupBy(*keys) \
-        .cogroup(by_query.select(*keys, "entry", "v").groupBy(*keys)) \
-        .applyInPandas(scan, "query long, entry long, score double, ids array<long>")
-    found = materialise(found, "found")
-    # per distinct query vector: the best k + 1 ids of all blocks (each block sent its own best)
-    ids = found.select("query", "score", F.explode("ids").alias("vec"))
+    found = []
+    for r in asked.groupBy("dim").count().collect():
+        dim, n_parts = r["dim"], -(-r["count"] // QUERIES)
+        mine = asked.where(F.col("dim") == dim).withColumn("part", F.pmod(F.xxhash64("query"), F.lit(n_parts)))
+        for part in range(n_parts):
+            block = mine.where(F.col("part") == part).select("query", "v").toPandas()  # about QUERIES rows
+            if len(block):
+                one = scan_block(coded.where(F.col("dim") == dim), block["query"].to_numpy(), np.array(block["v"].tolist()), middle.value[dim], k + 1)
+                found.append(materialise(one, "found"))
+    if not found:
+        kind = vectors.schema[key].dataType.simpleString()
+        return spark.createDataFrame([], f"query_id {kind}, rank int, `{key}` {kind}, score double")
+    # per distinct query vector: the best k + 1 ids of all tasks (each task sent its own best)
+    ids = reduce(DataFrame.unionByName, found).select("query", "score", F.explode("ids").alias("vec"))
     best = ids.withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec"))).where(F.col("r") <= k + 1)
-    listed = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "vec"))).alias("best")) \
-        .join(asked.select(F.col("entry").alias("query"), "dim", "v"), "query")
+    listed = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "vec"))).alias("best")).join(asked, "query")
     mine = queries.select("dim", F.transform("v", lambda x: x + F.lit(0.0)).alias("v"), "id").distinct()
     # a query vector may be shared by many queries: its one row of answers is dealt out by salts
     salts = 16

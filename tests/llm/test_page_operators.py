@@ -394,3 +394,42 @@ def test_recall_on_the_given_table(spark):
         near = sorted((float(np.sqrt(((data[q] - v) ** 2).sum())), i) for i, v in data.items() if i != q)[:10]
         assert ids == [i for _, i in near]
     assert len(got) == sum(i % 100 == 0 for i in data)
+
+
+def test_nearest_keeps_the_best_over_many_batches(monkeypatch):
+    """Small products and reranking chunks: thresholds fall, ties at the limit go to the smaller id."""
+    import pyarrow as pa
+
+    from sparkpanel.llm import ann
+
+    monkeypatch.setattr(ann, "ROWS", 16)
+    monkeypatch.setattr(ann, "PAIRS", 10)
+    rng = np.random.default_rng(3)
+    data = np.concatenate([rng.integers(-2, 3, (300, 7)).astype(float), rng.standard_normal((300, 7)) * 1e3])
+    ids, centre = rng.permutation(600), data.mean(axis=0)
+    wanted = np.concatenate([data[:20], rng.standard_normal((5, 7))])
+    code, norm, dot = ann.codes_of(data, centre, ann.rotation(7))
+    table = pa.record_batch({"v": data.tolist(), "ids": [[int(i)] for i in ids], "code": [c.tobytes() for c in code], "norm": norm, "dot": dot})
+    nearest = ann.Nearest(wanted, centre, 9)
+    for at in range(0, 600, 150):
+        nearest.see(table.slice(at, 150))
+    for q, w in enumerate(wanted):
+        every = sorted(zip(np.sqrt(((data - w) ** 2).sum(axis=1)).tolist(), ids.tolist()))[:9]
+        got = sorted((s, i[0]) for s, i, j in zip(nearest.score.tolist(), nearest.ids.to_pylist(), nearest.query) if j == q)
+        assert got == every
+
+
+def test_search_with_clashing_names_and_two_dimensions(spark):
+    from sparkpanel.llm.ann import search
+
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(5 if i % 2 else 3).tolist(), "x", "x", "x", "x", "x") for i in range(80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, query string, score string, rank string, dim string, ids string")
+    got = search(df, lambda i: i % 10 < 2, k=4)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    by = defaultdict(list)
+    for r in got.collect():
+        by[r["query_id"]].append((r["score"], r["vec_id"]))
+    for q in [i for i in range(80) if i % 10 < 2]:
+        near = sorted((float(np.sqrt(((np.array(rows[q][1]) - np.array(v)) ** 2).sum())), i) for i, v, *_ in rows if i % 2 == q % 2 and i != q)[:4]
+        assert [i for _, i in sorted(by[q])] == [i for _, i in near]
