@@ -58,7 +58,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).option("header", header).csv(path)
 
 
-def _resolve(path: str):
+def resolve_path(path: str):
     """(pyarrow filesystem, path inside it) for local paths and scheme://authority/... URIs."""
     from pyarrow import fs
 
@@ -79,7 +79,7 @@ def list_files(path: str, suffix: str = "") -> list[str]:
     """File listing (metadata only) through pyarrow's filesystem layer (local, HDFS, object stores)."""
     from pyarrow import fs
 
-    filesystem, root = _resolve(path)
+    filesystem, root = resolve_path(path)
     infos = filesystem.get_file_info(fs.FileSelector(root, recursive=True))
     scheme = path.split("://")[0] + "://" if "://" in path else ""
     return sorted(scheme + i.path for i in infos if i.type == fs.FileType.File and i.path.endswith(suffix)
@@ -99,7 +99,7 @@ def _headers(batches):
     for pdf in batches:
         out = []
         for p in pdf["path"]:
-            filesystem, root = _resolve(p)
+            filesystem, root = resolve_path(p)
             with filesystem.open_input_stream(root) as f:
                 out.append(_first_record(f))
         yield pd.DataFrame({"path": pdf["path"], "header": out})
@@ -195,7 +195,7 @@ def _footers(batches):
     for pdf in batches:
         rows = []
         for p in pdf["path"]:
-            filesystem, root = _resolve(p)
+            filesystem, root = resolve_path(p)
             with filesystem.open_input_file(root) as f:
                 md = pq.read_metadata(f)
                 size = f.size()
@@ -211,7 +211,7 @@ def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
     """
     from pyarrow import fs
 
-    filesystem, root = _resolve(path)
+    filesystem, root = resolve_path(path)
     folder = filesystem.get_file_info(root).type == fs.FileType.Directory  # Spark names its folders x.parquet too
     files = list_files(path, ".parquet") if folder else [path]
     df = spark.createDataFrame([(p,) for p in files], "path string")
@@ -255,7 +255,7 @@ def _open_archive(path: str):
     """(stream, archive): the central directory is read by seeks, members only when they are opened."""
     import zipfile
 
-    filesystem, inside = _resolve(path)
+    filesystem, inside = resolve_path(path)
     stream = filesystem.open_input_file(inside)
     return stream, zipfile.ZipFile(stream)
 
@@ -310,7 +310,7 @@ def zip_members(spark: SparkSession, path: str) -> DataFrame:
     """(path, member, place, size_bytes) of every CSV member of the archive at ``path`` or of all in that folder."""
     from pyarrow import fs
 
-    filesystem, inside = _resolve(path)
+    filesystem, inside = resolve_path(path)
     archives = [path] if filesystem.get_file_info(inside).type == fs.FileType.File else list_files(path, ".zip")
     df = spark.createDataFrame([(p,) for p in archives], "path string")
     return df.repartition(max(1, min(len(archives), 256))).mapInPandas(_members, "path string, member string, place int, size_bytes long")
@@ -358,7 +358,7 @@ def write_zipped_csv(df: DataFrame, path: str, rows_per_member: int = 5000, enco
 
         from pyspark import TaskContext
 
-        filesystem, folder = _resolve(path)
+        filesystem, folder = resolve_path(path)
         filesystem.create_dir(folder, recursive=True)
         name = f"part-{TaskContext.get().partitionId():05d}"
         draft = f"{folder}/.{name}-{uuid.uuid4().hex}"

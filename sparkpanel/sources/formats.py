@@ -23,7 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegralType, StringType, StructField, StructType
 
 from sparkpanel.session import scratch_path
-from sparkpanel.sources.files import _resolve, list_files, register_source
+from sparkpanel.sources.files import resolve_path, list_files, register_source
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -58,7 +58,7 @@ def sheet_rows(path: str, sheet: str | None = None) -> Iterator[list[str | None]
     import zipfile
     from xml.etree import ElementTree as T
 
-    filesystem, inside = _resolve(path)
+    filesystem, inside = resolve_path(path)
     with filesystem.open_input_file(inside) as stream, zipfile.ZipFile(stream) as archive:
         shared = []
         if "xl/sharedStrings.xml" in archive.namelist():
@@ -130,7 +130,7 @@ class _SheetReader(DataSourceReader):
 def _workbooks(path: str) -> list[str]:
     from pyarrow import fs
 
-    filesystem, inside = _resolve(path)
+    filesystem, inside = resolve_path(path)
     return [path] if filesystem.get_file_info(inside).type == fs.FileType.File else list_files(path, ".xlsx")
 
 
@@ -187,7 +187,7 @@ def write_code_sheets(df: DataFrame, path: str, sheet: str = "codes") -> DataFra
 
         from pyspark import TaskContext
 
-        filesystem, folder = _resolve(path)
+        filesystem, folder = resolve_path(path)
         filesystem.create_dir(folder, recursive=True)
         name = f"part-{TaskContext.get().partitionId():05d}.xlsx"
         draft, n = f"{folder}/.{name}-{uuid.uuid4().hex}", 0
@@ -270,7 +270,7 @@ def _effects(batches):
     for pdf in batches:
         rows = []
         for path, start, end in zip(pdf["path"], pdf["start"], pdf["end"]):
-            filesystem, inside = _resolve(path)
+            filesystem, inside = resolve_path(path)
             states = [_State(s, 0, start) for s in (OUTSIDE, INSIDE, ESCAPED)]
             for at, block in _read(filesystem, inside, start, end):
                 for m in _MARK.finditer(block):
@@ -295,7 +295,7 @@ def _features(batches):
     """
     for pdf in batches:
         for path, start, end, text, depth in zip(pdf["path"], pdf["start"], pdf["end"], pdf["text"], pdf["depth"]):
-            filesystem, inside = _resolve(path)
+            filesystem, inside = resolve_path(path)
             state, open_at, held, rows, done = _State(int(text), int(depth), start), None, [], [], False
             for at, block in _read(filesystem, inside, start, None):
                 cut = 0
@@ -336,10 +336,10 @@ def feature_collection(spark: SparkSession, path: str, array: str = "features",
     """
     from pyarrow import fs
 
-    filesystem, inside = _resolve(path)
+    filesystem, inside = resolve_path(path)
     info = filesystem.get_file_info(inside)
     found = [path] if info.type == fs.FileType.File else list_files(path, suffix)
-    ranges = [(p, a, min(size, a + range_bytes)) for p in found for size in [filesystem.get_file_info(_resolve(p)[1]).size]
+    ranges = [(p, a, min(size, a + range_bytes)) for p in found for size in [filesystem.get_file_info(resolve_path(p)[1]).size]
               for a in range(0, size, range_bytes)]
     if not ranges:
         return spark.createDataFrame([], "path string, place long, feature string")
