@@ -211,7 +211,9 @@ def predict(docs: DataFrame, model: dict, text: str = "text", trained: Column |
     """``docs`` plus ``lang_pred`` and ``score`` (the chosen language's share of the
     likelihood, 0 to 1).  ``und`` with score 0 for a null text, a text without letters,
     or a model without languages; a text none of whose n-grams is known gets the first
-    language and score 1 / number of languages.  All other columns pass through.
+    language and score 1 / number of languages.  All other columns pass through, whatever
+    their names.  Texts are read whole, whatever their length; repeated rows get the same
+    result each; ties go to the first language in sorted order.  Empty table: empty result.
 
     With ``trained`` (the language a row was trained with, null for other rows) also ``lang_known``, the
     share of the text's words that the chosen language knows from other texts, and ``lang_clear``: that

@@ -147,7 +147,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc: str = "doc_id", min_wo
 
     Null and empty texts have no lines and pass unchanged, as do all other columns.  Ties:
     the first copy in (doc, text hash, line) order stays, null ids first; rows with the same
-    doc and text are one document and change alike.  Empty table: empty result.
+    doc and text are one document and change alike.  Texts of any length are cut into lines
+    whole.  Other columns may have any name.  Empty table: empty result.
     """
     positions = line_positions(docs, text, doc)
     gone = later_copies(positions, min_words).groupBy("doc", "text_hash").agg(

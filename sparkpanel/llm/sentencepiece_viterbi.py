@@ -222,7 +222,12 @@ class Encoder:
 
 
 def encode_documents(docs: DataFrame, model_file: str, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """(doc, ids array<int>) for every row; null and empty texts have no ids."""
+    """(doc, ids array<int>) for every row of ``docs``, repeated rows and null ids included.
+
+    Null and empty texts have no ids.  Texts are encoded whole, word by word, in batches of
+    equal length; one very long word is one row of its batch.  Ties between sums go to the
+    longer last piece.  Other columns, whatever their names, are not read.  Empty table: empty result.
+    """
     kind = docs.schema[doc].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +242,8 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", doc:
 
 
 def decode_documents(encoded: DataFrame, model_file: str, doc: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """(doc, text) of id sequences; a null sequence decodes to a null text."""
+    """(doc, text) of id sequences, one row per row; a null sequence decodes to a null text, an empty one to an
+    empty text.  Other columns are not read.  Empty table: empty result."""
     kind = encoded.schema[doc].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +256,8 @@ def decode_documents(encoded: DataFrame, model_file: str, doc: str = "doc_id", i
 
 
 def round_trip(docs: DataFrame, model_file: str, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """(doc, n_ids, ids_crc32, n_byte_ids, text_crc32 of the decoded text, exact): encode and decode every row."""
+    """(doc, n_ids, ids_crc32, n_byte_ids, text_crc32 of the decoded text, exact): encode and decode every row, with
+    the cases of ``encode_documents`` (a null text counts as empty)."""
     kind = docs.schema[doc].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

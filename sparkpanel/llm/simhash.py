@@ -162,7 +162,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", sh
 
     Null and empty texts have fingerprint zero and link like any other.  Null ids: a
     component with only null ids has a null component_id; otherwise nulls take the
-    smallest id.  Repeated rows stay rows of their own.  Empty table: empty result.
+    smallest id.  Repeated rows stay rows of their own.  Texts are read whole, whatever their
+    length.  Other columns, whatever their names, are not read.  Empty table: empty result.
     """
     d = docs.select(F.col(doc), F.col(text))
     rows = materialise(with_fingerprint(d, text, shingle).select(doc, F.xxhash64(text).alias("text_hash"), "fp"), "prints")
@@ -181,10 +182,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", sh
 
 def one_of_each(docs: DataFrame, text: str = "text", doc: str = "doc_id", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component (null ids last, then the
-    smaller text hash); one row where that row is repeated."""
+    smaller text hash); one row where id and text are repeated, the one with the smallest hash
+    over all its columns.  All columns pass through, whatever their names.  Cases as in ``near_duplicates``."""
     found = near_duplicates(docs, text, doc, shingle, max_bits)
     first = found.groupBy("root").agg(F.min(F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("id"), "text_hash")).alias("m"))
     first = first.select("m.id", "m.text_hash").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(doc).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"))
     kept = rows.join(first, rows["id"].eqNullSafe(first["id"]) & (rows["text_hash"] == first["text_hash"]), "left_semi")
-    return kept.dropDuplicates(["id", "text_hash"]).select("row.*")
+    one = kept.groupBy("id", "text_hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sparkpanel.llm.common import join_weighted, materialise
 from sparkpanel.session import scratch_path
-from sparkpanel.sources.files import _resolve
+from sparkpanel.sources.files import resolve_path
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK, PIECE = 1 << 20, 1 << 15
@@ -94,7 +94,10 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, html: str = "h
 
     Null html: empty payload.  Null url: no target header.  Null key: an id without number.
     Of equal payloads of at least ``min_bytes`` bytes the one with the smallest key is a
-    response and the others revisit it; smaller payloads are all responses.
+    response and the others revisit it; smaller payloads are all responses.  Repeated rows
+    are records each: rows that share the smallest key are all responses.  Payloads of any
+    length are one member.  Other columns, whatever their names, are not read.  Empty table:
+    an empty manifest.
     """
     revisits = choose_responses(pages, min_bytes, html, key)
     text = F.coalesce(F.col(html), F.lit(""))
@@ -108,7 +111,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, html: str = "h
             for i in range(0, batch.num_rows, 256):
                 for r in batch.slice(i, 256).to_pylist():
                     if out is None:
-                        filesystem, inner = _resolve(_plain(path))
+                        filesystem, inner = resolve_path(_plain(path))
                         filesystem.create_dir(inner.rpartition("/")[0], recursive=True)
                         out = filesystem.open_output_stream(inner, compression=None)
                     data = record_bytes(r["page_id"], r["url"], r["html"].encode("utf-8", "surrogatepass"), r["refers_to"], date)
@@ -212,7 +215,7 @@ def _parse(path: str, offset: int, plain: bytes) -> tuple:
 
 def records_in(path: str, start: int, end: int) -> Iterator[tuple]:
     """Records whose gzip member starts in [start, end)."""
-    filesystem, inner = _resolve(_plain(path))
+    filesystem, inner = resolve_path(_plain(path))
     with filesystem.open_input_file(inner) as handle:
         window = _Window(handle, start)
         at = start
@@ -241,7 +244,12 @@ def records_in(path: str, start: int, end: int) -> Iterator[tuple]:
 
 
 def read_warc(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE_BYTES, with_payload: bool = True) -> DataFrame:
-    """All records of the files in ``manifest`` (path, bytes), by byte ranges of ``range_bytes``."""
+    """All records of the files in ``manifest`` (path, bytes), by byte ranges of ``range_bytes``.
+
+    A record belongs to the range its member starts in, however far it reaches beyond it.  Bytes
+    that look like a member but decode to no record are skipped; a record cut off by the end
+    of the file fails.  Empty manifests and files have no records.
+    """
     ranges = manifest.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)),
                                                                    F.lit(range_bytes).cast("long"))).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + range_bytes, F.col("bytes")).alias("end"))
@@ -272,6 +280,7 @@ def read_warc(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) and read the archives back, without payloads."""
+    """Write ``pages`` (page_id, url, html) and read the archives back, without payloads: one row per row of
+    ``pages``, with the cases of ``write_warc``."""
     manifest = write_warc(pages, scratch_path(spark, "warc"), min_bytes)
     return read_warc(spark, manifest, range_bytes, with_payload=False)
