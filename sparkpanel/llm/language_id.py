@@ -28,6 +28,8 @@ from sparkpanel.llm.common import join_weighted, materialise
 from sparkpanel.operators.stats import quantiles
 
 MAX_N = 4
+#: letters of a word whose n-grams are cut at once
+PIECE = 64
 #: words that travel to the tasks with their counts, and how many numbers these may be (fewer words for
 #: very many languages); both decide where a word is added up, not whether
 HOT_WORDS = 150_000
@@ -58,17 +60,25 @@ def _name(word: Column) -> Column:
 def _tokens(words: DataFrame, levels) -> DataFrame:
     """One row per token of the column ``word``, as ``key``: the level's digit and the token.  Level 0 is
     the whole word, level n its n-grams between boundary marks (single letters without marks)."""
-    at = words.withColumn("__s", F.concat(F.lit("\x02"), "word", F.lit("\x03"))).withColumn("__i", F.explode(F.sequence(F.lit(1), F.length("__s"))))
-    left = F.length("__s") - F.col("__i")  # letters and marks after this one
+    marked = F.concat(F.lit("\x02"), "word", F.lit("\x03"))
+    whole = F.array(F.struct(F.lit(0).alias("o"), F.col("__s").alias("t")))
+    parts = F.transform(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(PIECE)), lambda o: F.struct(
+        o.alias("o"), F.substr(F.col("__s"), o + 1, F.lit(PIECE + MAX_N - 1)).alias("t")))
+    # a long word is cut first, so no row that is made per letter carries it
+    cut = words.withColumn("__s", marked).withColumn("__n", F.length("__s")).withColumn("__w", _name(F.col("word"))) \
+        .withColumn("__p", F.explode(F.when(F.col("__n") <= PIECE, whole).otherwise(parts))).drop("__s", "word")
+    at = cut.withColumn("__i", F.explode(F.sequence(F.lit(1), F.least(F.lit(PIECE), F.col("__n") - F.col("__p.o")))))
+    place = F.col("__p.o") + F.col("__i")
+    left = F.col("__n") - place  # letters and marks after this one
 
     def key(n: int) -> Column:
         if n == 0:
-            return F.when(F.col("__i") == 1, F.concat(F.lit("0"), _name(F.col("word"))))
-        there = (F.col("__i") > 1) & (left > 0) if n == 1 else left >= n - 1
-        return F.when(there, F.concat(F.lit(str(n)), F.substr("__s", "__i", F.lit(n))))
+            return F.when(place == 1, F.concat(F.lit("0"), F.col("__w")))
+        there = (place > 1) & (left > 0) if n == 1 else left >= n - 1
+        return F.when(there, F.concat(F.lit(str(n)), F.substr("__p.t", "__i", F.lit(n))))
 
     # the positions are exploded first: both steps run as generated code, a lambda over them does not
-    return at.withColumn("key", F.explode(F.array(*[key(n) for n in levels]))).where("key is not null").drop("__s", "__i", "word")
+    return at.withColumn("key", F.explode(F.array(*[key(n) for n in levels]))).where("key is not null").drop("__p", "__i", "__n", "__w")
 
 
 def _count_words(batches):
