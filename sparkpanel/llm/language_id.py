@@ -21,15 +21,14 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkpanel.llm.common import join_weighted, materialise
-from sparkpanel.operators.stats import quantiles
 
 MAX_N = 4
 #: letters of a word whose n-grams are cut at once
-PIECE = 64
+PIECE = 256
 #: words that travel to the tasks with their counts, and how many numbers these may be (fewer words for
 #: very many languages); both decide where a word is added up, not whether
 HOT_WORDS = 150_000
@@ -60,25 +59,22 @@ def _name(word: Column) -> Column:
 def _tokens(words: DataFrame, levels) -> DataFrame:
     """One row per token of the column ``word``, as ``key``: the level's digit and the token.  Level 0 is
     the whole word, level n its n-grams between boundary marks (single letters without marks)."""
-    marked = F.concat(F.lit("\x02"), "word", F.lit("\x03"))
-    whole = F.array(F.struct(F.lit(0).alias("o"), F.col("__s").alias("t")))
-    parts = F.transform(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(PIECE)), lambda o: F.struct(
-        o.alias("o"), F.substr(F.col("__s"), o + 1, F.lit(PIECE + MAX_N - 1)).alias("t")))
-    # a long word is cut first, so no row that is made per letter carries it
-    cut = words.withColumn("__s", marked).withColumn("__n", F.length("__s")).withColumn("__w", _name(F.col("word"))) \
-        .withColumn("__p", F.explode(F.when(F.col("__n") <= PIECE, whole).otherwise(parts))).drop("__s", "word")
-    at = cut.withColumn("__i", F.explode(F.sequence(F.lit(1), F.least(F.lit(PIECE), F.col("__n") - F.col("__p.o")))))
-    place = F.col("__p.o") + F.col("__i")
+    # a long word is cut first, so no row that is made per letter carries it; explode of a sequence runs as generated
+    # code at every step, a lambda would not
+    cut = words.withColumn("__s", F.concat(F.lit("\x02"), "word", F.lit("\x03"))).withColumn("__n", F.length("__s")) \
+        .withColumn("__w", _name(F.col("word"))).drop("word").withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(PIECE)))) \
+        .withColumn("__t", F.substr("__s", F.col("__o") + 1, F.lit(PIECE + MAX_N - 1))).drop("__s")
+    at = cut.withColumn("__i", F.explode(F.sequence(F.lit(1), F.least(F.lit(PIECE), F.col("__n") - F.col("__o")))))
+    place = F.col("__o") + F.col("__i")
     left = F.col("__n") - place  # letters and marks after this one
 
     def key(n: int) -> Column:
         if n == 0:
             return F.when(place == 1, F.concat(F.lit("0"), F.col("__w")))
         there = (place > 1) & (left > 0) if n == 1 else left >= n - 1
-        return F.when(there, F.concat(F.lit(str(n)), F.substr("__p.t", "__i", F.lit(n))))
+        return F.when(there, F.concat(F.lit(str(n)), F.substr("__t", "__i", F.lit(n))))
 
-    # the positions are exploded first: both steps run as generated code, a lambda over them does not
-    return at.withColumn("key", F.explode(F.array(*[key(n) for n in levels]))).where("key is not null").drop("__p", "__i", "__n", "__w")
+    return at.withColumn("key", F.explode(F.array(*[key(n) for n in levels]))).where("key is not null").drop("__t", "__o", "__i", "__n", "__w")
 
 
 def _count_words(batches):
@@ -271,7 +267,11 @@ def predict(docs: DataFrame, model: dict, text: str = "text", trained: Column |
                            .select("key", "copies", "p.own", "p.best", "p.score", "p.known"), "langscores")
     n_rows = per_text.agg(F.sum("copies")).first()[0] or 0
     if trained is not None:
-        middle = quantiles(per_text.where("best = own"), "known", {"middle": 0.5}, by=["best"])  # exact: the same in every run
+        # the middle share in steps of a thousandth, from counts: the same in every run
+        steps = per_text.where("best = own").groupBy("best", F.floor(F.col("known") * 1000).alias("step")).agg(F.count(F.lit(1)).alias("c"))
+        of = Window.partitionBy("best")
+        steps = steps.withColumn("upto", F.sum("c").over(of.orderBy("step"))).withColumn("n", F.sum("c").over(of))
+        middle = steps.where(2 * F.col("upto") >= F.col("n")).groupBy("best").agg((F.min("step") / 1000).alias("middle"))
         per_text = per_text.join(F.broadcast(middle), "best", "left") \
             .withColumn("clear", (F.col("known") > 0) & (F.col("known") >= CLEAR_PART * F.coalesce("middle", F.lit(0.0))))
     # the row travels as one struct, so its column names cannot clash with the helper's
