@@ -132,36 +132,35 @@ def _hot_words(model: dict) -> tuple[dict[str, int], np.ndarray]:
     return {w: i for i, w in enumerate(top["word"].to_pylist())}, gain
 
 
-def _cut_words(docs: DataFrame, model: dict) -> DataFrame:
+def _cut_words(docs: DataFrame, model: dict, clear: bool) -> DataFrame:
     """Per row of ``docs`` (rid, key, text, trained): ``own``, the number of the language it was trained
-    with or -1; ``sums`` with the number of all words, the hot words' gain per language and how many of
-    them the language knows from other texts (empty for no words at all); the other words with their counts."""
+    with or -1; ``sums`` with the number of all words, the hot words' gain per language and (with ``clear``, else
+    zeros) how many of them the language knows from other texts (empty for no words at all); the other words with their counts."""
     handle = docs.sparkSession.sparkContext.broadcast(_hot_words(model))
     numbers = {lg: j for j, lg in enumerate(model["langs"])}
 
     def run(batches):
         index, gain = handle.value
+        none = [0.0] * len(numbers)
         for pdf in batches:
             out = []
             for text, trained in zip(pdf["text"], pdf["trained"]):
                 own = numbers.get(trained, -1)
                 counts = Counter(words_of(text)) if text else {}
-                rows, weights, words, ns = [], [], [], []
-                for w, n in counts.items():
-                    i = index.get(w)
-                    if i is None:
-                        words.append(w)
-                        ns.append(n)
-                    else:
-                        rows.append(i)
-                        weights.append(n)
+                places = list(map(index.get, counts))
+                words = [w for w, i in zip(counts, places) if i is None]
+                ns = [n for n, i in zip(counts.values(), places) if i is None]
                 sums = []
                 if counts:
-                    weight, gains = np.asarray(weights, dtype=float), gain[rows]
-                    known = gains > 0
-                    if own >= 0:
-                        known[:, own] = gains[:, own] > np.log1p(2 * weight) + 1e-9
-                    sums = [float(sum(counts.values())), *(weight @ gains), *(weight @ known)]
+                    weight = np.array([n for n, i in zip(counts.values(), places) if i is not None], dtype=float)
+                    gains = gain[[i for i in places if i is not None]]
+                    found = none
+                    if clear:
+                        known = gains > 0
+                        if own >= 0:
+                            known[:, own] = gains[:, own] > np.log1p(2 * weight) + 1e-9
+                        found = weight @ known
+                    sums = [float(sum(counts.values())), *(weight @ gains), *found]
                 out.append((own, sums, words, ns))
             yield pd.concat([pdf[["rid", "key"]], pd.DataFrame(out, columns=["own", "sums", "words", "ns"], index=pdf.index)], axis=1)
 
@@ -236,7 +235,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", trained: Column |
     own = F.lit(None).cast("string") if trained is None else trained
     key = F.concat_ws("|", F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("")), own)
     cut = materialise(_cut_words(docs.select(F.monotonically_increasing_id().alias("rid"), key.alias("key"), F.col(text).alias("text"),
-                                             own.alias("trained")), model), "langcut")
+                                             own.alias("trained")), model, trained is not None), "langcut")
     absent = model["absent"]
 
     @F.pandas_udf("best int, score double, known double")
