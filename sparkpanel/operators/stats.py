@@ -315,15 +315,16 @@ def kde_grid(df: DataFrame, col: str, n_grid: int = 64, bandwidth: float | None
     # one scalar subquery with every statistic the grid needs (evaluated once, reused)
     st = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").cast("double").alias("n"),
                            (F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("bw"))).scalar()
-    weighted = vals.groupBy("x").agg(F.count(F.lit(1)).alias("w")).withColumn("st", st)
-    lo, hi = F.col("st.lo"), F.col("st.hi")
-    bw = F.lit(float(bandwidth)) if bandwidth else F.col("st.bw")
+    # as plain doubles: a struct in the buffer would make the aggregation sort
+    weighted = vals.groupBy("x").agg(F.count(F.lit(1)).alias("w")).select("x", "w", *[st.getField(c).alias(c) for c in ("lo", "hi", "n", "bw")])
+    lo, hi = F.col("lo"), F.col("hi")
+    bw = F.lit(float(bandwidth)) if bandwidth else F.col("bw")
     at = lambda g: lo + F.lit(g) * (hi - lo) / F.lit(n_grid - 1)
     z = lambda g: (at(g) - F.col("x")) / bw
-    sums = weighted.agg(F.first("st").alias("st"), *[F.sum(F.col("w") * F.exp(-0.5 * z(g) * z(g))).alias(f"s{g}") for g in range(n_grid)])
-    scale = F.col("st.n") * bw * F.lit((2 * 3.141592653589793) ** 0.5)
+    sums = weighted.agg(*[F.max(c).alias(c) for c in ("lo", "hi", "n", "bw")], *[F.sum(F.col("w") * F.exp(-0.5 * z(g) * z(g))).alias(f"s{g}") for g in range(n_grid)])
+    scale = F.col("n") * bw * F.lit((2 * 3.141592653589793) ** 0.5)
     rows = [F.struct(F.lit(g).alias("g"), at(g).alias("x"), (F.col(f"s{g}") / scale).alias("density")) for g in range(n_grid)]
-    return sums.where(F.col("st.n") > 0).select(F.inline(F.array(*rows)))
+    return sums.where(F.col("n") > 0).select(F.inline(F.array(*rows)))
 
 
 # ---------------------------------------------------------------- misc
