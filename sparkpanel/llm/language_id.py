@@ -15,12 +15,13 @@ joins, each distinct unknown word falls back to n-grams once, and both kinds add
 
 from __future__ import annotations
 
+import functools
 import json
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,11 +41,13 @@ NOWHERE = MAX_N + 1
 UNKNOWN = "und"
 #: letters-digits runs without decimal digits and underscores; refined by isalpha() per distinct word
 _RUN = re.compile(r"[^\W\d_]+")
+#: letters of the texts that are cut at once (one longer text is cut by itself)
+_CHUNK = 1 << 20
 _FLUSH = 200_000
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters (Unicode L*)."""
+    """Lower-cased runs of letters (Unicode L*): what ``_cut_texts`` cuts, text by text."""
     out = _RUN.findall(text.lower())
     if not out or "".join(out).isalpha():
         return out
@@ -77,19 +80,72 @@ def _tokens(words: DataFrame, levels) -> DataFrame:
     return at.withColumn("key", F.explode(F.array(*[key(n) for n in levels]))).where("key is not null").drop("__t", "__o", "__i", "__n", "__w")
 
 
-def _count_words(batches):
-    def flush(counts):
-        return pd.DataFrame([(lang, w, n) for lang, c in counts.items() for w, n in c.items()], columns=["lang", "word", "n"])
+@functools.cache
+def _letters() -> np.ndarray:
+    """For every code point whether it is a letter."""
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+
+
+def _chunks(texts: list[str]):
+    """Slices of the list, each of about ``_CHUNK`` letters."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= _CHUNK:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def _cut_texts(texts: list[str]) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """The distinct words of the texts, and for every word in all texts, in their order, its place among
+    the distinct ones and the number of its text."""
+    low = [text.lower() + "\n" for text in texts]
+    points = np.frombuffer("".join(low).encode("utf-32-le"), np.uint32)
+    letter = _letters().take(points)
+    edges = np.flatnonzero(letter[1:] != letter[:-1]) + 1  # the last code point is no letter
+    if letter[0]:
+        edges = np.concatenate(([0], edges))
+    starts, stops = edges[::2], edges[1::2]
+    ends = np.cumsum(np.fromiter(map(len, low), np.int64, len(low)))
+    text = np.repeat(np.arange(len(low)), np.diff(np.searchsorted(starts, ends), prepend=0))
+    body = points[letter]
+    data = body.tobytes().decode("utf-32-le").encode()
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(stops - starts, out=offsets[1:])
+    if len(data) > len(body):  # some letters have more than one byte
+        more = np.zeros(len(body) + 1, np.int64)
+        np.cumsum(sum((body > most).view(np.uint8) for most in (0x7F, 0x7FF, 0xFFFF)), out=more[1:])
+        offsets += more[offsets]
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+    return words.dictionary.cast(pa.string()), words.indices.to_numpy().astype(np.int64), text
+
 
-    counts: dict[str, Counter] = {}
-    for pdf in batches:
-        for lang, text in zip(pdf["lang"], pdf["text"]):
-            counts.setdefault(lang, Counter()).update(words_of(text))
-            if sum(map(len, counts.values())) > _FLUSH:
-                yield flush(counts)
-                counts = {}
-    if counts:
-        yield flush(counts)
+def _count_words(batches):
+    def added_up(tables):
+        return pa.concat_tables(tables).group_by(["lang", "word"]).aggregate([("n", "sum")]).select(["lang", "word", "n_sum"]).rename_columns(["lang", "word", "n"])
+
+    tables, rows = [], 0
+    for batch in batches:
+        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+        for part in _chunks(texts):
+            names = sorted(set(langs[part]))
+            number = {lang: j for j, lang in enumerate(names)}
+            words, word, text = _cut_texts(texts[part])
+            of = np.array([number[lang] for lang in langs[part]])[text]
+            pairs, n = np.unique(of * len(words) + word, return_counts=True)
+            which, word = np.divmod(pairs, max(1, len(words)))
+            tables.append(pa.table({"lang": pa.array(names, pa.string()).take(pa.array(which)), "word": words.take(pa.array(word)), "n": n}))
+            rows += len(pairs)
+            if rows > 2 * _FLUSH:
+                tables = [added_up(tables)]
+                rows = tables[0].num_rows
+                if rows > _FLUSH:
+                    yield from tables[0].to_batches()
+                    tables, rows = [], 0
+    if tables:
+        yield from added_up(tables).to_batches()
 
 
 def train(train_docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
@@ -100,7 +156,7 @@ def train(train_docs: DataFrame, text: str = "text", lang: str = "lang") -> dict
     frequency of an absent token.
     """
     rows = train_docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
-    table = materialise(rows.mapInPandas(_count_words, "lang string, word string, n long")
+    table = materialise(rows.mapInArrow(_count_words, "lang string, word string, n long")
                         .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langwords")
     langs = sorted(r["lang"] for r in table.select("lang").distinct().collect())
     model: dict = {"langs": langs}
@@ -141,30 +197,39 @@ def _cut_words(docs: DataFrame, model: dict, clear: bool) -> DataFrame:
 
     def run(batches):
         index, gain = handle.value
-        none = [0.0] * len(numbers)
-        for pdf in batches:
-            out = []
-            for text, trained in zip(pdf["text"], pdf["trained"]):
-                own = numbers.get(trained, -1)
-                counts = Counter(words_of(text)) if text else {}
-                places = list(map(index.get, counts))
-                words = [w for w, i in zip(counts, places) if i is None]
-                ns = [n for n, i in zip(counts.values(), places) if i is None]
-                sums = []
-                if counts:
-                    weight = np.array([n for n, i in zip(counts.values(), places) if i is not None], dtype=float)
-                    gains = gain[[i for i in places if i is not None]]
-                    found = none
+        n_hot, gain = len(gain), np.ascontiguousarray(gain.T)
+        for batch in batches:
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            owns = np.array([numbers.get(lang, -1) for lang in batch.column("trained").to_pylist()])
+            for part in _chunks(texts):
+                size, own = part.stop - part.start, owns[part]
+                words, word, text = _cut_texts(texts[part])
+                # per text and distinct word one number: hot words by their row, the others after them
+                slots = n_hot + len(words)
+                slot = np.array([index.get(w, n_hot + i) for i, w in enumerate(words.to_pylist())], np.int64)
+                pairs, n = np.unique(text * slots + slot[word], return_counts=True)
+                text, slot = np.divmod(pairs, max(1, slots))
+                hot = slot < n_hot
+                at, of, weight = slot[hot], text[hot], n[hot].astype(float)
+                sums = np.zeros((size, 1 + 2 * len(numbers)))
+                sums[:, 0] = np.bincount(text, n, size)
+                alone = np.log1p(2 * weight) + 1e-9
+                for j in range(len(numbers)):
+                    gains = gain[j].take(at)
+                    sums[:, 1 + j] = np.bincount(of, weight * gains, size)
                     if clear:
-                        known = gains > 0
-                        if own >= 0:
-                            known[:, own] = gains[:, own] > np.log1p(2 * weight) + 1e-9
-                        found = weight @ known
-                    sums = [float(sum(counts.values())), *(weight @ gains), *found]
-                out.append((own, sums, words, ns))
-            yield pd.concat([pdf[["rid", "key"]], pd.DataFrame(out, columns=["own", "sums", "words", "ns"], index=pdf.index)], axis=1)
-
-    return docs.mapInPandas(run, "rid long, key string, own int, sums array<double>, words array<string>, ns array<long>")
+                        known = gains > np.where(own[of] == j, alone, 0)
+                        sums[:, 1 + len(numbers) + j] = np.bincount(of, weight * known, size)
+                some = sums[:, 0] > 0
+                at, of = slot[~hot] - n_hot, text[~hot]
+                rare = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=size)))).astype(np.int32)
+                lists = {"sums": (np.concatenate(([0], np.cumsum(some * sums.shape[1]))).astype(np.int32), sums[some].ravel()),
+                         "words": (rare, words.take(pa.array(at))), "ns": (rare, n[~hot])}
+                rows = batch.slice(part.start, size)
+                yield pa.RecordBatch.from_pydict({"rid": rows.column("rid"), "key": rows.column("key"), "own": own.astype(np.int32),
+                                                  **{c: pa.ListArray.from_arrays(pa.array(o), pa.array(v)) for c, (o, v) in lists.items()}})
+
+    return docs.mapInArrow(run, "rid long, key string, own int, sums array<double>, words array<string>, ns array<long>")
 
 
 _GAINS = "transform(hits, h -> struct(h.l as l, log1p(2D * h.n) as v))"

@@ -351,3 +351,32 @@ def test_simhash_links_of_fewer_bits(spark):
     for bits in (0, 1):
         want = {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
         assert {tuple(r) for r in links(prints, bits).collect()} == want
+
+
+def test_language_words_of_many_texts_at_once_are_those_of_each(monkeypatch):
+    """op10: words cut from whole chunks are the letter runs of every single text, wherever the chunks end."""
+    import pyarrow as pa
+
+    from sparkpanel.llm import language_id
+
+    rng = random.Random(3)
+    letters = [c for c in map(chr, rng.sample([*range(0xD800), *range(0xE000, 0x110000)], 3000))]
+    texts = ["", "a", "İSTANBUL ΣΑΣ Σ", "x²y½ ٣ab_cd١e", "\n\nab\ncd\n", "ß ẞ ﬁ ǅ",
+             "\U0001d49c\U00010400bc 漢字か", " x\x00y", "_a_", "7", "b" * 500]
+    texts += ["".join(rng.choices([*letters, *"ab é ß1_ \n"], k=rng.randrange(60))) for _ in range(500)]
+    words, place, text = language_id._cut_texts(texts)
+    words, got = words.to_pylist(), [[] for _ in texts]
+    for w, t in zip(place, text):
+        got[t].append(words[w])
+    assert got == [language_id.words_of(t) for t in texts] and len(set(words)) == len(words)
+    langs = [rng.choice(["de", "en", "fr"]) for _ in texts]
+    want = Counter((lang, w) for lang, t in zip(langs, texts) for w in language_id.words_of(t))
+    for chunk, flush in ((1 << 20, 200_000), (1, 5), (300, 100)):
+        monkeypatch.setattr(language_id, "_CHUNK", chunk)
+        monkeypatch.setattr(language_id, "_FLUSH", flush)
+        assert [t for part in language_id._chunks(texts) for t in texts[part]] == texts
+        counts = Counter()
+        for batch in language_id._count_words(pa.table({"lang": langs, "text": texts}).to_batches(max_chunksize=200)):
+            for r in batch.to_pylist():
+                counts[r["lang"], r["word"]] += r["n"]
+        assert counts == want
